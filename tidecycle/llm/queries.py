@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, packing, sharding
+from . import decontamination, exact_dedup, line_dedup, packing, sharding, url_filters
 from .common import table
 
 #: SQL that several texts share: A-Z lower-cased; the words of a text.
@@ -68,10 +68,80 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+#: The rules that the query applies before the method.
+RULES = [
+    url_filters.Rule("allow", "org/"),
+    url_filters.Rule("block", "example.org/es/"),
+    url_filters.Rule("block", "example.org/en/1"),
+    url_filters.Rule("allow", "com/fr/"),
+    url_filters.Rule("block", "com/de/"),
+]
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 9).alias("purity"))
+
+
+OP5_SQL = r"""
+WITH p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+rules(verdict, name, rhost, rpath) AS (VALUES
+  ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'), ('block', 'example.org/en/1', 'example.org', '/en/1'),
+  ('allow', 'com/fr/', 'com', '/fr/'), ('block', 'com/de/', 'com', '/de/')),
+fit AS (
+  SELECT page_id, arg_max(name, length(name)) AS rule, arg_max(verdict, length(name)) AS by_rule FROM p, rules
+  WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id),
+r AS (
+  SELECT p.page_id, host, path, rule, by_rule,
+         list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
+           lambda s: CASE WHEN regexp_matches(s, '[0-9]') THEN '*' || regexp_extract(s, '(\.[A-Za-z]+)$', 1) ELSE s END) AS seg
+  FROM p LEFT JOIN fit USING (page_id)),
+s AS (
+  SELECT host, CASE WHEN len(seg) > 3 THEN list_append(seg[1:3], '**') ELSE seg END AS shape, count(*) AS n, count(by_rule) AS l,
+         count(*) FILTER (WHERE by_rule = 'block') AS b FROM r GROUP BY 1, 2),
+s1 AS (SELECT *, coalesce(shape[1], '') AS g, count(DISTINCT coalesce(shape[1], '')) OVER (PARTITION BY host) AS k FROM s),
+n1 AS (SELECT * EXCLUDE (g, k), CASE WHEN g = '' THEN '' WHEN k > 12 THEN '/*' ELSE '/' || g END AS f FROM s1),
+s2 AS (SELECT *, coalesce(shape[2], '') AS g, count(DISTINCT coalesce(shape[2], '')) OVER (PARTITION BY host, f) AS k FROM n1),
+n2 AS (SELECT * EXCLUDE (g, k, f), f || CASE WHEN g = '' THEN '' WHEN k > 12 THEN '/*' ELSE '/' || g END AS f FROM s2),
+s3 AS (SELECT *, coalesce(shape[3], '') AS g, count(DISTINCT coalesce(shape[3], '')) OVER (PARTITION BY host, f) AS k FROM n2),
+n3 AS (SELECT * EXCLUDE (g, k, f), f || CASE WHEN g = '' THEN '' WHEN k > 12 THEN '/*' ELSE '/' || g END || CASE WHEN len(shape) > 3 THEN '/**' ELSE '' END AS f FROM s3),
+n AS (SELECT *, '/' || split_part(f, '/', 2) AS branch, substr(f, length('/' || split_part(f, '/', 2)) + 1) AS tail FROM n3),
+br AS (
+  SELECT host, branch, sum(n) AS bn, sum(CASE WHEN tail <> '' THEN n ELSE 0 END) AS bd,
+         CASE WHEN sum(l) = 0 THEN 'unlabelled' WHEN 2 * sum(b) >= sum(l) THEN 'blocked' ELSE 'allowed' END AS state FROM n GROUP BY 1, 2),
+m AS (
+  SELECT host, branch, CASE WHEN count(*) OVER w > 1 AND abs(bd / bn - sum(bd) OVER w / sum(bn) OVER w) <= 0.25 THEN '/{' || state || '}' ELSE branch END AS merged
+  FROM br WINDOW w AS (PARTITION BY host, state)),
+t AS (SELECT n.host, shape, l, b, merged || tail AS template FROM n JOIN m USING (host, branch)),
+prior AS (SELECT CASE WHEN sum(l) > 0 THEN sum(b) / sum(l) ELSE 0.5 END AS q FROM s),
+pure AS (SELECT host, template, (sum(b) + 4.0 * any_value(q)) / (sum(l) + 4.0) AS purity FROM t, prior GROUP BY 1, 2)
+SELECT page_id, r.host, path, rule, coalesce(by_rule, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict, t.template, round(purity, 9) AS purity
+FROM r JOIN t ON r.host = t.host AND CASE WHEN len(seg) > 3 THEN list_append(seg[1:3], '**') ELSE seg END = t.shape
+JOIN pure ON t.host = pure.host AND t.template = pure.template
+"""
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("text_sha256"))
+
+
+OP8_SQL = """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, text, string_split(text, chr(10)) AS ls FROM documents),
+n AS (SELECT host, count(*) AS host_pages FROM d GROUP BY host),
+c AS (SELECT host, line, count(*) AS pages FROM (SELECT DISTINCT doc_id, host, trim(x, ' ') AS line FROM (SELECT doc_id, host, unnest(ls) AS x FROM d)) WHERE line <> '' GROUP BY host, line),
+bad AS (SELECT host, list(line) AS bad FROM c JOIN n USING (host) WHERE pages >= 5 AND pages > 0.1 * host_pages GROUP BY host),
+k AS (SELECT doc_id, text, ls, CASE WHEN bad IS NULL THEN ls ELSE list_filter(ls, lambda x: NOT list_contains(bad, trim(x, ' '))) END AS kept FROM d LEFT JOIN bad USING (host))
+SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(len(ls) - len(kept), 0) AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS text_sha256 FROM k
+"""
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_feistel_sharding": op3_feistel_sharding,
     "op4_decontamination": op4_decontamination,
+    "op5_url_filters": op5_url_filters,
+    "op8_line_dedup": op8_line_dedup,
 }
-ORACLES = {"op1_exact_dedup": OP1_SQL, "op4_decontamination": OP4_SQL}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op5_url_filters": OP5_SQL, "op8_line_dedup": OP8_SQL}
