@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, line_dedup, packing, sharding, url_filters
+from . import decontamination, exact_dedup, line_dedup, near_dedup, packing, sharding, url_filters
 from .common import table
 
 #: SQL that several texts share: A-Z lower-cased; the words of a text.
@@ -122,6 +122,20 @@ JOIN pure ON t.host = pure.host AND t.template = pure.template
 """
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.similarity_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links", "copies", "n_grams", "set_id")
+
+
+OP7_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+g AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda s: array_to_string(w[s:s + least(len(w), 5) - 1], ' ')))) AS g FROM d WHERE len(w) > 0),
+e AS (SELECT doc_id, unnest(g) AS x FROM g),
+n AS (SELECT doc_id, len(g) AS n FROM g),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2)
+SELECT a AS doc_id, count(*) AS links FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE k >= 0.8 * (p.n + q.n - k) GROUP BY a
+"""
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("text_sha256"))
@@ -142,6 +156,7 @@ QUERIES = {
     "op3_feistel_sharding": op3_feistel_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_url_filters": op5_url_filters,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
 }
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op5_url_filters": OP5_SQL, "op8_line_dedup": OP8_SQL}
