@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, line_dedup, near_dedup, packing, sharding, url_filters
+from . import decontamination, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, pii, sharding, toxicity, url_filters
 from .common import table
 
 #: SQL that several texts share: A-Z lower-cased; the words of a text.
@@ -150,13 +150,65 @@ k AS (SELECT doc_id, text, ls, CASE WHEN bad IS NULL THEN ls ELSE list_filter(ls
 SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(len(ls) - len(kept), 0) AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS text_sha256 FROM k
 """
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.stupid_backoff(table(spark, sf_dir, "documents")).select("doc_id", "n_words", F.round("score", 6).alias("score"))
+
+
+OP6_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+t AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS i FROM d),
+g AS (SELECT doc_id, i, x, lag(x) OVER (PARTITION BY doc_id ORDER BY i) AS v FROM t),
+c AS (
+  SELECT doc_id, i, v, count(*) OVER (PARTITION BY x) - count(*) OVER (PARTITION BY doc_id, x) AS cw,
+         count(*) OVER (PARTITION BY v, x) - count(*) OVER (PARTITION BY doc_id, v, x) AS cvw FROM g),
+p AS (SELECT *, lag(cw) OVER (PARTITION BY doc_id ORDER BY i) AS cv, count(*) OVER () - count(*) OVER (PARTITION BY doc_id) AS n FROM c),
+s AS (
+  SELECT doc_id, CASE WHEN v IS NOT NULL AND cvw > 0 THEN log10(cvw) - log10(cv)
+    ELSE log10(greatest(cw, 1)) - log10(greatest(n, 1)) + CASE WHEN v IS NULL THEN 0 ELSE log10(0.4) END + CASE WHEN cw > 0 THEN 0 ELSE log10(0.4) END END AS s FROM p),
+m AS (SELECT doc_id, avg(s) AS score FROM s GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(score, 6) AS score FROM d LEFT JOIN m USING (doc_id)
+"""
+
+
+def learnable(labels: DataFrame) -> DataFrame:
+    """Labels that may be learnt from: crc32 of the id as text, modulo 5, is not 0."""
+    return labels.where(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 != 0)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, learnable(table(spark, sf_dir, "labels")))
+    held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    base = F.col("base")
+    return found.select(
+        "doc_id",
+        *[pii.count_kind(base, k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+        pii.span_text(F.concat("base", "added")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_feistel_sharding": op3_feistel_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_url_filters": op5_url_filters,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_pii": op10_pii,
+}
+ORACLES = {
+    "op1_exact_dedup": OP1_SQL,
+    "op4_decontamination": OP4_SQL,
+    "op5_url_filters": OP5_SQL,
+    "op6_lm_scoring": OP6_SQL,
+    "op8_line_dedup": OP8_SQL,
 }
-ORACLES = {"op1_exact_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op5_url_filters": OP5_SQL, "op8_line_dedup": OP8_SQL}
