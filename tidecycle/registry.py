@@ -1,4 +1,469 @@
-"""Registered queries of the time-series engine and the SQL that checks them."""
+"""Registered queries of the time-series engine over the driver's tables, and the SQL that checks them.
+
+The tables stand for what the engine is made for: `events` is a feature series per user, or per night; event types,
+conversation roles and order statuses are states; orders and line items give intervals, manifests and statistics.
+"""
+
+from __future__ import annotations
+
+from fractions import Fraction
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import scalars, temporal
+from .operators import intervals, peaks, series, spectral, states, stats
+from .plans import night
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL if there is one."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+TIME = "yyyy-MM-dd HH:mm:ss"
+
+
+def text(c: str) -> F.Column:
+    return F.date_format(F.col(c), TIME).alias(c)
+
+
+def r6(c, name: str | None = None, digits: int = 6) -> F.Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c, digits).alias(name) if name else F.round(c, digits)
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props")
+
+
+NIGHT = """CASE WHEN hour(ts) >= 18 THEN strftime(ts, '%Y-%m-%d') WHEN hour(ts) < 6 THEN strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') ELSE 'daytime' END"""
+MIN = "strftime(minute, '%Y-%m-%d %H:%M:%S')"
+#: Minute means of each night, on a dense grid, interpolated five rows far, then filled both ways.
+GRID_SQL = f"""
+m AS (SELECT {NIGHT} AS night, date_trunc('minute', ts) AS minute, avg(value) AS value FROM events WHERE hour(ts) >= 18 OR hour(ts) < 6 GROUP BY 1, 2),
+e AS (SELECT night, unnest(generate_series(min(minute), max(minute), INTERVAL 1 MINUTE)) AS minute FROM m GROUP BY night),
+g AS (SELECT night, minute, value, row_number() OVER (PARTITION BY night ORDER BY minute) AS i FROM e LEFT JOIN m USING (night, minute)),
+k AS (
+  SELECT *, max(CASE WHEN value IS NOT NULL THEN i END) OVER (PARTITION BY night ORDER BY i ROWS UNBOUNDED PRECEDING) AS p,
+         min(CASE WHEN value IS NOT NULL THEN i END) OVER (PARTITION BY night ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n FROM g),
+t AS (
+  SELECT k.night, k.minute, k.i, CASE WHEN k.value IS NOT NULL THEN k.value WHEN k.p IS NULL OR k.i - k.p > 5 THEN NULL WHEN k.n IS NULL THEN a.value
+         ELSE a.value + (b.value - a.value) * (k.i - k.p) / (k.n - k.p) END AS value
+  FROM k LEFT JOIN g a ON a.night = k.night AND a.i = k.p LEFT JOIN g b ON b.night = k.night AND b.i = k.n),
+filled AS (
+  SELECT night, minute, i, coalesce(last_value(value IGNORE NULLS) OVER (PARTITION BY night ORDER BY i ROWS UNBOUNDED PRECEDING),
+         first_value(value IGNORE NULLS) OVER (PARTITION BY night ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS value FROM t)"""
+#: Events of a user in order, numbered from 0.
+ROWS_SQL = "x AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events)"
+ORDER = ["ts", "event_id"]
+
+
+@query(f"SELECT user_id, {MIN} AS minute, round(avg(value), 6) AS value FROM (SELECT user_id, date_trunc('minute', ts) AS minute, value FROM events) GROUP BY user_id, minute")
+def resample_mean(spark, d):
+    return series.resample_mean(events(spark, d), ["user_id"], "ts", ["value"]).select("user_id", text("minute"), r6("value", "value"))
+
+
+@query(f"WITH m AS (SELECT {NIGHT} AS night, value FROM events) SELECT night, count(*) AS n, round(avg(value), 6) AS mean_value FROM m GROUP BY night")
+def night_label_counts(spark, d):
+    return events(spark, d).groupBy(temporal.night_label(F.col("ts")).alias("night")).agg(F.count("*").alias("n"), r6(F.avg("value"), "mean_value"))
+
+
+@query("SELECT user_id, event_type, round(avg(value), 6) AS value FROM events GROUP BY user_id, event_type")
+def roi_average(spark, d):
+    return stats.average_rois(events(spark, d), ["user_id", "event_type"], ["value"]).select("user_id", "event_type", r6("value", "value"))
+
+
+@query("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS value_p50, round(quantile_cont(value, 0.9), 6) AS value_p90 FROM events GROUP BY event_type")
+def quantile_refs(spark, d):
+    return stats.quantile_refs(events(spark, d), ["value"], keys=("event_type",)).select("event_type", r6("value_p50", "value_p50"), r6("value_p90", "value_p90"))
+
+
+@query(r"""
+SELECT event_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS s, strftime(CASE WHEN e < s THEN e + INTERVAL 1 DAY ELSE e END, '%Y-%m-%d %H:%M:%S') AS e,
+       strftime(CASE WHEN e <= s THEN e + INTERVAL 1 DAY ELSE e END, '%Y-%m-%d %H:%M:%S') AS e_next
+FROM (SELECT event_id, date_trunc('second', ts) AS s, date_trunc('day', ts) + (event_id % 24) * INTERVAL 1 HOUR AS e FROM events)""")
+def parse_name(spark, d):
+    end = F.date_trunc("day", "ts").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (F.col("event_id") % 24).cast("int"))
+    x = events(spark, d).select("event_id", F.concat(F.lit("ch02_"), F.date_format("ts", "yyyyMMdd_HHmmss"), F.lit("_"), F.date_format(end, "HHmmss"), F.lit(".mp4")).alias("name"))
+    a, b = temporal.span_of_name(F.col("name"))
+    _, c = temporal.span_of_name(F.col("name"), True)
+    return x.select("event_id", F.date_format(temporal.start_of_name(F.col("name")), TIME).alias("s"), F.date_format(b, TIME).alias("e"), F.date_format(c, TIME).alias("e_next"))
+
+
+@query(r"SELECT page_id, regexp_extract(url, '://([^/]+)', 1) AS host, regexp_extract(url, '/([a-z]{2})/([0-9]+)', 1) AS lang, regexp_extract(url, '/([a-z]{2})/([0-9]+)', 2) AS num FROM pages")
+def parse_url(spark, d):
+    return read(spark, d, "pages").select("page_id", F.regexp_extract("url", "://([^/]+)", 1).alias("host"), F.regexp_extract("url", "/([a-z]{2})/([0-9]+)", 1).alias("lang"), F.regexp_extract("url", "/([a-z]{2})/([0-9]+)", 2).alias("num"))
+
+
+def exact_weights(window: int, degree: int) -> list[list[Fraction]]:
+    """Least-squares projector in fractions, by Gram-Schmidt on the powers: what the SQL is given."""
+    t = [Fraction(i - window // 2) for i in range(window)]
+    basis: list[list[Fraction]] = []
+    for p in range(degree + 1):
+        v = [x**p for x in t]
+        for b in basis:
+            c = sum(x * y for x, y in zip(v, b)) / sum(y * y for y in b)
+            v = [x - c * y for x, y in zip(v, b)]
+        basis.append(v)
+    return [[sum(b[i] * b[j] / sum(y * y for y in b) for b in basis) for j in range(window)] for i in range(window)]
+
+
+def savgol_sql(window: int, degree: int) -> str:
+    weights = ", ".join(f"({i}, {j}, {float(w)!r})" for i, row in enumerate(exact_weights(window, degree)) for j, w in enumerate(row))
+    return f"""
+WITH {ROWS_SQL}, w(r, j, c) AS (VALUES {weights}),
+a AS (SELECT user_id, event_id, i, n, value, greatest(least(i - {window // 2}, n - {window}), 0) AS b FROM x),
+f AS (SELECT a.user_id, a.event_id, sum(w.c * y.value) AS s FROM a JOIN w ON w.r = a.i - a.b JOIN x y ON y.user_id = a.user_id AND y.i = a.b + w.j WHERE a.n >= {window} GROUP BY 1, 2)
+SELECT a.user_id, a.event_id, round(CASE WHEN a.n >= {window} THEN s ELSE value END, 6) AS smooth FROM a LEFT JOIN f USING (user_id, event_id)"""
+
+
+def _savgol(spark, d, window, degree):
+    return series.savgol(events(spark, d), ["user_id"], ORDER, "value", window, degree).select("user_id", "event_id", r6("smooth", "smooth"))
+
+
+@query(savgol_sql(11, 2))
+def savgol_11_2(spark, d):
+    return _savgol(spark, d, 11, 2)
+
+
+@query(savgol_sql(7, 2))
+def savgol_7_2(spark, d):
+    return _savgol(spark, d, 7, 2)
+
+
+@query(savgol_sql(7, 3))
+def savgol_7_3(spark, d):
+    return _savgol(spark, d, 7, 3)
+
+
+@query()
+def adaptive_savgol(spark, d):
+    return series.adaptive_savgol(events(spark, d).select("user_id", "event_id", "value"), ["user_id"], "event_id", "value").select("user_id", "event_id", r6("smooth", "smooth"))
+
+
+def night_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).select(temporal.night_label(F.col("ts")).alias("night"), "ts", "value").where("night <> 'daytime'")
+
+
+@query(f"WITH {GRID_SQL} SELECT night, {MIN} AS minute, round(value, 6) AS value FROM filled")
+def grid_fill(spark, d):
+    return series.minute_series(night_events(spark, d), ["night"], "ts", "value").select("night", text("minute"), r6("value", "value"))
+
+
+@query(f"WITH {ROWS_SQL} SELECT user_id, event_id, round(avg(value) OVER w, 6) AS rolling_mean, round(stddev_pop(value) OVER w, 5) AS rolling_std FROM x WINDOW w AS (PARTITION BY user_id ORDER BY i ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)")
+def rolling_trailing_30(spark, d):
+    return series.rolling_trailing(events(spark, d), ["user_id"], ORDER, "value").select("user_id", "event_id", r6("rolling_mean", "rolling_mean"), r6("rolling_std", "rolling_std", 5))
+
+
+@query(f"WITH {ROWS_SQL} SELECT user_id, event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY i ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING), 6) AS rolling_mean FROM x")
+def rolling_center_31(spark, d):
+    return series.rolling_center(events(spark, d), ["user_id"], ORDER, "value").select("user_id", "event_id", r6("rolling_mean", "rolling_mean"))
+
+
+@query("SELECT user_id, event_id, round(avg(value) OVER w, 6) AS rolling_mean FROM (SELECT *, epoch(date_trunc('second', ts))::BIGINT AS s FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY s RANGE BETWEEN 3599 PRECEDING AND CURRENT ROW)")
+def rolling_range_1h(spark, d):
+    return series.rolling_seconds(events(spark, d), ["user_id"], "ts", "value", 3600).select("user_id", "event_id", r6("rolling_mean", "rolling_mean"))
+
+
+@query("""WITH g AS (
+  SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i, count(*) OVER (PARTITION BY event_type) AS n FROM events),
+k AS (SELECT *, least(20, greatest(n // 4, 3)) AS w FROM g),
+s AS (SELECT a.event_type, a.i, stddev_samp(b.value) AS s FROM k a JOIN k b ON b.event_type = a.event_type AND b.i BETWEEN a.i - a.w // 2 AND a.i - a.w // 2 + a.w - 1 GROUP BY 1, 2)
+SELECT event_type, round(quantile_cont(s, 0.9), 5) AS std_p90 FROM s WHERE s IS NOT NULL GROUP BY 1""")
+def rolling_std_p90(spark, d):
+    x = events(spark, d).select("event_type", F.row_number().over(peaks.Window.partitionBy("event_type").orderBy(*ORDER)).alias("i"), "value")
+    return series.centred_std_p90(x, ["event_type"], "i", "value").select("event_type", r6("std_p90", "std_p90", 5))
+
+
+@query(f"WITH {ROWS_SQL} SELECT user_id, event_id, round(coalesce(abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY i)), 0), 6) AS diff FROM x")
+def abs_diff(spark, d):
+    return series.abs_diff(events(spark, d), ["user_id"], ORDER, "value").select("user_id", "event_id", r6("diff", "diff"))
+
+
+@query(f"WITH {ROWS_SQL} SELECT user_id, event_id, round(date_diff('microsecond', lag(ts) OVER (PARTITION BY user_id ORDER BY i), ts) / 1e6, 6) AS gap_sec FROM x")
+def gaps(spark, d):
+    return series.time_gap(events(spark, d), ["user_id"], ORDER, "ts").select("user_id", "event_id", r6("gap_sec", "gap_sec"))
+
+
+@query(f"WITH {ROWS_SQL} SELECT user_id, event_id, CAST(i < 5 OR i >= greatest(n - 5, 0) AS INTEGER) AS is_boundary FROM x")
+def boundary_flag(spark, d):
+    x = events(spark, d).withColumn("i", F.row_number().over(peaks.Window.partitionBy("user_id").orderBy(*ORDER)) - 1)
+    return series.boundary_flag(x, ["user_id"], "i", 5).select("user_id", "event_id", "is_boundary")
+
+
+@query(f"WITH {ROWS_SQL} SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY i) - 1 AS frame_idx FROM x WHERE i % 3 = 0")
+def keyframe_subsample(spark, d):
+    x = events(spark, d).withColumn("i", F.row_number().over(peaks.Window.partitionBy("user_id").orderBy(*ORDER)) - 1)
+    return series.every_nth(x, ["user_id"], "i").select("user_id", "event_id", F.col("frame_idx").cast("long").alias("frame_idx"))
+
+
+@query("""WITH s AS (SELECT user_id, min(ts) AS t0 FROM events GROUP BY user_id),
+w AS (SELECT user_id, date_trunc('day', t0) + INTERVAL 18 HOUR AS a, date_trunc('day', t0) + INTERVAL 30 HOUR AS b FROM s)
+SELECT user_id, count(*) AS n, round(sum(value), 4) AS total FROM events JOIN w USING (user_id) WHERE ts BETWEEN a AND b GROUP BY user_id""")
+def night_mask(spark, d):
+    x = events(spark, d).withColumn("t0", F.min("ts").over(peaks.Window.partitionBy("user_id")))
+    return x.where(temporal.in_night_of(F.col("ts"), F.col("t0"))).groupBy("user_id").agg(F.count("*").alias("n"), r6(F.sum("value"), "total", 4))
+
+
+@query(f"""WITH {ROWS_SQL},
+f AS (SELECT user_id, event_id, i, value AS motion, value * 2 + (event_id % 7) AS bstd, abs(coalesce((event_id % 11) / 10.0 - lag((event_id % 11) / 10.0) OVER (PARTITION BY user_id ORDER BY i), 0)) AS de FROM x),
+q AS (SELECT quantile_cont(motion, 0.9) AS m, quantile_cont(bstd, 0.9) AS b FROM f)
+SELECT user_id, event_id, round(0.5 * motion / greatest(m, 1e-6) + 0.25 * bstd / greatest(b, 1e-6) + 0.25 * de / 0.3, 6) AS fai FROM f, q""")
+def fai(spark, d):
+    x = events(spark, d).select("user_id", "event_id", "ts", F.col("value").alias("motion_intensity"), (F.col("value") * 2 + F.col("event_id") % 7).alias("brightness_std"), ((F.col("event_id") % 11) / 10.0).alias("entropy"))
+    m, b = stats.quantile_refs(x, ["motion_intensity", "brightness_std"], (0.9,)).first()
+    return series.activity_index(x, ["user_id"], ORDER, {"motion": m, "bstd": b, "entropy": 0.3}).select("user_id", "event_id", r6("fai", "fai"))
+
+
+ISLANDS_SQL = f"""{ROWS_SQL}, c AS (SELECT *, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY i) THEN 0 ELSE 1 END AS new FROM x),
+r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY i) AS run FROM c),
+runs AS (SELECT user_id, run, min(event_type) AS event_type, min(ts) AS a, max(ts) AS b, count(*) AS n FROM r GROUP BY user_id, run)"""
+
+
+@query(f"WITH {ISLANDS_SQL} SELECT user_id, CAST(run AS BIGINT) AS run, event_type, strftime(a, '%Y-%m-%d %H:%M:%S') AS first, strftime(b, '%Y-%m-%d %H:%M:%S') AS last, n FROM runs")
+def state_islands(spark, d):
+    return states.runs(events(spark, d), ["user_id"], ORDER, "event_type", "ts").select("user_id", "run", "event_type", text("first"), text("last"), "n")
+
+
+@query(f"WITH {ISLANDS_SQL} SELECT user_id, string_agg(event_type, '>' ORDER BY run) AS states FROM runs GROUP BY user_id")
+def collapse(spark, d):
+    return states.collapse(events(spark, d), ["user_id"], ORDER, "event_type", "ts").select("user_id", F.array_join("states", ">").alias("states"))
+
+
+PAIRS = [("user", "assistant"), ("assistant", "user"), ("system", "user")]
+
+
+@query("""WITH t AS (SELECT conv_id, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations)
+SELECT conv_id, count(*) FILTER (WHERE p <> role) AS changes,
+       count(*) FILTER (WHERE p <> role AND (p, role) NOT IN (('user', 'assistant'), ('assistant', 'user'), ('system', 'user'))) AS illegal FROM t GROUP BY conv_id""")
+def illegal_transitions(spark, d):
+    return states.transition_counts(read(spark, d, "conversations"), ["conv_id"], ["turn"], "role", PAIRS)
+
+
+@query(f"WITH {ROWS_SQL}, t AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY i) AS previous FROM x) SELECT previous, event_type, count(*) AS n FROM t WHERE previous <> event_type GROUP BY 1, 2")
+def transitions(spark, d):
+    return states.transitions(events(spark, d), ["user_id"], ORDER, "event_type").groupBy("previous", "event_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT user_id, event_type, count(*) AS n, CAST(count(*) * 4.0 AS DOUBLE) AS seconds FROM events GROUP BY user_id, event_type")
+def durations(spark, d):
+    return states.durations(events(spark, d), ["user_id"], "event_type", 4.0)
+
+
+@query("""SELECT user_id, strftime(min(ts) FILTER (WHERE event_type = 'click'), '%Y-%m-%d %H:%M:%S') AS click_first, strftime(max(ts) FILTER (WHERE event_type = 'click'), '%Y-%m-%d %H:%M:%S') AS click_last,
+ strftime(min(ts) FILTER (WHERE event_type = 'error'), '%Y-%m-%d %H:%M:%S') AS error_first, strftime(max(ts) FILTER (WHERE event_type = 'error'), '%Y-%m-%d %H:%M:%S') AS error_last FROM events GROUP BY user_id""")
+def state_window(spark, d):
+    x = states.first_last(events(spark, d), ["user_id"], "event_type", "ts", ["click", "error"])
+    return x.select("user_id", *[text(c) for c in x.columns[1:]])
+
+
+@query(f"WITH {ROWS_SQL}, f AS (SELECT user_id, i, CAST(value > 50 AS INTEGER) AS o, coalesce(lag(CAST(value > 50 AS INTEGER)) OVER (PARTITION BY user_id ORDER BY i), 0) AS w FROM x) SELECT user_id, round(avg(o), 6) AS active_fraction, count(*) FILTER (WHERE o = 1 AND w = 0) AS n_runs FROM f GROUP BY user_id")
+def active_runs(spark, d):
+    return states.active_runs(events(spark, d), ["user_id"], ORDER, "value", 50.0).select("user_id", r6("active_fraction", "active_fraction"), "n_runs")
+
+
+@query(f"""WITH {ROWS_SQL},
+w AS (SELECT a.user_id, a.event_id, a.i, b.event_type AS s, b.i AS j FROM x a JOIN x b ON a.user_id = b.user_id AND b.i BETWEEN a.i - 2 AND a.i + 2),
+v AS (SELECT user_id, event_id, s, count(*) AS n, min(j) AS f FROM w GROUP BY 1, 2, 3)
+SELECT user_id, event_id, s AS smoothed FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_id ORDER BY n DESC, f) AS k FROM v) WHERE k = 1""")
+def majority_vote(spark, d):
+    return states.majority_vote(events(spark, d), ["user_id"], ORDER, "event_type").select("user_id", "event_id", "smoothed")
+
+
+@query("SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS cls, label FROM embeddings")
+def argmax_class(spark, d):
+    return read(spark, d, "embeddings").select("vec_id", scalars.argmax(F.col("embedding")).cast("long").alias("cls"), "label")
+
+
+def _series_of_probs(spark, d):
+    """Class probabilities: a softmax of the first five dimensions, in series of 50 vectors."""
+    p = F.transform(F.slice("embedding", 1, 5), lambda e: F.exp(10 * e.cast("double")))
+    total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    return read(spark, d, "embeddings").select("vec_id", F.floor(F.col("vec_id") / 50).cast("long").alias("s"), p.alias("p")).select("vec_id", "s", F.transform("p", lambda x: x / total).alias("p"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT vec_id, vec_id // 50 AS s, list_transform(embedding[1:5], lambda v: exp(10 * CAST(v AS DOUBLE))) AS p FROM embeddings),
+o AS (SELECT vec_id, s, row_number() OVER (PARTITION BY s ORDER BY vec_id) AS i, list_transform(p, lambda v: ln(v / list_sum(p) + 1e-9)) AS g FROM e),
+f AS (
+  SELECT s, i, list_transform(g, lambda v: v + ln(0.2)) AS dp, [0, 0, 0, 0, 0] AS bp FROM o WHERE i = 1
+  UNION ALL
+  SELECT o.s, o.i, [greatest(dp[1] + ln(0.85), dp[5] + ln(0.15)) + g[1], greatest(dp[2] + ln(0.85), dp[1] + ln(0.15)) + g[2], greatest(dp[3] + ln(0.85), dp[2] + ln(0.15)) + g[3],
+         greatest(dp[4] + ln(0.85), dp[3] + ln(0.15)) + g[4], greatest(dp[5] + ln(0.85), dp[4] + ln(0.15)) + g[5]],
+         [CASE WHEN dp[5] + ln(0.15) > dp[1] + ln(0.85) THEN 5 ELSE 1 END, CASE WHEN dp[1] + ln(0.15) >= dp[2] + ln(0.85) THEN 1 ELSE 2 END, CASE WHEN dp[2] + ln(0.15) >= dp[3] + ln(0.85) THEN 2 ELSE 3 END,
+          CASE WHEN dp[3] + ln(0.15) >= dp[4] + ln(0.85) THEN 3 ELSE 4 END, CASE WHEN dp[4] + ln(0.15) >= dp[5] + ln(0.85) THEN 4 ELSE 5 END]
+  FROM f JOIN o ON o.s = f.s AND o.i = f.i + 1),
+b AS (
+  SELECT s, i, CAST(list_position(dp, list_max(dp)) AS INTEGER) AS st FROM f WHERE (s, i) IN (SELECT (s, max(i)) FROM o GROUP BY s)
+  UNION ALL
+  SELECT b.s, b.i - 1, CAST(f.bp[b.st] AS INTEGER) FROM b JOIN f ON f.s = b.s AND f.i = b.i WHERE b.i > 1)
+SELECT o.vec_id, o.s, ['waiting', 'hauling', 'on_deck', 'sorting', 'netdown'][b.st] AS state FROM b JOIN o USING (s, i)""")
+def viterbi(spark, d):
+    return states.viterbi(_series_of_probs(spark, d), ["s"], "vec_id", "p").select("vec_id", "s", "state")
+
+
+@query("""SELECT o.o_orderkey, l.l_linenumber, strftime(greatest(o_orderdate, l_shipdate - INTERVAL 5 DAY), '%Y-%m-%d') AS a, strftime(least(o_orderdate + INTERVAL 30 DAY, l_shipdate + INTERVAL 5 DAY), '%Y-%m-%d') AS b
+FROM orders o JOIN lineitem l ON l_orderkey = o_orderkey WHERE o_orderdate < l_shipdate + INTERVAL 5 DAY AND o_orderdate + INTERVAL 30 DAY > l_shipdate - INTERVAL 5 DAY""")
+def interval_overlap(spark, d):
+    day = F.expr("INTERVAL 1 DAY")
+    a = read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("timestamp_ntz").alias("start")).withColumn("end", F.col("start") + 30 * day)
+    s = F.col("l_shipdate").cast("timestamp_ntz")
+    b = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber", (s - 5 * day).alias("r_start"), (s + 5 * day).alias("r_end"))
+    x = intervals.overlap_join(a, b, ["k"], 30 * 86400.0)
+    return x.select(F.col("k").alias("o_orderkey"), "l_linenumber", F.date_format("clip_start", "yyyy-MM-dd").alias("a"), F.date_format("clip_end", "yyyy-MM-dd").alias("b"))
+
+
+def _videos(spark, d):
+    """Recordings: of 90 minutes from every click on."""
+    return events(spark, d).where("event_type = 'click'").select("user_id", F.col("event_id").alias("video"), F.col("ts").alias("start"), (F.col("ts") + F.expr("INTERVAL 90 MINUTE")).alias("end"))
+
+
+VIDEOS_SQL = "v AS (SELECT user_id, event_id AS video, ts AS a, ts + INTERVAL 90 MINUTE AS b FROM events WHERE event_type = 'click'), p AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'purchase')"
+
+
+@query(f"""WITH {VIDEOS_SQL}, h AS (SELECT p.event_id, v.video, row_number() OVER (PARTITION BY p.event_id ORDER BY a, video) AS k FROM p JOIN v ON p.user_id = v.user_id AND ts >= a AND ts < b)
+SELECT p.event_id, h.video FROM p LEFT JOIN h ON h.event_id = p.event_id AND k = 1""")
+def point_in_interval(spark, d):
+    p = events(spark, d).where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    return intervals.covering(p, _videos(spark, d), "ts", "event_id", ["user_id"], 5400.0, tie="video").select("event_id", "video")
+
+
+@query(f"""WITH {VIDEOS_SQL}, h AS (
+  SELECT p.event_id, v.video, ts >= a AND ts < b AS x, row_number() OVER (PARTITION BY p.event_id ORDER BY ts >= a AND ts < b DESC, a, video) AS k FROM p JOIN v ON p.user_id = v.user_id
+  WHERE (ts >= a AND ts < b) OR abs(date_diff('microsecond', a, ts)) < 3600e6 OR abs(date_diff('microsecond', b, ts)) < 3600e6)
+SELECT p.event_id, h.video, h.x AS is_exact FROM p LEFT JOIN h ON h.event_id = p.event_id AND k = 1""")
+def asof_tolerance(spark, d):
+    p = events(spark, d).where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    return intervals.nearest_with_tolerance(p, _videos(spark, d), "ts", "event_id", 3600.0, ["user_id"], 5400.0, tie="video").select("event_id", "video", "is_exact")
+
+
+@query("""WITH v AS (SELECT o_custkey, o_orderkey, o_orderdate AS a, o_orderdate + INTERVAL 60 DAY AS b FROM orders),
+w AS (SELECT o_custkey, o_orderkey AS win, o_orderdate + INTERVAL 10 DAY AS ws, o_orderdate + INTERVAL 20 DAY AS we FROM orders WHERE o_orderstatus = 'F')
+SELECT win, o_orderkey AS video FROM (SELECT win, o_orderkey, row_number() OVER (PARTITION BY win ORDER BY a, o_orderkey) AS k FROM w JOIN v USING (o_custkey) WHERE a <= ws AND b >= we) WHERE k = 1""")
+def containment_join(spark, d):
+    day = F.expr("INTERVAL 1 DAY")
+    o = read(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("timestamp_ntz").alias("t"))
+    v = o.select("o_custkey", F.col("o_orderkey").alias("video"), F.col("t").alias("start"), (F.col("t") + 60 * day).alias("end"))
+    w = o.where("o_orderstatus = 'F'").select("o_custkey", F.col("o_orderkey").alias("win"), (F.col("t") + 10 * day).alias("ws"), (F.col("t") + 20 * day).alias("we"))
+    return intervals.containing(w, v, "win", ["o_custkey"], 30 * 86400.0, tie="video").select("win", "video")
+
+
+@query("SELECT a.event_id, b.event_id AS mark, a.user_id FROM events a JOIN events b ON a.user_id = b.user_id AND b.event_type = 'error' AND abs(date_diff('microsecond', a.ts, b.ts)) <= 1800e6")
+def band_self_join(spark, d):
+    e = events(spark, d)
+    marks = e.where("event_type = 'error'").select("user_id", F.col("event_id").alias("mark"), F.col("ts").alias("mark_ts"))
+    return intervals.band_join(e.select("event_id", "user_id", "ts"), marks, "ts", "mark_ts", 1800.0, ["user_id"]).select("event_id", "mark", "user_id")
+
+
+@query("""WITH w AS (SELECT event_type, user_id, ts - INTERVAL 30 MINUTE AS a, ts + INTERVAL 30 MINUTE AS b FROM events),
+n AS (SELECT *, CASE WHEN a > max(b) OVER (PARTITION BY user_id ORDER BY a, b, event_type ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS new FROM w),
+g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY a, b, event_type ROWS UNBOUNDED PRECEDING) AS g FROM n)
+SELECT user_id, strftime(min(a), '%Y-%m-%d %H:%M:%S') AS start, strftime(max(b), '%Y-%m-%d %H:%M:%S') AS "end", count(*) AS n FROM g GROUP BY user_id, g""")
+def interval_merge(spark, d):
+    half = F.expr("INTERVAL 30 MINUTE")
+    x = events(spark, d).select("user_id", "event_type", (F.col("ts") - half).alias("start"), (F.col("ts") + half).alias("end"))
+    return intervals.merge_intervals(x, ["user_id"], tag="event_type").select("user_id", text("start"), text("end"), "n")
+
+
+@query("""SELECT user_id, round(avg(value) FILTER (WHERE event_type = 'click'), 6) AS click_value, round(avg(value) FILTER (WHERE event_type = 'view'), 6) AS view_value FROM events GROUP BY user_id""")
+def pivot_rois(spark, d):
+    return stats.pivot_rois(events(spark, d), ["user_id"], "event_type", ["click", "view"], ["value"]).select("user_id", r6("click_value", "click_value"), r6("view_value", "view_value"))
+
+
+@query("""WITH a AS (SELECT user_id, avg(value) AS l FROM events WHERE event_type = 'signup' AND event_id % 3 = 0 GROUP BY user_id), b AS (SELECT user_id, avg(value) AS r FROM events WHERE event_type = 'error' AND event_id % 3 = 1 GROUP BY user_id)
+SELECT user_id, round(coalesce(l, 0), 6) AS left_deck_value, round(coalesce(r, 0), 6) AS right_deck_value, round((coalesce(l, 0) + coalesce(r, 0)) / 2, 6) AS roi_mean_value, round(coalesce(l, 0) - coalesce(r, 0), 6) AS roi_diff_value FROM a FULL JOIN b USING (user_id)""")
+def full_outer_rois(spark, d):
+    e = events(spark, d)
+    a = e.where("event_type = 'signup' AND event_id % 3 = 0").groupBy("user_id").agg(F.avg("value").alias("value"))
+    b = e.where("event_type = 'error' AND event_id % 3 = 1").groupBy("user_id").agg(F.avg("value").alias("value"))
+    x = stats.align_sides(a, b, ["user_id"], ["value"])
+    return x.select("user_id", *[r6(c, c) for c in x.columns if c != "user_id"])
+
+
+@query("""WITH r AS (SELECT l_returnflag, l_quantity AS a, l_quantity * (1 + l_tax) AS b, 'quantity' AS feature FROM lineitem UNION ALL SELECT l_returnflag, l_extendedprice, l_extendedprice * (1 - l_discount), 'price' FROM lineitem)
+SELECT l_returnflag, feature, count(*) AS n, round(avg(a), 4) AS mean_a, round(avg(b), 4) AS mean_b, round(avg(abs(a - b)) / (avg(abs(a)) + 1e-9), 6) AS mad_rel FROM r GROUP BY 1, 2 HAVING count(*) >= 2""")
+def feature_diff(spark, d):
+    x = read(spark, d, "lineitem")
+    both = x.select("l_returnflag", F.explode(F.array(F.struct(F.lit("quantity").alias("feature"), F.col("l_quantity").alias("a"), (F.col("l_quantity") * (1 + F.col("l_tax"))).alias("b")), F.struct(F.lit("price").alias("feature"), F.col("l_extendedprice").alias("a"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("b")))).alias("r")).select("l_returnflag", "r.*")
+    return stats.difference_table(both, ["l_returnflag", "feature"]).select("l_returnflag", "feature", "n", r6("mean_a", "mean_a", 4), r6("mean_b", "mean_b", 4), r6("mad_rel", "mad_rel"))
+
+
+MAXIMA_SQL = f"""{ROWS_SQL}, c AS (SELECT user_id, i, value, CASE WHEN value = lag(value) OVER (PARTITION BY user_id ORDER BY i) THEN 0 ELSE 1 END AS new FROM x),
+r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY i) AS g FROM c),
+f AS (SELECT user_id, g, min(i) AS a, max(i) AS b, min(value) AS value FROM r GROUP BY user_id, g),
+q AS (SELECT *, lag(value) OVER w AS p, lead(value) OVER w AS s FROM f WINDOW w AS (PARTITION BY user_id ORDER BY g)),
+maxima AS (SELECT user_id, CAST((a + b) // 2 AS INTEGER) AS i, value FROM q WHERE value > p AND value > s)"""
+
+
+@query(f"WITH {MAXIMA_SQL} SELECT user_id, i, value FROM maxima")
+def local_peaks(spark, d):
+    return peaks.local_maxima(events(spark, d), ["user_id"], ORDER, "value")
+
+
+@query(f"""WITH {MAXIMA_SQL},
+s AS (SELECT m.user_id, m.i, m.value, max(CASE WHEN x.i < m.i AND x.value > m.value THEN x.i END) AS l, min(CASE WHEN x.i > m.i AND x.value > m.value THEN x.i END) AS r FROM maxima m JOIN x ON x.user_id = m.user_id GROUP BY 1, 2, 3),
+v AS (SELECT s.user_id, s.i, s.value, min(CASE WHEN x.i <= s.i THEN x.value END) AS lo, min(CASE WHEN x.i >= s.i THEN x.value END) AS hi FROM s JOIN x ON x.user_id = s.user_id AND x.i > coalesce(l, -1) AND x.i < coalesce(r, 1000000000) GROUP BY 1, 2, 3)
+SELECT user_id, i, round(value - greatest(lo, hi), 6) AS prominence FROM v""")
+def peak_prominence(spark, d):
+    x = events(spark, d).withColumn("o", F.row_number().over(peaks.Window.partitionBy("user_id").orderBy(*ORDER)))
+    return peaks.peaks(x, ["user_id"], "o", "value").select("user_id", "i", r6("prominence", "prominence"))
+
+
+@query()
+def valleys(spark, d):
+    x = events(spark, d).withColumn("o", F.row_number().over(peaks.Window.partitionBy("user_id").orderBy(*ORDER)))
+    return peaks.valleys(x, ["user_id"], "o", "value", 5, 1.0, 40.0)
+
+
+@query(f"""WITH {GRID_SQL},
+x AS (SELECT night, minute, value, i - 1 AS i, count(*) OVER (PARTITION BY night) AS n FROM filled),
+w(r, j, c) AS (VALUES {', '.join(f'({i}, {j}, {float(w)!r})' for i, row in enumerate(exact_weights(11, 2)) for j, w in enumerate(row))}),
+a AS (SELECT *, greatest(least(i - 5, n - 11), 0) AS b FROM x),
+s AS (SELECT a.night, a.i, sum(w.c * y.value) AS v FROM a JOIN w ON w.r = a.i - a.b JOIN x y ON y.night = a.night AND y.i = a.b + w.j WHERE a.n >= 11 GROUP BY 1, 2 UNION ALL SELECT night, i, value FROM a WHERE n < 11)
+SELECT night, count(*) AS n, round(sum(v), 3) AS total, round(quantile_cont(v, 0.4), 6) AS p40 FROM s GROUP BY 1""")
+def night_series(spark, d):
+    s = series.savgol(series.minute_series(night_events(spark, d), ["night"], "ts", "value"), ["night"], ["minute"], "value", 11, 2)
+    return s.groupBy("night").agg(F.count("*").alias("n"), r6(F.sum("smooth"), "total", 3), r6(F.percentile("smooth", F.lit(0.4)), "p40"))
+
+
+@query()
+def cycles(spark, d):
+    x = night.simple_cycles(events(spark, d), "ts", "value")
+    return x.select("night", "segment", text("start_time"), text("peak_time"), text("end_time"), "duration_min", r6("peak", "peak"), r6("mean", "mean"), r6("low", "low"), r6("auc", "auc"), "n")
+
+
+@query(f"""WITH {ROWS_SQL}, cut AS (SELECT user_id, i, lead(i) OVER (PARTITION BY user_id ORDER BY i) AS e FROM x WHERE event_type = 'signup'),
+nx AS (SELECT *, lead(value) OVER (PARTITION BY user_id ORDER BY i) AS nv FROM x)
+SELECT c.user_id, CAST(c.i AS INTEGER) AS start_i, CAST(c.e AS INTEGER) AS end_i, round(max(value), 6) AS peak, CAST(arg_max(nx.i, (value, -nx.i)) AS INTEGER) AS peak_i, round(avg(value), 6) AS mean,
+       round(sum(CASE WHEN nx.i < c.e THEN (value + nv) / 2 END), 5) AS auc, count(*) AS n
+FROM cut c JOIN nx ON nx.user_id = c.user_id AND nx.i BETWEEN c.i AND c.e WHERE c.e IS NOT NULL GROUP BY 1, 2, 3""")
+def segments(spark, d):
+    e = events(spark, d)
+    cuts = e.withColumn("i", F.row_number().over(peaks.Window.partitionBy("user_id").orderBy(*ORDER)) - 1).where("event_type = 'signup'").select("user_id", "i")
+    return peaks.segments(e, cuts, ["user_id"], ORDER, "value").select("user_id", "start_i", "end_i", r6("peak", "peak"), "peak_i", r6("mean", "mean"), r6("auc", "auc", 5), "n")
+
+
+@query(f"""WITH {ROWS_SQL}, t AS (SELECT user_id, i AS peak_i, value AS top FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, i) AS k FROM x) WHERE k = 1),
+q AS (SELECT user_id, quantile_cont(value, 0.3) AS q, max(i) AS last FROM x GROUP BY user_id),
+h AS (SELECT x.user_id, peak_i, last, x.i, x.value, q + 0.7 * (top - q) AS threshold FROM x JOIN t USING (user_id) JOIN q USING (user_id))
+SELECT user_id, CAST(peak_i AS INTEGER) AS peak_i, round(threshold, 6) AS threshold, CAST(coalesce(max(CASE WHEN value < threshold AND i < peak_i THEN i END), greatest(0, peak_i - 15)) AS INTEGER) AS rise_i,
+       CAST(coalesce(min(CASE WHEN value < threshold AND i >= peak_i THEN i END), least(any_value(last), peak_i + 25)) AS INTEGER) AS fall_i FROM h GROUP BY user_id, peak_i, threshold""")
+def rise_fall(spark, d):
+    w = peaks.Window.partitionBy("user_id")
+    x = events(spark, d).withColumn("i", F.row_number().over(w.orderBy(*ORDER)) - 1)
+    x = x.withColumn("peak_i", -F.max(F.struct("value", -F.col("i"))).over(w)["col2"])
+    return peaks.rise_and_fall(x, ["user_id"], "i", "value", "peak_i", 0.3, 0.7).select("user_id", "peak_i", r6("threshold", "threshold"), "rise_i", "fall_i")
