@@ -336,19 +336,19 @@ VIDEOS_SQL = "v AS (SELECT user_id, event_id AS video, ts AS a, ts + INTERVAL 90
 
 
 @query(f"""WITH {VIDEOS_SQL}, h AS (SELECT p.event_id, v.video, row_number() OVER (PARTITION BY p.event_id ORDER BY a, video) AS k FROM p JOIN v ON p.user_id = v.user_id AND ts >= a AND ts < b)
-SELECT p.event_id, h.video FROM p LEFT JOIN h ON h.event_id = p.event_id AND k = 1""")
+SELECT p.event_id, coalesce(h.video, -1) AS video FROM p LEFT JOIN h ON h.event_id = p.event_id AND k = 1""")
 def point_in_interval(spark, d):
     p = events(spark, d).where("event_type = 'purchase'").select("event_id", "user_id", "ts")
-    return intervals.covering(p, _videos(spark, d), "ts", "event_id", ["user_id"], 5400.0, tie="video").select("event_id", "video")
+    return intervals.covering(p, _videos(spark, d), "ts", "event_id", ["user_id"], 5400.0, tie="video").select("event_id", F.coalesce("video", F.lit(-1)).alias("video"))
 
 
 @query(f"""WITH {VIDEOS_SQL}, h AS (
   SELECT p.event_id, v.video, ts >= a AND ts < b AS x, row_number() OVER (PARTITION BY p.event_id ORDER BY ts >= a AND ts < b DESC, a, video) AS k FROM p JOIN v ON p.user_id = v.user_id
   WHERE (ts >= a AND ts < b) OR abs(date_diff('microsecond', a, ts)) < 3600e6 OR abs(date_diff('microsecond', b, ts)) < 3600e6)
-SELECT p.event_id, h.video, h.x AS is_exact FROM p LEFT JOIN h ON h.event_id = p.event_id AND k = 1""")
+SELECT p.event_id, coalesce(h.video, -1) AS video, coalesce(h.x, false) AS is_exact FROM p LEFT JOIN h ON h.event_id = p.event_id AND k = 1""")
 def asof_tolerance(spark, d):
     p = events(spark, d).where("event_type = 'purchase'").select("event_id", "user_id", "ts")
-    return intervals.nearest_with_tolerance(p, _videos(spark, d), "ts", "event_id", 3600.0, ["user_id"], 5400.0, tie="video").select("event_id", "video", "is_exact")
+    return intervals.nearest_with_tolerance(p, _videos(spark, d), "ts", "event_id", 3600.0, ["user_id"], 5400.0, tie="video").select("event_id", F.coalesce("video", F.lit(-1)).alias("video"), F.coalesce("is_exact", F.lit(False)).alias("is_exact"))
 
 
 @query("""WITH v AS (SELECT o_custkey, o_orderkey, o_orderdate AS a, o_orderdate + INTERVAL 60 DAY AS b FROM orders),
@@ -467,3 +467,260 @@ def rise_fall(spark, d):
     x = events(spark, d).withColumn("i", F.row_number().over(w.orderBy(*ORDER)) - 1)
     x = x.withColumn("peak_i", -F.max(F.struct("value", -F.col("i"))).over(w)["col2"])
     return peaks.rise_and_fall(x, ["user_id"], "i", "value", "peak_i", 0.3, 0.7).select("user_id", "peak_i", r6("threshold", "threshold"), "rise_i", "fall_i")
+
+
+@query()
+def core_windows(spark, d):
+    """Both decks from event types, per night; cycles of two hours from 18:00 on."""
+    e = events(spark, d).withColumn("night", temporal.night_label(F.col("ts"))).where("night <> 'daytime'")
+    m = series.resample_mean(e.withColumns({"l": F.when(F.col("event_type").isin("click", "view"), F.col("value")), "r": F.when(~F.col("event_type").isin("click", "view"), F.col("value"))}), ["night"], "ts", ["l", "r"])
+    m = series.dense_grid(m, ["night"])
+    for c in ("l", "r"):
+        m = series.fill_edges(series.interpolate(m, ["night"], ["minute"], c), ["night"], ["minute"], c)
+    start = F.to_timestamp_ntz(F.concat("night", F.lit(" 18:00:00")))
+    c = m.select("night").distinct().withColumn("cycle_id", F.explode(F.sequence(F.lit(0), F.lit(5))))
+    c = c.withColumn("start", start + F.make_dt_interval(F.lit(0), 2 * F.col("cycle_id"))).withColumn("end", F.col("start") + F.expr("INTERVAL 2 HOUR"))
+    x = night.review(night.core_windows(m.where("l IS NOT NULL AND r IS NOT NULL"), c, "minute", "l", "r", ["night"]))
+    plan = night.sample_plan(x, ["night", "cycle_id"]).groupBy("night", "cycle_id").agg(F.count("*").alias("samples"))
+    return x.join(plan, ["night", "cycle_id"]).withColumn("issues", F.array_join("issues", "; "))
+
+
+@query()
+def night_summary(spark, d):
+    x = events(spark, d).groupBy("ts").agg(F.avg("value").alias("motion_intensity"), (F.avg("value") * 2 + F.min(F.col("event_id") % 7)).alias("brightness_std"), F.min((F.col("event_id") % 11) / 10.0).alias("entropy"))
+    out = night.night_summary(x, "ts")
+    return out.withColumns({"warnings": F.array_join("warnings", "; "), "valleys": F.array_join(F.col("valleys").cast("array<string>"), ",")})
+
+
+@query(f"""WITH n AS (SELECT {NIGHT} AS night, ts FROM events), m AS (SELECT *, date_diff('microsecond', lag(ts) OVER (PARTITION BY night ORDER BY ts), ts) / 60e6 AS gap FROM n WHERE night <> 'daytime'),
+a AS (SELECT night, count(*) AS n_samples, date_diff('microsecond', min(ts), max(ts)) / 3600e6 AS h, coalesce(max(gap), 0) AS g FROM m GROUP BY night)
+SELECT night, n_samples, round_even(h, 1) AS duration_hours, round_even(h / 12, 2) AS coverage_ratio, round_even(g, 0) AS max_gap_minutes, h >= 4 AND n_samples >= 30 AND g <= 180 AND h / 12 >= 0.33 AS is_complete FROM a""")
+def completeness(spark, d):
+    return stats.completeness(night_events(spark, d), ["night"], "ts").drop("warnings")
+
+
+def _truth(spark, d):
+    """True and predicted classes: quality, and the hash of the id."""
+    return read(spark, d, "labels").select(F.col("quality").cast("int").alias("t"), ((F.col("doc_id") * 7 + 3) % 3 % 2).cast("int").alias("p"))
+
+
+TRUTH_SQL = "x AS (SELECT quality AS t, CAST((doc_id * 7 + 3) % 3 % 2 AS INTEGER) AS p FROM labels)"
+
+
+@query(f"WITH {TRUTH_SQL}, l(label) AS (VALUES (0), (1), (2)) SELECT label, count(*) FILTER (WHERE t = label AND p = 0) AS pred_0, count(*) FILTER (WHERE t = label AND p = 1) AS pred_1, count(*) FILTER (WHERE t = label AND p = 2) AS pred_2 FROM l, x GROUP BY label")
+def confusion_matrix(spark, d):
+    return stats.confusion(_truth(spark, d), "t", "p", [0, 1, 2])
+
+
+@query(f"""WITH {TRUTH_SQL}, l(label) AS (VALUES (0), (1), (2)), c AS (SELECT label, count(*) FILTER (WHERE t = label AND p = label) AS tp, count(*) FILTER (WHERE p = label) AS np, count(*) FILTER (WHERE t = label) AS nt FROM l, x GROUP BY label)
+SELECT label, round(coalesce(tp / nullif(np, 0), 0), 6) AS precision, round(coalesce(tp / nullif(nt, 0), 0), 6) AS recall, round(coalesce(2.0 * tp / nullif(np + nt, 0), 0), 6) AS f1, nt AS support FROM c""")
+def prf1(spark, d):
+    x = stats.precision_recall(_truth(spark, d), "t", "p", [0, 1, 2])
+    return x.select("label", *[r6(c, c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query("""WITH n AS (SELECT event_type, count(*) AS n FROM events WHERE value > 20 GROUP BY 1), r AS (SELECT *, sum(n) OVER () AS t, max(n) OVER () / min(n) OVER () AS q FROM n)
+SELECT event_type, n, round_even(100 * n / t, 1) AS share, round_even(q, 2) AS ratio, CASE WHEN q < 1.5 THEN 'balanced' WHEN q < 3 THEN 'slightly imbalanced' WHEN q < 10 THEN 'imbalanced' ELSE 'severely imbalanced' END AS verdict FROM r""")
+def class_balance(spark, d):
+    return stats.class_balance(events(spark, d).where("value > 20"), "event_type")
+
+
+@query("""WITH s AS (SELECT p_brand, p_size, count(*) AS n FROM part GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, p_size) AS rank FROM s) SELECT p_brand, p_size, n, rank FROM r WHERE rank <= 3""")
+def topk_sizes(spark, d):
+    x = read(spark, d, "part").groupBy("p_brand", "p_size").agg(F.count("*").alias("n"))
+    return stats.top_k(x, ["p_brand"], "n", 3, ["p_size"]).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("SELECT user_id, event_id, ts_s, value FROM (SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_s, value, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, ts, event_id) AS k FROM events) WHERE k = 1")
+def first_max(spark, d):
+    return stats.first_max(events(spark, d), ["user_id"], "value", ORDER).select("user_id", "event_id", F.date_format("ts", TIME).alias("ts_s"), "value")
+
+
+SPLIT_SQL = "r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('s' || CAST(doc_id AS VARCHAR)), doc_id) AS k, count(*) OVER (PARTITION BY lang) AS n FROM documents)"
+
+
+@query(f"WITH {SPLIT_SQL} SELECT doc_id, lang, CASE WHEN k <= round_even(n * 0.2, 0) THEN 'val' ELSE 'train' END AS split FROM r")
+def stratified_split(spark, d):
+    return stats.stratified_split(read(spark, d, "documents").select("doc_id", "lang"), "lang", "doc_id", 0.2, "s")
+
+
+@query(f"""WITH {SPLIT_SQL}, s AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, CASE WHEN k <= round_even(n * 0.2, 0) THEN 'val' ELSE 'train' END AS split FROM r)
+SELECT CASE WHEN k > 0 THEN doc_id || '_os' || k ELSE doc_id END AS doc_id, lang, split, CAST(k AS INTEGER) AS replica FROM (SELECT *, unnest(range(CASE WHEN lang = 'de' AND split = 'train' THEN 5 ELSE 1 END)) AS k FROM s)""")
+def oversample(spark, d):
+    x = stats.stratified_split(read(spark, d, "documents").select("doc_id", "lang"), "lang", "doc_id", 0.2, "s")
+    return stats.oversample(x, (F.col("lang") == "de") & (F.col("split") == "train"), 5, "doc_id")
+
+
+@query("SELECT doc_id FROM (SELECT doc_id FROM documents ORDER BY md5('123' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 20)")
+def random_sample(spark, d):
+    return stats.random_sample(read(spark, d, "documents").select("doc_id"), "doc_id", 20, "123")
+
+
+@query("""WITH c AS (SELECT o_orderkey, o_totalprice / 10000 AS core, o_totalprice / 200000 AS inc, o_custkey % 90 AS cyc FROM orders),
+i AS (SELECT o_orderkey, CAST(core < 15 AS INTEGER) + CAST(core > 30 AS INTEGER) + CAST(inc < 1.05 AS INTEGER) + CAST(cyc > 60 AS INTEGER) AS n FROM c)
+SELECT o_orderkey, CAST(n AS INTEGER) AS n_issues, CASE n WHEN 0 THEN 'HIGH' WHEN 1 THEN 'MEDIUM' ELSE 'LOW' END AS confidence FROM i""")
+def confidence_flags(spark, d):
+    x = read(spark, d, "orders")
+    issues = scalars.window_issues(F.col("o_totalprice") / 10000, F.col("o_totalprice") / 200000, F.col("o_custkey") % 90)
+    return x.select("o_orderkey", F.size(issues).alias("n_issues"), scalars.confidence(issues).alias("confidence"))
+
+
+@query("""SELECT strftime(o_orderdate, '%Y-%m') AS date, count(*) AS files, round_even(sum(o_totalprice * 1000) / 1e9, 1) AS size_gb, round(sum(o_custkey), 2) AS minutes, strftime(min(o_orderdate), '%Y-%m-%d') AS first_start, strftime(max(o_orderdate), '%Y-%m-%d') AS last_end,
+round_even(sum(o_custkey) / 60 / 60, 2) AS est_hours FROM orders GROUP BY 1""")
+def manifest_rollup(spark, d):
+    x = read(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("date"), (F.col("o_totalprice") * 1000).alias("size"), "o_orderdate", F.col("o_custkey").cast("double").alias("minutes"))
+    out = stats.manifest_rollup(x, "date", "size", "o_orderdate", "o_orderdate", "minutes")
+    return out.select("date", "files", "size_gb", r6("minutes", "minutes", 2), F.date_format("first_start", "yyyy-MM-dd").alias("first_start"), F.date_format("last_end", "yyyy-MM-dd").alias("last_end"), "est_hours")
+
+
+@query("""SELECT 'l_quantity' AS name, CAST(count(l_quantity) AS DOUBLE) AS count, round_even(avg(l_quantity), 3) AS mean, round_even(stddev_samp(l_quantity), 3) AS std, min(l_quantity) AS min, max(l_quantity) AS max FROM lineitem
+UNION ALL SELECT 'l_discount', CAST(count(l_discount) AS DOUBLE), round_even(avg(l_discount), 3), round_even(stddev_samp(l_discount), 3), min(l_discount), max(l_discount) FROM lineitem""")
+def stats_table(spark, d):
+    return stats.stats_table(read(spark, d, "lineitem"), ["l_quantity", "l_discount"])
+
+
+@query("""SELECT o_orderstatus, o_orderpriority, count(*) AS cycles, round_even(avg(o_totalprice), 1) AS mean_min, round_even(coalesce(stddev_samp(o_totalprice), 0), 1) AS std_min, min(o_totalprice) AS min_min, max(o_totalprice) AS max_min,
+string_agg(strftime(o_orderdate, '%m%d'), ' | ' ORDER BY strftime(o_orderdate, '%m%d')) AS times, round(avg(o_custkey), 4) AS peak_mean FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY 1, 2""")
+def cycle_rollup(spark, d):
+    x = read(spark, d, "orders").where("o_orderdate < TIMESTAMP_NTZ '1996-01-01'").withColumn("at", F.date_format("o_orderdate", "MMdd"))
+    return stats.cycle_rollup(x, ["o_orderstatus", "o_orderpriority"], "o_totalprice", "at", "o_custkey").withColumn("peak_mean", F.round("peak_mean", 4))
+
+
+@query("""WITH c AS (SELECT doc_id, unnest(string_split(lower(text), '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM c WHERE ch BETWEEN 'a' AND 'z' AND length(ch) = 1 GROUP BY 1, 2), t AS (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS t FROM n)
+SELECT doc_id, round(-sum(n / t * log2(n / t)), 6) + 0.0 AS entropy FROM t GROUP BY doc_id""")
+def text_entropy(spark, d):
+    counts = F.array(*[F.length("t") - F.length(F.replace(F.col("t"), F.lit(c))) for c in map(chr, range(97, 123))])
+    x = read(spark, d, "documents").select("doc_id", F.lower("text").alias("t")).select("doc_id", counts.cast("array<double>").alias("c"))
+    x = x.where(F.aggregate("c", F.lit(0.0), lambda a, v: a + v) > 0)
+    return x.select("doc_id", (F.round(scalars.histogram_entropy(F.col("c")), 6) + 0.0).alias("entropy"))
+
+
+@query("""WITH s AS (SELECT o_orderkey, o_custkey % 37 + 0.0 AS dur FROM orders WHERE o_custkey % 37 > 0), k AS (SELECT o_orderkey, dur, unnest(range(0, CAST(floor(dur / 5) AS BIGINT) + 1)) * 5.0 AS t FROM s)
+SELECT o_orderkey, CAST(t AS DOUBLE) AS t FROM k UNION ALL SELECT o_orderkey, CAST(dur AS DOUBLE) FROM s WHERE dur - floor(dur / 5) * 5 > 2.5""")
+def sample_plan(spark, d):
+    x = read(spark, d, "orders").where("o_custkey % 37 > 0").select("o_orderkey", (F.col("o_custkey") % 37).cast("double").alias("dur"))
+    return x.select("o_orderkey", F.explode(temporal.fixed_steps(F.col("dur"), 5)).alias("t"))
+
+
+@query("SELECT o_orderkey, CAST(f AS INTEGER) AS first, CAST(least(300, n - f) AS INTEGER) AS \"count\" FROM (SELECT o_orderkey, o_custkey AS n, unnest(range(0, o_custkey, 300)) AS f FROM orders WHERE o_custkey > 0)")
+def chunk_plan(spark, d):
+    x = read(spark, d, "orders").where("o_custkey > 0").select("o_orderkey", F.explode(temporal.chunks(F.col("o_custkey"))).alias("c"))
+    return x.select("o_orderkey", "c.first", "c.count")
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_field(spark, d):
+    return events(spark, d).select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def anti_existing(spark, d):
+    return stats.missing(read(spark, d, "documents").select("doc_id", "lang"), read(spark, d, "labels"), ["doc_id"])
+
+
+@query("SELECT c_custkey AS k, c_name AS name, c_acctbal AS bal FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
+def union_all(spark, d):
+    a = read(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("bal"))
+    return stats.union_all([a, read(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"))])
+
+
+@query("""WITH m AS (SELECT l_orderkey, l_linenumber, l_quantity * 20 AS area, l_partkey % 640 AS x, 5 + l_suppkey % 60 AS w, 30 + l_quantity * 6 AS h FROM lineitem),
+g AS (SELECT *, (h / 360) * (h / greatest(w, 1)) * greatest(0, 1 - w / 640) * (area / greatest(w * h, 1)) AS score FROM m
+  WHERE h / greatest(w, 1) >= 1.5 AND h / 360 >= 0.25 AND (x + w / 2) / 640 BETWEEN 0.4 AND 0.9 AND area / greatest(w * h, 1) >= 0.3)
+SELECT l_orderkey, l_linenumber, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY score DESC, l_linenumber) AS k FROM g) WHERE k = 1""")
+def geometry_best(spark, d):
+    # Some keys repeat in the table; of equal scores and lines either row gives the same result.
+    m = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") * 20).alias("area"), (F.col("l_partkey") % 640).alias("x"), (5 + F.col("l_suppkey") % 60).alias("w"), (30 + F.col("l_quantity") * 6).alias("h"))
+    a, x, w, h, rw, rh = (F.col(c).cast("double") if isinstance(c, str) else F.lit(float(c)) for c in ("area", "x", "w", "h", 640, 360))
+    g = m.where(scalars.mask_ok(a, x, w, h, rw, rh)).withColumn("score", scalars.mask_score(a, w, h, rw, rh))
+    return stats.first_max(g, ["l_orderkey"], "score", ["l_linenumber"]).select("l_orderkey", "l_linenumber", r6("score", "score"))
+
+
+@query("""WITH x AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 0.0 ELSE o_totalprice / 500000 END AS conf, o_totalprice AS area FROM orders)
+SELECT o_custkey, count(*) AS frames, count(*) FILTER (WHERE conf > 0) AS detections, round(avg(CAST(conf > 0 AS INTEGER)), 6) AS rate, round(coalesce(avg(conf) FILTER (WHERE conf > 0), 0), 6) AS avg_conf, round(coalesce(max(conf) FILTER (WHERE conf > 0), 0), 6) AS max_conf,
+round(coalesce(avg(area) FILTER (WHERE conf > 0), 0), 5) AS avg_area, round(coalesce(max(area) FILTER (WHERE conf > 0), 0), 3) AS max_area FROM x GROUP BY 1""")
+def detection_metrics(spark, d):
+    x = read(spark, d, "orders").select("o_custkey", F.when(F.col("o_orderstatus") == "O", 0.0).otherwise(F.col("o_totalprice") / 500000).alias("conf"), F.col("o_totalprice").alias("area"))
+    out = stats.detection_metrics(x, ["o_custkey"], "conf", "area")
+    return out.select("o_custkey", "frames", "detections", r6("rate", "rate"), r6("avg_conf", "avg_conf"), r6("max_conf", "max_conf"), r6("avg_area", "avg_area", 5), r6("max_area", "max_area", 3))
+
+
+@query(f"WITH {ROWS_SQL}, n AS (SELECT *, lead(value) OVER (PARTITION BY user_id ORDER BY i) AS nv FROM x) SELECT user_id, round(coalesce(sum((value + nv) / 2), 0), 5) AS auc FROM n GROUP BY user_id")
+def trapezoid_auc(spark, d):
+    return stats.trapezoid(events(spark, d), ["user_id"], ORDER, "value").select("user_id", r6("auc", "auc", 5))
+
+
+SPECTRUM_SQL = f"""{ROWS_SQL}, c AS (SELECT user_id, i, n, value - avg(value) OVER (PARTITION BY user_id) AS v FROM x),
+k AS (SELECT *, unnest(range(1, n // 2 + 1)) AS k FROM c),
+s AS (SELECT user_id, k, n / k AS period, sum(v * cos(2 * pi() * ((k * i) % n) / n)) AS re, sum(v * sin(2 * pi() * ((k * i) % n) / n)) AS im FROM k GROUP BY user_id, k, n),
+a AS (SELECT user_id, k, period, sqrt(re * re + im * im) AS amplitude FROM s)"""
+
+
+@query(f"WITH {SPECTRUM_SQL} SELECT user_id, round(arg_max(period, (amplitude, -k)), 4) AS period, round(max(amplitude), 4) AS peak, round(avg(amplitude), 4) AS mean, round(max(amplitude) / greatest(avg(amplitude), 1e-9), 4) AS snr FROM a WHERE period BETWEEN 3 AND 30 GROUP BY user_id")
+def fft_period(spark, d):
+    x = spectral.best_period(spectral.spectrum(events(spark, d), ["user_id"], ORDER, "value"), ["user_id"], 3.0, 30.0)
+    return x.select("user_id", *[r6(c, c, 4) for c in ("period", "peak", "mean", "snr")])
+
+
+@query(f"WITH {SPECTRUM_SQL} SELECT user_id, k, round(period, 4) AS period, round(amplitude, 4) AS amplitude FROM a WHERE k <= 8")
+def fft_spectrum(spark, d):
+    return spectral.spectrum(events(spark, d), ["user_id"], ORDER, "value").where("k <= 8").select("user_id", F.col("k").cast("long").alias("k"), r6("period", "period", 4), r6("amplitude", "amplitude", 4))
+
+
+@query(f"WITH {ROWS_SQL}, p AS (SELECT a.user_id, CAST(b.i - a.i AS INTEGER) AS lag, a.value AS x, b.value AS y FROM x a JOIN x b ON a.user_id = b.user_id AND b.i - a.i BETWEEN 1 AND least(20, a.n - 2) WHERE a.n > 2) SELECT user_id, lag, round(CASE WHEN stddev_pop(x) * stddev_pop(y) < 1e-9 THEN 0 ELSE corr(x, y) END, 6) AS r FROM p GROUP BY 1, 2")
+def autocorr(spark, d):
+    return spectral.autocorrelation(events(spark, d), ["user_id"], ORDER, "value", 20).select("user_id", "lag", r6("r", "r"))
+
+
+@query(f"WITH {ISLANDS_SQL} SELECT user_id, strftime(a - INTERVAL 30 SECOND, '%Y-%m-%d %H:%M:%S') AS start, strftime(b + INTERVAL 30 SECOND, '%Y-%m-%d %H:%M:%S') AS \"end\", n FROM runs WHERE event_type = 'view'")
+def state_run_windows(spark, d):
+    return states.state_windows(events(spark, d), ["user_id"], ORDER, "event_type", "ts", "view", 30).select("user_id", text("start"), text("end"), "n")
+
+
+@query(f"WITH {ROWS_SQL}, t AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY i) AS p FROM x) SELECT user_id, strftime(ts - INTERVAL 30 SECOND, '%Y-%m-%d %H:%M:%S') AS start, strftime(ts + INTERVAL 30 SECOND, '%Y-%m-%d %H:%M:%S') AS \"end\" FROM t WHERE (p = 'click' AND event_type = 'purchase') OR (p = 'purchase' AND event_type = 'click')")
+def transition_windows(spark, d):
+    return states.transition_windows(events(spark, d), ["user_id"], ORDER, "event_type", "ts", ("click", "purchase")).select("user_id", text("start"), text("end"))
+
+
+ABNORMAL_SQL = """s AS (SELECT user_id, event_id, ts, CASE event_type WHEN 'click' THEN 'waiting' WHEN 'error' THEN 'hauling' WHEN 'purchase' THEN 'on_deck' WHEN 'signup' THEN 'sorting' ELSE 'netdown' END AS st FROM events),
+t AS (SELECT *, lag(st) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM s),
+m AS (SELECT user_id, ts AS mt, CASE WHEN p IN ('on_deck', 'sorting') AND st IN ('on_deck', 'sorting') THEN 'os' WHEN p IN ('hauling', 'waiting') AND st IN ('hauling', 'waiting') THEN 'hw'
+  WHEN (p, st) NOT IN (('waiting', 'hauling'), ('hauling', 'on_deck'), ('on_deck', 'sorting'), ('sorting', 'waiting'), ('sorting', 'netdown'), ('netdown', 'waiting')) THEN 'ill' END AS tag FROM t WHERE p <> st)"""
+
+
+@query(f"WITH {ABNORMAL_SQL} SELECT s.event_id, arg_min(tag, (mt, tag)) AS tag FROM s JOIN m ON s.user_id = m.user_id AND abs(date_diff('microsecond', s.ts, mt)) <= 1800e6 WHERE tag IS NOT NULL GROUP BY 1")
+def abnormal_marks(spark, d):
+    names = {"click": "waiting", "error": "hauling", "purchase": "on_deck", "signup": "sorting", "view": "netdown"}
+    st = F.element_at(F.create_map(*[F.lit(v) for kv in names.items() for v in kv]), F.col("event_type"))
+    x = events(spark, d).select("user_id", "event_id", "ts", st.alias("st"))
+    return states.abnormal_marks(x, ["user_id"], ORDER, "st", "ts", 1800.0).select("event_id", "tag")
+
+
+@query()
+def adaptive_sampling(spark, d):
+    x = events(spark, d).select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), (F.col("value") % 10 / 10).alias("corr")).withColumn("sec", F.col("us") / 1e6)
+    return states.adaptive_sampling(x, ["user_id"], "event_id", "sec", "corr", 0.3, 7200.0).drop("col")
+
+
+@query("""WITH s AS (SELECT user_id, ts, event_id, CASE WHEN date_diff('microsecond', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts) < 7200e6 THEN 0 ELSE 1 END AS new FROM events),
+g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS g FROM s) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM g GROUP BY user_id, g""")
+def session_windows(spark, d):
+    x = events(spark, d).withColumn("t", F.col("ts").cast("timestamp")).groupBy("user_id", F.session_window("t", "2 hours")).agg(F.count("*").alias("n"))
+    return x.select("user_id", F.date_format("session_window.start", TIME).alias("start"), "n")
+
+
+@query("""WITH r AS (SELECT l_suppkey, CAST(l_linenumber AS BIGINT) AS workers, avg(l_extendedprice) AS sec, sum(l_quantity) * 100 AS media FROM lineitem GROUP BY 1, 2),
+q AS (SELECT *, media / sec AS rt FROM r), f AS (SELECT *, first_value(rt) OVER w AS r0, first_value(workers) OVER w AS w0 FROM q WINDOW w AS (PARTITION BY l_suppkey ORDER BY workers))
+SELECT l_suppkey, workers, round(rt, 6) AS realtime, round(rt / r0, 6) AS speedup, round(rt / r0 / (workers / w0), 6) AS efficiency FROM f""")
+def scaling_table(spark, d):
+    x = read(spark, d, "lineitem").groupBy("l_suppkey", F.col("l_linenumber").cast("long").alias("workers")).agg(F.avg("l_extendedprice").alias("sec"), (F.sum("l_quantity") * 100).alias("media"))
+    out = stats.scaling(x, "workers", "sec", "media", ["l_suppkey"])
+    return out.select("l_suppkey", "workers", *[r6(c, c) for c in ("realtime", "speedup", "efficiency")])
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, round(l_quantity * l_extendedprice, 4) AS area, round((l_quantity + l_quantity + l_discount * 100) / 2 / 2560, 10) AS rel_cx FROM lineitem""")
+def box_geometry(spark, d):
+    q = F.col("l_quantity")
+    g = scalars.box_geometry(q, F.lit(0.0), q + F.col("l_discount") * 100, q, F.lit(2560), F.lit(1440))
+    x = read(spark, d, "lineitem")
+    return x.select("l_orderkey", "l_linenumber", "l_partkey", F.round(q * F.col("l_extendedprice"), 4).alias("area"), F.round(g["rel_cx"], 10).alias("rel_cx"))
