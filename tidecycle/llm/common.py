@@ -7,7 +7,8 @@ import uuid
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of words: 0-9, a-z and everything above ASCII; A-Z lower-cased, the rest blank.
 WORD_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -43,3 +44,11 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def packed(df: DataFrame, *plain: str, drop: tuple[str, ...] = ()) -> tuple[DataFrame, list[Column]]:
+    """`df` with the columns `plain` and all others in one struct, whose names then can't clash with an operator's own; and the columns that restore it. Columns in `drop` stay behind."""
+    rest = [c for c in df.columns if c not in plain and c not in drop]
+    out = df.select(*[F.col(f"`{c}`") for c in plain], (F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None).cast("string")).alias("__rest"))
+    back = [F.col(f"`{c}`") if c in plain else F.col("__rest").getField(c).alias(c) for c in df.columns if c not in drop]
+    return out, back

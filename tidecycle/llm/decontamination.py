@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, utf8, words
+from .common import materialize, packed, utf8, words
 
 KEY_WORDS = 64  # words of a suffix that take part in sorting; more than any window
 
@@ -112,11 +112,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     like a window are sorted into a suffix array, and every window of every test suffix is searched in it by bisection.
     Documents stay where they are: nothing is shuffled. A benchmark of more than `block_bytes` goes through the
     documents block by block, the findings carried in the row. Null or empty texts have no words. Null item ids count
-    as the empty string, repeated item ids as one item. All columns of `docs` pass through.
+    as the empty string, repeated item ids as one item. All columns of `docs` pass through, but for those named as the
+    new ones, which are replaced. An empty benchmark, or one without words, hits nothing; an empty table gives none.
     """
+    docs = docs.drop("__n_words", "__spans", "__items")
     out, names = docs, docs.columns
-    if any(n.startswith("__") for n in names):
-        raise ValueError("column names that begin with __ are taken")
     schema = T.StructType([*docs.schema.fields, T.StructField("__n_words", T.LongType()), T.StructField("__spans", T.ArrayType(SPAN)), T.StructField("__items", T.ArrayType(T.StringType()))])
     spark = docs.sparkSession
     text_at = names.index(text_col)
@@ -159,6 +159,7 @@ def contaminated() -> F.Column:
     return (hit_words() > 0) & (20 * hit_words() >= F.col("__n_words"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Documents that are not contaminated, with their own columns; see `find_contamination`."""
-    return find_contamination(docs, benchmark, **options).where(~contaminated()).select(*docs.columns)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """Documents that are not contaminated, with all their own columns; see `find_contamination`."""
+    rows, back = packed(docs, text_col)
+    return find_contamination(rows, benchmark, text_col=text_col, **options).where(~contaminated()).select(*back)

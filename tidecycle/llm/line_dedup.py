@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, packed
 
 BROADCAST_BYTES = 8 << 20
 
@@ -28,20 +28,24 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     """`docs` with the boilerplate lines of their host cut out of `text_col`, and columns __n_lines and __n_dropped.
 
     The other lines stay as they are, in their order, joined by line feeds. A null text stays null and has no line; an
-    empty text is one blank line; null hosts are one host. All columns and rows pass through. The lines to drop are
+    empty text is one blank line; null hosts are one host. All columns and rows pass through, but for columns named as
+    the new ones, which are replaced; an empty table gives none. The lines to drop are
     gathered per host into one array: it goes to every task if all arrays together are below 8 MB, as measured after
     they are written; beyond that rows and arrays meet in a join by host whose hot keys AQE splits.
     """
     bad = materialize(boilerplate_lines(docs, host_col, text_col, ratio, min_pages).groupBy(F.col("host").alias("__host")).agg(F.collect_list("line").alias("__bad")))
     size = bad.agg(F.sum(F.octet_length(F.array_join("__bad", "")) + 16 * F.size("__bad") + F.octet_length("__host") + 64)).first()[0] or 0
     known = F.broadcast(bad) if size <= BROADCAST_BYTES else bad
-    rows = docs.withColumn("__host", F.coalesce(F.col(host_col).cast("string"), F.lit(""))).join(known, "__host", "left")
-    lines = F.split(text_col, "\n")
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__bad"), F.trim(x)))
+    rows, back = packed(docs, *{text_col: 0, host_col: 0}, drop=("__n_lines", "__n_dropped"))
+    rows = rows.select(F.col(text_col).alias("__text"), F.col(host_col).alias("__of"), "__rest").withColumn("__host", F.coalesce(F.col("__of").cast("string"), F.lit(""))).join(known, "__host", "left")
+    lines = F.split("__text", "\n")
     touched = F.col("__bad").isNotNull() & F.arrays_overlap(F.transform(lines, F.trim), F.col("__bad"))
-    out = rows.withColumn("__kept", F.when(touched, kept))
-    return out.select(
-        *[F.when(F.col("__kept").isNotNull(), F.array_join("__kept", "\n")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns],
+    rows = rows.withColumn("__kept", F.when(touched, F.filter(lines, lambda x: ~F.array_contains(F.col("__bad"), F.trim(x)))))
+    rows = rows.select(
+        F.when(F.col("__kept").isNotNull(), F.array_join("__kept", "\n")).otherwise(F.col("__text")).alias(text_col),
+        *([F.col("__of").alias(host_col)] if host_col != text_col else []),
+        "__rest",
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("__n_lines"),
         F.coalesce(F.size(lines) - F.size("__kept"), F.lit(0)).cast("long").alias("__n_dropped"),
     )
+    return rows.select(*back, "__n_lines", "__n_dropped")

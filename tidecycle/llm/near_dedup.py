@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, utf8, words
+from .common import materialize, packed, utf8, words
 
 #: Odd multipliers of a polynomial word-hash and of the splitmix64 finaliser.
 BASE, MIX_A, MIX_B = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -251,10 +251,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     def key(x: DataFrame):
         return x["__row_id"].eqNullSafe(F.col("__id")) & (x["__row_th"] == F.col("__th"))
 
-    rows = docs.withColumn("__row_id", F.col(id_col)).withColumn("__row_th", F.xxhash64(text_col))
+    rows, back = packed(docs, id_col, text_col)
+    rows = rows.withColumn("__row_id", F.col(id_col)).withColumn("__row_th", F.xxhash64(text_col))
     out = rows.join(marks.where("NOT __keep"), key(rows), "left_anti")
     repeated = marks.where("__keep AND __times > 1")
     if repeated.limit(1).count():
         several = out.join(repeated, key(out), "left_semi").dropDuplicates(["__row_id", "__row_th"])
         out = out.join(repeated, key(out), "left_anti").unionByName(several)
-    return out.drop("__row_id", "__row_th")
+    return out.select(*back)

@@ -166,7 +166,8 @@ def _fit(sample: dict[int, list[tuple[int, str]]]) -> Model:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "__score") -> DataFrame:
-    """`docs` with the score of the whole text, 0 to 1. A null text counts as empty; all columns and rows pass through."""
+    """`docs` with the score of the whole text, 0 to 1. A null text counts as empty; all columns and rows pass through, but for one named `out_col`, which is replaced."""
+    docs = docs.drop(out_col)
     names = docs.columns
     at = names.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast((model.toxic, model.ordinary, model.weights))  # two dictionaries of 8 KB at most

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -60,8 +62,9 @@ def judge_urls(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = N
     empty table gives none. Every aggregate has partial sums before its shuffle, and rows meet templates in joins whose
     hot hosts AQE splits.
     """
-    ours = {"host", "path", "rule", "template", "purity", "verdict"}
-    rows = pages.select(*[c for c in pages.columns if c not in ours], host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    ours = ("host", "path", "rule", "template", "purity", "verdict")
+    rows, _ = packed(pages, url_col, drop=tuple(c for c in ours if c != url_col))
+    rows = rows.select(F.col(url_col).alias("__url"), "__rest", host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     best = sorted(rules, key=lambda r: (-len(r.name), r.name))
     rule, by_rule = F.lit(None).cast("string"), F.lit(None).cast("string")
     for r in reversed(best):
@@ -75,7 +78,9 @@ def judge_urls(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = N
     shapes = blocked.groupBy("host", "__shape").agg(F.count("*").alias("n"), F.count("b").alias("labelled"), F.coalesce(F.sum("b"), F.lit(0)).alias("bad"))
     known = _templates(shapes, variable_children, smoothing, similar)
     verdict = F.coalesce(F.col("__by_rule"), F.when(F.col("purity") >= reject, "block").otherwise("allow"))
-    return rows.join(known, ["host", "__shape"], "left").withColumn("verdict", verdict).drop("__shape", "__by_rule")
+    found = rows.join(known, ["host", "__shape"], "left").withColumn("verdict", verdict)
+    kept = [F.col("__url").alias(url_col) if c == url_col else F.col("__rest").getField(c).alias(c) for c in pages.columns if c not in ours]
+    return found.select(*kept, *ours)
 
 
 def _shape() -> Column:
