@@ -19,7 +19,7 @@ def boilerplate_lines(docs: DataFrame, host_col: str = "source", text_col: str =
     """
     rows = docs.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(text_col).alias("text"))
     totals = rows.groupBy("host").agg(F.count("*").alias("host_pages"))
-    lines = rows.select("host", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), F.trim))).alias("line")).where("line <> ''")
+    lines = rows.select("host", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.trim(x)))).alias("line")).where("line <> ''")
     pages = lines.groupBy("host", "line").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
     return pages.join(totals, "host").where(F.col("pages") > ratio * F.col("host_pages")).select("host", "line", "pages", "host_pages")
 
@@ -39,7 +39,7 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     rows, back = packed(docs, *{text_col: 0, host_col: 0}, drop=("__n_lines", "__n_dropped"))
     rows = rows.select(F.col(text_col).alias("__text"), F.col(host_col).alias("__of"), "__rest").withColumn("__host", F.coalesce(F.col("__of").cast("string"), F.lit(""))).join(known, "__host", "left")
     lines = F.split("__text", "\n")
-    touched = F.col("__bad").isNotNull() & F.arrays_overlap(F.transform(lines, F.trim), F.col("__bad"))
+    touched = F.col("__bad").isNotNull() & F.arrays_overlap(F.transform(lines, lambda x: F.trim(x)), F.col("__bad"))
     rows = rows.withColumn("__kept", F.when(touched, F.filter(lines, lambda x: ~F.array_contains(F.col("__bad"), F.trim(x)))))
     rows = rows.select(
         F.when(F.col("__kept").isNotNull(), F.array_join("__kept", "\n")).otherwise(F.col("__text")).alias(text_col),
