@@ -36,4 +36,4 @@ def autocorrelation(df: DataFrame, keys: list[str], order: list[str], value: str
     asks = x.where("n > 2").withColumn("lag", F.explode(F.sequence(F.lit(1), F.least(F.lit(lags), F.col("n") - 2)))).withColumn("i", F.col("i") + F.col("lag"))
     pairs = asks.join(ahead, [*keys, "i"])
     spread = F.stddev_pop("x") * F.stddev_pop("y")
-    return pairs.groupBy(*keys, "lag").agg(F.when(spread < 1e-9, 0.0).otherwise(F.corr("x", "y")).alias("r"))
+    return pairs.groupBy(*keys, "lag").agg(F.when(spread < 1e-9, 0.0).otherwise(F.covar_pop("x", "y") / F.nullif(spread, F.lit(0.0))).alias("r"))

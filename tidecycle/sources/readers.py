@@ -29,7 +29,7 @@ def parquet_tree(spark: SparkSession, root: str, rois: list[str] | None = None,
     `rois` filters roi_name where there is one (pushed to the scan); `keep` projects the columns that exist;
     `max_files` takes the first files by path.
     """
-    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", True).parquet(root)
+    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(root)
     df = df.withColumn("source_path", F.col("_metadata.file_path")).where(~F.lower("source_path").rlike("debug|test"))
     if max_files is not None:
         paths = df.select("source_path").distinct().orderBy("source_path").limit(max_files)
