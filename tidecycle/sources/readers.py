@@ -24,13 +24,16 @@ def parquet_folder(spark: SparkSession, folder: str, wall_time: bool = True) ->
 
 
 def parquet_tree(spark: SparkSession, root: str, rois: list[str] | None = None, keep: list[str] | None = None, max_files: int | None = None) -> DataFrame:
-    """Readable Parquet files below `root` whose path says neither debug nor test, with abs_time (null if the name has none).
+    """Readable Parquet files below `root` whose path from there on says neither debug nor test, with abs_time (null if the name has none).
 
     `rois` filters roi_name where there is one (pushed to the scan); `keep` projects the columns that exist;
     `max_files` takes the first files by path.
     """
     df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(root)
-    df = df.withColumn("source_path", F.col("_metadata.file_path")).where(~F.lower("source_path").rlike("debug|test"))
+    df = df.withColumn("source_path", F.col("_metadata.file_path"))
+    at = F.locate(root.rstrip("/"), F.col("source_path"))
+    below = F.when(at > 0, F.substr(F.col("source_path"), at + len(root.rstrip("/")))).otherwise(F.col("source_path"))
+    df = df.where(~F.lower(below).rlike("debug|test"))
     if max_files is not None:
         paths = df.select("source_path").distinct().orderBy("source_path").limit(max_files)
         df = df.join(F.broadcast(paths), "source_path", "left_semi")  # max_files paths at most
