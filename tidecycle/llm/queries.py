@@ -123,16 +123,21 @@ JOIN pure ON t.host = pure.host AND t.template = pure.template
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.similarity_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links", "copies", "n_grams", "set_id")
+    return near_dedup.similarity_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links", "copies", "n_grams")
 
 
 OP7_SQL = f"""
-WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 g AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda s: array_to_string(w[s:s + least(len(w), 5) - 1], ' ')))) AS g FROM d WHERE len(w) > 0),
 e AS (SELECT doc_id, unnest(g) AS x FROM g),
-n AS (SELECT doc_id, len(g) AS n FROM g),
-common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2)
-SELECT a AS doc_id, count(*) AS links FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE k >= 0.8 * (p.n + q.n - k) GROUP BY a
+n AS (SELECT doc_id, len(g) AS n, count(*) OVER (PARTITION BY g) - 1 AS copies FROM g),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+p AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE k >= 0.8 * (x.n + y.n - k)),
+r AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a AS doc_id, min(b) AS least FROM r GROUP BY a),
+l AS (SELECT a AS doc_id, count(*) AS links FROM p GROUP BY a)
+SELECT d.doc_id, least(d.doc_id, coalesce(c.least, d.doc_id)) AS class_id, coalesce(links, 0) AS links, coalesce(copies, 0) AS copies, coalesce(n, 0) AS n_grams
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN l USING (doc_id)
 """
 
 
@@ -210,5 +215,6 @@ ORACLES = {
     "op4_decontamination": OP4_SQL,
     "op5_url_filters": OP5_SQL,
     "op6_lm_scoring": OP6_SQL,
+    "op7_ngram_jaccard_join": OP7_SQL,
     "op8_line_dedup": OP8_SQL,
 }
