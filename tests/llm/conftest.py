@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, __host string, host int, norm string, `__rest` int, th long"
 
@@ -31,5 +30,3 @@ def odd(docs):
     rows = [(1, None), (2, ""), (3, "  \n\n "), (4, long), (5, "Same text here, for all of us."), (6, "same Text here, for all of us."), (6, "same Text here, for all of us."), (None, "no id"), (8, "é Ünï 漢字 \U0001f600 <|endoftext|>  two  blanks"), (9, None)]
     return docs(rows)
 
-
-__all__ = ["F"]

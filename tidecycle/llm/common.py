@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,17 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batches, column: int, max_bytes: int = 4 << 20):
+    """Arrow batches cut so that the texts of one have about `max_bytes`: what a Python worker holds does not follow the batch size. A longer text is a slice of its own."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts = [0, *(np.flatnonzero(np.diff(size // max_bytes)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(a, b - a)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

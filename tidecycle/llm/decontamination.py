@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, packed, utf8, words
+from .common import materialize, packed, slices, utf8, words
 
 KEY_WORDS = 64  # words of a suffix that take part in sorting; more than any window
 
@@ -125,7 +125,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
 
         def run(batches, shared=shared, first=b == 0):
             bench = shared.value
-            for batch in batches:
+            for batch in slices(batches, text_at):
                 sizes, spans, items = bench.search(utf8(batch.column(text_at)))
                 if not first:
                     spans = [_merged([(x["s"], x["e"]) for x in old] + new) for old, new in zip(batch.column(len(names) + 1).to_pylist(), spans)]

@@ -14,7 +14,7 @@ from .common import materialize, utf8, words
 
 #: Odd multiplier of the pair hash and those of the splitmix64 finaliser.
 BASE, MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 
 
 class _WordHash(dict):

@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, packed, utf8, words
+from .common import materialize, packed, slices, utf8, words
 
 #: Odd multipliers of a polynomial word-hash and of the splitmix64 finaliser.
 BASE, MIX_A, MIX_B = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 BLOCK, WIDTH = 256, 16_384  # members and n-grams that are compared at a time: dense blocks of 16 MB
 
 
@@ -65,7 +65,7 @@ def _signatures(n: int, bands: int, rows: int):
     factors = rng.integers(1, 2**63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 2):
             sets = [shingles(t, n) for t in utf8(batch.column(2))]
             prints, keys = [], [None] * len(sets)
             for s in sets:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, utf8
+from .common import materialize, slices
 
 #: The pre-tokenisation pattern of the byte-level vocabulary, and the string of its special token.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -70,7 +70,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
 
     def run(batches):
         ids = _ids(tokenizer)
-        for batch in batches:
+        for batch in slices(batches, 1):
             names, rows = batch.column(0), []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 data = (ids.encode(text) if text else b"") + end

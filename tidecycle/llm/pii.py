@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import materialize, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -85,7 +85,7 @@ PLACE = "array<struct<k:int,s:int,e:int,value:string,may:array<int>,patterns:arr
 def _scan(batches):
     span = pa.list_(pa.struct([("k", pa.int32()), ("s", pa.int32()), ("e", pa.int32())]))
     place = pa.list_(pa.struct([("k", pa.int32()), ("s", pa.int32()), ("e", pa.int32()), ("value", pa.string()), ("may", pa.list_(pa.int32())), ("patterns", pa.list_(pa.string()))]))
-    for batch in batches:
+    for batch in slices(batches, 1):
         bases, places = [], []
         for text in batch.column(1).to_pylist():
             text = text or ""

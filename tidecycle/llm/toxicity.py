@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import slices
+
 WINDOW_BYTES = 64
 LEVEL = 7
 MIN_MATCH = 6
@@ -174,7 +176,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
 
     def run(batches):
         m = Model(*shared.value)
-        for batch in batches:
+        for batch in slices(batches, at):
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(m.score(batch.column(at).to_pylist()), pa.float64())], names=[*names, out_col])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out_col, DoubleType())]))
