@@ -9,10 +9,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import slices
+
 
 def _hashed(hash_bytes: int):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             norm = pc.ascii_lower(pc.fill_null(batch.column(1), ""))
             raw = norm.cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays(
@@ -46,7 +48,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = (F.min if keep == "min" else F.max)("id")
     groups = rows.groupBy("h128", "text_sha256", "norm").agg(best.alias("keep_id"), F.count("*").alias("group_size")).drop("norm")
     found = rows.select("id", "h128", "text_sha256").join(groups, ["h128", "text_sha256"])
-    nth = F.row_number().over(Window.partitionBy("h128", "text_sha256", "id").orderBy("keep_id"))
+    nth = F.row_number().over(Window.partitionBy("id", "text_sha256").orderBy("keep_id"))  # not the key of the join, so that AQE may split that
     return found.select(
         F.col("id").alias(id_col),
         "keep_id",
