@@ -160,9 +160,9 @@ def night_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select(temporal.night_label(F.col("ts")).alias("night"), "ts", "value").where("night <> 'daytime'")
 
 
-@query(f"WITH {GRID_SQL} SELECT night, {MIN} AS minute, round(value, 6) AS value FROM filled")
+@query(f"WITH {GRID_SQL} SELECT night, {MIN} AS minute, round(value, 10) AS value FROM filled")
 def grid_fill(spark, d):
-    return series.minute_series(night_events(spark, d), ["night"], "ts", "value").select("night", text("minute"), r6("value", "value"))
+    return series.minute_series(night_events(spark, d), ["night"], "ts", "value").select("night", text("minute"), r6("value", "value", 10))
 
 
 @query(f"WITH {ROWS_SQL} SELECT user_id, event_id, round(avg(value) OVER w, 6) AS rolling_mean, round(stddev_pop(value) OVER w, 5) AS rolling_std FROM x WINDOW w AS (PARTITION BY user_id ORDER BY i ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)")
