@@ -233,7 +233,8 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, reca
     classes = _components(checked.where("set <> other").select(F.col("set").alias("a"), F.col("other").alias("b")))
     final = members.select("set", "size", "least_id").join(classes.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     tops = final.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    final = final.join(tops, "root").join(linked, "set", "left").select("set", "size", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
+    # Written, so that the join with the rows is between two plain shuffles, whose hot sets AQE may split.
+    final = materialize(final.join(tops, "root").join(linked, "set", "left").select("set", "size", "class_id", F.coalesce("links", F.lit(0)).alias("links")))
     some = signed.where("set IS NOT NULL").join(final, "set").select("id", "th", F.hex("set").alias("set_id"), F.col("n").alias("n_grams"), "class_id", (F.col("size") - 1).alias("copies"), (F.col("links") + F.col("size") - 1).alias("links"))
     none = signed.where("set IS NULL").select("id", "th", F.lit(None).cast("string").alias("set_id"), F.lit(0).cast("long").alias("n_grams"), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("copies"), F.lit(0).cast("long").alias("links"))
     return some.unionByName(none).withColumnRenamed("id", id_col)
