@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, packed, slices, utf8, words
@@ -217,7 +217,10 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, reca
     members = full.groupBy("set").agg(F.count("*").alias("size"), F.min("id").alias("least_id"), F.max("n").alias("n"))
     keys = full.select("set", F.explode("bands").alias("band")).distinct()
     buckets = keys.groupBy("band").agg(F.min("set").alias("head"), F.count("*").alias("k")).where("k > 1").select("band", "head")
-    stars = materialize(keys.join(buckets, "band").where("set <> head").select(F.col("set").alias("a"), F.col("head").alias("b")).distinct())
+    stars = keys.join(buckets, "band").where("set <> head").select(F.col("set").alias("a"), F.col("head").alias("b")).distinct()
+    # A member hangs on one head per band at most; its other heads are hung on the least, so that a group has about one edge per member.
+    stars = stars.withColumn("low", F.min("b").over(Window.partitionBy("a")))
+    stars = materialize(stars.select("a", F.col("low").alias("b")).unionByName(stars.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).distinct())
     comps = materialize(_components(stars))
     # Chunks: a member of a component of c chunks goes to the c pairs that hold its chunk.
     sized = comps.join(members.select(F.col("set").alias("node"), "size", "n"), "node")
