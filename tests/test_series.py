@@ -108,6 +108,17 @@ def test_sine_night(spark):
     assert flat.first().r == 0
 
 
+def test_spectrum_of_a_long_series(spark):
+    xs = np.sin(2 * np.pi * np.arange(5001) / 50) + np.random.default_rng(5).normal(size=5001)
+    x = frame(spark, xs).union(frame(spark, [1, 2, 4, None, 0], "b")).union(frame(spark, [3], "c"))
+    got = [tuple(r) for r in spectral.spectrum(x.withColumnRenamed("k", "key"), ["key"], ["i"], "x").collect()]
+    long = sorted(r[1:] for r in got if r[0] == "a")
+    assert [r[0] for r in long] == list(range(1, 2501)) and sum(r[0] == "b" for r in got) == 2
+    assert np.allclose([r[2] for r in long], np.abs(np.fft.rfft(xs - xs.mean()))[1:], atol=1e-6)
+    both = [{(r.key, r.k): r.amplitude for r in spectral.spectrum(x.where("k = 'b'").withColumnRenamed("k", "key"), ["key"], ["i"], "x", m).collect()} for m in (3, 4096)]
+    assert both[0] == pytest.approx(both[1])
+
+
 def stamps(spark, rows, names):
     df = spark.createDataFrame(rows, names)
     return df.select(*[(F.timestamp_seconds(F.col(c) * 60).cast("timestamp_ntz").alias(c) if c in ("start", "end", "r_start", "r_end", "ts", "mark_ts", "ws", "we") else F.col(c)) for c in df.columns])

@@ -4,23 +4,48 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 
 def spectrum(df: DataFrame, keys: list[str], order: list[str], value: str, longest: int = 4096) -> DataFrame:
-    """(keys, k, period, amplitude, power) of the demeaned series for k = 1..n div 2; period in rows. Series of a night, `longest` rows at most."""
+    """(keys, k, period, amplitude, power) of the demeaned series for k = 1..n div 2; period in rows.
+
+    A series of up to `longest` rows is summed by built-ins, n * n / 2 terms; a longer one is an Arrow group with one FFT.
+    """
     w = Window.partitionBy(*keys)
     x = df.select(*keys, (F.row_number().over(w.orderBy(*order)) - 1).alias("__i"), (F.col(value) - F.avg(value).over(w)).alias("__x"), F.count("*").over(w).cast("int").alias("__n"))
-    too_long = F.raise_error(F.lit(f"a series has more than {longest} rows"))
-    x = x.withColumn("__n", F.when(F.col("__n") > longest, too_long.cast("int")).otherwise(F.col("__n")))
-    x = x.where("__n >= 2").withColumn("k", F.explode(F.sequence(F.lit(1), F.floor(F.col("__n") / 2).cast("int"))))
+    short = x.where(F.col("__n").between(2, longest)).withColumn("k", F.explode(F.sequence(F.lit(1), F.floor(F.col("__n") / 2).cast("int"))))
     angle = 2 * math.pi * F.pmod(F.col("k") * F.col("__i"), F.col("__n")) / F.col("__n")
-    out = x.groupBy(*keys, "k", "__n").agg(F.sum(F.col("__x") * F.cos(angle)).alias("__re"), F.sum(F.col("__x") * F.sin(angle)).alias("__im"))
+    out = short.groupBy(*keys, "k", "__n").agg(F.sum(F.col("__x") * F.cos(angle)).alias("__re"), F.sum(F.col("__x") * F.sin(angle)).alias("__im"))
     power = F.col("__re") * F.col("__re") + F.col("__im") * F.col("__im")
+    long = x.where(F.col("__n") > max(longest, 1)).withColumn("__x", F.col("__x").cast("double"))
+    schema = StructType([*(StructField(c, long.schema[c].dataType) for c in keys), StructField("k", IntegerType()), StructField("__n", IntegerType()), StructField("__re", DoubleType()), StructField("__im", DoubleType())])
+    out = out.select(*keys, "k", "__n", "__re", "__im").unionByName(long.groupBy(*keys).applyInArrow(_transform(keys), schema))
     return out.select(*keys, "k", (F.col("__n") / F.col("k")).alias("period"), F.sqrt(power).alias("amplitude"), power.alias("power"))
 
 
+def _transform(keys: list[str]):
+    """The FFT of a series; null values add nothing, as in a sum, and a series of nulls alone has null lines."""
+
+    def run(table: pa.Table) -> pa.Table:
+        n = table.num_rows
+        at, x = table.column("__i").to_numpy(), table.column("__x")
+        values = np.zeros(n)
+        values[at] = pc.fill_null(x, 0.0).to_numpy()
+        lines = np.fft.rfft(values)[1 : n // 2 + 1]
+        none = np.full(len(lines), x.null_count == n)
+        first = pa.array(np.zeros(len(lines), np.int64))
+        cols = [*(table.column(c).take(first) for c in keys), pa.array(np.arange(1, len(lines) + 1), pa.int32()), pa.array(np.full(len(lines), n), pa.int32()), pa.array(lines.real, mask=none), pa.array(-lines.imag, mask=none)]
+        return pa.table(cols, names=[*keys, "k", "__n", "__re", "__im"])
+
+    return run
+
+
 def best_period(spec: DataFrame, keys: list[str], low: float = 30.0, high: float = 120.0, measure: str = "amplitude") -> DataFrame:
     """(keys, period, peak, mean, snr) in the band low..high: the strongest line, the band's mean and their ratio (divisor floored at 1e-9). `measure` amplitude or power: the lines are the same, the ratios not."""
     band = spec.where(F.col("period").between(low, high))
