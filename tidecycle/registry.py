@@ -672,6 +672,18 @@ def autocorr(spark, d):
     return spectral.autocorrelation(events(spark, d), ["user_id"], ORDER, "value", 20).select("user_id", "lag", r6("r", "r"))
 
 
+@query(f"WITH {SPECTRUM_SQL} SELECT user_id, k, round(period, 4) AS period, round(amplitude, 4) AS amplitude FROM a")
+def fft_spectrum_all(spark, d):
+    """Every line; `fft_spectrum` has the first eight, as its SQL."""
+    return spectral.spectrum(events(spark, d), ["user_id"], ORDER, "value").select("user_id", F.col("k").cast("long").alias("k"), r6("period", "period", 4), r6("amplitude", "amplitude", 4))
+
+
+@query(f"WITH {ROWS_SQL}, p AS (SELECT a.user_id, CAST(b.i - a.i AS INTEGER) AS lag, a.value AS x, b.value AS y FROM x a JOIN x b ON a.user_id = b.user_id AND b.i - a.i BETWEEN 1 AND least(600, a.n - 2) WHERE a.n > 2) SELECT user_id, lag, round(CASE WHEN stddev_pop(x) * stddev_pop(y) < 1e-9 THEN 0 ELSE corr(x, y) END, 6) AS r FROM p GROUP BY 1, 2")
+def autocorr_all(spark, d):
+    """The operator's lags, 1..min(600, n-2); `autocorr` has the first twenty, as its SQL."""
+    return spectral.autocorrelation(events(spark, d), ["user_id"], ORDER, "value").select("user_id", "lag", r6("r", "r"))
+
+
 @query(f"WITH {ISLANDS_SQL} SELECT user_id, strftime(a - INTERVAL 30 SECOND, '%Y-%m-%d %H:%M:%S') AS start, strftime(b + INTERVAL 30 SECOND, '%Y-%m-%d %H:%M:%S') AS \"end\", n FROM runs WHERE event_type = 'view'")
 def state_run_windows(spark, d):
     return states.state_windows(events(spark, d), ["user_id"], ORDER, "event_type", "ts", "view", 30).select("user_id", text("start"), text("end"), "n")
