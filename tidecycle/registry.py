@@ -394,6 +394,16 @@ def full_outer_rois(spark, d):
     return x.select("user_id", *[r6(c, c) for c in x.columns if c != "user_id"])
 
 
+@query("""WITH a AS (SELECT user_id, avg(value) AS l FROM events WHERE event_type = 'signup' GROUP BY user_id), b AS (SELECT user_id, avg(value) AS r FROM events WHERE event_type = 'error' GROUP BY user_id)
+SELECT user_id, round(coalesce(l, 0), 6) AS left_deck_value, round(coalesce(r, 0), 6) AS right_deck_value, round((coalesce(l, 0) + coalesce(r, 0)) / 2, 6) AS roi_mean_value, round(coalesce(l, 0) - coalesce(r, 0), 6) AS roi_diff_value FROM a FULL JOIN b USING (user_id)""")
+def full_outer_rois_all(spark, d):
+    """All signups and errors; `full_outer_rois` has a third of each, as its SQL."""
+    e = events(spark, d)
+    a, b = (e.where(F.col("event_type") == t).groupBy("user_id").agg(F.avg("value").alias("value")) for t in ("signup", "error"))
+    x = stats.align_sides(a, b, ["user_id"], ["value"])
+    return x.select("user_id", *[r6(c, c) for c in x.columns if c != "user_id"])
+
+
 @query("""WITH r AS (SELECT l_returnflag, l_quantity AS a, l_quantity * (1 + l_tax) AS b, 'quantity' AS feature FROM lineitem UNION ALL SELECT l_returnflag, l_extendedprice, l_extendedprice * (1 - l_discount), 'price' FROM lineitem)
 SELECT l_returnflag, feature, count(*) AS n, round(avg(a), 4) AS mean_a, round(avg(b), 4) AS mean_b, round(avg(abs(a - b)) / (avg(abs(a)) + 1e-9), 6) AS mad_rel FROM r GROUP BY 1, 2 HAVING count(*) >= 2""")
 def feature_diff(spark, d):
@@ -525,6 +535,13 @@ def class_balance(spark, d):
     return stats.class_balance(events(spark, d).where("value > 20"), "event_type")
 
 
+@query("""WITH n AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1), r AS (SELECT *, sum(n) OVER () AS t, max(n) OVER () / min(n) OVER () AS q FROM n)
+SELECT event_type, n, round_even(100 * n / t, 1) AS share, round_even(q, 2) AS ratio, CASE WHEN q < 1.5 THEN 'balanced' WHEN q < 3 THEN 'slightly imbalanced' WHEN q < 10 THEN 'imbalanced' ELSE 'severely imbalanced' END AS verdict FROM r""")
+def class_balance_all(spark, d):
+    """All events; `class_balance` has those of a value over 20, as its SQL."""
+    return stats.class_balance(events(spark, d), "event_type")
+
+
 @query("""WITH s AS (SELECT p_brand, p_size, count(*) AS n FROM part GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, p_size) AS rank FROM s) SELECT p_brand, p_size, n, rank FROM r WHERE rank <= 3""")
 def topk_sizes(spark, d):
     x = read(spark, d, "part").groupBy("p_brand", "p_size").agg(F.count("*").alias("n"))
@@ -586,6 +603,14 @@ def cycle_rollup(spark, d):
     return stats.cycle_rollup(x, ["o_orderstatus", "o_orderpriority"], "o_totalprice", "at", "o_custkey").withColumn("peak_mean", F.round("peak_mean", 4))
 
 
+@query("""SELECT o_orderstatus, o_orderpriority, count(*) AS cycles, round_even(avg(o_totalprice), 1) AS mean_min, round_even(coalesce(stddev_samp(o_totalprice), 0), 1) AS std_min, min(o_totalprice) AS min_min, max(o_totalprice) AS max_min,
+string_agg(strftime(o_orderdate, '%m%d'), ' | ' ORDER BY strftime(o_orderdate, '%m%d')) AS times, round(avg(o_custkey), 4) AS peak_mean FROM orders GROUP BY 1, 2""")
+def cycle_rollup_all(spark, d):
+    """All orders; `cycle_rollup` has those before 1996, as its SQL."""
+    x = read(spark, d, "orders").withColumn("at", F.date_format("o_orderdate", "MMdd"))
+    return stats.cycle_rollup(x, ["o_orderstatus", "o_orderpriority"], "o_totalprice", "at", "o_custkey").withColumn("peak_mean", F.round("peak_mean", 4))
+
+
 @query("""WITH c AS (SELECT doc_id, unnest(string_split(lower(text), '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM c WHERE ch BETWEEN 'a' AND 'z' AND length(ch) = 1 GROUP BY 1, 2), t AS (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS t FROM n)
 SELECT doc_id, round(-sum(n / t * log2(n / t)), 6) + 0.0 AS entropy FROM t GROUP BY doc_id""")
 def text_entropy(spark, d):
