@@ -170,6 +170,19 @@ def test_url_templates_are_learnt(spark):
     assert got[80] == "block" and got[81] == "allow"
 
 
+def test_url_tree_of_all_levels(spark):
+    known = [(f"http://h.net/a/b/c/spam/{i}.html", True) for i in range(30)] + [(f"http://h.net/a/b/c/news/{i}", False) for i in range(30)]
+    known += [(f"http://h.net/x/p/go/{i}/", True) for i in range(60)]
+    urls = ["http://h.net/a/b/c/spam/77.html", "http://h.net/a/b/c/news/77"] + [f"http://h.net/x/q/go/{i}" for i in range(9)] + [f"http://h.net/x/r/stay/{w}" for w in "abc"] + ["http://h.net/", "http://h.net", None]
+    df = spark.createDataFrame(list(enumerate(u for u in [*urls, *(k for k, _ in known)])), "page_id int, url string")
+    got = {r.page_id: r for r in url_filters.judge_urls(df, [], spark.createDataFrame(known, "url string, blocked boolean"), whole_tree=True).collect()}
+    assert (got[0].verdict, got[1].verdict) == ("block", "allow")  # parted at the fourth level
+    assert got[2].template == "/x/{p|q}/go/*" and got[2].verdict == "block"  # the sibling's labels reach it
+    assert got[11].template == "/x/r/stay/{a|b|c}" and got[11].verdict == "allow"
+    assert got[14].template == got[15].template == got[16].template == "/" and len(got) == len(urls) + len(known)
+    assert url_filters.judge_urls(df.limit(0), [], whole_tree=True).count() == 0
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     import corpus_pipeline as cp
 

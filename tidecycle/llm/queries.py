@@ -82,6 +82,11 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 9).alias("purity"))
 
 
+def op5_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree to the depth of the paths, merged at every level; `op5_url_filters` has three levels, as its SQL."""
+    return url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES, whole_tree=True).select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 9).alias("purity"))
+
+
 OP5_SQL = r"""
 WITH p AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -204,6 +209,7 @@ QUERIES = {
     "op3_feistel_sharding": op3_feistel_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_url_filters": op5_url_filters,
+    "op5_url_tree": op5_url_tree,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
