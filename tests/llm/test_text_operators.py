@@ -150,6 +150,27 @@ def test_contexts_find_unseen_identifiers(docs):
     assert pii.find_pii(docs([])).count() == 0
 
 
+def test_others_do_not_count_against_a_kind(docs):
+    texts = [f"please ring me at +49 30 12345{k:02d} today" for k in range(10)] + [f"please ring me at user{k}@host today" for k in range(6)] + ["please ring me at 030 5551234 today"]
+    out = {r.doc_id: r.added for r in pii.find_pii(docs(texts)).collect()}
+    assert [x.k for x in out[16]] == [3] and not any(out[k] for k in range(16))
+
+
+def test_chains_are_followed_to_their_end(docs):
+    texts, sizes, value = [], [320, 80, 20, 5, 1], lambda j, i: f"+49 30 {1000000 + i}" if j == 0 else f"030 {j}{100000 + i}"
+    for j, n in enumerate(sizes):
+        a = chr(97 + j)
+        texts += [f"{a}one {a}two {value(j, i)} {a}three" for i in range(n)]
+        if j:
+            b = chr(96 + j)
+            texts += [f"{b}one {b}two {value(j, i)} {b}three" for i in range(n)]
+    last = [i for i, t in enumerate(texts) if value(4, 0) in t]
+    out = {r.doc_id: r.added for r in pii.find_pii(docs(texts)).collect()}
+    assert len(last) == 2 and all([x.k for x in out[i]] == [3] for i in last)  # found in the fourth round
+    short = {r.doc_id: r.added for r in pii.find_pii(docs(texts), rounds=3).collect()}
+    assert not any(short[i] for i in last)
+
+
 def test_url_rules_and_templates(spark):
     urls = ["http://www.Example.ORG/es/1", "https://a.org/x?y", "http://example.org/en/12", "http://example.org/en/2", "http://xorg/en", "x://a.com/fr/", "x://a.com/de/9#z", "x://a.com", "no url", None, "", "ftp://h/a://b.org/", "x://a.com/de"]
     df = spark.createDataFrame([(i, u, "mine", 5) for i, u in enumerate(urls)], "page_id int, url string, host string, __shape int")

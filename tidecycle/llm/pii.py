@@ -103,7 +103,7 @@ def _scan(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bases, span), pa.array(places, place)], names=["id", "base", "places"])
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 5, precision: float = 0.8, accept: float = 0.9, rounds: int = 3) -> DataFrame:
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 5, precision: float = 0.8, accept: float = 0.9, rounds: int | None = None) -> DataFrame:
     """One row per input row: id, base and added (arrays of kind number, start, end; see KINDS).
 
     Base spans come from the four patterns, leftmost and non-overlapping within a kind. Other strings that could be
@@ -111,7 +111,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
     1. scores pattern-kind pairs: precision is the share of seeds of the kind among the distinct identifiers in that
        context that could be of the kind (base spans of other kinds count against it), `support` distinct seeds are needed;
     2. scores candidates through all patterns of a kind that reach `precision`: 1 - product of (1 - precision);
-    3. takes those of `accept` or more as further seeds, all their places as added spans, and goes on till nothing is new.
+    3. takes those of `accept` or more as further seeds, all their places as added spans, and goes on till nothing is new (or for `rounds` rounds, if given).
     Null and empty texts have no spans, repeated rows are judged each, other columns are not read, an empty table gives
     none. The texts are scanned once; rounds run on the small table of identifier places, with partial sums before
     each shuffle.
@@ -122,24 +122,29 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
     places = found.select("uid", F.explode("places").alias("p")).select("uid", "p.*")
     graph = places.select("k", "value", F.explode("may").alias("may"), "patterns").select("k", "value", "may", F.explode("patterns").alias("pattern"))
     graph = materialize(graph.groupBy("value", "may", "pattern").agg(F.max("k").alias("k")))
-    # Every base identifier in a context counts for all kinds there: for its own as a seed, for the others against them.
-    seeds = graph.where("k IS NOT NULL").select("value", F.col("k").alias("kind")).distinct()
-    taken = None
-    for _ in range(rounds):
+    # Every known identifier in a context counts for all kinds there: for its own as a seed, for the others against them. An unknown one counts against the kinds that it could be of.
+    seeds = materialize(graph.where("k IS NOT NULL").select("value", F.col("k").alias("kind"), F.lit(False).alias("new")).distinct())
+    done = 0
+    while rounds is None or done < rounds:
         known = graph.join(seeds, "value", "left")
-        total = known.groupBy("pattern").agg(F.count_distinct("value").alias("all"))
+        seen = known.where("kind IS NOT NULL").groupBy("pattern").agg(F.count_distinct("value").alias("seen"))
+        unseen = known.where("kind IS NULL").groupBy("pattern", F.col("may").alias("kind")).agg(F.count_distinct("value").alias("unseen"))
         hits = known.where("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.count_distinct("value").alias("good")).where(F.col("good") >= support)
-        good = hits.join(total, "pattern").withColumn("q", F.col("good") / F.col("all")).where(F.col("q") >= precision).select("pattern", "kind", "q")
+        total = F.col("seen") + F.coalesce("unseen", F.lit(0))
+        good = hits.join(seen, "pattern").join(unseen, ["pattern", "kind"], "left").withColumn("q", F.col("good") / total).where(F.col("q") >= precision).select("pattern", "kind", "q")
         fresh = graph.join(seeds.select("value").distinct(), "value", "left_anti").join(good, "pattern").where("may = kind")
         scored = fresh.groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("q"), F.lit(1e-9)))))).alias("q"))
-        best = scored.where(F.col("q") >= accept).groupBy("value").agg(F.max(F.struct("q", (-F.col("kind")).alias("k"))).alias("b")).select("value", (-F.col("b.k")).alias("kind"))
+        best = scored.where(F.col("q") >= accept).groupBy("value").agg(F.max(F.struct("q", (-F.col("kind")).alias("k"))).alias("b")).select("value", (-F.col("b.k")).alias("kind"), F.lit(True).alias("new"))
         best = materialize(best)
         if not best.limit(1).count():
             break
-        taken = best if taken is None else taken.unionByName(best)
+        done += 1
         seeds = seeds.unionByName(best)
-    if taken is None:
+        if done % 8 == 0:  # a long chain is not a long plan
+            seeds = materialize(seeds)
+    if not done:
         return found.select(F.col("id").alias(id_col), "base", F.array().cast(SPAN).alias("added"))
+    taken = seeds.where("new").select("value", "kind")
     more = places.where("k IS NULL").join(taken, "value").groupBy("uid").agg(F.collect_list(F.struct(F.col("kind").alias("k"), "s", "e")).alias("added"))
     return found.join(more, "uid", "left").select(F.col("id").alias(id_col), "base", F.coalesce("added", F.array().cast(SPAN)).alias("added"))
 
