@@ -99,6 +99,23 @@ def test_toxicity_without_labels_and_odd_rows(spark, odd):
     assert len(out) == odd.count() and all(0 <= r["__score"] < 0.5 for r in out)
 
 
+def test_copies_do_not_fill_the_sample(spark):
+    texts = [f"word{i} some text of number {i}" for i in range(80)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string").orderBy(F.xxhash64("t")).collect()
+    first, others = rows[0].t, [r.t for r in rows[1:]]
+    docs = [(k, first) for k in range(50)] + [(100 + k, t) for k, t in enumerate(others[:40])] + [(200 + k, t) for k, t in enumerate(others[40:])]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    y = spark.createDataFrame([(i, int(i < 200)) for i, _ in docs], "doc_id long, toxic int")
+    assert toxicity.train(d, y, per_class=30).weights  # 50 copies of the text of least hash
+
+
+def test_windows_are_spread_over_all_texts():
+    texts = [" ".join(f"{a}{i:03d}" for i in range(400)) for a in "abcd"]
+    got = toxicity._spread(texts, 40)
+    assert len(got) == 40 and [sum(w[1:2] == a for w in got) for a in (b"a", b"b", b"c", b"d")] == [10] * 4
+    assert toxicity._spread(texts, 10**6) == [w for t in texts for w in toxicity.windows(t)]
+
+
 BASE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),

@@ -128,32 +128,45 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarra
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 4000, max_chars: int = 20_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 4000, max_chars: int = 20_000, max_windows: int = 40_000) -> Model:
     """A model from the documents that `labels` (id, 0/1 label) names.
 
-    Fitted on the driver from a bounded sample: of each label the `per_class` rows of least text hash among those of
-    1 to `max_chars` characters. The half of even text hash trains the dictionaries, the other half calibrates.
+    Fitted on the driver from a bounded sample: of each label the `per_class` texts of least hash among those of
+    1 to `max_chars` characters; copies of a text are one. The half of even text hash trains the dictionaries, the other
+    half calibrates. The shared dictionary is trained on `max_windows` windows, spread evenly over the ordinary texts.
     Null ids, texts and labels are left out; of an id with several labels the greatest counts. With one class alone, or
     none, every score is near 0. Only ids and hashes meet the labels in a join; texts are fetched for the sample alone.
     """
     known = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).where("y IN (0, 1)").groupBy("i").agg(F.max("y").alias("y"))
     slim = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("h"), F.length(text_col).alias("n")).where(F.col("n").between(1, max_chars)).select("i", "h")
     joined = slim.join(known, "i")
-    top = [tuple(r) for y in (0, 1) for r in joined.where(F.col("y") == y).orderBy("h", "i").limit(per_class).collect()]
+    top = [tuple(r) for y in (0, 1) for r in joined.where(F.col("y") == y).groupBy("h").agg(F.min("i").alias("i"), F.first("y").alias("y")).select(*joined.columns).orderBy("h").limit(per_class).collect()]
     picked = docs.sparkSession.createDataFrame(top, joined.schema)  # 2 * per_class rows at most
     texts = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t")).join(F.broadcast(picked), ["i", "h"]).collect()
     sample = {y: sorted({(r["h"], r["t"]) for r in texts if r["y"] == y}) for y in (0, 1)}
-    return _fit(sample)
+    return _fit(sample, max_windows)
 
 
-def _fit(sample: dict[int, list[tuple[int, str]]]) -> Model:
+def _spread(texts: list[str], most: int) -> list[bytes]:
+    """`most` windows of all texts, or all if there are no more: each text gives its share. The texts are cut twice, so that only what is taken is held."""
+    total = sum(len(windows(t)) for t in texts)
+    out, at = [], 0
+    for t in texts:
+        for w in windows(t):
+            if total <= most or (at + 1) * most // total > at * most // total:
+                out.append(w)
+            at += 1
+    return out
+
+
+def _fit(sample: dict[int, list[tuple[int, str]]], max_windows: int) -> Model:
     """From (hash, text) of each label."""
     if not all(len(v) >= 8 for v in sample.values()):
         return Model()
     half = {y: [_without_copies([t for h, t in v if h % 2 == k]) for k in (0, 1)] for y, v in sample.items()}
     toxic, ordinary = half[1][0], half[0][0]
     least = max(3, min(8, len(toxic) // 40))
-    plain = [w for t in ordinary for w in windows(t)][:40_000]
+    plain = _spread(ordinary, max_windows)
     try:
         shared = zstandard.train_dictionary(SHARED_BYTES + 512, plain).as_bytes()[-SHARED_BYTES:]
     except zstandard.ZstdError:  # too little text to train on: the text itself is the content
