@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -15,14 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import slices
+from .common import materialize, slices
 
 WINDOW_BYTES = 64
 LEVEL = 7
 MIN_MATCH = 6
-SHARED_BYTES = 8192  # of content trained on ordinary text, in both dictionaries
-OWN_BYTES = 4096  # of content that toxic text has alone, at most
-STEPS = (2, 3, 4, 6)
+ORDINARY_BYTES, TOXIC_BYTES = 8192, 1024  # content of the two dictionaries
+GRAMS = (6, 8)  # bytes of the grams by which toxic windows are told from ordinary ones
+TABLE_BITS = 22  # of the hashed counts of grams: 16 MB a class, whatever the sample
+#: Fixed value: the repeat offsets after which the content of a dictionary of the trainer begins.
+CONTENT_AFTER = bytes.fromhex("010000000400000008000000")
 
 
 def windows(text: str) -> list[bytes]:
@@ -41,36 +42,26 @@ def windows(text: str) -> list[bytes]:
 
 @dataclass
 class Model:
+    """`toxic` and `ordinary`: contents of the two trained dictionaries; `weights`: constant, log of saved bytes, log of windows."""
+
     toxic: bytes = b""
     ordinary: bytes = b""
     weights: list[float] = field(default_factory=list)
 
-    def __post_init__(self):
-        self.key = zlib.crc32(self.toxic + b"\0" + self.ordinary)
+    def saved(self, text: str | None) -> tuple[int, int]:
+        """(bytes saved, windows): over all windows of the text, by how much each is shorter when compressed with the toxic dictionary added to the ordinary one."""
+        plain, both = _compressor(self.ordinary), _compressor(self.toxic + self.ordinary)
+        ws = windows(text) if text else []
+        return sum(max(0, len(plain(w)) - len(both(w))) for w in ws), len(ws)
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """Of the bytes that the toxic dictionary saves per window against the ordinary one: greatest, second, mean of the three greatest, mean, shares and counts (log) of windows that save STEPS or more, size."""
-        toxic, ordinary = _compressor(self.toxic), _compressor(self.ordinary)
-        out = np.zeros((len(texts), 6 + 2 * len(STEPS)))
-        for i, text in enumerate(texts):
-            ws = windows(text) if text else []
-            if not ws:
-                continue
-            saved = np.sort(np.array([len(ordinary(w)) - len(toxic(w)) for w in ws], float))[::-1]
-            n = [float((saved >= s).sum()) for s in STEPS]
-            out[i] = [saved[0], saved[1] if len(saved) > 1 else 0, saved[:3].mean(), saved.mean(), saved.mean() * math.sqrt(len(ws)), math.log(len(ws)), *(x / len(ws) for x in n), *(math.log1p(x) for x in n)]
-        return out
+        return np.array([(1.0, math.log1p(s), math.log1p(n)) for s, n in map(self.saved, texts)]).reshape(-1, 3)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        z = _design(self.features(texts)) @ np.array(self.weights) if self.weights else np.full(len(texts), -20.0)
+        z = self.features(texts) @ np.array(self.weights) if self.weights else np.full(len(texts), -20.0)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _design(x: np.ndarray) -> np.ndarray:
-    """Constant, features, and the products of those that count windows or saved bytes with the size."""
-    return np.column_stack([np.ones(len(x)), x, x[:, 0] * x[:, 5], x[:, 3] * x[:, 5], x[:, 0] ** 2, x[:, 2] ** 2])
-
-
 @lru_cache(16)
 def _compressor(content: bytes):
     p = zstandard.ZstdCompressionParameters.from_level(LEVEL, min_match=MIN_MATCH, write_checksum=0, write_content_size=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
@@ -92,24 +83,66 @@ def _without_copies(texts: list[str]) -> list[str]:
     return out
 
 
-def _own_content(mine: list[str], other: list[str], least_docs: int, odds: float) -> bytes:
-    """The words that are in `least_docs` texts of this class and `odds` times as frequent there as in the other, the strongest last (nearest to the window)."""
-    a, b = Counter(), Counter()
-    for c, texts in ((a, mine), (b, other)):
-        for t in texts:
-            c.update(set(t.lower().encode().split()))
-    lead = {w: math.log((n + 0.5) / (len(mine) + 1)) - math.log((b[w] + 0.5) / (len(other) + 1)) for w, n in a.items() if n >= least_docs and len(w) >= 4}
-    out, size = [], 0
-    for w in sorted((w for w, x in lead.items() if x >= math.log(odds)), key=lambda w: (-a[w] * lead[w], w)):
-        if size + len(w) + 1 > OWN_BYTES:
-            break
-        out.append(w)
-        size += len(w) + 1
-    return b" " + b" ".join(reversed(out)) + b" "
+def _flat(text: str) -> bytes:
+    return b"".join(windows(text)) + b" "
+
+
+def _grams(data: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the k bytes from each place on, and whether they stay inside a word and its blanks."""
+    b = np.frombuffer(data, np.uint8)
+    n = max(0, len(b) - k + 1)
+    code, inside = np.full(n, k, np.uint64), np.ones(n, bool)
+    for j in range(k):
+        code = code * np.uint64(0x9E3779B97F4A7C15) + b[j : n + j]
+        code ^= code >> np.uint64(29)
+        if 0 < j < k - 1:
+            inside &= b[j : n + j] != 32
+    return (code * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - TABLE_BITS)).astype(np.int64), inside
+
+
+def _contrast(toxic: list[str], ordinary: list[str], sigmas: float, odds: float) -> list[np.ndarray]:
+    """For each size of GRAMS the hashes whose share of toxic texts is above that of ordinary texts by `sigmas` standard errors (two proportions) and `odds`-fold."""
+    out = []
+    for k in GRAMS:
+        count = []
+        for texts in (toxic, ordinary):
+            c = np.zeros(1 << TABLE_BITS, np.int32)
+            for t in texts:
+                g, inside = _grams(_flat(t), k)
+                c[np.unique(g[inside])] += 1
+            count.append(c)
+        a, b = count
+        n, m = len(toxic), len(ordinary)
+        pool = (a + b) / (n + m)
+        z = (a / n - b / m) / np.sqrt(np.maximum(pool * (1 - pool), 1e-9) * (1 / n + 1 / m))
+        out.append((z >= sigmas) & ((a + 0.5) / (n + 1) >= odds * (b + 0.5) / (m + 1)))
+    return out
+
 
+def _contrastive_windows(text: str, telling: list[np.ndarray]) -> list[bytes]:
+    """The stretches of a text that telling grams cover, each once."""
+    data = _flat(text)
+    cover = np.zeros(len(data) + 1, np.int32)
+    for k, ok in zip(GRAMS, telling):
+        g, inside = _grams(data, k)
+        at = np.flatnonzero(ok[g] & inside)
+        cover[at] += 1
+        cover[at + k] -= 1
+    edges = np.diff(np.concatenate([[0], (np.cumsum(cover)[:-1] > 0).astype(np.int8), [0]]))
+    return list(dict.fromkeys(data[s:e] for s, e in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1))))
 
-def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Newton steps on the ridge-penalised log-likelihood, in standardised columns."""
+
+def _train_dictionary(samples: list[bytes], size: int) -> bytes:
+    """Content of the dictionary that zstandard trains on the samples; of too few to train on, the samples themselves."""
+    try:
+        trained = zstandard.train_dictionary(size + 512, samples).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-size:]
+    return trained[trained.index(CONTENT_AFTER) + len(CONTENT_AFTER) :][-size:]
+
+
+def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Newton steps on the ridge-penalised log-likelihood, in standardised columns; the first is the constant."""
     mean, sd = x.mean(0), x.std(0)
     mean[0], sd[0] = 0, 1
     sd[sd == 0] = 1
@@ -132,19 +165,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """A model from the documents that `labels` (id, 0/1 label) names.
 
     Fitted on the driver from a bounded sample: of each label the `per_class` texts of least hash among those of
-    1 to `max_chars` characters; copies of a text are one. The half of even text hash trains the dictionaries, the other
-    half calibrates. The shared dictionary is trained on `max_windows` windows, spread evenly over the ordinary texts.
-    Null ids, texts and labels are left out; of an id with several labels the greatest counts. With one class alone, or
-    none, every score is near 0. Only ids and hashes meet the labels in a join; texts are fetched for the sample alone.
+    1 to `max_chars` characters; copies of a text are one. The half of even text hash trains the dictionaries: the
+    ordinary one on `max_windows` windows spread evenly over the ordinary texts, the toxic one on contrastive windows,
+    the stretches of toxic texts that are significantly more frequent there than in ordinary texts. The other half
+    calibrates: a text's bytes saved by the toxic dictionary, against its number of windows, give the probability. That
+    is for the class shares of all labelled texts, not of the sample. Null ids, texts and labels are left out; of an id
+    with several labels the greatest counts. With one class alone, or none, every score is near 0. Only ids and hashes
+    meet the labels in a join; texts are fetched for the sample alone.
     """
     known = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).where("y IN (0, 1)").groupBy("i").agg(F.max("y").alias("y"))
     slim = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("h"), F.length(text_col).alias("n")).where(F.col("n").between(1, max_chars)).select("i", "h")
-    joined = slim.join(known, "i")
-    top = [tuple(r) for y in (0, 1) for r in joined.where(F.col("y") == y).groupBy("h").agg(F.min("i").alias("i"), F.first("y").alias("y")).select(*joined.columns).orderBy("h").limit(per_class).collect()]
+    joined = materialize(slim.join(known, "i").groupBy("y", "h").agg(F.min("i").alias("i")))
+    total = {r["y"]: r["count"] for r in joined.groupBy("y").count().collect()}
+    top = [tuple(r) for y in (0, 1) for r in joined.where(F.col("y") == y).orderBy("h").limit(per_class).collect()]
     picked = docs.sparkSession.createDataFrame(top, joined.schema)  # 2 * per_class rows at most
     texts = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t")).join(F.broadcast(picked), ["i", "h"]).collect()
     sample = {y: sorted({(r["h"], r["t"]) for r in texts if r["y"] == y}) for y in (0, 1)}
-    return _fit(sample, max_windows)
+    return _fit(sample, max_windows, total)
 
 
 def _spread(texts: list[str], most: int) -> list[bytes]:
@@ -159,24 +196,22 @@ def _spread(texts: list[str], most: int) -> list[bytes]:
     return out
 
 
-def _fit(sample: dict[int, list[tuple[int, str]]], max_windows: int) -> Model:
-    """From (hash, text) of each label."""
+def _fit(sample: dict[int, list[tuple[int, str]]], max_windows: int, total: dict[int, int] | None = None, sigmas: float = 6.0, odds: float = 4.0) -> Model:
+    """From (hash, text) of each label; `total` holds the number of labelled texts of each."""
     if not all(len(v) >= 8 for v in sample.values()):
         return Model()
     half = {y: [_without_copies([t for h, t in v if h % 2 == k]) for k in (0, 1)] for y, v in sample.items()}
+    if not all(x for v in half.values() for x in v):
+        return Model()
     toxic, ordinary = half[1][0], half[0][0]
-    least = max(3, min(8, len(toxic) // 40))
-    plain = _spread(ordinary, max_windows)
-    try:
-        shared = zstandard.train_dictionary(SHARED_BYTES + 512, plain).as_bytes()[-SHARED_BYTES:]
-    except zstandard.ZstdError:  # too little text to train on: the text itself is the content
-        shared = b"".join(plain)[-SHARED_BYTES:]
-    # Both end in what ordinary text has most; at equal distances from the window only a match with toxic content makes a difference.
-    model = Model(_own_content(toxic, ordinary, least, 12) + shared, shared)
-    texts = half[1][1] + half[0][1]
+    telling = _contrast(toxic, ordinary, sigmas, odds)
+    samples = [b"".join(found) for t in toxic if (found := _contrastive_windows(t, telling))]
+    model = Model(_train_dictionary(samples, TOXIC_BYTES), _train_dictionary(_spread(ordinary, max_windows), ORDINARY_BYTES))
     y = np.array([1.0] * len(half[1][1]) + [0.0] * len(half[0][1]))
-    # Each class weighs as in the sample; the threshold of a half then balances both kinds of error for these shares.
-    model.weights = _fit_logistic(_design(model.features(texts)), y).tolist()
+    weights = _fit_logistic(model.features(half[1][1] + half[0][1]), y)
+    if total:  # from the odds in the sample to those of all labelled texts
+        weights[0] += math.log(total[1] / total[0]) - math.log(len(sample[1]) / len(sample[0]))
+    model.weights = weights.tolist()
     return model
 
 
@@ -185,7 +220,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     docs = docs.drop(out_col)
     names = docs.columns
     at = names.index(text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((model.toxic, model.ordinary, model.weights))  # two dictionaries of 8 KB at most
+    shared = docs.sparkSession.sparkContext.broadcast((model.toxic, model.ordinary, model.weights))  # two dictionaries, 9 KB at most
 
     def run(batches):
         m = Model(*shared.value)
