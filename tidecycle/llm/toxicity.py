@@ -21,7 +21,7 @@ LEVEL = 7
 MIN_MATCH = 6
 ORDINARY_BYTES, TOXIC_BYTES = 8192, 1024  # content of the two dictionaries
 GRAMS = (6, 8)  # bytes of the grams by which toxic windows are told from ordinary ones
-TABLE_BITS = 22  # of the hashed counts of grams: 16 MB a class, whatever the sample
+TABLE_BITS = 21  # of the hashed counts of grams: 8 MB a table, whatever the sample
 #: Fixed value: the repeat offsets after which the content of a dictionary of the trainer begins.
 CONTENT_AFTER = bytes.fromhex("010000000400000008000000")
 
@@ -42,23 +42,29 @@ def windows(text: str) -> list[bytes]:
 
 @dataclass
 class Model:
-    """`toxic` and `ordinary`: contents of the two trained dictionaries; `weights`: constant, log of saved bytes, log of windows."""
+    """`toxic`: contents of the dictionaries trained on either half of the toxic texts; `ordinary`: that of ordinary text; `weights`: for each toxic one a constant, those of the log of saved bytes and of the log of windows."""
 
-    toxic: bytes = b""
+    toxic: list[bytes] = field(default_factory=list)
     ordinary: bytes = b""
-    weights: list[float] = field(default_factory=list)
+    weights: list[list[float]] = field(default_factory=list)
 
-    def saved(self, text: str | None) -> tuple[int, int]:
-        """(bytes saved, windows): over all windows of the text, by how much each is shorter when compressed with the toxic dictionary added to the ordinary one."""
-        plain, both = _compressor(self.ordinary), _compressor(self.toxic + self.ordinary)
+    def saved(self, text: str | None) -> tuple[list[int], int]:
+        """(bytes saved by each toxic dictionary, windows): over all windows of the text, by how much each is shorter when compressed with the toxic dictionary added to the ordinary one."""
+        plain, with_toxic = _compressor(self.ordinary), [_compressor(t + self.ordinary) for t in self.toxic]
         ws = windows(text) if text else []
-        return sum(max(0, len(plain(w)) - len(both(w))) for w in ws), len(ws)
+        alone = [len(plain(w)) for w in ws]
+        return [sum(max(0, n - len(both(w))) for w, n in zip(ws, alone)) for both in with_toxic], len(ws)
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        return np.array([(1.0, math.log1p(s), math.log1p(n)) for s, n in map(self.saved, texts)]).reshape(-1, 3)
+        """Shape (toxic dictionaries, texts, 3): a constant, log of saved bytes, log of windows."""
+        rows = [self.saved(t) for t in texts]
+        return np.array([[(1.0, math.log1p(s[k]), math.log1p(n)) for s, n in rows] for k in range(len(self.toxic))]).reshape(len(self.toxic), len(texts), 3)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        z = self.features(texts) @ np.array(self.weights) if self.weights else np.full(len(texts), -20.0)
+        """Probability of the mean log odds of the dictionaries."""
+        if not self.weights:
+            return np.full(len(texts), 1 / (1 + math.exp(20)))
+        z = np.mean([x @ np.array(w) for x, w in zip(self.features(texts), self.weights)], 0)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -100,22 +106,30 @@ def _grams(data: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
     return (code * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - TABLE_BITS)).astype(np.int64), inside
 
 
-def _contrast(toxic: list[str], ordinary: list[str], sigmas: float, odds: float) -> list[np.ndarray]:
-    """For each size of GRAMS the hashes whose share of toxic texts is above that of ordinary texts by `sigmas` standard errors (two proportions) and `odds`-fold."""
+def _counts(texts: list[str]) -> list[np.ndarray]:
+    """For each size of GRAMS, how many of the texts hold each hash."""
+    out = [np.zeros(1 << TABLE_BITS, np.int32) for _ in GRAMS]
+    for t in texts:
+        data = _flat(t)
+        for c, k in zip(out, GRAMS):
+            g, inside = _grams(data, k)
+            c[np.unique(g[inside])] += 1
+    return out
+
+
+def _contrast(toxic: list[np.ndarray], ordinary: list[np.ndarray], n: int, m: int, sigmas: float, odds: float) -> list[np.ndarray]:
+    """For each size of GRAMS the hashes that n toxic texts hold significantly more often than m ordinary ones: by the likelihood ratio, `sigmas` standard deviations, and `odds`-fold."""
     out = []
-    for k in GRAMS:
-        count = []
-        for texts in (toxic, ordinary):
-            c = np.zeros(1 << TABLE_BITS, np.int32)
-            for t in texts:
-                g, inside = _grams(_flat(t), k)
-                c[np.unique(g[inside])] += 1
-            count.append(c)
-        a, b = count
-        n, m = len(toxic), len(ordinary)
-        pool = (a + b) / (n + m)
-        z = (a / n - b / m) / np.sqrt(np.maximum(pool * (1 - pool), 1e-9) * (1 / n + 1 / m))
-        out.append((z >= sigmas) & ((a + 0.5) / (n + 1) >= odds * (b + 0.5) / (m + 1)))
+    for a, b in zip(toxic, ordinary):
+        at = np.flatnonzero(a)
+        x, y = a[at].astype(float), b[at].astype(float)
+        p = (x + y) / (n + m)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            parts = [np.where(o > 0, o * np.log(o / e), 0.0) for o, e in ((x, n * p), (y, m * p), (n - x, n * (1 - p)), (m - y, m * (1 - p)))]
+        ok = (2 * sum(parts) >= sigmas**2) & ((x + 0.5) / (n + 1) >= odds * (y + 0.5) / (m + 1))
+        telling = np.zeros(len(a), bool)
+        telling[at[ok]] = True
+        out.append(telling)
     return out
 
 
@@ -165,10 +179,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """A model from the documents that `labels` (id, 0/1 label) names.
 
     Fitted on the driver from a bounded sample: of each label the `per_class` texts of least hash among those of
-    1 to `max_chars` characters; copies of a text are one. The half of even text hash trains the dictionaries: the
-    ordinary one on `max_windows` windows spread evenly over the ordinary texts, the toxic one on contrastive windows,
-    the stretches of toxic texts that are significantly more frequent there than in ordinary texts. The other half
-    calibrates: a text's bytes saved by the toxic dictionary, against its number of windows, give the probability. That
+    1 to `max_chars` characters; copies of a text are one. The ordinary dictionary is trained on `max_windows` windows
+    spread evenly over the ordinary texts, the toxic one on contrastive windows, the stretches of toxic texts that are
+    significantly more frequent there than in ordinary texts. There are two toxic dictionaries, each
+    trained on one half of the texts (by text hash) and calibrated on the other: a text's bytes saved by the toxic
+    dictionary, against its number of windows, give log odds, whose mean is taken. The probability
     is for the class shares of all labelled texts, not of the sample. Null ids, texts and labels are left out; of an id
     with several labels the greatest counts. With one class alone, or none, every score is near 0. Only ids and hashes
     meet the labels in a join; texts are fetched for the sample alone.
@@ -203,15 +218,17 @@ def _fit(sample: dict[int, list[tuple[int, str]]], max_windows: int, total: dict
     half = {y: [_without_copies([t for h, t in v if h % 2 == k]) for k in (0, 1)] for y, v in sample.items()}
     if not all(x for v in half.values() for x in v):
         return Model()
-    toxic, ordinary = half[1][0], half[0][0]
-    telling = _contrast(toxic, ordinary, sigmas, odds)
-    samples = [b"".join(found) for t in toxic if (found := _contrastive_windows(t, telling))]
-    model = Model(_train_dictionary(samples, TOXIC_BYTES), _train_dictionary(_spread(ordinary, max_windows), ORDINARY_BYTES))
-    y = np.array([1.0] * len(half[1][1]) + [0.0] * len(half[0][1]))
-    weights = _fit_logistic(model.features(half[1][1] + half[0][1]), y)
-    if total:  # from the odds in the sample to those of all labelled texts
-        weights[0] += math.log(total[1] / total[0]) - math.log(len(sample[1]) / len(sample[0]))
-    model.weights = weights.tolist()
+    model = Model(ordinary=_train_dictionary(_spread(half[0][0] + half[0][1], max_windows), ORDINARY_BYTES))
+    for k in (0, 1):
+        telling = _contrast(_counts(half[1][k]), _counts(half[0][k]), len(half[1][k]), len(half[0][k]), sigmas, odds)
+        model.toxic.append(_train_dictionary([b"".join(found) for t in half[1][k] if (found := _contrastive_windows(t, telling))], TOXIC_BYTES))
+    toxic, ordinary = ([model.features(half[y][k])[1 - k] for k in (0, 1)] for y in (1, 0))
+    for k in (0, 1):  # of the half that the dictionary was not trained on
+        x, y = toxic[1 - k], ordinary[1 - k]
+        weights = _fit_logistic(np.concatenate([x, y]), np.array([1.0] * len(x) + [0.0] * len(y)))
+        if total:  # from the odds in the sample to those of all labelled texts
+            weights[0] += math.log(total[1] / total[0]) - math.log(len(x) / len(y))
+        model.weights.append(weights.tolist())
     return model
 
 
@@ -220,7 +237,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     docs = docs.drop(out_col)
     names = docs.columns
     at = names.index(text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((model.toxic, model.ordinary, model.weights))  # two dictionaries, 9 KB at most
+    shared = docs.sparkSession.sparkContext.broadcast((model.toxic, model.ordinary, model.weights))  # three dictionaries, 10 KB at most
 
     def run(batches):
         m = Model(*shared.value)
