@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 import regex
@@ -69,3 +70,52 @@ def test_removal_keeps_columns(spark, odd):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def brute_matches(text, items, window):
+    """All pairs of places: (start, words, item, start in the item) of verbatim matches that count, and those spans that are not part of another."""
+    w, out = words(text), []
+    for name, t in items:
+        v = words(t)
+        m = min(window, len(v))
+        for p in range(len(w)):
+            for s in range(len(v)):
+                n = 0
+                while p + n < len(w) and s + n < len(v) and w[p + n] == v[s + n]:
+                    n += 1
+                if n >= m:
+                    out.append((p, n, name, s))
+    spans = {(p, n) for p, n, _, _ in out}
+    return out, {(p, n) for p, n in spans if not any(q <= p and q + k >= p + n and (q, k) != (p, n) for q, k in spans)}
+
+
+@pytest.mark.parametrize("window", [1, 3, 4, 13, 70, 200])
+def test_longest_matches_against_brute_force(spark, docs, window):
+    rng = random.Random(window)
+    items, texts = [], []
+    for k in range(12):
+        n = rng.choice([1, 2, 3, 5, 12, 30, 90, 230])
+        items.append((f"i{k}", " ".join(f"w{rng.randrange(rng.choice([3, 40]))}" for _ in range(n))))
+    for _ in range(25):
+        w = [f"w{rng.randrange(40)}" for _ in range(rng.randrange(60))]
+        v = rng.choice(items)[1].split()
+        a = rng.randrange(len(v))
+        w[rng.randrange(len(w) + 1) : 0] = v[a : a + rng.randrange(1, 240)]
+        texts.append(" ".join(w))
+    texts += [items[3][1], "", None]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for block_bytes in (32 << 20, 2000):
+        out = {r.doc_id: r for r in dc.find_contamination(docs(texts), bench, window=window, block_bytes=block_bytes).withColumn("top", dc.longest_match()).collect()}
+        for i, t in enumerate(texts):
+            every, outer = brute_matches(t, items, window)
+            got = [(m.start, m.words, m.item, m.item_start) for m in out[i]["__matches"]]
+            assert {(s, n) for s, n, _, _ in got} == outer and set(got) <= set(every) and len(got) == len(outer)
+            assert out[i].top == max((n for _, n in outer), default=0)
+            assert sum(x.e - x.s for x in out[i]["__spans"]) == len({p for s, n, _, _ in every for p in range(s, s + n)})
+
+
+def test_a_passage_in_many_items_and_documents(spark, docs):
+    passage = " ".join(f"p{i}" for i in range(120))
+    bench = spark.createDataFrame([(i, f"own{i} {passage} end{i}") for i in range(300)], "item_id int, text string")
+    out = dc.find_contamination(docs([f"d{i} {passage}" for i in range(300)] + ["clean text"]), bench).select("doc_id", F.size("__items").alias("n"), dc.longest_match().alias("m"), dc.hit_words().alias("h")).collect()
+    assert {(r.n, r.m, r.h) for r in out if r.doc_id < 300} == {(300, 120, 120)} and [(r.n, r.m) for r in out if r.doc_id == 300] == [(0, 0)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from functools import lru_cache
@@ -22,14 +23,47 @@ def words(text: bytes | None) -> list[bytes]:
     return text.translate(WORD_TABLE).split() if text else []
 
 
+#: An odd multiplier for sequences of hashes and those of the splitmix64 finaliser.
+BASE, MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+CACHE_WORDS = 150_000
+
+
+class _WordHash(dict):
+    """Word -> 64-bit hash, never 0; forgets all when it is full."""
+
+    def __missing__(self, w: bytes) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[w] = h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little") or 1
+        return h
+
+
+_HASHES = _WordHash()
+
+
+def word_hashes(ws: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words. Operators compare words by them: two different words are taken for equal with a chance of 2**-64."""
+    return np.fromiter(map(_HASHES.__getitem__, ws), np.uint64, len(ws))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """The splitmix64 finaliser."""
+    x = (x ^ (x >> np.uint64(30))) * MIX_A
+    x = (x ^ (x >> np.uint64(27))) * MIX_B
+    return x ^ (x >> np.uint64(31))
+
+
 @lru_cache(1)
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="tidecycle-")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: `spark.checkpoint.dir`. A folder of our own is taken only where it is unset, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    """The folder that all executors share: `spark.checkpoint.dir`, or that of `SparkContext.setCheckpointDir`. A folder of our own is taken only where neither is set and driver and executors are one machine, as in tests; on a cluster that is an error."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return shared or _local_scratch()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -44,15 +44,17 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("__items").cast("long").alias("n_items"),
         F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
         decontamination.contaminated().alias("contaminated"),
+        decontamination.longest_match().alias("longest"),
     )
 
 
 OP4_SQL = f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark),
-win AS (
-  SELECT DISTINCT item, least(len(w), 13) AS m, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS g
-  FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s FROM b WHERE len(w) > 0)),
+b AS (SELECT row_number() OVER () AS rid, CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark),
+places AS (
+  SELECT rid, item, s, least(len(w), 13) AS m, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS g
+  FROM (SELECT rid, item, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s FROM b WHERE len(w) > 0)),
+win AS (SELECT DISTINCT item, m, g FROM places),
 sizes AS (SELECT DISTINCT m FROM win),
 heads AS (SELECT DISTINCT m, g FROM win),
 spots AS (
@@ -62,10 +64,13 @@ hits AS (SELECT doc_id, m, s, g FROM spots JOIN heads USING (m, g)),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS p FROM hits) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
-  FROM (SELECT DISTINCT doc_id, item FROM hits JOIN win USING (m, g)) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item FROM hits JOIN win USING (m, g)) GROUP BY doc_id),
+diagonals AS (SELECT doc_id, rid, h.m, h.s - p.s AS d, h.s - row_number() OVER (PARTITION BY doc_id, rid, h.s - p.s ORDER BY h.s) AS run FROM hits h JOIN places p ON h.m = p.m AND h.g = p.g),
+longest AS (SELECT doc_id, max(k) AS longest FROM (SELECT doc_id, m + count(*) - 1 AS k FROM diagonals GROUP BY doc_id, rid, m, d, run) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       coalesce(longest, 0) AS longest
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)
 """
 
 #: The rules that the query applies before the method.
