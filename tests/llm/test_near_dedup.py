@@ -90,3 +90,31 @@ def test_many_copies_and_near_copies(docs):
     texts = [" ".join(base)] * 300 + [near(rng, base, 1) for _ in range(500)] + ["alone in the world, quite alone"]
     out = result(docs(texts), chunk_grams=20_000)
     assert out == brute(list(enumerate(texts)))
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.95, 1.0])
+def test_first_grams_of_similar_sets_meet(threshold):
+    rng = random.Random(7)
+    for _ in range(3000):
+        a = set(rng.sample(range(60), rng.randrange(1, 40)))
+        b = {x for x in a if rng.random() > 0.15} | set(rng.sample(range(60), rng.randrange(0, 4)))
+        order = {x: rng.random() for x in range(60)}
+        if b and len(a & b) >= threshold * len(a | b) - 1e-9:
+            first = [set(sorted(s, key=order.get)[: nd.prefix_length(len(s), threshold)]) for s in (a, b)]
+            assert first[0] & first[1]
+
+
+@pytest.mark.parametrize("bits", [22, 4])
+def test_pages_of_a_template_part(docs, bits):
+    rng = random.Random(3)
+    menu = [f"menu{i}" for i in range(65)]
+    texts = [" ".join(menu + [f"w{rng.randrange(10**6)}" for _ in range(42)]) for _ in range(150)]
+    texts += [near(rng, texts[k % 5].split(), 1) for k in range(40)]
+    rows = list(enumerate(texts))
+    assert result(docs(rows), chunk_grams=2000, sketch_bits=bits) == brute(rows)
+
+
+def test_a_hot_node_of_many_edges(spark):
+    edges = [(0, i) for i in range(1, 1500)] + [(2000 + i, 2001 + i) for i in range(9)] + [(1499, 3000)]
+    got = {r.node: r.root for r in nd._components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(1500)}, 3000: 0, **{2000 + i: 2000 for i in range(10)}}

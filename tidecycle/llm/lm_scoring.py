@@ -2,33 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import materialize, utf8, words
-
-#: Odd multiplier of the pair hash and those of the splitmix64 finaliser.
-BASE, MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-CACHE_WORDS = 150_000
-
-
-class _WordHash(dict):
-    """Word -> 64-bit hash; forgets all when it is full."""
-
-    def __missing__(self, w: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[w] = h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        return h
-
-
-_HASHES = _WordHash()
-
+from .common import BASE, materialize, mix, utf8, word_hashes, words
 
 def _grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a block: word hashes, the document of each, bigram hashes (place i: words i-1 and i) and whether the place has one."""
@@ -38,14 +18,11 @@ def _grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         ws = words(t)
         sizes.append(len(ws))
         flat += ws
-    h = np.fromiter(map(_HASHES.__getitem__, flat), np.uint64, len(flat))
+    h = word_hashes(flat)
     doc = np.repeat(np.arange(len(texts)), sizes)
     inside = np.concatenate([[False], doc[1:] == doc[:-1]]) if len(doc) else np.zeros(0, bool)
     with np.errstate(over="ignore"):
-        x = np.concatenate([h[:1], h[:-1] * BASE + h[1:]])
-        x = (x ^ (x >> np.uint64(30))) * MIX_A
-        x = (x ^ (x >> np.uint64(27))) * MIX_B
-        pair = x ^ (x >> np.uint64(31))
+        pair = mix(np.concatenate([h[:1], h[:-1] * BASE + h[1:]]))
     return h, doc, pair, inside
 
 

@@ -10,11 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, packed, slices, utf8, words
+from .common import BASE, hot_keys, materialize, mix, packed, skew_join, slices, utf8, word_hashes, words
 
-#: Odd multipliers of a polynomial word-hash and of the splitmix64 finaliser.
-BASE, MIX_A, MIX_B = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-CACHE_WORDS = 150_000
 BLOCK, WIDTH = 256, 16_384  # members and n-grams that are compared at a time: dense blocks of 16 MB
 
 
@@ -27,37 +24,18 @@ def choose_bands(threshold: float, recall: float, hashes: int) -> tuple[int, int
     raise ValueError("too few hashes for this recall")
 
 
-class _WordHash(dict):
-    """Word -> 64-bit hash; forgets all when it is full."""
-
-    def __missing__(self, w: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[w] = h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        return h
-
-
-_HASHES = _WordHash()
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * MIX_A
-    x = (x ^ (x >> np.uint64(27))) * MIX_B
-    return x ^ (x >> np.uint64(31))
-
-
 def shingles(text: bytes | None, n: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-grams of words; a text of fewer words, but some, is one n-gram; none gives none."""
     ws = words(text)
     if not ws:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, ws), np.uint64, len(ws))
+    h = word_hashes(ws)
     m = min(n, len(h))
     code = np.zeros(len(h) - m + 1, np.uint64)
     with np.errstate(over="ignore"):
         for j in range(m):
-            code = code * np.uint64(BASE) + h[j : len(h) - m + 1 + j]
-        return np.unique(_mix(code + np.uint64(m)))
+            code = code * BASE + h[j : len(h) - m + 1 + j]
+        return np.unique(mix(code + np.uint64(m)))
 
 
 def _signatures(n: int, bands: int, rows: int):
@@ -81,7 +59,7 @@ def _signatures(n: int, bands: int, rows: int):
                     least = np.stack([np.minimum.reduceat(flat * f, starts) for f in factors], 1).reshape(len(part), bands, rows)
                     code = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(part), bands)).copy()
                     for r in range(rows):
-                        code = _mix(code * np.uint64(BASE) + least[:, :, r])
+                        code = mix(code * BASE + least[:, :, r])
                 for i, c in zip(part, code.view(np.int64).tolist()):
                     keys[i] = c
             yield pa.RecordBatch.from_arrays(
@@ -97,20 +75,94 @@ def _components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Every round each node takes the least label among its neighbours and itself, then the label of that label; rounds
     are written to the shared folder, and only the number of changes goes to the driver. Rounds grow with the logarithm
-    of a component's width.
+    of a component's width. Nodes of many edges and labels of many nodes are salted in the joins.
     """
     both = materialize(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).where("u <> v").distinct())
     labels = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")).withColumnRenamed("u", "node"))
+    wide = hot_keys(both, "v")
     while True:
-        seen = both.join(labels.select(F.col("node").alias("v"), "root"), "v").groupBy(F.col("u").alias("node")).agg(F.min("root").alias("near"))
+        seen = skew_join(both, labels.select(F.col("node").alias("v"), "root"), "v", "u", hot=wide).groupBy(F.col("u").alias("node")).agg(F.min("root").alias("near"))
         step = labels.join(seen, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        jump = step.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        step = materialize(step.join(jump, "root", "left").select("node", "old", F.least("root", F.coalesce("far", "root")).alias("root")))
+        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        step = materialize(skew_join(step, jump, "root", "node", hot=hot_keys(labels, "root")).select("node", "old", F.least("root", F.coalesce("far", "root")).alias("root")))
         if not step.where("old <> root").limit(1).count():
             return step.select("node", "root")
         labels = step.select("node", "root")
 
 
+def _stars(keys: DataFrame, node: str, bucket: str) -> DataFrame:
+    """Edges (a, b) that connect the nodes of each bucket: as many rows as (node, bucket) pairs at most, whatever the size of a bucket.
+
+    A node hangs on one head per bucket at most; its other heads are hung on the least of them, so that a group has
+    about one edge per member.
+    """
+    heads = keys.groupBy(bucket).agg(F.min(node).alias("head"), F.count("*").alias("k")).where("k > 1").select(bucket, "head")
+    stars = keys.join(heads, bucket).where(F.col(node) != F.col("head")).select(F.col(node).alias("a"), F.col("head").alias("b")).distinct()
+    stars = stars.withColumn("low", F.min("b").over(Window.partitionBy("a")))
+    return materialize(stars.select("a", F.col("low").alias("b")).unionByName(stars.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).distinct())
+
+
+def _frequent(n: int, bits: int):
+    """(place, count) in a table of 2**bits hashed counts of the n-grams that two or more members of a component in this task have."""
+
+    def run(batches):
+        counts = np.zeros(1 << bits, np.int32)
+        for batch in slices(batches, 2):
+            for root, t in zip(batch.column(0).to_pylist(), utf8(batch.column(2))):
+                np.add.at(counts, _place(shingles(t, n), root, bits), 1)
+        at = np.flatnonzero(counts > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at].astype(np.int64))], names=["place", "count"])
+
+    return run
+
+
+def _place(grams: np.ndarray, root: bytes, bits: int) -> np.ndarray:
+    """Place of the n-grams of a component in the table."""
+    with np.errstate(over="ignore"):
+        return (mix(grams ^ np.frombuffer(root[:8], np.uint64)[0]) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def prefix_length(n: int, threshold: float) -> int:
+    """So many of the first n-grams, in an order that all sets share, that two sets of a Jaccard similarity of `threshold` have one of them in common."""
+    return n - math.ceil(threshold * n - 1e-9) + 1
+
+
+def _prefixes(n: int, bits: int, threshold: float, shared):
+    """(cell, node): the rarest n-grams of each member, by the shared table, as many as `prefix_length` says."""
+
+    def run(batches):
+        counts = np.zeros(1 << bits, np.int32)
+        at, many = (np.frombuffer(x, np.int64) for x in shared.value)
+        counts[at] = np.minimum(many, 2**31 - 1)
+        for batch in slices(batches, 2):
+            cells, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for k, (root, t) in enumerate(zip(batch.column(0).to_pylist(), utf8(batch.column(2)))):
+                g = shingles(t, n)
+                first = g[np.lexsort([g, counts[_place(g, root, bits)]])[: prefix_length(len(g), threshold)]]
+                with np.errstate(over="ignore"):
+                    cells.append(mix(first * BASE ^ np.frombuffer(root[:8], np.uint64)[0]))
+                owner.append(np.full(len(first), k))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells).view(np.int64)), batch.column(1).take(pa.array(np.concatenate(owner)))], names=["cell", "node"])
+
+    return run
+
+
+def _parted(texts: DataFrame, n: int, threshold: float, bits: int) -> DataFrame:
+    """(node, root): candidate components (root, node, text) parted without loss.
+
+    Two sets of similarity `threshold` have one of their first n-grams in common, in any order of the n-grams that both
+    share (`prefix_length`). The order here is by how many members of the component have an n-gram, rarest first, as far as a
+    table of 2**bits counts knows (16 MB at 22 bits, sent to every task; what it lumps together changes the order, never
+    the result). So members that share only what all pages of a template have part at a cost in proportion to their number.
+    """
+    spark = texts.sparkSession
+    table = texts.select("root", "node", "text").mapInArrow(_frequent(n, bits), "place long, count long").groupBy("place").agg(F.sum("count").alias("count"))
+    rows = table.toArrow()  # 2**bits rows at most
+    shared = spark.sparkContext.broadcast(tuple(rows.column(c).to_numpy().astype(np.int64).tobytes() for c in ("place", "count")))
+    cells = materialize(texts.select("root", "node", "text").mapInArrow(_prefixes(n, bits, threshold, shared), "cell long, node binary"))
+    return _components(_stars(cells, "node", "cell"))
+
+
 def _verify(n: int, threshold: float):
     """Links of all pairs of a group: (i, i) chunks hold one side, (i, j) two. One row per member, with its linked weight here and an edge of a spanning forest of the links found."""
 
@@ -190,7 +242,7 @@ def _unite(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
         root[hi] = lo[first]  # from greater to less: no cycle
 
 
-def similarity_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, hashes: int = 128, id_col: str = "doc_id", text_col: str = "text", chunk_grams: int = 1 << 18) -> DataFrame:
+def similarity_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, hashes: int = 128, id_col: str = "doc_id", text_col: str = "text", chunk_grams: int = 1 << 18, sketch_bits: int = 22) -> DataFrame:
     """One row per input row: id, th (hash of the text), set_id, n_grams, class_id, copies, links.
 
     Two documents are linked when the Jaccard similarity of their sets of word n-grams is `threshold` or more.
@@ -204,10 +256,11 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, reca
        sets are one class member from here on (partial aggregation before the shuffle).
     2. Shuffle on band hashes; members that share a bucket are joined to the least member of it - a star, as many
        rows as members - and stars are merged into candidate components.
-    3. Verification on the full sets: the text of one row per member goes to its component once, components of
-       over `chunk_grams` n-grams are cut into chunks and pairs of chunks are tasks of their own. Pairs are counted
+    3. Components of over `chunk_grams` n-grams are parted by the n-grams that similar sets must share (`_parted`).
+    4. Verification on the full sets: the text of one row per member goes to its component. What is still over
+       `chunk_grams` n-grams, a group of texts that are truly close, is cut into chunks, and pairs of chunks are tasks of their own. Pairs are counted
        inside, never written: a task returns one row per member with its links and an edge of a spanning forest.
-    4. Components of the forests are the classes.
+    5. Components of the forests are the classes.
     """
     bands, per_band = choose_bands(threshold, recall, hashes)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
@@ -215,22 +268,22 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, reca
     signed = materialize(rows.mapInArrow(_signatures(n, bands, per_band), f"id {id_type}, th long, set binary, n long, bands array<long>"))
     full = signed.where("set IS NOT NULL")
     members = full.groupBy("set").agg(F.count("*").alias("size"), F.min("id").alias("least_id"), F.max("n").alias("n"))
-    keys = full.select("set", F.explode("bands").alias("band")).distinct()
-    buckets = keys.groupBy("band").agg(F.min("set").alias("head"), F.count("*").alias("k")).where("k > 1").select("band", "head")
-    stars = keys.join(buckets, "band").where("set <> head").select(F.col("set").alias("a"), F.col("head").alias("b")).distinct()
-    # A member hangs on one head per band at most; its other heads are hung on the least, so that a group has about one edge per member.
-    stars = stars.withColumn("low", F.min("b").over(Window.partitionBy("a")))
-    stars = materialize(stars.select("a", F.col("low").alias("b")).unionByName(stars.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).distinct())
-    comps = materialize(_components(stars))
-    # Chunks: a member of a component of c chunks goes to the c pairs that hold its chunk.
-    sized = comps.join(members.select(F.col("set").alias("node"), "size", "n"), "node")
-    counts = sized.groupBy("root").agg(F.ceil(F.sum("n") / chunk_grams).cast("int").alias("chunks"))
-    placed = sized.join(counts, "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    comps = materialize(_components(_stars(full.select("set", F.explode("bands").alias("band")).distinct(), "set", "band")))
     one = full.groupBy("set").agg(F.min(F.struct("id", "th")).alias("row")).select(F.col("set").alias("node"), F.col("row.id").alias("id"), F.col("row.th").alias("th"))
-    picked = placed.join(one, "node").select("node", "root", "chunks", "part", "size", "id", "th")
-    texts = rows.join(picked, (rows["id"].eqNullSafe(picked["id"])) & (rows["th"] == picked["th"])).select("node", "root", "chunks", "part", "size", "text")
+    picked = comps.join(members.select(F.col("set").alias("node"), "size", "n"), "node").join(one, "node").select("node", "root", "size", "n", "id", "th")
+    texts = materialize(rows.join(picked, (rows["id"].eqNullSafe(picked["id"])) & (rows["th"] == picked["th"])).select("root", "node", "size", "n", "text"))
+    grams = texts.groupBy("root").agg(F.sum("n").alias("grams"))
+    large = grams.where(F.col("grams") > chunk_grams).select("root")
+    if large.limit(1).count():
+        parts = _parted(skew_join(texts, large, "root", "node", "left_semi"), n, threshold, sketch_bits)
+        texts = skew_join(texts, large, "root", "node", "left_anti").unionByName(texts.drop("root").join(parts, "node").select("root", "node", "size", "n", "text"))
+        texts = materialize(texts)
+        grams = texts.groupBy("root").agg(F.sum("n").alias("grams"))
+    # Chunks: a member of a component of c chunks goes to the c pairs that hold its chunk.
+    counts = grams.select("root", F.ceil(F.col("grams") / chunk_grams).cast("int").alias("chunks"))
+    placed = skew_join(texts, counts, "root", "node").withColumn("part", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.struct(F.least(k, F.col("part")).alias("i"), F.greatest(k, F.col("part")).alias("j")))
-    tasks = texts.withColumn("p", F.explode(pairs)).select("root", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "part", F.col("node").alias("set"), "size", "text")
+    tasks = placed.withColumn("p", F.explode(pairs)).select("root", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "part", F.col("node").alias("set"), "size", "text")
     checked = materialize(tasks.groupBy("root", "i", "j").applyInPandas(_verify(n, threshold), "set binary, links long, other binary"))
     linked = checked.groupBy("set").agg(F.sum("links").alias("links"))
     classes = _components(checked.where("set <> other").select(F.col("set").alias("a"), F.col("other").alias("b")))
