@@ -114,7 +114,7 @@ def test_pages_of_a_template_part(docs, bits):
     assert result(docs(rows), chunk_grams=2000, sketch_bits=bits) == brute(rows)
 
 
-def test_a_hot_node_of_many_edges(spark):
+def test_components_of_stars_and_chains(spark):
     edges = [(0, i) for i in range(1, 1500)] + [(2000 + i, 2001 + i) for i in range(9)] + [(1499, 3000)]
     got = {r.node: r.root for r in nd._components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1500)}, 3000: 0, **{2000 + i: 2000 for i in range(10)}}

@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of words: 0-9, a-z and everything above ASCII; A-Z lower-cased, the rest blank.
@@ -73,20 +73,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(df: DataFrame, key: str) -> list:
-    """The hundred most frequent values of a column, of those in over 1000 rows."""
-    return [r[0] for r in df.groupBy(key).count().where("count > 1000").orderBy(F.desc("count")).limit(100).collect()]
-
-
-def skew_join(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left", hot: list | None = None, salts: int = 64) -> DataFrame:
-    """`left` joined with `right`, which has one row per key. Hot keys (`hot_keys` of `left` if not given) are salted by the hash of `spread`: their rows go to `salts` tasks and not to one."""
-    hot = hot_keys(left, key) if hot is None else hot
-    if not hot:
-        return left.join(right, key, how)
-    is_hot = F.col(key).isin(hot)
-    a = left.withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
-    b = right.withColumn("__salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    return a.join(b, [key, "__salt"], how).drop("__salt")
+def materialize_with(df: DataFrame, measure: Column):
+    """`materialize`, and the value of an aggregate over the rows, observed while they are written: no pass of its own."""
+    seen = Observation()
+    out = materialize(df.observe(seen, measure.alias("m")))
+    return out, seen.get["m"]
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BASE, hot_keys, materialize, mix, packed, skew_join, slices, utf8, word_hashes, words
+from .common import BASE, materialize, materialize_with, mix, packed, slices, utf8, word_hashes, words
 
 BLOCK, WIDTH = 256, 16_384  # members and n-grams that are compared at a time: dense blocks of 16 MB
 
@@ -75,17 +75,17 @@ def _components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Every round each node takes the least label among its neighbours and itself, then the label of that label; rounds
     are written to the shared folder, and only the number of changes goes to the driver. Rounds grow with the logarithm
-    of a component's width. Nodes of many edges and labels of many nodes are salted in the joins.
+    of a component's width. The joins are between plain shuffles, so that AQE may split nodes of many edges and labels
+    of many nodes.
     """
     both = materialize(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).where("u <> v").distinct())
     labels = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")).withColumnRenamed("u", "node"))
-    wide = hot_keys(both, "v")
     while True:
-        seen = skew_join(both, labels.select(F.col("node").alias("v"), "root"), "v", "u", hot=wide).groupBy(F.col("u").alias("node")).agg(F.min("root").alias("near"))
+        seen = both.join(labels.select(F.col("node").alias("v"), "root"), "v").groupBy(F.col("u").alias("node")).agg(F.min("root").alias("near"))
         step = labels.join(seen, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         jump = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        step = materialize(skew_join(step, jump, "root", "node", hot=hot_keys(labels, "root")).select("node", "old", F.least("root", F.coalesce("far", "root")).alias("root")))
-        if not step.where("old <> root").limit(1).count():
+        step, changes = materialize_with(step.join(jump, "root", "left").select("node", "old", F.least("root", F.coalesce("far", "root")).alias("root")), F.count_if(F.col("old") != F.col("root")))
+        if not changes:
             return step.select("node", "root")
         labels = step.select("node", "root")
 
@@ -102,6 +102,11 @@ def _stars(keys: DataFrame, node: str, bucket: str) -> DataFrame:
     return materialize(stars.select("a", F.col("low").alias("b")).unionByName(stars.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).distinct())
 
 
+def _grams(sized: DataFrame) -> DataFrame:
+    """(root, grams): n-grams of the members of each component."""
+    return sized.groupBy("root").agg(F.sum("n").alias("grams"))
+
+
 def _frequent(n: int, bits: int):
     """(place, count) in a table of 2**bits hashed counts of the n-grams that two or more members of a component in this task have."""
 
@@ -270,18 +275,17 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, reca
     members = full.groupBy("set").agg(F.count("*").alias("size"), F.min("id").alias("least_id"), F.max("n").alias("n"))
     comps = materialize(_components(_stars(full.select("set", F.explode("bands").alias("band")).distinct(), "set", "band")))
     one = full.groupBy("set").agg(F.min(F.struct("id", "th")).alias("row")).select(F.col("set").alias("node"), F.col("row.id").alias("id"), F.col("row.th").alias("th"))
-    picked = comps.join(members.select(F.col("set").alias("node"), "size", "n"), "node").join(one, "node").select("node", "root", "size", "n", "id", "th")
-    texts = materialize(rows.join(picked, (rows["id"].eqNullSafe(picked["id"])) & (rows["th"] == picked["th"])).select("root", "node", "size", "n", "text"))
-    grams = texts.groupBy("root").agg(F.sum("n").alias("grams"))
-    large = grams.where(F.col("grams") > chunk_grams).select("root")
-    if large.limit(1).count():
-        parts = _parted(skew_join(texts, large, "root", "node", "left_semi"), n, threshold, sketch_bits)
-        texts = skew_join(texts, large, "root", "node", "left_anti").unionByName(texts.drop("root").join(parts, "node").select("root", "node", "size", "n", "text"))
-        texts = materialize(texts)
-        grams = texts.groupBy("root").agg(F.sum("n").alias("grams"))
+    sized = comps.join(members.select(F.col("set").alias("node"), "size", "n"), "node")
+    picked = sized.join(_grams(sized), "root").join(one, "node")
+    texts = rows.join(picked, (rows["id"].eqNullSafe(picked["id"])) & (rows["th"] == picked["th"])).select("node", "root", "grams", "size", "n", "text")
+    texts, most = materialize_with(texts, F.max("grams"))
+    if (most or 0) > chunk_grams:
+        large = texts.where(F.col("grams") > chunk_grams)
+        parts = materialize(_parted(large, n, threshold, sketch_bits).join(large.select("node", "n"), "node"))
+        moved = large.drop("root", "grams", "n").join(parts.join(_grams(parts), "root"), "node")
+        texts = texts.where(F.col("grams") <= chunk_grams).unionByName(moved)
     # Chunks: a member of a component of c chunks goes to the c pairs that hold its chunk.
-    counts = grams.select("root", F.ceil(F.col("grams") / chunk_grams).cast("int").alias("chunks"))
-    placed = skew_join(texts, counts, "root", "node").withColumn("part", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    placed = texts.withColumn("chunks", F.ceil(F.col("grams") / chunk_grams).cast("int")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.struct(F.least(k, F.col("part")).alias("i"), F.greatest(k, F.col("part")).alias("j")))
     tasks = placed.withColumn("p", F.explode(pairs)).select("root", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "part", F.col("node").alias("set"), "size", "text")
     checked = materialize(tasks.groupBy("root", "i", "j").applyInPandas(_verify(n, threshold), "set binary, links long, other binary"))
