@@ -87,13 +87,39 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 9).alias("purity"))
 
 
-def op5_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tree to the depth of the paths, merged at every level; `op5_url_filters` has three levels, as its SQL."""
-    return url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES, whole_tree=True).select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 9).alias("purity"))
-
-
-OP5_SQL = r"""
-WITH p AS (
+def _level_sql(k: int) -> str:
+    """One level of the template tree: l<k> (host, shape, n, l, b, template, purity) to l<k + 1>."""
+    return rf"""
+a{k} AS (SELECT *, shape[{k + 1}] AS g, count(DISTINCT shape[{k + 1}]) OVER (PARTITION BY host, template) AS k FROM l{k}),
+b{k} AS (SELECT * EXCLUDE (g, k), CASE WHEN g IS NULL THEN NULL WHEN k > 12 THEN '*' ELSE g END AS seg FROM a{k}),
+c{k} AS (SELECT host, template, seg, coalesce(shape[{k + 2}], '') AS kid, sum(n) AS n FROM b{k} WHERE seg IS NOT NULL GROUP BY ALL),
+e{k} AS (SELECT *, sum(n) OVER (PARTITION BY host, template, seg) AS total, count(nullif(kid, '')) OVER (PARTITION BY host, template, seg) AS many FROM c{k}),
+d{k} AS (SELECT host, template, seg, CASE WHEN many > 12 AND kid <> '' THEN '*' ELSE kid END AS kid, sum(n) / any_value(total) AS p, any_value(total) AS total FROM e{k} GROUP BY 1, 2, 3, 4),
+s{k} AS (SELECT *, row_number() OVER (PARTITION BY host, template ORDER BY total DESC, seg) AS r FROM (SELECT DISTINCT host, template, seg, total FROM d{k})),
+w{k} AS (SELECT x.host, x.template, x.r AS ra, y.r AS rb, x.seg AS sa, y.seg AS sb, x.total AS ta, y.total AS tb FROM s{k} x JOIN s{k} y ON x.host = y.host AND x.template = y.template AND x.r < y.r),
+u{k} AS (
+  SELECT host, template, ra, rb, ta, tb, kid, sum(pa) - sum(pb) AS gap FROM (
+    SELECT w.host, w.template, ra, rb, ta, tb, kid, p AS pa, 0 AS pb FROM w{k} w JOIN d{k} d ON d.host = w.host AND d.template = w.template AND d.seg = w.sa
+    UNION ALL SELECT w.host, w.template, ra, rb, ta, tb, kid, 0, p FROM w{k} w JOIN d{k} d ON d.host = w.host AND d.template = w.template AND d.seg = w.sb) GROUP BY ALL),
+v{k} AS (
+  SELECT host, template, rb AS r, list(ra) AS alike FROM (
+    SELECT host, template, ra, rb FROM u{k} GROUP BY host, template, ra, rb, ta, tb HAVING max(abs(gap)) <= sqrt(ln(2 / 0.05) / 2) * (1 / sqrt(ta) + 1 / sqrt(tb)) + 1e-9) GROUP BY 1, 2, 3),
+g{k} AS (
+  SELECT host, template, r, [r] AS leads, r AS lead FROM s{k} WHERE r = 1
+  UNION ALL
+  SELECT host, template, r, CASE WHEN m IS NULL THEN list_append(leads, r) ELSE leads END, coalesce(m, r) FROM (
+    SELECT s.host, s.template, s.r, leads, list_min(list_intersect(leads, coalesce(alike, CAST([] AS BIGINT[])))) AS m
+    FROM g{k} g JOIN s{k} s ON s.host = g.host AND s.template = g.template AND s.r = g.r + 1 LEFT JOIN v{k} v ON v.host = s.host AND v.template = s.template AND v.r = s.r)),
+m{k} AS (SELECT host, template, seg, CASE WHEN count(*) OVER w > 1 THEN '{{' || string_agg(seg, '|') OVER (PARTITION BY host, template, lead ORDER BY seg ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) || '}}' ELSE seg END AS name
+  FROM g{k} JOIN s{k} USING (host, template, r) WINDOW w AS (PARTITION BY host, template, lead)),
+n{k} AS (SELECT b.host, shape, n, l, b, b.template || coalesce('/' || name, '') AS template, name IS NOT NULL AS new, purity FROM b{k} b LEFT JOIN m{k} m ON m.host = b.host AND m.template = b.template AND m.seg = b.seg),
+l{k + 1} AS (SELECT host, shape, n, l, b, template, CASE WHEN new THEN (sum(b) OVER w + 4.0 * purity) / (sum(l) OVER w + 4.0) ELSE purity END AS purity FROM n{k} WINDOW w AS (PARTITION BY host, template, new))"""
+
+
+#: Levels that the SQL unrolls; paths of the tables have two segments. The operator has no such bound.
+LEVELS = 3
+OP5_SQL = rf"""
+WITH RECURSIVE p AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
 rules(verdict, name, rhost, rpath) AS (VALUES
@@ -105,30 +131,14 @@ fit AS (
 r AS (
   SELECT p.page_id, host, path, rule, by_rule,
          list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
-           lambda s: CASE WHEN regexp_matches(s, '[0-9]') THEN '*' || regexp_extract(s, '(\.[A-Za-z]+)$', 1) ELSE s END) AS seg
+           lambda s: CASE WHEN regexp_matches(s, '[0-9]') THEN '*' || regexp_extract(s, '(\.[A-Za-z]+)$', 1) ELSE s END) AS shape
   FROM p LEFT JOIN fit USING (page_id)),
-s AS (
-  SELECT host, CASE WHEN len(seg) > 3 THEN list_append(seg[1:3], '**') ELSE seg END AS shape, count(*) AS n, count(by_rule) AS l,
-         count(*) FILTER (WHERE by_rule = 'block') AS b FROM r GROUP BY 1, 2),
-s1 AS (SELECT *, coalesce(shape[1], '') AS g, count(DISTINCT coalesce(shape[1], '')) OVER (PARTITION BY host) AS k FROM s),
-n1 AS (SELECT * EXCLUDE (g, k), CASE WHEN g = '' THEN '' WHEN k > 12 THEN '/*' ELSE '/' || g END AS f FROM s1),
-s2 AS (SELECT *, coalesce(shape[2], '') AS g, count(DISTINCT coalesce(shape[2], '')) OVER (PARTITION BY host, f) AS k FROM n1),
-n2 AS (SELECT * EXCLUDE (g, k, f), f || CASE WHEN g = '' THEN '' WHEN k > 12 THEN '/*' ELSE '/' || g END AS f FROM s2),
-s3 AS (SELECT *, coalesce(shape[3], '') AS g, count(DISTINCT coalesce(shape[3], '')) OVER (PARTITION BY host, f) AS k FROM n2),
-n3 AS (SELECT * EXCLUDE (g, k, f), f || CASE WHEN g = '' THEN '' WHEN k > 12 THEN '/*' ELSE '/' || g END || CASE WHEN len(shape) > 3 THEN '/**' ELSE '' END AS f FROM s3),
-n AS (SELECT *, '/' || split_part(f, '/', 2) AS branch, substr(f, length('/' || split_part(f, '/', 2)) + 1) AS tail FROM n3),
-br AS (
-  SELECT host, branch, sum(n) AS bn, sum(CASE WHEN tail <> '' THEN n ELSE 0 END) AS bd,
-         CASE WHEN sum(l) = 0 THEN 'unlabelled' WHEN 2 * sum(b) >= sum(l) THEN 'blocked' ELSE 'allowed' END AS state FROM n GROUP BY 1, 2),
-m AS (
-  SELECT host, branch, CASE WHEN count(*) OVER w > 1 AND abs(bd / bn - sum(bd) OVER w / sum(bn) OVER w) <= 0.25 THEN '/{' || state || '}' ELSE branch END AS merged
-  FROM br WINDOW w AS (PARTITION BY host, state)),
-t AS (SELECT n.host, shape, l, b, merged || tail AS template FROM n JOIN m USING (host, branch)),
-prior AS (SELECT CASE WHEN sum(l) > 0 THEN sum(b) / sum(l) ELSE 0.5 END AS q FROM s),
-pure AS (SELECT host, template, (sum(b) + 4.0 * any_value(q)) / (sum(l) + 4.0) AS purity FROM t, prior GROUP BY 1, 2)
-SELECT page_id, r.host, path, rule, coalesce(by_rule, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict, t.template, round(purity, 9) AS purity
-FROM r JOIN t ON r.host = t.host AND CASE WHEN len(seg) > 3 THEN list_append(seg[1:3], '**') ELSE seg END = t.shape
-JOIN pure ON t.host = pure.host AND t.template = pure.template
+sh AS (SELECT host, shape, count(*) AS n, count(by_rule) AS l, count(*) FILTER (WHERE by_rule = 'block') AS b FROM r GROUP BY 1, 2),
+prior AS (SELECT CASE WHEN sum(l) > 0 THEN sum(b) / sum(l) ELSE 0.5 END AS q FROM sh),
+l0 AS (SELECT sh.*, '' AS template, (sum(b) OVER w + 4.0 * q) / (sum(l) OVER w + 4.0) AS purity FROM sh, prior WINDOW w AS (PARTITION BY host)),
+{",".join(map(_level_sql, range(LEVELS)))}
+SELECT page_id, r.host, path, rule, coalesce(by_rule, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict, CASE WHEN t.template = '' THEN '/' ELSE t.template END AS template, round(purity, 9) AS purity
+FROM r JOIN l{LEVELS} t ON r.host = t.host AND r.shape = t.shape
 """
 
 
@@ -160,7 +170,7 @@ OP8_SQL = """
 WITH d AS (SELECT doc_id, coalesce(source, '') AS host, text, string_split(text, chr(10)) AS ls FROM documents),
 n AS (SELECT host, count(*) AS host_pages FROM d GROUP BY host),
 c AS (SELECT host, line, count(*) AS pages FROM (SELECT DISTINCT doc_id, host, trim(x, ' ') AS line FROM (SELECT doc_id, host, unnest(ls) AS x FROM d)) WHERE line <> '' GROUP BY host, line),
-bad AS (SELECT host, list(line) AS bad FROM c JOIN n USING (host) WHERE pages >= 5 AND pages > 0.1 * host_pages GROUP BY host),
+bad AS (SELECT host, list(line) AS bad FROM c JOIN n USING (host) WHERE pages >= 2 AND pages > 0.1 * host_pages GROUP BY host),
 k AS (SELECT doc_id, text, ls, CASE WHEN bad IS NULL THEN ls ELSE list_filter(ls, lambda x: NOT list_contains(bad, trim(x, ' '))) END AS kept FROM d LEFT JOIN bad USING (host))
 SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(len(ls) - len(kept), 0) AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS text_sha256 FROM k
 """
@@ -214,7 +224,6 @@ QUERIES = {
     "op3_feistel_sharding": op3_feistel_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_url_filters": op5_url_filters,
-    "op5_url_tree": op5_url_tree,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_line_dedup": op8_line_dedup,

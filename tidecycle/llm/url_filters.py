@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,9 +31,6 @@ class Rule:
         return host & F.startswith(F.col("path"), F.lit(self.path))
 
 
-DEPTH = 3
-
-
 def host_of(url: Column) -> Column:
     """After the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased; empty where there is none."""
     rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1)
@@ -44,27 +42,25 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None, url_col: str = "url", variable_children: int = 12, smoothing: float = 4.0, similar: float = 0.25, reject: float = 0.8, whole_tree: bool = False) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None, url_col: str = "url", variable_children: int = 12, smoothing: float = 4.0, alpha: float = 0.05, reject: float = 0.8) -> DataFrame:
     """`pages` with columns host, path, rule (of the longest rule that fits, else null), template, purity and verdict.
 
     Where a rule fits, it decides. The others are judged by the template of their path:
 
     1. Segments that hold a digit become `*` with their extension kept; urls collapse to (host, shape) counts.
-    2. Tree, level by level to depth 3: a node whose children (distinct segments under one host and parent) are more
-       than `variable_children` is variable and its children become `*`. Deeper segments become `**`.
-    3. Siblings merge when they are statistically alike: same parent, same state (unlabelled, mostly allowed or mostly
-       blocked), and a share of multi-segment tails that differs from the pool's by `similar` at most.
-    4. Purity of a merged template: (blocked + smoothing * prior) / (labelled + smoothing), prior being the blocked
-       share of all labelled urls (one half if there is none). Templates with purity >= `reject` are blocked.
-
-    With `whole_tree` the tree has the depth of the paths, and steps 2 and 3 are taken from the root down at every level:
-    siblings merge, whatever their labels, where the distributions of their children differ by `similar` at most (total
-    variation; children of a variable node are one). Each joins the first group whose largest member it is like.
+    2. The tree of each host is built from the root down, to the depth of its paths. A node whose children (distinct
+       segments under one host and template) are more than `variable_children` is variable and its children become `*`.
+    3. Siblings merge when their branches are statistically similar, whatever their labels: no child's share of the
+       urls differs by more than the Hoeffding bound for both numbers of urls at level `alpha`; children of a variable
+       node are one. From the most frequent sibling on, each joins the first group whose first member it is like.
+    4. Purity of a template: (blocked + smoothing * purity of its parent) / (labelled + smoothing), so that one without
+       labels has its parent's; the parent of a root is the blocked share of all labelled urls (one half if there is none).
+       Templates with purity >= `reject` are blocked.
 
     Labels: `labels` (url, blocked boolean), or where None the urls that a rule decides. Null urls and those without
     `://` have empty host and path. All rows pass through; input columns named as results are replaced; an
-    empty table gives none. Every aggregate has partial sums before its shuffle, and rows meet templates in joins whose
-    hot hosts AQE splits.
+    empty table gives none. Every aggregate has partial sums before its shuffle, what is gathered per node is bounded by
+    `variable_children`, and rows meet templates in joins whose hot hosts AQE splits.
     """
     ours = ("host", "path", "rule", "template", "purity", "verdict")
     rows, _ = packed(pages, url_col, drop=tuple(c for c in ours if c != url_col))
@@ -73,83 +69,58 @@ def judge_urls(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = N
     rule, by_rule = F.lit(None).cast("string"), F.lit(None).cast("string")
     for r in reversed(best):
         rule, by_rule = F.when(r.fits(), r.name).otherwise(rule), F.when(r.fits(), r.verdict).otherwise(by_rule)
-    rows = rows.withColumn("rule", rule).withColumn("__by_rule", by_rule).withColumn("__shape", _shape(whole_tree))
+    rows = rows.withColumn("rule", rule).withColumn("__by_rule", by_rule).withColumn("__shape", _shape())
     if labels is None:
         blocked = rows.select("host", "__shape", F.when(F.col("__by_rule") == "block", 1).when(F.col("__by_rule") == "allow", 0).alias("b"))
     else:
         known = labels.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("blocked").cast("int").alias("b"))
-        blocked = known.withColumn("__shape", _shape(whole_tree)).select("host", "__shape", "b").unionByName(rows.select("host", "__shape", F.lit(None).cast("int").alias("b")))
+        blocked = known.withColumn("__shape", _shape()).select("host", "__shape", "b").unionByName(rows.select("host", "__shape", F.lit(None).cast("int").alias("b")))
     shapes = blocked.groupBy("host", "__shape").agg(F.count("*").alias("n"), F.count("b").alias("labelled"), F.coalesce(F.sum("b"), F.lit(0)).alias("bad"))
-    known = (_tree if whole_tree else _templates)(shapes, variable_children, smoothing, similar)
+    known = _tree(shapes, variable_children, smoothing, alpha)
     verdict = F.coalesce(F.col("__by_rule"), F.when(F.col("purity") >= reject, "block").otherwise("allow"))
     found = rows.join(known, ["host", "__shape"], "left").withColumn("verdict", verdict)
     kept = [F.col("__url").alias(url_col) if c == url_col else F.col("__rest").getField(c).alias(c) for c in pages.columns if c not in ours]
     return found.select(*kept, *ours)
 
 
-def _shape(whole: bool = False) -> Column:
-    """The path with `*` for segments that hold a digit (an extension of letters stays), and unless `whole` `**` for all beyond DEPTH."""
-    segments = F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), lambda s: F.when(s.rlike("[0-9]"), F.concat(F.lit("*"), F.regexp_extract(s, r"(\.[A-Za-z]+)$", 1))).otherwise(s))
-    return segments if whole else F.when(F.size(segments) > DEPTH, F.concat(F.slice(segments, 1, DEPTH), F.array(F.lit("**")))).otherwise(segments)
+def _shape() -> Column:
+    """The segments of the path, with `*` for those that hold a digit (an extension of letters stays)."""
+    return F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), lambda s: F.when(s.rlike("[0-9]"), F.concat(F.lit("*"), F.regexp_extract(s, r"(\.[A-Za-z]+)$", 1))).otherwise(s))
 
 
-def _templates(shapes: DataFrame, variable_children: int, smoothing: float, similar: float) -> DataFrame:
+def _tree(shapes: DataFrame, variable_children: int, smoothing: float, alpha: float) -> DataFrame:
     """(host, __shape) -> template, purity."""
-    node = shapes.withColumn("__prefix", F.lit(""))
-    for level in range(DEPTH):
-        seg = F.coalesce(F.get(F.col("__shape"), F.lit(level)), F.lit(""))
-        kids = node.groupBy("host", "__prefix", seg.alias("__seg")).agg(F.count("*").alias("__k"))
-        wide = kids.groupBy("host", "__prefix").agg(F.count("*").alias("__kids")).where(F.col("__kids") > variable_children)
-        node = node.join(wide, ["host", "__prefix"], "left")
-        step = F.when(seg == "", "").when(F.col("__kids").isNotNull(), "/*").otherwise(F.concat(F.lit("/"), seg))
-        node = node.withColumn("__prefix", F.concat("__prefix", step)).drop("__kids")
-    tail = F.when(F.size("__shape") > DEPTH, "/**").otherwise("")
-    node = node.withColumn("template", F.concat("__prefix", tail))
-    # A branch is the first level of a template under its host; its tails are what follows.
-    node = node.withColumn("__branch", F.concat(F.lit("/"), F.split_part(F.col("template"), F.lit("/"), F.lit(2)))).withColumn("__tail", F.expr("substring(template, length(__branch) + 1)"))
-    deep = F.when(F.col("__tail") != "", F.col("n")).otherwise(0)
-    branch = node.groupBy("host", "__branch").agg(F.sum("n").alias("bn"), F.sum(deep).alias("bd"), F.sum("labelled").alias("bl"), F.sum("bad").alias("bb"))
-    state = F.when(F.col("bl") == 0, "unlabelled").when(2 * F.col("bb") >= F.col("bl"), "blocked").otherwise("allowed")
-    branch = branch.withColumn("__state", state)
-    pool = branch.groupBy("host", "__state").agg(F.sum("bn").alias("pn"), F.sum("bd").alias("pd"), F.count("*").alias("__members"))
-    alike = (F.col("__members") > 1) & (F.abs(F.col("bd") / F.col("bn") - F.col("pd") / F.col("pn")) <= similar)
-    merged = branch.join(pool, ["host", "__state"]).select("host", "__branch", F.when(alike, F.concat(F.lit("/{"), F.col("__state"), F.lit("}"))).otherwise(F.col("__branch")).alias("__merged"))
-    node = node.join(merged, ["host", "__branch"]).withColumn("template", F.concat("__merged", "__tail"))
-    return _purity(shapes, node, smoothing)
-
-
-def _tree(shapes: DataFrame, variable_children: int, smoothing: float, similar: float) -> DataFrame:
-    """(host, __shape) -> template, purity; the tree of all levels. A node has `variable_children` children at most, so what is gathered per node is bounded."""
     shapes = materialize(shapes)
-    node, at = shapes.withColumn("template", F.lit("")), ["host", "template"]
-    like = "array_position(transform(acc, g -> aggregate(map_keys(g.lead), 0D, (s, k) -> s + least(g.lead[k], coalesce(try_element_at(map_from_entries(x.kids), k), 0D))) >= {least}), true)".format(least=1 - similar - 1e-9)
+    bad, labelled = shapes.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("labelled"), F.lit(0))).first()
+    node, at = _with_purity(shapes.withColumns({"template": F.lit(""), "purity": F.lit(bad / labelled if labelled else 0.5)}), F.lit(True), smoothing), ["host", "template"]
+    share = "coalesce(try_element_at({}, k), 0D)".format
+    bound = f"{math.sqrt(math.log(2 / alpha) / 2)!r} * (1 / sqrt(g.n) + 1 / sqrt(-x.first)) + 1e-9"
+    like = f"array_position(transform(acc, g -> forall(array_union(map_keys(g.lead), map_keys(x.kids)), k -> abs({share('g.lead')} - {share('x.kids')}) <= {bound})), true)"
     groups = F.expr(
-        f"""aggregate(array_sort(sibs), CAST(array() AS array<struct<lead: map<string, double>, members: array<string>>>), (acc, x) -> IF({like} > 0,
-        transform(acc, (g, i) -> IF(i + 1 = {like}, named_struct('lead', g.lead, 'members', concat(g.members, array(x.seg))), g)),
-        concat(acc, array(named_struct('lead', map_from_entries(x.kids), 'members', array(x.seg))))))"""
+        f"""aggregate(array_sort(sibs, (p, q) -> CASE WHEN p.first < q.first THEN -1 WHEN p.first > q.first THEN 1 WHEN p.seg < q.seg THEN -1 WHEN p.seg > q.seg THEN 1 ELSE 0 END),
+        CAST(array() AS array<struct<lead: map<string, double>, n: bigint, members: array<string>>>), (acc, x) -> IF({like} > 0,
+        transform(acc, (g, i) -> IF(i + 1 = {like}, named_struct('lead', g.lead, 'n', g.n, 'members', concat(g.members, array(x.seg))), g)),
+        concat(acc, array(named_struct('lead', x.kids, 'n', -x.first, 'members', array(x.seg))))))"""
     )
     for level in range(shapes.agg(F.max(F.size("__shape"))).first()[0] or 0):
         node = node.withColumn("__seg", F.get("__shape", F.lit(level)))
-        open_ = node.where("__seg IS NOT NULL")
-        wide = open_.groupBy(*at, "__seg").agg(F.lit(1)).groupBy(*at).agg(F.count("*").alias("__kids")).where(F.col("__kids") > variable_children)
+        wide = node.where("__seg IS NOT NULL").groupBy(*at, "__seg").agg(F.lit(1)).groupBy(*at).agg(F.count("*").alias("__kids")).where(F.col("__kids") > variable_children)
         node = node.join(wide, at, "left").withColumn("__seg", F.when(F.col("__seg").isNotNull() & F.col("__kids").isNotNull(), "*").otherwise(F.col("__seg"))).drop("__kids")
         kids = node.where("__seg IS NOT NULL").groupBy(*at, "__seg", F.coalesce(F.get("__shape", F.lit(level + 1)), F.lit("")).alias("kid")).agg(F.sum("n").alias("n"))
         sizes = kids.groupBy(*at, "__seg").agg(F.sum("n").alias("all"), F.count(F.nullif("kid", F.lit(""))).alias("many"))
         kid = F.when((F.col("many") > variable_children) & (F.col("kid") != ""), "*").otherwise(F.col("kid"))
         kids = kids.join(sizes, [*at, "__seg"]).groupBy(*at, "__seg", "all", kid.alias("kid")).agg((F.sum("n") / F.col("all")).alias("share"))
-        sibs = kids.groupBy(*at, "__seg", "all").agg(F.sort_array(F.collect_list(F.struct("kid", "share"))).alias("kids")).groupBy(*at).agg(F.collect_list(F.struct((-F.col("all")).alias("first"), F.col("__seg").alias("seg"), "kids")).alias("sibs"))
+        sibs = kids.groupBy(*at, "__seg", "all").agg(F.map_from_entries(F.collect_list(F.struct("kid", "share"))).alias("kids")).groupBy(*at).agg(F.collect_list(F.struct((-F.col("all")).alias("first"), F.col("__seg").alias("seg"), "kids")).alias("sibs"))
         named = sibs.select(*at, F.explode(F.transform(groups, lambda g: g["members"])).alias("m"))
         name = F.when(F.size("m") > 1, F.concat(F.lit("{"), F.array_join(F.sort_array("m"), "|"), F.lit("}"))).otherwise(F.col("m")[0])
         named = named.select(*at, F.explode("m").alias("__seg"), name.alias("__name"))
-        node = node.join(named, [*at, "__seg"], "left").withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "__name"), F.lit("")))).drop("__seg", "__name")
-        node = materialize(node)  # the plan would grow by four of itself a level
-    return _purity(shapes, node.withColumn("template", F.when(F.col("template") == "", "/").otherwise(F.col("template"))), smoothing)
+        node = node.join(named, [*at, "__seg"], "left").withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "__name"), F.lit(""))))
+        node = materialize(_with_purity(node, F.col("__name").isNotNull(), smoothing).drop("__seg", "__name"))  # the plan would grow by some of itself a level
+    return node.select("host", "__shape", F.when(F.col("template") == "", "/").otherwise(F.col("template")).alias("template"), "purity")
 
 
-def _purity(shapes: DataFrame, node: DataFrame, smoothing: float) -> DataFrame:
-    """(host, __shape) -> template, purity, from the templates of all shapes."""
-    bad, labelled = shapes.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("labelled"), F.lit(0))).first()
-    prior = F.lit(bad / labelled if labelled else 0.5)
-    purity = node.groupBy("host", "template").agg(F.sum("bad").alias("b"), F.sum("labelled").alias("l"))
-    purity = purity.select("host", "template", ((F.col("b") + smoothing * prior) / (F.col("l") + smoothing)).alias("purity"))
-    return node.select("host", "__shape", "template").join(purity, ["host", "template"]).select("host", "__shape", "template", "purity")
+def _with_purity(node: DataFrame, new: Column, smoothing: float) -> DataFrame:
+    """`purity`, that of the parent so far, of the templates where `new` holds, from the labels of all urls below them."""
+    sums = node.where(new).groupBy("host", "template").agg(F.sum("bad").alias("__b"), F.sum("labelled").alias("__l"))
+    own = (F.col("__b") + smoothing * F.col("purity")) / (F.col("__l") + smoothing)
+    return node.join(sums, ["host", "template"], "left").withColumn("purity", F.when(new, own).otherwise(F.col("purity"))).drop("__b", "__l")
