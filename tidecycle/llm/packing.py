@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import zlib
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -146,45 +147,48 @@ def _pack_group(capacity: int, round_no: int, last: bool):
     return run
 
 
-def pack_lengths(items: DataFrame, capacity: int, per_partition: int = 40_000, rounds: int = 4) -> DataFrame:
+PLACED = "uid long, length long, sequence_id long, offset long, final boolean, bound long, bins long"
+
+
+def pack_lengths(items: DataFrame, capacity: int, per_partition: int = 40_000) -> DataFrame:
     """Packs rows (uid, length), 0 < length <= capacity: uid, sequence_id, offset, bound and bins of the partition that placed it.
 
     Items are dealt at random into partitions of about `per_partition` (the memory of a task is bounded by it at any
     size), packed best-fit decreasing, and certified by `lower_bound`. Partitions with a gap give back their emptiest
     bins; those documents are dealt anew among fewer partitions and packed again, until all are certified, one
-    partition is left, or `rounds` have passed.
+    partition is left, or a round gave back over nine tenths of what it was given.
     """
-    left, done = items.select("uid", "length"), []
-    for k in range(rounds):
+    left, done, before = items.select("uid", "length"), [], None
+    for k in itertools.count():
         n = left.count()
         if not n:
             break
         parts = -(-n // per_partition)
-        last = parts == 1 or k == rounds - 1
+        last = parts == 1 or (before is not None and n > 0.9 * before)
+        before = n
         dealt = left.withColumn("pid", F.pmod(F.xxhash64("uid", F.lit(k)), F.lit(parts)))
-        packed = dealt.groupBy("pid").applyInPandas(_pack_group(capacity, k, last), "uid long, length long, sequence_id long, offset long, final boolean, bound long, bins long")
-        packed = materialize(packed)
+        packed = materialize(dealt.groupBy("pid").applyInPandas(_pack_group(capacity, k, last), PLACED))
         done.append(packed.where("final"))
         left = packed.where("not final").select("uid", "length")
         if last:
             break
     if not done:
-        return items.sparkSession.createDataFrame([], "uid long, length long, sequence_id long, offset long, final boolean, bound long, bins long").drop("length", "final")
-    out = done[0]
-    for x in done[1:]:
-        out = out.unionByName(x)
-    return out.drop("length", "final")
+        return items.sparkSession.createDataFrame([], PLACED).drop("length", "final")
+    return reduce(DataFrame.unionByName, done).drop("length", "final")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", per_partition: int = 40_000) -> DataFrame:
     """Packs whole texts into as few sequences of at most `capacity` ids as it can.
 
-    One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset. Only documents longer than a sequence
-    are cut; their first piece takes the rest, the others are full and make sequences of their own. A null or empty
-    text is its end id alone. Repeated rows are packed each. Other columns are not read; an empty table gives none.
+    One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset, and of the partition that packed it the
+    certificate: bound (sequences that any packing of its pieces needs) and bins (sequences made). Only documents
+    longer than a sequence are cut; their first piece takes the rest, the others are full and make sequences of their
+    own (bound and bins 1). A null or empty text is its end id alone. Repeated rows are packed each. Other columns are
+    not read; an empty table gives none.
     """
     pieces = materialize(token_pieces(docs, tokenizer, capacity, end_id, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()))
     placed = pack_lengths(pieces.where(F.col("length") < capacity), capacity, per_partition)
     cols = [F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32"]
-    full = pieces.where(F.col("length") == capacity).select(*cols, (F.col("uid") + F.lit(2**62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return pieces.where(F.col("length") < capacity).join(placed, "uid").select(*cols, "sequence_id", "offset").unionByName(full)
+    one = F.lit(1).cast("long")
+    full = pieces.where(F.col("length") == capacity).select(*cols, (F.col("uid") + F.lit(2**62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), one.alias("bound"), one.alias("bins"))
+    return pieces.where(F.col("length") < capacity).join(placed, "uid").select(*cols, "sequence_id", "offset", "bound", "bins").unionByName(full)
