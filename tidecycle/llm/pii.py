@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,12 +72,44 @@ def possible_kinds(value: str) -> list[int]:
     return [1] * (value.count(".") == 3) + [2] * (12 <= n <= 19) + [3] * (7 <= n <= 15)
 
 
-def contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns around a place: two words before, and the words before and after; letters lower-cased, digits as 0, ^ and $ at the ends."""
-    before = re.sub("[0-9]+", "0", text[max(0, start - 80) : start].lower()).split()
-    after = re.sub("[0-9]+", "0", text[end : end + 40].lower()).split()
-    one, two = (before or ["^"])[-1], (["^", *before] or ["^"])[-2:]
-    return [f"{' '.join(two)} _", f"{one} _ {(after or ['$'])[0]}"]
+def _general(word: str) -> str:
+    """A word without its case and digits; a long one as its hash."""
+    word = re.sub("[0-9]+", "0", word.lower())
+    return word if len(word) <= 64 else hashlib.md5(word.encode()).hexdigest()
+
+
+def shape(value: str) -> str:
+    """Each digit as 0, runs of letters as a, no plus in front: what identifiers of a kind have in common."""
+    out = re.sub(r"[^\W\d_]+", "a", re.sub("[0-9]", "0", value.removeprefix("+")))
+    return out if len(out) <= 64 else hashlib.md5(out.encode()).hexdigest()
+
+
+class Neighbours:
+    """The words of a text, for those before and after a place, however long they are."""
+
+    def __init__(self, text: str):
+        self.text = text
+        spans = [m.span() for m in re.finditer(r"\S+", text)]
+        self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+
+    def before(self, at: int, k: int) -> list[str]:
+        """Up to k words that end at `at` or earlier; ^ stands at the beginning of the text."""
+        i, out = bisect_left(self.starts, at) - 1, []
+        while i >= 0 and len(out) < k:
+            out.append(_general(self.text[self.starts[i] : min(self.ends[i], at)]))
+            i -= 1
+        return ["^"] * (len(out) < k) + out[::-1]
+
+    def after(self, at: int) -> str:
+        """The word that begins at `at` or later; $ at the end of the text."""
+        i = bisect_right(self.ends, at)
+        return _general(self.text[max(self.starts[i], at) : self.ends[i]]) if i < len(self.ends) else "$"
+
+
+def contexts(words: Neighbours, start: int, end: int) -> list[str]:
+    """Lexical patterns around a place, from literal to general: two words before; the words before and after; the value's shape with the word before, with the word after, and with the word at a distance of two before."""
+    two, after, kind = words.before(start, 2), words.after(end), shape(words.text[start:end])
+    return [f"{' '.join(two)} _", f"{two[-1]} _ {after}", f"{two[-1]} <{kind}>", f"<{kind}> {after}", f"{two[0]} . <{kind}>"]
 
 
 SPAN = T.ArrayType(T.StructType([T.StructField("k", T.IntegerType()), T.StructField("s", T.IntegerType()), T.StructField("e", T.IntegerType())]))
@@ -99,7 +133,8 @@ def _scan(batches):
                     at += 1
                 if at == len(taken) or taken[at][0] >= m.end():
                     found.append((None, *m.span()))
-            places.append([{"k": k, "s": s, "e": e, "value": text[s:e], "may": possible_kinds(text[s:e]) if k is None else [k], "patterns": contexts(text, s, e)} for k, s, e in found])
+            words = Neighbours(text) if found else None
+            places.append([{"k": k, "s": s, "e": e, "value": text[s:e], "may": possible_kinds(text[s:e]) if k is None else [k], "patterns": contexts(words, s, e)} for k, s, e in found])
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bases, span), pa.array(places, place)], names=["id", "base", "places"])
 
 
@@ -107,7 +142,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
     """One row per input row: id, base and added (arrays of kind number, start, end; see KINDS).
 
     Base spans come from the four patterns, leftmost and non-overlapping within a kind. Other strings that could be
-    identifiers are candidates. Base spans are seeds; each round
+    identifiers are candidates, and each place of either has patterns from literal to general (`contexts`). Base spans are seeds; each round
     1. scores pattern-kind pairs: precision is the share of seeds of the kind among the distinct identifiers in that
        context that could be of the kind (base spans of other kinds count against it), `support` distinct seeds are needed;
     2. scores candidates through all patterns of a kind that reach `precision`: 1 - product of (1 - precision);
