@@ -10,7 +10,7 @@ from .common import materialize, packed
 BROADCAST_BYTES = 8 << 20
 
 
-def boilerplate_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def boilerplate_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.1, min_pages: int = 2) -> DataFrame:
     """Rows (host, line, pages, host_pages): lines on more than `ratio` of a host's pages, and on `min_pages` at least.
 
     A line counts once per page, without surrounding blanks; blank lines never count. Partial sums run before the
@@ -24,7 +24,7 @@ def boilerplate_lines(docs: DataFrame, host_col: str = "source", text_col: str =
     return pages.join(totals, "host").where(F.col("pages") > ratio * F.col("host_pages")).select("host", "line", "pages", "host_pages")
 
 
-def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.1, min_pages: int = 2) -> DataFrame:
     """`docs` with the boilerplate lines of their host cut out of `text_col`, and columns __n_lines and __n_dropped.
 
     The other lines stay as they are, in their order, joined by line feeds. A null text stays null and has no line; an

@@ -68,7 +68,7 @@ def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 17, id_col: str =
 
     Rows are numbered in the order of (id, hash and size of the text); a Feistel permutation turns that number into
     a position, `shard = position mod shards` and `slot = position div shards`. Counts of shards therefore differ by
-    one at most, slots are gapless, and anyone can compute the place of a row number, or the row number of a place,
+    one at most whatever the groups of equal texts, whose rows are scattered like all others; slots are gapless, and anyone can compute the place of a row number, or the row number of a place,
     from (n, seed) alone. A null text has size 16 and checksum 0; null ids sort first; identical rows take
     neighbouring numbers in any order, which no result can tell. Other columns are not read; an empty table gives none.
     """
@@ -92,5 +92,5 @@ def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 17, id_col: str =
         "row_number",
         "position",
         (F.col("position") % shards).cast("int").alias("shard"),
-        F.floor(F.col("position") / shards).cast("long").alias("slot"),
+        F.expr(f"position div {shards}").alias("slot"),
     )
