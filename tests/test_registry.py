@@ -28,9 +28,6 @@ def rows(df, cols):
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, name):
     found = registry.QUERIES[name](spark, SF).toPandas()
-    if name not in registry.ORACLES:
-        assert len(found.columns) > 1
-        return
     want = con.execute(registry.ORACLES[name]).df()
     cols = sorted(found.columns)
     assert cols == sorted(want.columns)

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -115,8 +116,41 @@ def test_spectrum_of_a_long_series(spark):
     long = sorted(r[1:] for r in got if r[0] == "a")
     assert [r[0] for r in long] == list(range(1, 2501)) and sum(r[0] == "b" for r in got) == 2
     assert np.allclose([r[2] for r in long], np.abs(np.fft.rfft(xs - xs.mean()))[1:], atol=1e-6)
-    both = [{(r.key, r.k): r.amplitude for r in spectral.spectrum(x.where("k = 'b'").withColumnRenamed("k", "key"), ["key"], ["i"], "x", m).collect()} for m in (3, 4096)]
-    assert both[0] == pytest.approx(both[1])
+    small = np.array([1, 2, 4, np.nan, 0])
+    assert np.allclose(sorted(r[3] for r in got if r[0] == "b"), sorted(np.abs(np.fft.rfft(np.nan_to_num(small - np.nanmean(small))))[1:]))
+    none = spectral.spectrum(frame(spark, [None] * 4).withColumnRenamed("k", "key"), ["key"], ["i"], "x").collect()
+    assert [r.amplitude for r in none] == [None, None]
+
+
+def test_long_series(spark):
+    """Work and memory in proportion to the rows: 50,000 of one series."""
+    n = 50_000
+    rng = np.random.default_rng(0)
+    p = rng.dirichlet(np.ones(5), n)
+    x = spark.createDataFrame(pd.DataFrame({"k": "a", "i": np.arange(n), "x": rng.normal(size=n), "p": list(p), "t": np.arange(n, dtype=float)}))
+    assert spectral.spectrum(x.withColumnRenamed("k", "key"), ["key"], ["i"], "x").count() == n // 2
+    r = {a.lag: a.r for a in spectral.autocorrelation(x, ["k"], ["i"], "x").collect()}
+    xs = np.array(values(x, "x"))
+    assert len(r) == 600 and r[7] == pytest.approx(np.corrcoef(xs[:-7], xs[7:])[0, 1])
+    assert values(states.viterbi(x, ["k"], "i", "p"), "state") == [states.CYCLE[s] for s in viterbi_brute(p)]
+    assert states.adaptive_sampling(x, ["k"], "i", "t", "x", 0.0, 5.0).count() == n
+
+
+def test_long_intervals_make_few_rows(spark):
+    """An interval of a thousand days and one of a minute: complete, and the long one stands in two buckets."""
+    day = 1440
+    a = stamps(spark, [("long", 0, 1000 * day), ("short", 500, 501)], ["x", "start", "end"])
+    b = stamps(spark, [(1, 100, 160), (2, 900 * day, 900 * day + 1), (3, 500, 502), (4, 999 * day, 1999 * day)], ["y", "r_start", "r_end"])
+    got = sorted(map(tuple, intervals.overlap_join(a, b, bucket_sec=60.0).select("x", "y").collect()))
+    assert got == [("long", 1), ("long", 2), ("long", 3), ("long", 4), ("short", 3)]
+    p = stamps(spark, [(1, 0), (2, 500), (3, 1000 * day), (4, 1000 * day + 1)], ["p", "ts"])
+    assert sorted((r.p, r.x) for r in intervals.rows_in(p, a, "ts", bucket_sec=60.0).collect()) == [(1, "long"), (2, "long"), (2, "short"), (3, "long")]
+
+
+def test_repeated_rows_are_marked_each(spark):
+    x = states_frame(spark, ["waiting", "sorting", "sorting"])
+    twice = x.unionByName(x.where("i = 2"))
+    assert states.abnormal_marks(twice, ["k"], ["i"], "s", "ts", 30.0).count() == states.abnormal_marks(x, ["k"], ["i"], "s", "ts", 30.0).count() + 1
 
 
 def stamps(spark, rows, names):

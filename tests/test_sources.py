@@ -52,9 +52,23 @@ def test_column_files(spark, tmp_path):
     out = str(tmp_path / "out")
     df.where("video_id = 'a'").write.format("cbf").option("path", out).mode("append").save()
     again = spark.read.format("cbf").option("path", out).load()
+    assert {r.video_id for r in again.collect()} == {"a"}
     assert again.select("frame_idx", "entropy").orderBy("frame_idx").collect() == df.where("video_id = 'a'").select("frame_idx", "entropy").orderBy("frame_idx").collect()
 
 
+def test_column_files_are_replaced(spark, tmp_path):
+    spark.dataSource.register(cbf.CbfSource)
+    out = str(tmp_path / "out")
+    df = spark.range(2000, numPartitions=3).select(F.concat(F.lit("v/"), F.col("id") % 2).alias("video_id"), *[F.col("id").cast("long" if c in cbf.UNSIGNED else "float").alias(c) for c in cbf.COLUMNS if c != "edge_density"])
+    for mode, times in (("overwrite", 1), ("overwrite", 1), ("append", 2), ("overwrite", 1)):
+        df.write.format("cbf").option("path", out).option("part_rows", 100).mode(mode).save()
+        back = spark.read.format("cbf").option("path", out).load()
+        assert back.count() == 2000 * times and {r.video_id for r in back.select("video_id").distinct().collect()} == {"v/0", "v/1"}
+        assert sorted(r.frame_idx for r in back.collect()) == sorted(list(range(2000)) * times)
+    assert back.where("NOT isnan(edge_density)").count() == 0
+    assert not [p for p in (tmp_path / "out").iterdir() if p.suffix != ".cbf"]
+
+
 def test_text_formats(spark, tmp_path):
     (tmp_path / "x.csv").write_bytes(b"\xef\xbb\xbfdate,n\n2025-05-15,3\n")
     assert readers.csv(spark, str(tmp_path / "x.csv")).columns == ["date", "n"]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def guarded(a: Column, b: Column, least: float = 1e-6) -> Column:
@@ -22,6 +25,18 @@ def histogram_entropy(counts: Column) -> Column:
     return F.aggregate(counts, F.lit(0.0), lambda a, x: a - F.when(x > 0, x / total * F.log2(x / total)).otherwise(0.0))
 
 
+@F.pandas_udf(DoubleType())
+def byte_entropy(texts: pd.Series) -> pd.Series:
+    """Shannon entropy in bits of the 256 bins of a text's UTF-8 bytes; 0 for empty and null texts."""
+
+    def one(text: str | None) -> float:
+        n = np.bincount(np.frombuffer(text.encode(), np.uint8), minlength=256) if text else np.zeros(1)
+        p = n[n > 0] / max(n.sum(), 1)
+        return float(-(p * np.log2(p)).sum()) + 0.0
+
+    return texts.map(one, na_action=None).astype(float)
+
+
 def gray(r: Column, g: Column, b: Column) -> Column:
     """Integer luma: (77 r + 150 g + 29 b) >> 8."""
     return F.shiftright((77 * r + 150 * g + 29 * b).cast("int"), 8)

@@ -10,31 +10,57 @@ def _sec(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp")) / F.lit(1e6)
 
 
-def _buckets(a: Column, b: Column, width: float) -> Column:
+def _level(a: Column, b: Column, width: float) -> Column:
+    """Length class of an interval: it is not longer than `width` * 2**level."""
+    return F.greatest(F.lit(0), F.coalesce(F.ceil(F.log2((_sec(b) - _sec(a)) / width)), F.lit(0))).cast("int")
+
+
+def _top(*sides: tuple[DataFrame, Column]) -> int:
+    """The greatest level of some tables of intervals: one number, so that short intervals alone cost one level."""
+    return max([x.agg(F.max(level)).first()[0] or 0 for x, level in sides])
+
+
+def _buckets(a: Column, b: Column, width: Column) -> Column:
     return F.sequence(F.floor(_sec(a) / width), F.floor(_sec(b) / width))
 
 
+def _width(level: Column, bucket_sec: float) -> Column:
+    return bucket_sec * F.pow(F.lit(2.0), level)
+
+
 def overlap_join(left: DataFrame, right: DataFrame, on: list[str] | None = None, bucket_sec: float = 3600.0, l: tuple[str, str] = ("start", "end"), r: tuple[str, str] = ("r_start", "r_end")) -> DataFrame:
     """Pairs that overlap by more than a point, with clip_start and clip_end. Column names of the two sides differ, apart from `on`.
 
-    Both sides are spread over the time buckets they touch and joined on bucket (and `on`); a pair is kept in the
-    bucket where its intersection begins, so each comes out once. `bucket_sec` should be about a usual length.
+    Intervals have a length class, a power of two of `bucket_sec`; an interval stands in the two time buckets at most
+    that it touches at its own and at each greater class, and a pair meets at the greater class of its two sides, so
+    that a long interval makes no more rows than a short one. A pair is kept in the bucket where its intersection
+    begins, so each comes out once. `bucket_sec` should be about a usual length.
     """
     on = on or []
-    a = left.withColumn("__b", F.explode(_buckets(F.col(l[0]), F.col(l[1]), bucket_sec)))
-    b = right.withColumn("__b", F.explode(_buckets(F.col(r[0]), F.col(r[1]), bucket_sec)))
+    levels = [_level(F.col(x[0]), F.col(x[1]), bucket_sec) for x in (l, r)]
+    top = _top((left, levels[0]), (right, levels[1]))
+
+    def spread(x: DataFrame, ends: tuple[str, str], level: Column, name: str) -> DataFrame:
+        y = x.withColumn(name, level).withColumn("__l", F.explode(F.sequence(F.col(name), F.lit(top))))
+        return y.withColumn("__b", F.explode(_buckets(F.col(ends[0]), F.col(ends[1]), _width(F.col("__l"), bucket_sec))))
+
+    a, b = spread(left, l, levels[0], "__la"), spread(right, r, levels[1], "__lb")
     lo, hi = F.greatest(l[0], r[0]), F.least(l[1], r[1])
-    pairs = a.join(b, ["__b", *on]).where((F.col(l[0]) < F.col(r[1])) & (F.col(l[1]) > F.col(r[0])) & (F.col("__b") == F.floor(_sec(lo) / bucket_sec)))
-    return pairs.withColumns({"clip_start": lo, "clip_end": hi}).drop("__b")
+    pairs = a.join(b, ["__l", "__b", *on]).where((F.col(l[0]) < F.col(r[1])) & (F.col(l[1]) > F.col(r[0])) & (F.col("__l") == F.greatest("__la", "__lb")))
+    pairs = pairs.where(F.col("__b") == F.floor(_sec(lo) / _width(F.col("__l"), bucket_sec)))
+    return pairs.withColumns({"clip_start": lo, "clip_end": hi}).drop("__l", "__b", "__la", "__lb")
 
 
 def rows_in(points: DataFrame, spans: DataFrame, ts: str, on: list[str] | None = None, bucket_sec: float = 3600.0, s: tuple[str, str] = ("start", "end"), closed: bool = True) -> DataFrame:
-    """Rows joined to each interval that holds their time: both ends included, or with `closed=False` the start alone."""
+    """Rows joined to each interval that holds their time: both ends included, or with `closed=False` the start alone. An interval stands in two buckets of its length class at most, a row in one of each class there is."""
     on = on or []
-    a = points.withColumn("__b", F.floor(_sec(F.col(ts)) / bucket_sec))
-    b = spans.withColumn("__b", F.explode(_buckets(F.col(s[0]), F.col(s[1]), bucket_sec)))
+    level = _level(F.col(s[0]), F.col(s[1]), bucket_sec)
+    a = points.withColumn("__l", F.explode(F.sequence(F.lit(0), F.lit(_top((spans, level))))))
+    a = a.withColumn("__b", F.floor(_sec(F.col(ts)) / _width(F.col("__l"), bucket_sec)))
+    b = spans.withColumn("__l", level)
+    b = b.withColumn("__b", F.explode(_buckets(F.col(s[0]), F.col(s[1]), _width(F.col("__l"), bucket_sec))))
     inside = (F.col(ts) >= F.col(s[0])) & ((F.col(ts) <= F.col(s[1])) if closed else (F.col(ts) < F.col(s[1])))
-    return a.join(b, ["__b", *on]).where(inside).drop("__b")
+    return a.join(b, ["__l", "__b", *on]).where(inside).drop("__l", "__b")
 
 
 def covering(points: DataFrame, spans: DataFrame, ts: str, point_id: str, on: list[str] | None = None, bucket_sec: float = 3600.0, s: tuple[str, str] = ("start", "end"), tie: str | None = None) -> DataFrame:

@@ -1,49 +1,44 @@
-"""Periodicity: Fourier spectrum and autocorrelation."""
+"""Periodicity: Fourier spectrum and autocorrelation. A series is one Arrow group."""
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
-
+from pyspark.sql import types as T
 
-def spectrum(df: DataFrame, keys: list[str], order: list[str], value: str, longest: int = 4096) -> DataFrame:
-    """(keys, k, period, amplitude, power) of the demeaned series for k = 1..n div 2; period in rows.
 
-    A series of up to `longest` rows is summed by built-ins, n * n / 2 terms; a longer one is an Arrow group with one FFT.
-    """
-    w = Window.partitionBy(*keys)
-    x = df.select(*keys, (F.row_number().over(w.orderBy(*order)) - 1).alias("__i"), (F.col(value) - F.avg(value).over(w)).alias("__x"), F.count("*").over(w).cast("int").alias("__n"))
-    short = x.where(F.col("__n").between(2, longest)).withColumn("k", F.explode(F.sequence(F.lit(1), F.floor(F.col("__n") / 2).cast("int"))))
-    angle = 2 * math.pi * F.pmod(F.col("k") * F.col("__i"), F.col("__n")) / F.col("__n")
-    out = short.groupBy(*keys, "k", "__n").agg(F.sum(F.col("__x") * F.cos(angle)).alias("__re"), F.sum(F.col("__x") * F.sin(angle)).alias("__im"))
-    power = F.col("__re") * F.col("__re") + F.col("__im") * F.col("__im")
-    long = x.where(F.col("__n") > max(longest, 1)).withColumn("__x", F.col("__x").cast("double"))
-    schema = StructType([*(StructField(c, long.schema[c].dataType) for c in keys), StructField("k", IntegerType()), StructField("__n", IntegerType()), StructField("__re", DoubleType()), StructField("__im", DoubleType())])
-    out = out.select(*keys, "k", "__n", "__re", "__im").unionByName(long.groupBy(*keys).applyInArrow(_transform(keys), schema))
-    return out.select(*keys, "k", (F.col("__n") / F.col("k")).alias("period"), F.sqrt(power).alias("amplitude"), power.alias("power"))
+def _ordered(table: pa.Table, order: list[str]) -> np.ndarray:
+    """The values of a group in order, nulls as NaN."""
+    at = pc.sort_indices(table, [(c, "ascending") for c in order])
+    return table.column("__x").take(at).to_numpy().astype(float)
 
 
-def _transform(keys: list[str]):
-    """The FFT of a series; null values add nothing, as in a sum, and a series of nulls alone has null lines."""
+def _per_series(df: DataFrame, keys: list[str], order: list[str], value: str, lines, columns: dict[str, T.DataType]) -> DataFrame:
+    """Applies `lines` (array -> arrays of `columns`) to each series; keys are repeated."""
 
     def run(table: pa.Table) -> pa.Table:
-        n = table.num_rows
-        at, x = table.column("__i").to_numpy(), table.column("__x")
-        values = np.zeros(n)
-        values[at] = pc.fill_null(x, 0.0).to_numpy()
-        lines = np.fft.rfft(values)[1 : n // 2 + 1]
-        none = np.full(len(lines), x.null_count == n)
-        first = pa.array(np.zeros(len(lines), np.int64))
-        cols = [*(table.column(c).take(first) for c in keys), pa.array(np.arange(1, len(lines) + 1), pa.int32()), pa.array(np.full(len(lines), n), pa.int32()), pa.array(lines.real, mask=none), pa.array(-lines.imag, mask=none)]
-        return pa.table(cols, names=[*keys, "k", "__n", "__re", "__im"])
+        found = lines(_ordered(table, order))
+        first = pa.array(np.zeros(len(found[0]), np.int64))
+        return pa.table([*(table.column(c).take(first) for c in keys), *(pa.array(x, from_pandas=True) for x in found)], names=[*keys, *columns])
+
+    rows = df.select(*dict.fromkeys([*keys, *order]), F.col(value).cast("double").alias("__x"))
+    return rows.groupBy(*keys).applyInArrow(run, T.StructType([*(rows.schema[c] for c in keys), *(T.StructField(c, k) for c, k in columns.items())]))
+
+
+def spectrum(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """(keys, k, period, amplitude, power) of the demeaned series for k = 1..n div 2; period in rows. Nulls add nothing; a series of nulls alone has null lines."""
 
-    return run
+    def lines(x: np.ndarray):
+        n, none = len(x), bool(np.isnan(x).all())
+        c = np.fft.rfft(np.nan_to_num(x - (0 if none else np.nanmean(x))))[1 : n // 2 + 1]
+        k = np.arange(1, len(c) + 1, dtype=np.int32)
+        power = np.where(none, np.nan, c.real**2 + c.imag**2)
+        return k, n / k, np.sqrt(power), power
+
+    return _per_series(df, keys, order, value, lines, {"k": T.IntegerType(), "period": T.DoubleType(), "amplitude": T.DoubleType(), "power": T.DoubleType()})
 
 
 def best_period(spec: DataFrame, keys: list[str], low: float = 30.0, high: float = 120.0, measure: str = "amplitude") -> DataFrame:
@@ -53,12 +48,21 @@ def best_period(spec: DataFrame, keys: list[str], low: float = 30.0, high: float
 
 
 def autocorrelation(df: DataFrame, keys: list[str], order: list[str], value: str, lags: int = 600) -> DataFrame:
-    """(keys, lag, r): Pearson correlation of the series with itself `lag` rows later, lag 1..min(lags, n-2); 0 where a side is constant."""
-    w = Window.partitionBy(*keys)
-    x = df.select(*keys, F.row_number().over(w.orderBy(*order)).alias("i"), F.col(value).cast("double").alias("x"), F.count("*").over(w).cast("int").alias("n"))
-    ahead = x.select(*keys, "i", F.col("x").alias("y"))
-    # Each row asks for the rows `lag` later: n * lags rows per series, an equi-join on (keys, i).
-    asks = x.where("n > 2").withColumn("lag", F.explode(F.sequence(F.lit(1), F.least(F.lit(lags), F.col("n") - 2)))).withColumn("i", F.col("i") + F.col("lag"))
-    pairs = asks.join(ahead, [*keys, "i"])
-    spread = F.stddev_pop("x") * F.stddev_pop("y")
-    return pairs.groupBy(*keys, "lag").agg(F.when(spread < 1e-9, 0.0).otherwise(F.covar_pop("x", "y") / F.nullif(spread, F.lit(0.0))).alias("r"))
+    """(keys, lag, r): Pearson correlation of the series with itself `lag` rows later, lag 1..min(lags, n-2); 0 where a side is constant. Pairs with a null don't count; without any r is null."""
+
+    def lines(x: np.ndarray):
+        lag = np.arange(1, min(lags, len(x) - 2) + 1, dtype=np.int32)
+        return lag, np.array([_pearson(x[:-k], x[k:]) for k in lag.tolist()], float)
+
+    return _per_series(df, keys, order, value, lines, {"lag": T.IntegerType(), "r": T.DoubleType()})
+
+
+def _pearson(a: np.ndarray, b: np.ndarray) -> float:
+    both = ~(np.isnan(a) | np.isnan(b))
+    if not both.all():
+        a, b = a[both], b[both]
+    if not len(a):
+        return np.nan
+    a, b = a - a.mean(), b - b.mean()
+    spread = np.sqrt((a @ a) / len(a)) * np.sqrt((b @ b) / len(b))
+    return 0.0 if spread < 1e-9 else float(a @ b / len(a) / spread)

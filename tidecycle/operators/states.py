@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,50 +110,61 @@ def abnormal_marks(df: DataFrame, keys: list[str], order: list[str], state: str,
     a, b = F.col("previous"), F.col(state)
     tag = F.when(a.isin("on_deck", "sorting") & b.isin("on_deck", "sorting"), "os").when(a.isin("hauling", "waiting") & b.isin("hauling", "waiting"), "hw").when(~is_legal(a, b), "ill")
     marks = t.select(*keys, F.col(ts).alias("mark_ts"), tag.alias("tag")).where("tag IS NOT NULL")
-    near = band_join(df, marks, ts, "mark_ts", pad_sec, keys)
-    return near.groupBy(*df.columns).agg(F.min_by("tag", F.struct("mark_ts", "tag")).alias("tag"))
+    near = band_join(df.withColumn("__row", F.monotonically_increasing_id()), marks, ts, "mark_ts", pad_sec, keys)  # repeated rows count each
+    found = near.groupBy("__row").agg(F.first(F.struct(*df.columns)).alias("__r"), F.min_by("tag", F.struct("mark_ts", "tag")).alias("tag"))
+    return found.select("__r.*", "tag")
 
 
 def viterbi(df: DataFrame, keys: list[str], order: str, probs: str, names: list[str] | None = None, stay: float = 0.85, out: str = "state") -> DataFrame:
     """Most likely path of a cycle in which a state stays or goes on to the next: (keys, order, state). `probs` is in the order of `names`.
 
-    A fold over the ordered series inside one expression: log scores of all states and the back-pointers so far;
-    ties take the state of lower number. Emissions have 1e-9 added. A series is one row while it is folded.
+    Ties take the state of lower number. Emissions have 1e-9 added. A series is one group, read and decoded in time and
+    space in proportion to its rows.
     """
     names = names or CYCLE
-    n = len(names)
-    step, go = math.log(stay), math.log(1 - stay)
-    rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.transform(F.col(probs).cast("array<double>"), lambda p: F.log(p + 1e-9)).alias("e")))).alias("__r"))
 
-    def advance(acc: Column, row: Column) -> Column:
-        old = acc["d"]
-        cand = [(old[s] + step, old[(s - 1) % n] + go) for s in range(n)]
-        # The predecessors of s are s-1 and s; of equal scores the lower number wins, which for s = 0 is s itself.
-        back = [F.when((b > a) if s == 0 else (b >= a), F.lit((s - 1) % n)).otherwise(F.lit(s)) for s, (a, b) in enumerate(cand)]
-        best = [F.greatest(a, b) for a, b in cand]
-        return F.struct(F.array(*[best[s] + row["e"][s] for s in range(n)]).alias("d"), F.array_append(acc["h"], F.array(*back)).alias("h"))
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        path = viterbi_path(np.log(np.stack([np.asarray(p, float) for p in pdf[probs]]) + 1e-9), stay)
+        return pd.DataFrame({**{k: [v] * len(pdf) for k, v in zip(keys, key)}, order: pdf[order].to_numpy(), out: np.array(names, object)[path]})
+
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in [*keys, order])
+    return df.select(*keys, order, probs).groupBy(*keys).applyInPandas(run, f"{kinds}, {out} string")
 
-    first = F.struct(F.transform(F.col("__r")[0]["e"], lambda e: e - math.log(n)).alias("d"), F.array().cast("array<array<int>>").alias("h"))
-    folded = rows.withColumn("__f", F.aggregate(F.slice("__r", 2, F.greatest(F.size("__r") - 1, F.lit(0))), first, advance))
-    last = F.array((F.array_position("__f.d", F.array_max("__f.d")) - 1).cast("int"))
-    path = F.reverse(F.aggregate(F.reverse("__f.h"), last, lambda acc, back: F.array_append(acc, F.element_at(back, F.element_at(acc, -1) + 1))))
-    label = F.array(*map(F.lit, names))
-    pairs = F.arrays_zip(F.transform("__r", lambda r: r["o"]).alias("o"), F.transform(path, lambda k: F.get(label, k)).alias("s"))
-    return folded.select(*keys, F.explode(pairs).alias("z")).select(*keys, F.col("z.o").alias(order), F.col("z.s").alias(out))
+
+def viterbi_path(emission: np.ndarray, stay: float) -> np.ndarray:
+    """States of the best path for log emissions (rows, states)."""
+    rows, n = emission.shape
+    step, go = math.log(stay), math.log(1 - stay)
+    score = emission[0] - math.log(n)
+    came = np.zeros((rows, n), bool)  # from the state before, not from itself
+    for t in range(1, rows):
+        kept, moved = score + step, np.roll(score, 1) + go
+        came[t] = moved >= kept  # of equal scores the lower number wins, which for state 0 is itself
+        came[t, 0] = moved[0] > kept[0]
+        score = np.maximum(kept, moved) + emission[t]
+    path = np.empty(rows, np.int64)
+    path[-1] = int(score.argmax())
+    for t in range(rows - 1, 0, -1):
+        path[t - 1] = (path[t] - came[t, path[t]]) % n
+    return path
 
 
 def adaptive_sampling(df: DataFrame, keys: list[str], order: str, ts_sec: str, corr: str, threshold: float = 0.9, burst_sec: float = 10.0) -> DataFrame:
-    """State machine per recording, with columns mode (before the row is taken in) and next_mode: NORMAL goes to BURST where the scene correlation falls below the threshold, BURST back to NORMAL once it has lasted longer than `burst_sec`."""
-    rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(ts_sec).cast("double").alias("t"), F.col(corr).cast("double").alias("c")))).alias("__r"))
-    empty = F.array().cast(f"array<struct<o:{df.schema[order].dataType.simpleString()},mode:string,next_mode:string>>")
-    zero = F.struct(F.lit("NORMAL").alias("m"), F.lit(0.0).alias("b"), empty.alias("out"))
-
-    def step(acc: Column, r: Column) -> Column:
-        up = (acc["m"] == "NORMAL") & (r["c"] < threshold)
-        down = (acc["m"] == "BURST") & (r["t"] - acc["b"] > burst_sec)
-        mode = F.when(F.coalesce(up, F.lit(False)), "BURST").when(down, "NORMAL").otherwise(acc["m"])
-        begun = F.when(F.coalesce(up, F.lit(False)), r["t"]).otherwise(acc["b"])
-        return F.struct(mode.alias("m"), begun.alias("b"), F.array_append(acc["out"], F.struct(r["o"].alias("o"), acc["m"].alias("mode"), mode.alias("next_mode"))).alias("out"))
-
-    found = rows.select(*keys, F.explode(F.aggregate("__r", zero, step)["out"]).alias("z"))
-    return found.select(*keys, F.col("z.o").alias(order), "z.mode", "z.next_mode")
+    """State machine per recording, with columns mode (before the row is taken in) and next_mode: NORMAL goes to BURST where the scene correlation falls below the threshold, BURST back to NORMAL once it has lasted longer than `burst_sec`. A null correlation or time changes nothing."""
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        burst, since, modes = False, 0.0, [False]
+        for t, low in zip(pdf["__t"].to_numpy(float).tolist(), (pdf["__c"].to_numpy(float) < threshold).tolist()):
+            if not burst and low:
+                burst, since = True, t
+            elif burst and t - since > burst_sec:
+                burst = False
+            modes.append(burst)
+        names = np.where(modes, "BURST", "NORMAL")
+        return pd.DataFrame({**{k: [v] * len(pdf) for k, v in zip(keys, key)}, order: pdf[order].to_numpy(), "mode": names[:-1], "next_mode": names[1:]})
+
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in [*keys, order])
+    rows = df.select(*keys, order, F.col(ts_sec).cast("double").alias("__t"), F.col(corr).cast("double").alias("__c"))
+    return rows.groupBy(*keys).applyInPandas(run, f"{kinds}, mode string, next_mode string")

@@ -130,7 +130,7 @@ def detection_metrics(df: DataFrame, keys: list[str], conf: str, area: str) -> D
 def feature_diff(a: DataFrame, b: DataFrame, keys: list[str], group: list[str], values: list[str]) -> DataFrame:
     """Two implementations of features compared where both have a frame: (group, feature, n, mean_a, mean_b, mad_rel); groups of fewer than two frames are left out."""
     y = b.select(*keys, *[F.col(v).alias(f"{v}__b") for v in values])
-    x = a.select(*keys, *values).join(y, keys)
+    x = a.select(*dict.fromkeys([*keys, *group, *values])).join(y, keys)
     rows = F.array(*[F.struct(F.lit(v).alias("feature"), F.col(v).cast("double").alias("a"), F.col(f"{v}__b").cast("double").alias("b")) for v in values])
     return difference_table(x.select(*group, F.explode(rows).alias("r")).select(*group, "r.*"), [*group, "feature"])
 

@@ -53,21 +53,27 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NIGHT = """CASE WHEN hour(ts) >= 18 THEN strftime(ts, '%Y-%m-%d') WHEN hour(ts) < 6 THEN strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') ELSE 'daytime' END"""
 MIN = "strftime(minute, '%Y-%m-%d %H:%M:%S')"
-#: Minute means of each night, on a dense grid, interpolated five rows far, then filled both ways.
-GRID_SQL = f"""
-m AS (SELECT {NIGHT} AS night, date_trunc('minute', ts) AS minute, avg(value) AS value FROM events WHERE hour(ts) >= 18 OR hour(ts) < 6 GROUP BY 1, 2),
-e AS (SELECT night, unnest(generate_series(min(minute), max(minute), INTERVAL 1 MINUTE)) AS minute FROM m GROUP BY night),
-g AS (SELECT night, minute, value, row_number() OVER (PARTITION BY night ORDER BY minute) AS i FROM e LEFT JOIN m USING (night, minute)),
-k AS (
+
+
+def grid_ctes(source: str, value: str, p: str = "") -> str:
+    """SQL of the minute means of `value` of each night of `source`, on a dense grid, interpolated five rows far, then filled both ways: <p>filled (night, minute, i, value)."""
+    return f"""
+{p}m AS (SELECT {NIGHT} AS night, date_trunc('minute', ts) AS minute, avg({value}) AS value FROM {source} WHERE hour(ts) >= 18 OR hour(ts) < 6 GROUP BY 1, 2),
+{p}e AS (SELECT night, unnest(generate_series(min(minute), max(minute), INTERVAL 1 MINUTE)) AS minute FROM {p}m GROUP BY night),
+{p}g AS (SELECT night, minute, value, row_number() OVER (PARTITION BY night ORDER BY minute) AS i FROM {p}e LEFT JOIN {p}m USING (night, minute)),
+{p}k AS (
   SELECT *, max(CASE WHEN value IS NOT NULL THEN i END) OVER (PARTITION BY night ORDER BY i ROWS UNBOUNDED PRECEDING) AS p,
-         min(CASE WHEN value IS NOT NULL THEN i END) OVER (PARTITION BY night ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n FROM g),
-t AS (
+         min(CASE WHEN value IS NOT NULL THEN i END) OVER (PARTITION BY night ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n FROM {p}g),
+{p}t AS (
   SELECT k.night, k.minute, k.i, CASE WHEN k.value IS NOT NULL THEN k.value WHEN k.p IS NULL OR k.i - k.p > 5 THEN NULL WHEN k.n IS NULL THEN a.value
          ELSE a.value + (b.value - a.value) * (k.i - k.p) / (k.n - k.p) END AS value
-  FROM k LEFT JOIN g a ON a.night = k.night AND a.i = k.p LEFT JOIN g b ON b.night = k.night AND b.i = k.n),
-filled AS (
+  FROM {p}k k LEFT JOIN {p}g a ON a.night = k.night AND a.i = k.p LEFT JOIN {p}g b ON b.night = k.night AND b.i = k.n),
+{p}filled AS (
   SELECT night, minute, i, coalesce(last_value(value IGNORE NULLS) OVER (PARTITION BY night ORDER BY i ROWS UNBOUNDED PRECEDING),
-         first_value(value IGNORE NULLS) OVER (PARTITION BY night ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS value FROM t)"""
+         first_value(value IGNORE NULLS) OVER (PARTITION BY night ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS value FROM {p}t)"""
+
+
+GRID_SQL = grid_ctes("events", "value")
 #: Events of a user in order, numbered from 0.
 ROWS_SQL = "x AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events)"
 ORDER = ["ts", "event_id"]
@@ -151,7 +157,15 @@ def savgol_7_3(spark, d):
     return _savgol(spark, d, 7, 3)
 
 
-@query()
+ADAPTIVE_SQL = ", ".join(f"({w}, {i}, {j}, {float(c)!r})" for w in range(7, 33, 2) for i, row in enumerate(exact_weights(w, 3)) for j, c in enumerate(row))
+
+
+@query(f"""
+WITH x AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+w(w, r, j, c) AS (VALUES {ADAPTIVE_SQL}),
+a AS (SELECT *, greatest(least(i - w // 2, n - w), 0) AS b FROM (SELECT *, least(31, CASE WHEN n % 2 = 1 THEN n ELSE n - 1 END) AS w FROM x)),
+f AS (SELECT a.user_id, a.event_id, sum(w.c * y.value) AS s FROM a JOIN w ON w.w = a.w AND w.r = a.i - a.b JOIN x y ON y.user_id = a.user_id AND y.i = a.b + w.j GROUP BY 1, 2)
+SELECT a.user_id, a.event_id, round(CASE WHEN a.n >= 7 THEN s ELSE value END, 6) AS smooth FROM a LEFT JOIN f USING (user_id, event_id)""")
 def adaptive_savgol(spark, d):
     return series.adaptive_savgol(events(spark, d).select("user_id", "event_id", "value"), ["user_id"], "event_id", "value").select("user_id", "event_id", r6("smooth", "smooth"))
 
@@ -297,6 +311,20 @@ def _series_of_probs(spark, d):
     return read(spark, d, "embeddings").select("vec_id", F.floor(F.col("vec_id") / 50).cast("long").alias("s"), p.alias("p")).select("vec_id", "s", F.transform("p", lambda x: x / total).alias("p"))
 
 
+@query("""WITH e AS (SELECT vec_id, vec_id // 50 AS s, list_transform(embedding[1:5], lambda v: exp(10 * CAST(v AS DOUBLE))) AS w FROM embeddings),
+p AS (SELECT vec_id, s, row_number() OVER (PARTITION BY s ORDER BY vec_id) AS i, list_transform(w, lambda v: v / list_sum(w)) AS p, list_position(w, list_max(w)) AS c FROM e),
+n AS (SELECT a.vec_id, a.s, b.c, b.p, b.i FROM p a JOIN p b ON b.s = a.s AND b.i BETWEEN a.i - 2 AND a.i + 2),
+t AS (SELECT vec_id, any_value(s) AS s, list(p) AS near FROM n GROUP BY 1),
+v AS (SELECT vec_id, c, count(*) AS votes, min(i) AS first FROM n GROUP BY 1, 2),
+k AS (SELECT v.vec_id, t.s, c, row_number() OVER (PARTITION BY v.vec_id ORDER BY votes DESC, list_sum(list_transform(near, lambda x: x[v.c])) DESC, first) AS k FROM v JOIN t USING (vec_id))
+SELECT vec_id, s, ['waiting', 'hauling', 'on_deck', 'sorting', 'netdown'][c] AS smoothed FROM k WHERE k = 1""")
+def majority_vote_scores(spark, d):
+    """Votes of five rows; equal ones are told apart by the sum of the state's probability."""
+    names = states.CYCLE
+    x = _series_of_probs(spark, d).withColumn("st", F.element_at(F.array(*map(F.lit, names)), (scalars.argmax(F.col("p")) + 1).cast("int")))
+    return states.majority_vote(x, ["s"], ["vec_id"], "st", "p", names).select("vec_id", "s", "smoothed")
+
+
 @query("""WITH RECURSIVE e AS (SELECT vec_id, vec_id // 50 AS s, list_transform(embedding[1:5], lambda v: exp(10 * CAST(v AS DOUBLE))) AS p FROM embeddings),
 o AS (SELECT vec_id, s, row_number() OVER (PARTITION BY s ORDER BY vec_id) AS i, list_transform(p, lambda v: ln(v / list_sum(p) + 1e-9)) AS g FROM e),
 f AS (
@@ -372,11 +400,12 @@ def band_self_join(spark, d):
 @query("""WITH w AS (SELECT event_type, user_id, ts - INTERVAL 30 MINUTE AS a, ts + INTERVAL 30 MINUTE AS b FROM events),
 n AS (SELECT *, CASE WHEN a > max(b) OVER (PARTITION BY user_id ORDER BY a, b, event_type ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS new FROM w),
 g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY a, b, event_type ROWS UNBOUNDED PRECEDING) AS g FROM n)
-SELECT user_id, strftime(min(a), '%Y-%m-%d %H:%M:%S') AS start, strftime(max(b), '%Y-%m-%d %H:%M:%S') AS "end", count(*) AS n FROM g GROUP BY user_id, g""")
+SELECT user_id, strftime(min(a), '%Y-%m-%d %H:%M:%S') AS start, strftime(max(b), '%Y-%m-%d %H:%M:%S') AS "end", count(*) AS n,
+  list_reduce(list(event_type ORDER BY a, b, event_type), lambda x, t: CASE WHEN contains(x, t) THEN x ELSE x || '+' || t END) AS tags FROM g GROUP BY user_id, g""")
 def interval_merge(spark, d):
     half = F.expr("INTERVAL 30 MINUTE")
     x = events(spark, d).select("user_id", "event_type", (F.col("ts") - half).alias("start"), (F.col("ts") + half).alias("end"))
-    return intervals.merge_intervals(x, ["user_id"], tag="event_type").select("user_id", text("start"), text("end"), "n")
+    return intervals.merge_intervals(x, ["user_id"], tag="event_type").select("user_id", text("start"), text("end"), "n", "tags")
 
 
 @query("""SELECT user_id, round(avg(value) FILTER (WHERE event_type = 'click'), 6) AS click_value, round(avg(value) FILTER (WHERE event_type = 'view'), 6) AS view_value FROM events GROUP BY user_id""")
@@ -384,29 +413,32 @@ def pivot_rois(spark, d):
     return stats.pivot_rois(events(spark, d), ["user_id"], "event_type", ["click", "view"], ["value"]).select("user_id", r6("click_value", "click_value"), r6("view_value", "view_value"))
 
 
-@query("""WITH a AS (SELECT user_id, avg(value) AS l FROM events WHERE event_type = 'signup' AND event_id % 3 = 0 GROUP BY user_id), b AS (SELECT user_id, avg(value) AS r FROM events WHERE event_type = 'error' AND event_id % 3 = 1 GROUP BY user_id)
+@query("""WITH a AS (SELECT user_id, avg(value) AS l FROM events WHERE event_type = 'signup' GROUP BY user_id), b AS (SELECT user_id, avg(value) AS r FROM events WHERE event_type = 'error' GROUP BY user_id)
 SELECT user_id, round(coalesce(l, 0), 6) AS left_deck_value, round(coalesce(r, 0), 6) AS right_deck_value, round((coalesce(l, 0) + coalesce(r, 0)) / 2, 6) AS roi_mean_value, round(coalesce(l, 0) - coalesce(r, 0), 6) AS roi_diff_value FROM a FULL JOIN b USING (user_id)""")
 def full_outer_rois(spark, d):
     e = events(spark, d)
-    a = e.where("event_type = 'signup' AND event_id % 3 = 0").groupBy("user_id").agg(F.avg("value").alias("value"))
-    b = e.where("event_type = 'error' AND event_id % 3 = 1").groupBy("user_id").agg(F.avg("value").alias("value"))
+    a, b = (e.where(F.col("event_type") == t).groupBy("user_id").agg(F.avg("value").alias("value")) for t in ("signup", "error"))
     x = stats.align_sides(a, b, ["user_id"], ["value"])
     return x.select("user_id", *[r6(c, c) for c in x.columns if c != "user_id"])
 
 
-@query("""WITH a AS (SELECT user_id, avg(value) AS l FROM events WHERE event_type = 'signup' GROUP BY user_id), b AS (SELECT user_id, avg(value) AS r FROM events WHERE event_type = 'error' GROUP BY user_id)
-SELECT user_id, round(coalesce(l, 0), 6) AS left_deck_value, round(coalesce(r, 0), 6) AS right_deck_value, round((coalesce(l, 0) + coalesce(r, 0)) / 2, 6) AS roi_mean_value, round(coalesce(l, 0) - coalesce(r, 0), 6) AS roi_diff_value FROM a FULL JOIN b USING (user_id)""")
-def full_outer_rois_all(spark, d):
-    """All signups and errors; `full_outer_rois` has a third of each, as its SQL."""
+DIFF_SQL = """a AS (SELECT event_id, event_type, value, value * 2 AS twice FROM events WHERE event_type <> 'signup'), b AS (SELECT event_id, value * 1.01 + event_id % 3 AS value, value * 2 AS twice FROM events WHERE event_type <> 'error'),
+j AS (SELECT event_type, a.value AS va, b.value AS vb, a.twice AS ta, b.twice AS tb FROM a JOIN b USING (event_id)),
+r AS (SELECT event_type, 'value' AS feature, va AS a, vb AS b FROM j UNION ALL SELECT event_type, 'twice', ta, tb FROM j)"""
+
+
+@query(f"WITH {DIFF_SQL} SELECT event_type, feature, count(*) AS n, round(avg(a), 4) AS mean_a, round(avg(b), 4) AS mean_b, round(avg(abs(a - b)) / (avg(abs(a)) + 1e-9), 6) AS mad_rel FROM r GROUP BY 1, 2 HAVING count(*) >= 2")
+def feature_diff(spark, d):
+    """Two implementations of features, joined on their frames."""
     e = events(spark, d)
-    a, b = (e.where(F.col("event_type") == t).groupBy("user_id").agg(F.avg("value").alias("value")) for t in ("signup", "error"))
-    x = stats.align_sides(a, b, ["user_id"], ["value"])
-    return x.select("user_id", *[r6(c, c) for c in x.columns if c != "user_id"])
+    a = e.where("event_type <> 'signup'").select("event_id", "event_type", "value", (F.col("value") * 2).alias("twice"))
+    b = e.where("event_type <> 'error'").select("event_id", (F.col("value") * 1.01 + F.col("event_id") % 3).alias("value"), (F.col("value") * 2).alias("twice"))
+    return stats.feature_diff(a, b, ["event_id"], ["event_type"], ["value", "twice"]).select("event_type", "feature", "n", r6("mean_a", "mean_a", 4), r6("mean_b", "mean_b", 4), r6("mad_rel", "mad_rel"))
 
 
 @query("""WITH r AS (SELECT l_returnflag, l_quantity AS a, l_quantity * (1 + l_tax) AS b, 'quantity' AS feature FROM lineitem UNION ALL SELECT l_returnflag, l_extendedprice, l_extendedprice * (1 - l_discount), 'price' FROM lineitem)
 SELECT l_returnflag, feature, count(*) AS n, round(avg(a), 4) AS mean_a, round(avg(b), 4) AS mean_b, round(avg(abs(a - b)) / (avg(abs(a)) + 1e-9), 6) AS mad_rel FROM r GROUP BY 1, 2 HAVING count(*) >= 2""")
-def feature_diff(spark, d):
+def difference_table(spark, d):
     x = read(spark, d, "lineitem")
     both = x.select("l_returnflag", F.explode(F.array(F.struct(F.lit("quantity").alias("feature"), F.col("l_quantity").alias("a"), (F.col("l_quantity") * (1 + F.col("l_tax"))).alias("b")), F.struct(F.lit("price").alias("feature"), F.col("l_extendedprice").alias("a"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("b")))).alias("r")).select("l_returnflag", "r.*")
     return stats.difference_table(both, ["l_returnflag", "feature"]).select("l_returnflag", "feature", "n", r6("mean_a", "mean_a", 4), r6("mean_b", "mean_b", 4), r6("mad_rel", "mad_rel"))
@@ -433,27 +465,116 @@ def peak_prominence(spark, d):
     return peaks.peaks(x, ["user_id"], "o", "value").select("user_id", "i", r6("prominence", "prominence"))
 
 
-@query()
+def peak_ctes(src: str, key: str, tag: str, distance: str = "1", value: str = "value") -> str:
+    """SQL of the peaks (key, i, v, prominence) of `src` (key, i, value), in <tag>p: flat tops in the middle, then distance from the highest down, then prominence. Needs WITH RECURSIVE."""
+    return f"""
+{tag}c AS (SELECT {key}, i, {value} AS v, {distance} AS dist, CASE WHEN {value} = lag({value}) OVER (PARTITION BY {key} ORDER BY i) THEN 0 ELSE 1 END AS new FROM {src}),
+{tag}r AS (SELECT *, sum(new) OVER (PARTITION BY {key} ORDER BY i) AS g FROM {tag}c),
+{tag}f AS (SELECT {key}, g, min(i) AS a, max(i) AS b, min(v) AS v, any_value(dist) AS dist FROM {tag}r GROUP BY {key}, g),
+{tag}q AS (SELECT *, lag(v) OVER (PARTITION BY {key} ORDER BY g) AS p, lead(v) OVER (PARTITION BY {key} ORDER BY g) AS s FROM {tag}f),
+{tag}m AS (SELECT {key}, CAST((a + b) // 2 AS BIGINT) AS i, v, dist FROM {tag}q WHERE v > p AND v > s),
+{tag}d AS (
+  SELECT {key}, any_value(dist) AS dist, list({{'i': i, 'v': v}} ORDER BY v DESC, i DESC) AS todo, list({{'i': i, 'v': v}})[1:0] AS kept FROM {tag}m GROUP BY {key}
+  UNION ALL
+  SELECT {key}, dist, list_filter(todo[2:], lambda x: abs(x.i - todo[1].i) >= dist), list_append(kept, todo[1]) FROM {tag}d WHERE len(todo) > 0),
+{tag}k AS (SELECT {key}, e.i AS i, e.v AS v FROM (SELECT {key}, unnest(kept) AS e FROM {tag}d WHERE len(todo) = 0)),
+{tag}s AS (SELECT k.{key}, k.i, k.v, max(CASE WHEN x.i < k.i AND x.v > k.v THEN x.i END) AS l, min(CASE WHEN x.i > k.i AND x.v > k.v THEN x.i END) AS r FROM {tag}k k JOIN {tag}c x ON x.{key} = k.{key} GROUP BY 1, 2, 3),
+{tag}p AS (
+  SELECT s.{key}, s.i, s.v, s.v - greatest(min(CASE WHEN x.i <= s.i THEN x.v END), min(CASE WHEN x.i >= s.i THEN x.v END)) AS prominence
+  FROM {tag}s s JOIN {tag}c x ON x.{key} = s.{key} AND x.i > coalesce(s.l, -1) AND x.i < coalesce(s.r, 1000000000) GROUP BY 1, 2, 3)"""
+
+
+@query(f"""WITH RECURSIVE {ROWS_SQL}, {peak_ctes("x", "user_id", "v", "5", "-value")}, q AS (SELECT user_id, quantile_cont(value, 0.4) AS q FROM x GROUP BY 1)
+SELECT user_id, CAST(i AS INTEGER) AS i, -v AS x FROM vp JOIN q USING (user_id) WHERE prominence >= 1.0 AND -v < q""")
 def valleys(spark, d):
     x = events(spark, d).withColumn("o", F.row_number().over(peaks.Window.partitionBy("user_id").orderBy(*ORDER)))
     return peaks.valleys(x, ["user_id"], "o", "value", 5, 1.0, 40.0)
 
 
-@query(f"""WITH {GRID_SQL},
-x AS (SELECT night, minute, value, i - 1 AS i, count(*) OVER (PARTITION BY night) AS n FROM filled),
-w(r, j, c) AS (VALUES {', '.join(f'({i}, {j}, {float(w)!r})' for i, row in enumerate(exact_weights(11, 2)) for j, w in enumerate(row))}),
-a AS (SELECT *, greatest(least(i - 5, n - 11), 0) AS b FROM x),
-s AS (SELECT a.night, a.i, sum(w.c * y.value) AS v FROM a JOIN w ON w.r = a.i - a.b JOIN x y ON y.night = a.night AND y.i = a.b + w.j WHERE a.n >= 11 GROUP BY 1, 2 UNION ALL SELECT night, i, value FROM a WHERE n < 11)
+def wide_ctes(tag: str, key: str, least: float) -> str:
+    """SQL of the peaks of <tag>p whose width at half prominence is `least` or more, in <tag>w."""
+    return f"""
+{tag}h AS (
+  SELECT p.{key}, p.i, p.v, p.prominence, p.v - p.prominence / 2 AS level, max(x.i) AS last, max(CASE WHEN x.i < p.i AND x.v <= p.v - p.prominence / 2 THEN x.i END) AS l, min(CASE WHEN x.i > p.i AND x.v <= p.v - p.prominence / 2 THEN x.i END) AS r
+  FROM {tag}p p JOIN {tag}c x ON x.{key} = p.{key} GROUP BY 1, 2, 3, 4, 5),
+{tag}w AS (
+  SELECT h.{key}, h.i, h.v, h.prominence FROM {tag}h h
+  LEFT JOIN {tag}c a ON a.{key} = h.{key} AND a.i = h.l LEFT JOIN {tag}c b ON b.{key} = h.{key} AND b.i = h.l + 1
+  LEFT JOIN {tag}c y ON y.{key} = h.{key} AND y.i = h.r LEFT JOIN {tag}c z ON z.{key} = h.{key} AND z.i = h.r - 1
+  WHERE coalesce(h.r - (level - y.v) / (z.v - y.v), last) - coalesce(h.l + (level - a.v) / (b.v - a.v), 0) >= {least})"""
+
+
+@query(f"WITH RECURSIVE {ROWS_SQL}, {peak_ctes('x', 'user_id', 'p')}, {wide_ctes('p', 'user_id', 2.5)} SELECT user_id, CAST(i AS INTEGER) AS i, v AS x, round(prominence, 6) AS prominence FROM pw")
+def wide_peaks(spark, d):
+    """Peaks by their width at half prominence."""
+    x = events(spark, d).withColumn("o", F.row_number().over(peaks.Window.partitionBy("user_id").orderBy(*ORDER)))
+    return peaks.peaks(x, ["user_id"], "o", "value", width=2.5).select("user_id", "i", "x", r6("prominence", "prominence"))
+
+
+@query(f"""WITH RECURSIVE {ROWS_SQL}, {peak_ctes('x', 'user_id', 'p')}, cut AS (SELECT user_id, i AS start_i, lead(i) OVER (PARTITION BY user_id ORDER BY i) AS end_i FROM x WHERE event_type = 'signup'),
+b AS (SELECT c.user_id, start_i, end_i, max(prominence) AS top, arg_max(p.i, (prominence, -p.i)) AS spot FROM cut c LEFT JOIN pp p ON p.user_id = c.user_id AND p.i BETWEEN start_i AND end_i WHERE end_i IS NOT NULL GROUP BY 1, 2, 3)
+SELECT user_id, CAST(start_i AS INTEGER) AS start_i, CAST(end_i AS INTEGER) AS end_i, CAST(coalesce(spot, (start_i + end_i) // 2) AS INTEGER) AS peak_i, round(coalesce(top, 0), 6) AS peak_prom FROM b""")
+def strongest_peaks(spark, d):
+    """The most prominent peak between neighbouring signups of a user."""
+    w = peaks.Window.partitionBy("user_id")
+    x = events(spark, d).withColumn("i", F.row_number().over(w.orderBy(*ORDER)) - 1)
+    spans = x.where("event_type = 'signup'").select("user_id", F.col("i").alias("start_i"), F.lead("i").over(w.orderBy("i")).alias("end_i")).where("end_i IS NOT NULL")
+    return peaks.strongest_peaks(spans, peaks.peaks(x, ["user_id"], "i", "value"), ["user_id"]).withColumn("peak_prom", F.round("peak_prom", 6))
+
+
+def smooth_ctes(source: str, key: str, out: str, window: int, degree: int, value: str = "value", digits: int | None = None) -> str:
+    """SQL of a smoothed series: <out> (key, i, v) from `source` (key, i, value), i from 0; series shorter than the window stay as they are."""
+    weights = ", ".join(f"({i}, {j}, {float(w)!r})" for i, row in enumerate(exact_weights(window, degree)) for j, w in enumerate(row))
+    fit = f"round(sum(w.c * y.{value}), {digits})" if digits else f"sum(w.c * y.{value})"
+    same = f"round({value}, {digits})" if digits else value
+    return f"""
+{out}_w(r, j, c) AS (VALUES {weights}),
+{out}_a AS (SELECT *, greatest(least(i - {window // 2}, n - {window}), 0) AS first_ FROM (SELECT {key}, i, {value}, count(*) OVER (PARTITION BY {key}) AS n FROM {source})),
+{out} AS (
+  SELECT a.{key}, a.i, {fit} AS v FROM {out}_a a JOIN {out}_w w ON w.r = a.i - a.first_ JOIN {out}_a y ON y.{key} = a.{key} AND y.i = a.first_ + w.j WHERE a.n >= {window} GROUP BY 1, 2
+  UNION ALL SELECT {key}, i, {same} FROM {out}_a WHERE n < {window})"""
+
+
+SMOOTH_SQL = f"""{GRID_SQL}, x AS (SELECT night, minute, value, i - 1 AS i FROM filled), {smooth_ctes("x", "night", "s", 11, 2)}"""
+
+
+@query(f"""WITH {SMOOTH_SQL}
 SELECT night, count(*) AS n, round(sum(v), 3) AS total, round(quantile_cont(v, 0.4), 6) AS p40 FROM s GROUP BY 1""")
 def night_series(spark, d):
     s = series.savgol(series.minute_series(night_events(spark, d), ["night"], "ts", "value"), ["night"], ["minute"], "value", 11, 2)
     return s.groupBy("night").agg(F.count("*").alias("n"), r6(F.sum("smooth"), "total", 3), r6(F.percentile("smooth", F.lit(0.4)), "p40"))
 
 
-@query()
+SMOOTHED_SQL = f"{SMOOTH_SQL}, y AS (SELECT s.night, x.minute, s.i, round(s.v, 9) AS value, lead(round(s.v, 9)) OVER (PARTITION BY s.night ORDER BY s.i) AS nv FROM s JOIN x ON x.night = s.night AND x.i = s.i), q AS (SELECT night, quantile_cont(value, 0.4) AS q FROM y GROUP BY 1)"
+#: Segments between neighbouring cuts (night, i) with the sums of their rows.
+SEGMENTS_SQL = """spans AS (SELECT *, row_number() OVER (PARTITION BY night ORDER BY start_i) AS segment FROM (SELECT night, i AS start_i, lead(i) OVER (PARTITION BY night ORDER BY i) AS end_i FROM cut) WHERE end_i IS NOT NULL),
+seg AS (
+  SELECT g.night, segment, start_i, end_i, min(minute) AS a, max(minute) AS b, arg_max(minute, (value, -y.i)) AS top_at, max(value) AS peak, avg(value) AS mean, min(value) AS low, sum(CASE WHEN y.i < end_i THEN (value + nv) / 2 END) AS auc, count(*) AS n
+  FROM spans g JOIN y ON y.night = g.night AND y.i BETWEEN start_i AND end_i GROUP BY 1, 2, 3, 4)"""
+SEGMENT_COLUMNS = """strftime(a, '%Y-%m-%d %H:%M:%S') AS start_time, strftime(top_at, '%Y-%m-%d %H:%M:%S') AS peak_time, strftime(b, '%Y-%m-%d %H:%M:%S') AS end_time, round_even(date_diff('second', a, b) / 60, 1) AS duration_min,
+round(peak, 6) AS peak, round(mean, 6) AS mean, round(low, 6) AS low, round(auc, 5) AS auc, n"""
+
+
+def _segment_columns():
+    return [text("start_time"), text("peak_time"), text("end_time"), "duration_min", r6("peak", "peak"), r6("mean", "mean"), r6("low", "low"), r6("auc", "auc", 5), "n"]
+
+
+@query(f"""WITH RECURSIVE {SMOOTHED_SQL}, {peak_ctes("y", "night", "v", "30", "-value")}, {peak_ctes("y", "night", "p")}, {wide_ctes("p", "night", 5)},
+cut AS (SELECT night, i FROM vp JOIN q USING (night) WHERE prominence >= 1.5 AND -v < q), {SEGMENTS_SQL},
+best AS (SELECT g.night, g.start_i, max(prominence) AS top, arg_max(w.i, (prominence, -w.i)) AS spot FROM seg g JOIN pw w ON w.night = g.night AND w.i BETWEEN g.start_i AND g.end_i GROUP BY 1, 2)
+SELECT night, CAST(segment AS INTEGER) AS segment, CAST(start_i AS INTEGER) AS start_i, CAST(end_i AS INTEGER) AS end_i, CAST(coalesce(spot, (start_i + end_i) // 2) AS INTEGER) AS peak_i, round(coalesce(top, 0), 6) AS peak_prom, {SEGMENT_COLUMNS}
+FROM seg LEFT JOIN best USING (night, start_i)""")
 def cycles(spark, d):
-    x = night.simple_cycles(events(spark, d), "ts", "value")
-    return x.select("night", "segment", text("start_time"), text("peak_time"), text("end_time"), "duration_min", r6("peak", "peak"), r6("mean", "mean"), r6("low", "low"), r6("auc", "auc"), "n")
+    """Cycles between valleys that keep a distance of 30 minutes and a prominence of 1.5 below the 40th percentile, with the strongest wide peak of each."""
+    minute = series.minute_series(night_events(spark, d), ["night"], "ts", "value")
+    x = night.detect_cycles(minute, ["night"], "minute", "value").withColumn("duration_min", temporal.minutes(temporal.seconds(F.col("start_time"), F.col("end_time"))))
+    return x.select("night", "segment", "start_i", "end_i", "peak_i", r6("peak_prom", "peak_prom"), *_segment_columns())
+
+
+@query(f"""WITH RECURSIVE {SMOOTHED_SQL}, {peak_ctes("y", "night", "v", "1", "-value")}, cut AS (SELECT night, i FROM vm JOIN q USING (night) WHERE -v < q), {SEGMENTS_SQL} SELECT night, CAST(segment AS INTEGER) AS segment, {SEGMENT_COLUMNS} FROM seg""")
+def simple_cycles(spark, d):
+    """Cycles between all strict valleys below the 40th percentile, by window functions alone."""
+    return night.simple_cycles(events(spark, d), "ts", "value").select("night", "segment", *_segment_columns())
 
 
 @query(f"""WITH {ROWS_SQL}, cut AS (SELECT user_id, i, lead(i) OVER (PARTITION BY user_id ORDER BY i) AS e FROM x WHERE event_type = 'signup'),
@@ -479,8 +600,47 @@ def rise_fall(spark, d):
     return peaks.rise_and_fall(x, ["user_id"], "i", "value", "peak_i", 0.3, 0.7).select("user_id", "peak_i", r6("threshold", "threshold"), "rise_i", "fall_i")
 
 
-@query()
-def core_windows(spark, d):
+LEFT, RIGHT = (f"CASE WHEN event_type {x} IN ('click', 'view') THEN value END" for x in ("", "NOT"))
+CORE_SQL = f"""{grid_ctes("events", LEFT, "l")}, {grid_ctes("events", RIGHT, "r")},
+rows_ AS (
+  SELECT night || '#' || k AS ck, night, k AS cycle_id, minute, l.value AS a, r.value AS b
+  FROM lfilled l JOIN rfilled r USING (night, minute), range(6) t(k)
+  WHERE l.value IS NOT NULL AND r.value IS NOT NULL AND minute BETWEEN strptime(night || ' 18:00:00', '%Y-%m-%d %H:%M:%S') + k * INTERVAL 2 HOUR AND strptime(night || ' 18:00:00', '%Y-%m-%d %H:%M:%S') + (k + 1) * INTERVAL 2 HOUR),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY ck ORDER BY minute) - 1 AS i, count(*) OVER (PARTITION BY ck) AS n FROM rows_),
+ok AS (SELECT * FROM numbered WHERE n >= 10),
+{smooth_ctes("ok", "ck", "sl", 7, 2, "a", 9)}, {smooth_ctes("ok", "ck", "sr", 7, 2, "b", 9)},
+f AS (SELECT ok.*, sl.v AS sa, sr.v AS sb FROM ok JOIN sl USING (ck, i) JOIN sr USING (ck, i)),
+q AS (SELECT ck, quantile_cont(a, 0.3) AS qa, quantile_cont(b, 0.4) AS qb FROM ok GROUP BY 1),
+head AS (SELECT ck, i, sa AS value FROM f WHERE i < greatest(1, floor(n * CAST(0.7 AS DOUBLE)))),
+{peak_ctes("head", "ck", "h", "10")},
+tops AS (
+  SELECT ck, coalesce(p.i, m.i) AS top FROM (SELECT ck, arg_max(i, (value, -i)) AS i FROM head GROUP BY 1) m
+  LEFT JOIN (SELECT ck, arg_max(i, (v, -i)) AS i FROM hp WHERE prominence >= 0.008 GROUP BY 1) p USING (ck)),
+deck AS (
+  SELECT t.ck, t.top, coalesce(max(CASE WHEN f.i < t.top AND f.sa < qa + 0.7 * (z.sa - qa) THEN f.i END), greatest(0, t.top - 15)) AS start_
+  FROM tops t JOIN q USING (ck) JOIN f z ON z.ck = t.ck AND z.i = t.top JOIN f ON f.ck = t.ck GROUP BY 1, 2),
+tail_ AS (SELECT f.ck, f.i - top AS i, f.sb AS value, count(*) OVER (PARTITION BY f.ck) AS n FROM f JOIN tops USING (ck) WHERE f.i >= top),
+{peak_ctes("tail_", "ck", "u", "15")},
+best AS (SELECT ck, arg_max(i, (prominence, -i)) AS spot FROM up WHERE prominence >= 0.008 GROUP BY 1),
+lim AS (SELECT b.ck, spot, x.n, qb + 0.3 * (x.value - qb) AS lim FROM best b JOIN q USING (ck) JOIN tail_ x ON x.ck = b.ck AND x.i = b.spot),
+around AS (
+  SELECT l.ck, coalesce(max(CASE WHEN x.i <= spot AND x.value < lim THEN x.i END), greatest(0, spot - 20)) AS a, coalesce(min(CASE WHEN x.i >= spot AND x.value < lim THEN x.i END), least(l.n - 1, spot + 25)) AS b
+  FROM lim l JOIN tail_ x ON x.ck = l.ck GROUP BY l.ck, spot, l.n),
+high AS (SELECT ck, quantile_cont(value, 0.7) AS q FROM tail_ GROUP BY 1),
+flat AS (SELECT ck, min(i) AS a, max(i) AS b FROM tail_ JOIN high USING (ck) WHERE value >= q AND ck NOT IN (SELECT ck FROM best) GROUP BY 1),
+move AS (SELECT ck, top, start_, top + a AS begin_, top + b AS end_ FROM deck JOIN (SELECT * FROM around UNION ALL SELECT * FROM flat) USING (ck)),
+core AS (
+  SELECT m.ck, any_value(night) AS night, any_value(cycle_id) AS cycle_id, max(CASE WHEN i = start_ THEN minute END) AS t0, max(CASE WHEN i = top THEN minute END) AS t1, max(CASE WHEN i = begin_ THEN minute END) AS t2, max(CASE WHEN i = end_ THEN minute END) AS t3,
+         min(minute) AS t_first, max(minute) AS t_last, max(CASE WHEN i = top THEN sa END) AS left_top, max(CASE WHEN i BETWEEN begin_ AND end_ THEN sb END) AS right_top,
+         CASE WHEN top > 0 THEN avg(CASE WHEN i BETWEEN top AND end_ THEN b END) / (avg(CASE WHEN i < top THEN b END) + 1e-6) END AS gain
+  FROM move m JOIN f USING (ck) GROUP BY m.ck, top),
+span AS (
+  SELECT *, round_even(date_diff('second', t0, t1) / 60, 1) AS rising, round_even(date_diff('second', t2, t3) / 60, 1) AS transfer, round_even(date_diff('second', t1, t3) / 60, 1) AS window_, round_even(date_diff('second', t_first, t_last) / 60, 1) AS total, round_even(gain, 2) AS inc FROM core),
+told AS (
+  SELECT *, list_filter([CASE WHEN window_ < 15 THEN 'core window too short' END, CASE WHEN window_ > 30 THEN 'core window too long' END, CASE WHEN inc < 1.05 THEN 'weak right-deck signal' END, CASE WHEN total > 60 THEN 'abnormally long cycle' END], lambda x: x IS NOT NULL) AS issues FROM span)"""
+
+
+def _core(spark, d):
     """Both decks from event types, per night; cycles of two hours from 18:00 on."""
     e = events(spark, d).withColumn("night", temporal.night_label(F.col("ts"))).where("night <> 'daytime'")
     m = series.resample_mean(e.withColumns({"l": F.when(F.col("event_type").isin("click", "view"), F.col("value")), "r": F.when(~F.col("event_type").isin("click", "view"), F.col("value"))}), ["night"], "ts", ["l", "r"])
@@ -490,12 +650,62 @@ def core_windows(spark, d):
     start = F.to_timestamp_ntz(F.concat("night", F.lit(" 18:00:00")))
     c = m.select("night").distinct().withColumn("cycle_id", F.explode(F.sequence(F.lit(0), F.lit(5))))
     c = c.withColumn("start", start + F.make_dt_interval(F.lit(0), 2 * F.col("cycle_id"))).withColumn("end", F.col("start") + F.expr("INTERVAL 2 HOUR"))
-    x = night.review(night.core_windows(m.where("l IS NOT NULL AND r IS NOT NULL"), c, "minute", "l", "r", ["night"]))
-    plan = night.sample_plan(x, ["night", "cycle_id"]).groupBy("night", "cycle_id").agg(F.count("*").alias("samples"))
-    return x.join(plan, ["night", "cycle_id"]).withColumn("issues", F.array_join("issues", "; "))
+    return night.review(night.core_windows(m.where("l IS NOT NULL AND r IS NOT NULL"), c, "minute", "l", "r", ["night"]))
 
 
-@query()
+@query(f"""WITH RECURSIVE {CORE_SQL}
+SELECT night, CAST(cycle_id AS INTEGER) AS cycle_id, strftime(t0, '%Y-%m-%d %H:%M:%S') AS net_start_time, strftime(t1, '%Y-%m-%d %H:%M:%S') AS net_on_deck_time, strftime(t2, '%Y-%m-%d %H:%M:%S') AS fish_start_time, strftime(t3, '%Y-%m-%d %H:%M:%S') AS fish_end_time,
+       rising AS duration_net_rising_min, transfer AS duration_fish_transfer_min, window_ AS duration_core_window_min, total AS duration_total_cycle_min, round(left_top, 5) AS left_edge_peak, round(right_top, 5) AS right_edge_peak, inc AS right_edge_increase_vs_pre,
+       array_to_string(issues, '; ') AS issues, CASE len(issues) WHEN 0 THEN 'HIGH' WHEN 1 THEN 'MEDIUM' ELSE 'LOW' END AS confidence FROM told""")
+def core_windows(spark, d):
+    x = _core(spark, d)
+    times = ("net_start_time", "net_on_deck_time", "fish_start_time", "fish_end_time")
+    return x.withColumns({"issues": F.array_join("issues", "; "), **{c: F.date_format(c, TIME) for c in times}})
+
+
+@query(f"""WITH RECURSIVE {CORE_SQL},
+p AS (
+  SELECT night, cycle_id, 0 AS g, 'net_landing' AS "group", t1 + CAST(unnest([-5, 10, 25]) AS INTEGER) * INTERVAL 1 SECOND AS t FROM core
+  UNION ALL SELECT night, cycle_id, 1, 'net_settled', t1 + CAST(date_diff('second', t1, t2) / 2 * 1000 + unnest([-4, 4]) * 1000 AS BIGINT) * INTERVAL 1 MILLISECOND FROM core WHERE t2 > t1
+  UNION ALL SELECT night, cycle_id, 2, 'fish_transfer', t2 + CAST(30000 + unnest(range(5)) * 1000 * greatest((date_diff('second', t2, t3) - 60) / 4, 1) AS BIGINT) * INTERVAL 1 MILLISECOND FROM core WHERE date_diff('second', t2, t3) > 60)
+SELECT night, CAST(cycle_id AS INTEGER) AS cycle_id, "group", CAST(row_number() OVER (PARTITION BY night, cycle_id ORDER BY g, t) - 1 AS INTEGER) AS k, strftime(t, '%Y-%m-%d %H:%M:%S.%g') AS wall_time FROM p""")
+def keyframe_plan(spark, d):
+    """When pictures of each core window are taken."""
+    return night.sample_plan(_core(spark, d), ["night", "cycle_id"]).withColumn("wall_time", F.date_format("wall_time", TIME + ".SSS"))
+
+
+@query(f"""WITH RECURSIVE inst AS (SELECT ts, avg(value) AS motion, avg(value) * 2 + min(event_id % 7) AS bstd, min((event_id % 11) / 10) AS entropy FROM events GROUP BY ts),
+nt AS (SELECT *, {NIGHT} AS night, row_number() OVER (ORDER BY ts) AS o FROM inst WHERE hour(ts) >= 18 OR hour(ts) < 6),
+steps AS (SELECT *, coalesce(abs(entropy - lag(entropy) OVER (ORDER BY ts)), 0) AS across, coalesce(abs(entropy - lag(entropy) OVER (PARTITION BY night ORDER BY ts)), 0) AS de, row_number() OVER (PARTITION BY night ORDER BY ts) - 1 AS i FROM nt),
+refs AS (SELECT quantile_cont(motion, 0.9) AS m, quantile_cont(bstd, 0.9) AS b, quantile_cont(across, 0.9) AS e FROM steps),
+fai AS (SELECT night, i, 0.5 * motion / greatest(m, 1e-6) + 0.25 * bstd / greatest(b, 1e-6) + 0.25 * de / greatest(e, 1e-6) AS value FROM steps, refs),
+{smooth_ctes("fai", "night", "fs", 7, 3)},
+act AS (SELECT night, avg(o) AS active_fraction, count(*) FILTER (WHERE o = 1 AND was = 0) AS n_runs FROM (SELECT night, CAST(v > 0.55 AS INTEGER) AS o, coalesce(lag(CAST(v > 0.55 AS INTEGER)) OVER (PARTITION BY night ORDER BY i), 0) AS was FROM fs) GROUP BY 1),
+wn AS (SELECT night, i, v, least(20, greatest(count(*) OVER (PARTITION BY night) // 4, 3)) AS w FROM fs),
+sd AS (SELECT a.night, a.i, stddev_samp(b.v) AS s FROM wn a JOIN wn b ON b.night = a.night AND b.i BETWEEN a.i - a.w // 2 AND a.i - a.w // 2 + a.w - 1 GROUP BY 1, 2),
+spread AS (SELECT night, quantile_cont(s, 0.9) AS std_p90 FROM sd WHERE s IS NOT NULL GROUP BY 1),
+{grid_ctes("inst", "motion")}, x AS (SELECT night, value, i - 1 AS i FROM filled), {smooth_ctes("x", "night", "s", 11, 2, digits=9)},
+y AS (SELECT night, i, v AS value, count(*) OVER (PARTITION BY night) AS n, v - avg(v) OVER (PARTITION BY night) AS c FROM s),
+lines AS (SELECT night, k, n, sqrt(pow(sum(c * cos(2 * pi() * ((k * i) % n) / n)), 2) + pow(sum(c * sin(2 * pi() * ((k * i) % n) / n)), 2)) AS amp FROM (SELECT *, unnest(range(CAST(ceil(n / 120) AS BIGINT), n // 30 + 1)) AS k FROM y WHERE n >= 30) WHERE k >= 1 GROUP BY 1, 2, 3),
+per AS (SELECT night, any_value(n) / arg_max(k, (amp, -k)) AS period, max(amp) / greatest(avg(amp), 1e-9) AS snr FROM lines GROUP BY 1),
+depth AS (SELECT night, quantile_cont(value, 0.4) AS q, count(*) AS n FROM y GROUP BY 1),
+{peak_ctes("y", "night", "v", "15", "-value")},
+firsts AS (SELECT night, count(*) AS k FROM vp JOIN depth USING (night) WHERE n >= 30 AND prominence >= 0.8 AND -v < q GROUP BY 1),
+rule AS (
+  SELECT night, n, period, coalesce(snr, 0) AS snr, CASE WHEN n < 30 THEN NULL WHEN period IS NULL OR snr < 3 THEN CASE WHEN coalesce(k, 0) >= 2 THEN 30 END ELSE greatest(30, least(CAST(floor(period * CAST(0.4 AS DOUBLE)) AS BIGINT), 45)) END AS distance
+  FROM depth LEFT JOIN per USING (night) LEFT JOIN firsts USING (night)),
+y2 AS (SELECT y.night, i, value, distance FROM y JOIN rule USING (night) WHERE distance IS NOT NULL AND rule.n >= 2 * distance),
+{peak_ctes("y2", "night", "z", "distance", "-value")},
+found AS (SELECT night, count(*) AS k, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS valleys FROM zp JOIN depth USING (night) WHERE prominence >= 1.5 AND -v < q GROUP BY 1 HAVING count(*) >= 2),
+gap AS (SELECT night, ts, date_diff('microsecond', lag(ts) OVER (PARTITION BY night ORDER BY ts), ts) / 60e6 AS gap FROM nt),
+done AS (SELECT night, count(*) AS n_samples, date_diff('microsecond', min(ts), max(ts)) / 3600e6 AS h, coalesce(max(gap), 0) AS g FROM gap GROUP BY 1),
+whole AS (SELECT *, round_even(h, 1) AS hours, h >= 4 AND n_samples >= 30 AND g <= 180 AND h / 12 >= 0.33 AS ok FROM done WHERE n_samples >= 10),
+res AS (SELECT w.*, a.active_fraction AS af, a.n_runs AS runs, coalesce(std_p90, 0) AS sp, greatest(0, coalesce(f.k, 0) - 1) AS nets, r.period, r.snr, coalesce(f.valleys, '') AS valleys FROM whole w JOIN act a USING (night) JOIN spread USING (night) JOIN rule r USING (night) LEFT JOIN found f USING (night))
+SELECT night, ok AS is_complete, ok AND ((nets >= 3 AND af >= 0.18) OR (nets >= 2 AND snr >= 5)) AS is_operating, CAST(CASE WHEN ok THEN nets ELSE 0 END AS INTEGER) AS net_count, CAST(CASE WHEN ok THEN runs ELSE 0 END AS BIGINT) AS n_runs,
+       round_even(CASE WHEN ok THEN af ELSE 0 END, 3) AS active_fraction, round_even(CASE WHEN ok THEN 0.5 * least(least(runs / greatest(hours, 0.5) / 1.5, 1), 1) + 0.3 * least(af / 0.15, 1) + 0.2 * least(sp / 0.15, 1) ELSE 0 END, 4) AS activity_score,
+       round_even(CASE WHEN ok THEN period END, 1) AS fft_period_min, round_even(CASE WHEN ok THEN snr ELSE 0 END, 1) AS fft_snr, hours AS duration_hours, n_samples, round_even(g, 0) AS max_gap_minutes, round_even(h / 12, 2) AS coverage_ratio,
+       array_to_string(list_filter([CASE WHEN h < 4 THEN printf('duration=%.1fh < 4.0h minimum', h) END, CASE WHEN n_samples < 30 THEN printf('samples=%d < 30 minimum', n_samples) END, CASE WHEN g > 180 THEN printf('large gap=%.0fmin > 180min threshold', g) END,
+         CASE WHEN h / 12 < 0.33 THEN printf('coverage=%.1f%% < 33%% minimum', h / 12 * 100) END], lambda x: x IS NOT NULL), '; ') AS warnings, valleys FROM res""")
 def night_summary(spark, d):
     x = events(spark, d).groupBy("ts").agg(F.avg("value").alias("motion_intensity"), (F.avg("value") * 2 + F.min(F.col("event_id") % 7)).alias("brightness_std"), F.min((F.col("event_id") % 11) / 10.0).alias("entropy"))
     out = night.night_summary(x, "ts")
@@ -504,9 +714,11 @@ def night_summary(spark, d):
 
 @query(f"""WITH n AS (SELECT {NIGHT} AS night, ts FROM events), m AS (SELECT *, date_diff('microsecond', lag(ts) OVER (PARTITION BY night ORDER BY ts), ts) / 60e6 AS gap FROM n WHERE night <> 'daytime'),
 a AS (SELECT night, count(*) AS n_samples, date_diff('microsecond', min(ts), max(ts)) / 3600e6 AS h, coalesce(max(gap), 0) AS g FROM m GROUP BY night)
-SELECT night, n_samples, round_even(h, 1) AS duration_hours, round_even(h / 12, 2) AS coverage_ratio, round_even(g, 0) AS max_gap_minutes, h >= 4 AND n_samples >= 30 AND g <= 180 AND h / 12 >= 0.33 AS is_complete FROM a""")
+SELECT night, n_samples, round_even(h, 1) AS duration_hours, round_even(h / 12, 2) AS coverage_ratio, round_even(g, 0) AS max_gap_minutes, h >= 4 AND n_samples >= 30 AND g <= 180 AND h / 12 >= 0.33 AS is_complete,
+array_to_string(list_filter([CASE WHEN h < 4 THEN printf('duration=%.1fh < 4.0h minimum', h) END, CASE WHEN n_samples < 30 THEN printf('samples=%d < 30 minimum', n_samples) END, CASE WHEN g > 180 THEN printf('large gap=%.0fmin > 180min threshold', g) END,
+  CASE WHEN h / 12 < 0.33 THEN printf('coverage=%.1f%% < 33%% minimum', h / 12 * 100) END], lambda x: x IS NOT NULL), '; ') AS warnings FROM a""")
 def completeness(spark, d):
-    return stats.completeness(night_events(spark, d), ["night"], "ts").drop("warnings")
+    return stats.completeness(night_events(spark, d), ["night"], "ts").withColumn("warnings", F.array_join("warnings", "; "))
 
 
 def _truth(spark, d):
@@ -529,16 +741,9 @@ def prf1(spark, d):
     return x.select("label", *[r6(c, c) for c in ("precision", "recall", "f1")], "support")
 
 
-@query("""WITH n AS (SELECT event_type, count(*) AS n FROM events WHERE value > 20 GROUP BY 1), r AS (SELECT *, sum(n) OVER () AS t, max(n) OVER () / min(n) OVER () AS q FROM n)
-SELECT event_type, n, round_even(100 * n / t, 1) AS share, round_even(q, 2) AS ratio, CASE WHEN q < 1.5 THEN 'balanced' WHEN q < 3 THEN 'slightly imbalanced' WHEN q < 10 THEN 'imbalanced' ELSE 'severely imbalanced' END AS verdict FROM r""")
-def class_balance(spark, d):
-    return stats.class_balance(events(spark, d).where("value > 20"), "event_type")
-
-
 @query("""WITH n AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1), r AS (SELECT *, sum(n) OVER () AS t, max(n) OVER () / min(n) OVER () AS q FROM n)
 SELECT event_type, n, round_even(100 * n / t, 1) AS share, round_even(q, 2) AS ratio, CASE WHEN q < 1.5 THEN 'balanced' WHEN q < 3 THEN 'slightly imbalanced' WHEN q < 10 THEN 'imbalanced' ELSE 'severely imbalanced' END AS verdict FROM r""")
-def class_balance_all(spark, d):
-    """All events; `class_balance` has those of a value over 20, as its SQL."""
+def class_balance(spark, d):
     return stats.class_balance(events(spark, d), "event_type")
 
 
@@ -596,40 +801,29 @@ def stats_table(spark, d):
     return stats.stats_table(read(spark, d, "lineitem"), ["l_quantity", "l_discount"])
 
 
-@query("""SELECT o_orderstatus, o_orderpriority, count(*) AS cycles, round_even(avg(o_totalprice), 1) AS mean_min, round_even(coalesce(stddev_samp(o_totalprice), 0), 1) AS std_min, min(o_totalprice) AS min_min, max(o_totalprice) AS max_min,
-string_agg(strftime(o_orderdate, '%m%d'), ' | ' ORDER BY strftime(o_orderdate, '%m%d')) AS times, round(avg(o_custkey), 4) AS peak_mean FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY 1, 2""")
-def cycle_rollup(spark, d):
-    x = read(spark, d, "orders").where("o_orderdate < TIMESTAMP_NTZ '1996-01-01'").withColumn("at", F.date_format("o_orderdate", "MMdd"))
-    return stats.cycle_rollup(x, ["o_orderstatus", "o_orderpriority"], "o_totalprice", "at", "o_custkey").withColumn("peak_mean", F.round("peak_mean", 4))
-
-
 @query("""SELECT o_orderstatus, o_orderpriority, count(*) AS cycles, round_even(avg(o_totalprice), 1) AS mean_min, round_even(coalesce(stddev_samp(o_totalprice), 0), 1) AS std_min, min(o_totalprice) AS min_min, max(o_totalprice) AS max_min,
 string_agg(strftime(o_orderdate, '%m%d'), ' | ' ORDER BY strftime(o_orderdate, '%m%d')) AS times, round(avg(o_custkey), 4) AS peak_mean FROM orders GROUP BY 1, 2""")
-def cycle_rollup_all(spark, d):
-    """All orders; `cycle_rollup` has those before 1996, as its SQL."""
+def cycle_rollup(spark, d):
     x = read(spark, d, "orders").withColumn("at", F.date_format("o_orderdate", "MMdd"))
     return stats.cycle_rollup(x, ["o_orderstatus", "o_orderpriority"], "o_totalprice", "at", "o_custkey").withColumn("peak_mean", F.round("peak_mean", 4))
 
 
-@query("""WITH c AS (SELECT doc_id, unnest(string_split(lower(text), '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM c WHERE ch BETWEEN 'a' AND 'z' AND length(ch) = 1 GROUP BY 1, 2), t AS (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS t FROM n)
-SELECT doc_id, round(-sum(n / t * log2(n / t)), 6) + 0.0 AS entropy FROM t GROUP BY doc_id""")
+@query("""WITH c AS (SELECT doc_id, unnest(regexp_extract_all(hex(encode(text)), '..')) AS b FROM documents), n AS (SELECT doc_id, b, count(*) AS n FROM c GROUP BY 1, 2), t AS (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS t FROM n),
+e AS (SELECT doc_id, round(-sum(n / t * log2(n / t)), 6) + 0.0 AS entropy FROM t GROUP BY doc_id) SELECT doc_id, coalesce(entropy, 0.0) AS entropy FROM documents LEFT JOIN e USING (doc_id)""")
 def text_entropy(spark, d):
-    counts = F.array(*[F.length("t") - F.length(F.replace(F.col("t"), F.lit(c))) for c in map(chr, range(97, 123))])
-    x = read(spark, d, "documents").select("doc_id", F.lower("text").alias("t")).select("doc_id", counts.cast("array<double>").alias("c"))
-    x = x.where(F.aggregate("c", F.lit(0.0), lambda a, v: a + v) > 0)
-    return x.select("doc_id", (F.round(scalars.histogram_entropy(F.col("c")), 6) + 0.0).alias("entropy"))
+    return read(spark, d, "documents").select("doc_id", (F.round(scalars.byte_entropy("text"), 6) + 0.0).alias("entropy"))
 
 
-@query("""WITH s AS (SELECT o_orderkey, o_custkey % 37 + 0.0 AS dur FROM orders WHERE o_custkey % 37 > 0), k AS (SELECT o_orderkey, dur, unnest(range(0, CAST(floor(dur / 5) AS BIGINT) + 1)) * 5.0 AS t FROM s)
+@query("""WITH s AS (SELECT o_orderkey, o_custkey % 37 + 0.0 AS dur FROM orders), k AS (SELECT o_orderkey, dur, unnest(range(0, CAST(floor(dur / 5) AS BIGINT) + 1)) * 5.0 AS t FROM s)
 SELECT o_orderkey, CAST(t AS DOUBLE) AS t FROM k UNION ALL SELECT o_orderkey, CAST(dur AS DOUBLE) FROM s WHERE dur - floor(dur / 5) * 5 > 2.5""")
 def sample_plan(spark, d):
-    x = read(spark, d, "orders").where("o_custkey % 37 > 0").select("o_orderkey", (F.col("o_custkey") % 37).cast("double").alias("dur"))
+    x = read(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 37).cast("double").alias("dur"))
     return x.select("o_orderkey", F.explode(temporal.fixed_steps(F.col("dur"), 5)).alias("t"))
 
 
-@query("SELECT o_orderkey, CAST(f AS INTEGER) AS first, CAST(least(300, n - f) AS INTEGER) AS \"count\" FROM (SELECT o_orderkey, o_custkey AS n, unnest(range(0, o_custkey, 300)) AS f FROM orders WHERE o_custkey > 0)")
+@query("SELECT o_orderkey, CAST(f AS INTEGER) AS first, CAST(least(300, n - f) AS INTEGER) AS \"count\" FROM (SELECT o_orderkey, o_custkey AS n, unnest(range(0, o_custkey, 300)) AS f FROM orders)")
 def chunk_plan(spark, d):
-    x = read(spark, d, "orders").where("o_custkey > 0").select("o_orderkey", F.explode(temporal.chunks(F.col("o_custkey"))).alias("c"))
+    x = read(spark, d, "orders").select("o_orderkey", F.explode(temporal.chunks(F.col("o_custkey"))).alias("c"))
     return x.select("o_orderkey", "c.first", "c.count")
 
 
@@ -687,25 +881,13 @@ def fft_period(spark, d):
     return x.select("user_id", *[r6(c, c, 4) for c in ("period", "peak", "mean", "snr")])
 
 
-@query(f"WITH {SPECTRUM_SQL} SELECT user_id, k, round(period, 4) AS period, round(amplitude, 4) AS amplitude FROM a WHERE k <= 8")
-def fft_spectrum(spark, d):
-    return spectral.spectrum(events(spark, d), ["user_id"], ORDER, "value").where("k <= 8").select("user_id", F.col("k").cast("long").alias("k"), r6("period", "period", 4), r6("amplitude", "amplitude", 4))
-
-
-@query(f"WITH {ROWS_SQL}, p AS (SELECT a.user_id, CAST(b.i - a.i AS INTEGER) AS lag, a.value AS x, b.value AS y FROM x a JOIN x b ON a.user_id = b.user_id AND b.i - a.i BETWEEN 1 AND least(20, a.n - 2) WHERE a.n > 2) SELECT user_id, lag, round(CASE WHEN stddev_pop(x) * stddev_pop(y) < 1e-9 THEN 0 ELSE corr(x, y) END, 6) AS r FROM p GROUP BY 1, 2")
-def autocorr(spark, d):
-    return spectral.autocorrelation(events(spark, d), ["user_id"], ORDER, "value", 20).select("user_id", "lag", r6("r", "r"))
-
-
 @query(f"WITH {SPECTRUM_SQL} SELECT user_id, k, round(period, 4) AS period, round(amplitude, 4) AS amplitude FROM a")
-def fft_spectrum_all(spark, d):
-    """Every line; `fft_spectrum` has the first eight, as its SQL."""
+def fft_spectrum(spark, d):
     return spectral.spectrum(events(spark, d), ["user_id"], ORDER, "value").select("user_id", F.col("k").cast("long").alias("k"), r6("period", "period", 4), r6("amplitude", "amplitude", 4))
 
 
 @query(f"WITH {ROWS_SQL}, p AS (SELECT a.user_id, CAST(b.i - a.i AS INTEGER) AS lag, a.value AS x, b.value AS y FROM x a JOIN x b ON a.user_id = b.user_id AND b.i - a.i BETWEEN 1 AND least(600, a.n - 2) WHERE a.n > 2) SELECT user_id, lag, round(CASE WHEN stddev_pop(x) * stddev_pop(y) < 1e-9 THEN 0 ELSE corr(x, y) END, 6) AS r FROM p GROUP BY 1, 2")
-def autocorr_all(spark, d):
-    """The operator's lags, 1..min(600, n-2); `autocorr` has the first twenty, as its SQL."""
+def autocorr(spark, d):
     return spectral.autocorrelation(events(spark, d), ["user_id"], ORDER, "value").select("user_id", "lag", r6("r", "r"))
 
 
@@ -733,10 +915,16 @@ def abnormal_marks(spark, d):
     return states.abnormal_marks(x, ["user_id"], ORDER, "st", "ts", 1800.0).select("event_id", "tag")
 
 
-@query()
+@query("""WITH RECURSIVE o AS (SELECT user_id, event_id, epoch_us(ts) / 1e6 AS t, value % 10 / 10 AS c, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+f AS (
+  SELECT user_id, event_id, i, 'NORMAL' AS mode, CASE WHEN c < 0.3 THEN 'BURST' ELSE 'NORMAL' END AS next_mode, CASE WHEN c < 0.3 THEN t ELSE 0 END AS since FROM o WHERE i = 1
+  UNION ALL
+  SELECT o.user_id, o.event_id, o.i, next_mode, CASE WHEN next_mode = 'NORMAL' AND c < 0.3 THEN 'BURST' WHEN next_mode = 'BURST' AND t - since > 7200 THEN 'NORMAL' ELSE next_mode END, CASE WHEN next_mode = 'NORMAL' AND c < 0.3 THEN t ELSE since END
+  FROM f JOIN o ON o.user_id = f.user_id AND o.i = f.i + 1)
+SELECT user_id, event_id, mode, next_mode FROM f""")
 def adaptive_sampling(spark, d):
-    x = events(spark, d).select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), (F.col("value") % 10 / 10).alias("corr")).withColumn("sec", F.col("us") / 1e6)
-    return states.adaptive_sampling(x, ["user_id"], "event_id", "sec", "corr", 0.3, 7200.0).drop("col")
+    x = events(spark, d).select("user_id", "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("sec"), (F.col("value") % 10 / 10).alias("corr"))
+    return states.adaptive_sampling(x, ["user_id"], "event_id", "sec", "corr", 0.3, 7200.0)
 
 
 @query("""WITH s AS (SELECT user_id, ts, event_id, CASE WHEN date_diff('microsecond', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts) < 7200e6 THEN 0 ELSE 1 END AS new FROM events),

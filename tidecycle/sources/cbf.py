@@ -12,12 +12,16 @@ is one that all executors see. One partition per file.
 from __future__ import annotations
 
 import os
+import re
+import shutil
 import struct
 import uuid
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from ..schema import ROI_CODES
@@ -69,7 +73,7 @@ class CbfSource(DataSource):
         return CbfReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> CbfWriter:
-        return CbfWriter(self.options, schema)
+        return CbfWriter(self.options, overwrite)
 
 
 class CbfReader(DataSourceReader):
@@ -79,10 +83,13 @@ class CbfReader(DataSourceReader):
         self.path = options["path"]
         self.roi = {int(k): v for k, v in (x.split("=") for x in options["roi"].split(","))} if options.get("roi") else ROI_CODES
 
-    def partitions(self):
+    def files(self) -> list[str]:
         if os.path.isfile(self.path):
-            return [FilePartition(self.path)]
-        return [FilePartition(os.path.join(top, f)) for top, _, files in sorted(os.walk(self.path)) for f in sorted(files) if f.endswith(".cbf")] or [FilePartition("")]
+            return [self.path]
+        return [os.path.join(top, f) for top, _, files in sorted(os.walk(self.path)) if "_temporary" not in top[len(self.path) :] for f in sorted(files) if f.endswith(".cbf")]
+
+    def partitions(self):
+        return [FilePartition(f) for f in self.files()] or [FilePartition("")]
 
     def read(self, partition):
         if not partition.path:
@@ -90,7 +97,7 @@ class CbfReader(DataSourceReader):
         with open(partition.path, "rb") as f:
             found = decode(f.read())
         n = len(found["frame_idx"])
-        stem = os.path.splitext(os.path.basename(partition.path))[0]
+        stem = unquote(re.sub(r"(\.[0-9a-f]{8})?\.cbf$", "", os.path.basename(partition.path)))
         code = found.get("roi_code")
         cols = [pa.array([stem] * n, pa.string())]
         cols += [pa.array(found[c].astype("i8") if c in UNSIGNED else found[c]) if c in found else pa.nulls(n, pa.int64()) for c in COLUMNS]
@@ -104,28 +111,56 @@ class Written(WriterCommitMessage):
 
 
 class CbfWriter(DataSourceArrowWriter):
-    """Writes a file per video and task; names carry a random part, so a repeated task leaves no row twice: what it wrote before is removed on abort."""
+    """Writes a file per video and task, as <video>.<8 hex digits>.cbf, in parts of `part_rows` rows at most (an option), so that a task holds no more.
 
-    def __init__(self, options, schema):
-        self.path = options["path"]
-        self.video = "video_id" in schema.names
+    Tasks write below `_temporary`, which readers pass over; the commit moves their files into the folder, and with mode
+    overwrite first takes away those that were there. A task that fails or runs twice leaves nothing. Nulls become NaN,
+    or 0 in columns of whole numbers; columns that are missing are null.
+    """
+
+    def __init__(self, options, overwrite: bool):
+        self.path, self.overwrite = options["path"], overwrite
+        self.part_rows = int(options.get("part_rows", 1 << 20))
+        self.job = f"_temporary-{uuid.uuid4().hex[:8]}"
 
     def write(self, iterator):
-        os.makedirs(self.path, exist_ok=True)
-        rows: dict[str, list[dict]] = {}
+        os.makedirs(os.path.join(self.path, self.job), exist_ok=True)
+        held: dict[str, list[pa.Table]] = {}
+        files: list[str] = []
         for batch in iterator:
-            for r in batch.to_pylist():
-                rows.setdefault(r.get("video_id") or "video", []).append(r)
-        files = []
-        for video, rs in rows.items():
-            name = os.path.join(self.path, f"{video}-{uuid.uuid4().hex[:8]}.cbf" if not self.video else f"{video}.{uuid.uuid4().hex[:8]}.cbf")
-            with open(name, "wb") as f:
-                f.write(encode({c: np.array([x[c] for x in rs]) for c in COLUMNS}))
-            files.append(name)
-        return Written(files)
+            table = pa.Table.from_batches([batch])
+            names = table.column("video_id") if "video_id" in table.column_names else pa.chunked_array([pa.nulls(len(table), pa.string())])
+            names = pc.fill_null(names, "video")
+            for video in pc.unique(names).to_pylist():
+                parts = held.setdefault(video, [])
+                parts.append(table.filter(pc.equal(names, video)))
+                if sum(map(len, parts)) >= self.part_rows:
+                    files.append(self._put(video, held.pop(video)))
+        return Written(files + [self._put(video, parts) for video, parts in held.items()])
+
+    def _put(self, video: str, parts: list[pa.Table]) -> str:
+        table = pa.concat_tables(parts)
+        columns = {}
+        for c in COLUMNS:
+            x = table.column(c) if c in table.column_names else pa.chunked_array([pa.nulls(len(table), pa.float64())])
+            columns[c] = pc.fill_null(x.cast(pa.int64()), 0).to_numpy() if c in UNSIGNED else x.cast(pa.float64()).to_numpy()
+        name = f"{quote(video, safe='')}.{uuid.uuid4().hex[:8]}.cbf"
+        with open(os.path.join(self.path, self.job, name), "wb") as f:
+            f.write(encode(columns))
+        return name
+
+    def commit(self, messages):
+        new = [f for m in messages if m for f in m.files]
+        if self.overwrite:
+            for f in CbfReader({"path": self.path}).files():
+                os.remove(f)
+        os.makedirs(self.path, exist_ok=True)
+        for f in new:
+            os.replace(os.path.join(self.path, self.job, f), os.path.join(self.path, f))
+        self._clear()
 
     def abort(self, messages):
-        for m in messages:
-            for f in m.files if m else []:
-                if os.path.exists(f):
-                    os.remove(f)
+        self._clear()
+
+    def _clear(self):
+        shutil.rmtree(os.path.join(self.path, self.job), ignore_errors=True)
