@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BASE, materialize, materialize_with, mix, packed, slices, utf8, word_hashes, words
@@ -78,7 +78,8 @@ def _components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     of a component's width. The joins are between plain shuffles, so that AQE may split nodes of many edges and labels
     of many nodes.
     """
-    both = materialize(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).where("u <> v").distinct())
+    ways = F.array(F.struct(F.col(a).alias("u"), F.col(b).alias("v")), F.struct(F.col(b).alias("u"), F.col(a).alias("v")))
+    both = materialize(edges.where(F.col(a) != F.col(b)).select(F.explode(ways).alias("e")).select("e.u", "e.v").distinct())
     labels = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")).withColumnRenamed("u", "node"))
     while True:
         seen = both.join(labels.select(F.col("node").alias("v"), "root"), "v").groupBy(F.col("u").alias("node")).agg(F.min("root").alias("near"))
@@ -91,15 +92,15 @@ def _components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def _stars(keys: DataFrame, node: str, bucket: str) -> DataFrame:
-    """Edges (a, b) that connect the nodes of each bucket: as many rows as (node, bucket) pairs at most, whatever the size of a bucket.
+    """Edges (a, b) that connect the nodes of each bucket: as many as (node, bucket) pairs at most, whatever the size of a bucket.
 
     A node hangs on one head per bucket at most; its other heads are hung on the least of them, so that a group has
-    about one edge per member.
+    about one edge per member once repeated edges are dropped.
     """
     heads = keys.groupBy(bucket).agg(F.min(node).alias("head"), F.count("*").alias("k")).where("k > 1").select(bucket, "head")
-    stars = keys.join(heads, bucket).where(F.col(node) != F.col("head")).select(F.col(node).alias("a"), F.col("head").alias("b")).distinct()
-    stars = stars.withColumn("low", F.min("b").over(Window.partitionBy("a")))
-    return materialize(stars.select("a", F.col("low").alias("b")).unionByName(stars.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).distinct())
+    hung = keys.join(heads, bucket).where(F.col(node) != F.col("head")).groupBy(F.col(node).alias("a")).agg(F.collect_set("head").alias("heads"))
+    hung = hung.select("a", "heads", F.array_min("heads").alias("b"))
+    return hung.select(F.explode(F.array_append("heads", F.col("a"))).alias("a"), "b").where("a <> b")
 
 
 def _grams(sized: DataFrame) -> DataFrame:
@@ -271,12 +272,11 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, reca
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     signed = materialize(rows.mapInArrow(_signatures(n, bands, per_band), f"id {id_type}, th long, set binary, n long, bands array<long>"))
-    full = signed.where("set IS NOT NULL")
-    members = full.groupBy("set").agg(F.count("*").alias("size"), F.min("id").alias("least_id"), F.max("n").alias("n"))
-    comps = materialize(_components(_stars(full.select("set", F.explode("bands").alias("band")).distinct(), "set", "band")))
-    one = full.groupBy("set").agg(F.min(F.struct("id", "th")).alias("row")).select(F.col("set").alias("node"), F.col("row.id").alias("id"), F.col("row.th").alias("th"))
-    sized = comps.join(members.select(F.col("set").alias("node"), "size", "n"), "node")
-    picked = sized.join(_grams(sized), "root").join(one, "node")
+    members = signed.where("set IS NOT NULL").groupBy("set").agg(F.count("*").alias("size"), F.min("id").alias("least_id"), F.max("n").alias("n"), F.min(F.struct("id", "th")).alias("row"), F.first("bands").alias("bands"))
+    members = materialize(members)
+    comps = _components(_stars(members.select("set", F.explode("bands").alias("band")), "set", "band"))
+    sized = comps.join(members.select(F.col("set").alias("node"), "size", "n", "row.id", "row.th"), "node")
+    picked = sized.join(_grams(sized), "root")
     texts = rows.join(picked, (rows["id"].eqNullSafe(picked["id"])) & (rows["th"] == picked["th"])).select("node", "root", "grams", "size", "n", "text")
     texts, most = materialize_with(texts, F.max("grams"))
     if (most or 0) > chunk_grams:
