@@ -1,4 +1,5 @@
 import hashlib
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -68,8 +69,6 @@ def test_shards_do_not_depend_on_partitions(sample):
 
 
 def test_shard_sizes_and_checksums(odd):
-    import zlib
-
     for r in sharding.shard_rows(odd.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), 3).join(odd.dropDuplicates(["doc_id"]).select("doc_id", "text"), "doc_id").collect():
         raw = (r.text or "").encode()
         assert (r.size, r.text_crc32) == (len(raw) + 16, zlib.crc32(raw))
@@ -77,3 +76,38 @@ def test_shard_sizes_and_checksums(odd):
 
 def test_no_rows_no_shards(docs):
     assert sharding.shard_rows(docs([])).count() == 0
+
+
+def feistel_plain(x, n, seed, rounds=6):
+    """The permutation in plain integers, written apart from the operator."""
+    m = 2**64 - 1
+
+    def mix(v):
+        v = (v ^ v >> 30) * 0xBF58476D1CE4E5B9 & m
+        v = (v ^ v >> 27) * 0x94D049BB133111EB & m
+        return v ^ v >> 31
+
+    half = max(1, -(-max(n - 1, 1).bit_length() // 2))
+    keys = [mix(k * 0x9E3779B97F4A7C15 + seed & m) for k in range(1, rounds + 1)]
+    while True:
+        a, b = divmod(x, 1 << half)
+        for k in keys:
+            a, b = b, a ^ mix(b + k & m) % (1 << half)
+        x = b << half | a
+        if x < n:
+            return x
+
+
+def test_query_of_shards_against_plain_integers(spark):
+    from tidecycle.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    out = queries.op3_feistel_sharding(spark, sf).collect()
+    n = len(out)
+    assert sorted(r.doc_id for r in out) == sorted(texts) and sorted(r.row_number for r in out) == list(range(n))
+    assert [r.doc_id for r in sorted(out, key=lambda r: r.row_number)] == sorted(texts)
+    for r in out:
+        place = feistel_plain(r.row_number, n, 17)
+        assert (r.position, r.shard, r.slot) == (place, place % 40, place // 40)
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(texts[r.doc_id]) + 16, zlib.crc32(texts[r.doc_id]), "rows", None)

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidecycle.llm import packing
+from tidecycle.llm import packing, queries
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -36,7 +36,7 @@ def test_bound_knows_halves():
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list("ab'st .,!\n\t  é漢1  ")), max_size=40))
+@given(st.text(alphabet=st.sampled_from(list("ab'st .,!\n\t\r\x0b\u00a0\u2003\u3000\u200b\ufeff é漢1٣½Ⅷ-_€\U0001f600\u0301  ") + ["<|endoftext|>"]), max_size=40))
 def test_ids_equal_the_library(text):
     ids = packing._ids(PATH)
     assert np.frombuffer(ids.encode(text), "<u4").tolist() == ids.whole.encode(text, add_special_tokens=False).ids
@@ -86,3 +86,19 @@ def test_odd_rows(odd, docs):
     verify(odd, packing.pack_documents(odd, PATH).cache())
     assert packing.pack_documents(docs([]), PATH).count() == 0
     assert packing.pack_documents(docs([None]), PATH).select(F.sum("length")).first()[0] == 1
+
+
+def test_every_partition_is_certified_or_gains_nothing(spark):
+    """Lengths for which one deal leaves gaps: the rounds go on, and the query says how good each partition is."""
+    rng = np.random.default_rng(2)
+    items = spark.createDataFrame([(i, int(x)) for i, x in enumerate(rng.integers(200, 500, 4000))], "uid long, length long")
+    out = packing.pack_lengths(items, 1024, per_partition=100).toPandas()
+    assert sorted(out.uid) == list(range(4000)) and (out.bins >= out.bound).all()
+    one = packing.pack_lengths(items, 1024, per_partition=10**6).toPandas()
+    assert one.sequence_id.nunique() == one.bins[0] and out.sequence_id.nunique() <= 1.02 * one.sequence_id.nunique()
+
+
+def test_query_reports_its_certificate(spark):
+    out = queries.op2_best_fit_packing(spark, "/root/testdata/sf0.001").toPandas()
+    placed = out[out.length < 1024]
+    assert (placed.bins >= placed.bound).all() and placed.sequence_id.nunique() == placed.bins.iloc[0]

@@ -9,10 +9,11 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tidecycle.llm import line_dedup, lm_scoring, pii, queries, toxicity, url_filters
-from tidecycle.llm.common import words
+from tidecycle.llm.common import materialize, words
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,27 +46,34 @@ def test_lines_are_relative_to_their_host(docs):
     assert {r.doc_id: r["__n_dropped"] for r in out.collect() if r.doc_id < 13} == {0: 1, 1: 1, 2: 1, 10: 0, 11: 0, 12: 0}
 
 
-def lm_brute(rows, backoff=0.4):
+def lm_brute(rows, order, backoff=0.4):
     toks = [(i, words((t or "").encode())) for i, t in rows]
-    uni, bi = Counter(w for _, ws in toks for w in ws), Counter(p for _, ws in toks for p in zip(ws, ws[1:]))
-    total, out = sum(uni.values()), []
+    grams = lambda ws, n: Counter(tuple(ws[k : k + n]) for k in range(len(ws) - n + 1))
+    every = {n: sum((grams(ws, n) for _, ws in toks), Counter()) for n in range(1, order + 1)}
+    total, out = sum(every[1].values()), []
     for i, ws in toks:
-        u, b = uni - Counter(ws), bi - Counter(zip(ws, ws[1:]))
-        n, s = max(total - len(ws), 1), 0.0
+        c = {n: every[n] - grams(ws, n) for n in every}
+        rest, s = max(total - len(ws), 1), 0.0
         for k, w in enumerate(ws):
-            if k and b[ws[k - 1], w] > 0:
-                s += math.log10(b[ws[k - 1], w] / u[ws[k - 1]])
+            back = 0
+            for n in range(min(order, k + 1), 1, -1):
+                g = tuple(ws[k - n + 1 : k + 1])
+                if c[n][g] > 0:
+                    s += math.log10(c[n][g] / c[n - 1][g[:-1]]) + back * math.log10(backoff)
+                    break
+                back += 1
             else:
-                s += math.log10(max(u[w], 1) / n) + (math.log10(backoff) if k else 0) + (0 if u[w] else math.log10(backoff))
+                s += math.log10(max(c[1][w,], 1) / rest) + (back + (c[1][w,] == 0)) * math.log10(backoff)
         out.append((i, len(ws), round(s / len(ws), 6) if ws else None))
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block_bytes", [8 << 20, 3000])
-def test_scores_against_brute_force(odd, block_bytes):
-    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
-    got = sorted(((r.doc_id, r.n_words, None if r.score is None else round(r.score, 6)) for r in lm_scoring.stupid_backoff(odd, block_bytes=block_bytes).collect()), key=str)
-    assert got == lm_brute(rows)
+@pytest.mark.parametrize("block_bytes,order", [(8 << 20, 2), (3000, 2), (3000, 1), (3000, 4)])
+def test_scores_against_brute_force(odd, docs, block_bytes, order):
+    df = odd.union(docs([(20, "the same text here for all of us and more"), (21, "text here for all"), (22, "for all of us and more")]))
+    rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    got = sorted(((r.doc_id, r.n_words, None if r.score is None else round(r.score, 6)) for r in lm_scoring.stupid_backoff(df, order, block_bytes=block_bytes).collect()), key=str)
+    assert got == lm_brute(rows, order)
 
 
 def test_scores_of_nothing(docs):
@@ -92,6 +100,41 @@ def test_toxicity_is_learnt(spark):
     assert right >= 0.95
 
 
+def test_score_from_the_dictionaries_by_hand(odd):
+    """Score of each text: windows of whole words, compressed with either dictionary content in front of the ordinary one, and the two logistic curves."""
+    model = toxicity.Model([b" scoundrel  nitwitted ", b" blockhead  scoundrel "], b" the quick brown fox  same text here ", [[-2.0, 1.5, -0.3], [-1.0, 0.7, 0.1]])
+
+    def length(window, content):
+        p = zstandard.ZstdCompressionParameters.from_level(7, min_match=6, write_checksum=0, write_content_size=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        return len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=p).compress(window))
+
+    def by_hand(text):
+        out, cur = [], b""
+        for w in (text or "").lower().encode().split():
+            cur += b" " + w
+            if len(cur) >= 64:
+                out.append(cur)
+                cur = b""
+        out += [cur] * bool(cur)
+        z = 0
+        for content, (c, a, b) in zip(model.toxic, model.weights):
+            saved = sum(max(0, length(w, model.ordinary) - length(w, content + model.ordinary)) for w in out)
+            z += (c + a * math.log1p(saved) + b * math.log1p(len(out))) / 2
+        return 1 / (1 + math.exp(-z))
+
+    texts = ["you scoundrel and blockhead", "Same text here", "SCOUNDREL " * 40, None, ""]
+    assert model.score(texts) == pytest.approx([by_hand(t) for t in texts])
+    rows = toxicity.score(odd, model).collect()
+    assert len(rows) == odd.count() and all(r["__score"] == pytest.approx(by_hand(r.text)) for r in rows)
+
+
+def test_query_of_toxicity_learns_from_the_other_rows_alone(spark):
+    out = queries.op9_toxicity(spark, SF).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in out)
+    kept = {r.doc_id for r in queries.learnable(spark.read.parquet(f"{SF}/labels.parquet")).collect()}
+    assert kept and not any(zlib.crc32(str(i).encode()) % 5 == 0 for i in kept)
+
+
 def test_toxicity_without_labels_and_odd_rows(spark, odd):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(odd, none)
@@ -320,25 +363,89 @@ def test_labels_reach_siblings_and_children(spark):
     assert url_filters.judge_urls(df.limit(0), []).count() == 0
 
 
-def test_pipeline_against_brute_force(spark, tmp_path):
+def words_of(text):
+    return words((text or "").encode())
+
+
+def stages_by_hand(rows, model, bench):
+    """The first four stages over (doc_id, text, source) rows with ids that differ: what each keeps."""
+    out = []
+    rows = [r for r in rows if model.score([r[1]])[0] < 0.5]
+    out.append(sorted(rows, key=str))
+    pages, on = Counter(), defaultdict(Counter)
+    for _, t, host in rows:
+        pages[host or ""] += 1
+        on[host or ""].update({x.strip(" ") for x in (t or "").split("\n")} - {""})
+    bad = {h: {x for x, n in c.items() if n >= 2 and n > 0.1 * pages[h]} for h, c in on.items()}
+    rows = [(i, None if t is None else "\n".join(x for x in t.split("\n") if x.strip(" ") not in bad[h or ""]), h) for i, t, h in rows]
+    out.append(sorted(rows, key=str))
+    sets = [{tuple(w[k : k + min(5, len(w))]) for k in range(len(w) - min(5, len(w)) + 1)} if (w := words_of(t)) else set() for _, t, _ in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9:
+                old, new = root[a], root[b]
+                root = [new if x == old else x for x in root]
+    least = {}
+    for k, (i, _, _) in enumerate(rows):
+        least[root[k]] = min(least.get(root[k], i), i)
+    rows = [r for k, r in enumerate(rows) if r[0] == least[root[k]]]
+    out.append(sorted(rows, key=str))
+    windows = {tuple(w[k : k + min(13, len(w))]) for t in bench if (w := words_of(t)) for k in range(len(w) - min(13, len(w)) + 1)}
+    sizes = {len(x) for x in windows}
+
+    def hit(t):
+        w = words_of(t)
+        found = {p for m in sizes for k in range(len(w) - m + 1) if tuple(w[k : k + m]) in windows for p in range(k, k + m)}
+        return found and 20 * len(found) >= len(w)
+
+    out.append(sorted([r for r in rows if not hit(r[1])], key=str))
+    return out
+
+
+def pipeline_case(spark, cp, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.train(docs, queries.learnable(spark.read.parquet(f"{sf}/labels.parquet")))
+    want = stages_by_hand([(r.doc_id, r.text, r.source) for r in docs.collect()], model, [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()])
+    step = docs
+    for (name, stage), rows in zip(cp.STAGES, want):
+        step = materialize(stage(spark, step, sf))
+        assert step.columns == docs.columns, name
+        assert sorted([(r.doc_id, r.text, r.source) for r in step.collect()], key=str) == rows, name
+        assert all(r.n_chars == len(r.text) for r in step.collect() if r.text is not None), name
+    packed = cp.STAGES[-1][1](spark, step, sf).collect()
+    assert {r.doc_id for r in packed} == {r[0] for r in want[-1]}
+    assert sorted(map(tuple, cp.run(spark, sf).select("doc_id", "piece", "start", "length", "ids_crc32").collect())) == sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed)
+    return want
+
+
+def test_pipeline_against_brute_force(spark):
     import corpus_pipeline as cp
 
     assert [n for n, _ in cp.STAGES] == ["toxicity", "line_dedup", "ngram_jaccard_join", "decontamination", "best_fit_packing"]
-    d = spark.read.parquet(f"{SF}/documents.parquet").cache()
-    first = cp.drop_toxic(spark, d, SF)
-    model = toxicity.train(d, queries.learnable(spark.read.parquet(f"{SF}/labels.parquet")))
-    scores = dict(zip([r.doc_id for r in d.collect()], model.score([r.text for r in d.collect()])))
-    assert {r.doc_id for r in first.collect()} == {i for i, s in scores.items() if s < 0.5}
-    kept = cp.drop_lines(spark, first, SF).cache()
-    assert kept.columns == d.columns and kept.count() == first.count()
-    pages, lines = Counter(), defaultdict(Counter)
-    for r in first.collect():
-        pages[r.source] += 1
-        lines[r.source].update({x.strip(" ") for x in r.text.split("\n")} - {""})
-    before = {r.doc_id: r for r in first.collect()}
-    for r in kept.collect():
-        bad = {x for x, n in lines[r.source].items() if n >= 2 and n > 0.1 * pages[r.source]}
-        was = before[r.doc_id].text.split("\n")
-        want = "\n".join(x for x in was if x.strip(" ") not in bad)
-        assert r.text == want and r.n_chars == len(want)
-    assert cp.run(spark, SF).count() > 0
+    pipeline_case(spark, cp, SF)
+
+
+def test_pipeline_of_odd_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    tables = {t: spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels", "benchmark")}
+    odd_rows = [(10**6, None, None, "s"), (10**6 + 1, "", "en", None), (10**6 + 2, " \n\n ", None, None), (10**6 + 3, "same five words stand here", "en", "s"), (10**6 + 4, "same five words stand here", "en", "s"), (10**6 + 5, " ".join(f"w{i}" for i in range(30_000)), "en", "s")]
+    more = spark.createDataFrame([(i, t, lang, s, None if t is None else len(t)) for i, t, lang, s in odd_rows], "doc_id long, text string, lang string, source string, n_chars long")
+    tables["documents"].limit(60).select(more.columns).unionByName(more).write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    tables["labels"].unionByName(spark.createDataFrame([(None, 1, None), (10**6, None, 1)], tables["labels"].schema)).write.parquet(str(tmp_path / "a" / "labels.parquet"))
+    tables["benchmark"].unionByName(spark.createDataFrame([(None, None)], tables["benchmark"].schema)).write.parquet(str(tmp_path / "a" / "benchmark.parquet"))
+    pipeline_case(spark, cp, str(tmp_path / "a"))
+    for t, df in tables.items():
+        df.limit(0).write.parquet(str(tmp_path / "b" / f"{t}.parquet"))
+    assert cp.run(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_long_and_repeated_rows(spark, docs):
+    """Line dedup and personal data: very long texts and lines, repeated rows, null ids."""
+    long = "menu\n" + "x" * 300_000 + "\n" + "\n".join(f"line {i}" for i in range(20_000))
+    rows = [(1, long), (1, long), (2, "menu"), (None, "a@b.c"), (None, "a@b.c"), (3, "a" * 200_000 + " 4111 1111 1111 1111 " + "b" * 200_000)]
+    out = line_dedup.drop_boilerplate(docs(rows), ratio=0.4).collect()
+    assert len(out) == 6 and [r["__n_dropped"] for r in out if r.doc_id == 2] == [1] and [r["__n_lines"] for r in out if r.doc_id == 1] == [20_002] * 2
+    found = pii.find_pii(docs(rows)).select("doc_id", pii.span_text(F.col("base")).alias("b")).collect()
+    assert sorted((str(r.doc_id), r.b) for r in found) == sorted([("1", ""), ("1", ""), ("2", ""), ("None", "email:0:5"), ("None", "email:0:5"), ("3", "card:200001:200020")])
