@@ -88,10 +88,6 @@ def label_line(cls: Column, cx: Column, cy: Column, w: Column, h: Column) -> Col
     return F.format_string("%d %.6f %.6f %.6f %.6f", cls, cx, cy, w, h)
 
 
-def detection_score(area: Column, conf: Column) -> Column:
-    return area * conf
-
-
 def mask_score(area: Column, w: Column, h: Column, roi_w: Column, roi_h: Column) -> Column:
     """How much a mask looks like a hanging net: share of the height, height to width, narrow against the region, compact."""
     one = F.lit(1.0)
@@ -115,6 +111,11 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
 
 
+def zero_padded(n: Column, width: int) -> Column:
+    """A number of at least `width` digits."""
+    return F.format_string(f"%0{width}d", n)
+
+
 def has_extension(path: Column, *extensions: str) -> Column:
     out = F.lit(False)
     for e in extensions:

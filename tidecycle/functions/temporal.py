@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 #: Names of recordings, as in ch02_20250515_183000_20250515_190000.
 START_NAME = r"ch\d+_(\d{8})_(\d{6})_"
-SPAN_NAME = r"ch(\d+)_(\d{8})(?:_)?(\d{6})_(\d{8})?_?(\d{6})"
 
 
 def seconds(a: Column, b: Column) -> Column:
@@ -62,8 +61,9 @@ def hours(sec: Column, digits: int = 1) -> Column:
     return F.bround(sec / 3600, digits)
 
 
-def clock(ts: Column) -> Column:
-    return F.date_format(ts, "HH:mm:ss")
+def clock(ts: Column, millis: bool = False) -> Column:
+    """Time of day, with milliseconds if asked for."""
+    return F.date_format(ts, "HH:mm:ss.SSS" if millis else "HH:mm:ss")
 
 
 def clock_to_seconds(text: Column) -> Column:

@@ -156,6 +156,14 @@ def missing(todo: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return todo.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def skip_reasons(df: DataFrame, files: DataFrame, status: str, path: str) -> DataFrame:
+    """`df` with segmented and skip_reason: rows whose status is not ok or whose path is null, and rows whose file is not among `files` (path), are skipped; of the others the reason is empty."""
+    x = df.join(files.select(F.col(path)).distinct().withColumn("__there", F.lit(True)), path, "left")
+    # The reasons.
+    reason = F.when(~F.coalesce(F.col(status) == "ok", F.lit(False)) | F.col(path).isNull(), "keyframe_status_not_ok").when(F.col("__there").isNull(), "roi_file_not_found").otherwise("")
+    return x.withColumn("skip_reason", reason).withColumn("segmented", F.col("skip_reason") == "").drop("__there")
+
+
 def stratified_split(df: DataFrame, label: str, name: str, share: float = 0.2, seed: str = "", whole: bool = False) -> DataFrame:
     """`df` with split train or val: of each class the round(share * n) rows of least md5(seed, name); `whole` cuts instead of rounding.
 

@@ -311,18 +311,25 @@ def _series_of_probs(spark, d):
     return read(spark, d, "embeddings").select("vec_id", F.floor(F.col("vec_id") / 50).cast("long").alias("s"), p.alias("p")).select("vec_id", "s", F.transform("p", lambda x: x / total).alias("p"))
 
 
-@query("""WITH e AS (SELECT vec_id, vec_id // 50 AS s, list_transform(embedding[1:5], lambda v: exp(10 * CAST(v AS DOUBLE))) AS w FROM embeddings),
+VOTES_SQL = """e AS (SELECT vec_id, vec_id // 50 AS s, list_transform(embedding[1:5], lambda v: exp(10 * CAST(v AS DOUBLE))) AS w FROM embeddings),
 p AS (SELECT vec_id, s, row_number() OVER (PARTITION BY s ORDER BY vec_id) AS i, list_transform(w, lambda v: v / list_sum(w)) AS p, list_position(w, list_max(w)) AS c FROM e),
 n AS (SELECT a.vec_id, a.s, b.c, b.p, b.i FROM p a JOIN p b ON b.s = a.s AND b.i BETWEEN a.i - 2 AND a.i + 2),
 t AS (SELECT vec_id, any_value(s) AS s, list(p) AS near FROM n GROUP BY 1),
 v AS (SELECT vec_id, c, count(*) AS votes, min(i) AS first FROM n GROUP BY 1, 2),
-k AS (SELECT v.vec_id, t.s, c, row_number() OVER (PARTITION BY v.vec_id ORDER BY votes DESC, list_sum(list_transform(near, lambda x: x[v.c])) DESC, first) AS k FROM v JOIN t USING (vec_id))
-SELECT vec_id, s, ['waiting', 'hauling', 'on_deck', 'sorting', 'netdown'][c] AS smoothed FROM k WHERE k = 1""")
+k AS (SELECT v.vec_id, t.s, c, row_number() OVER (PARTITION BY v.vec_id ORDER BY votes DESC, list_sum(list_transform(near, lambda x: x[v.c])) DESC, first) AS k FROM v JOIN t USING (vec_id))"""
+SMOOTHED_STATES = "SELECT vec_id, s, ['waiting', 'hauling', 'on_deck', 'sorting', 'netdown'][c] AS smoothed FROM k WHERE k = 1"
+
+
+def series_of_states(spark, d):
+    """Class probabilities with the likeliest state of each row."""
+    return _series_of_probs(spark, d).withColumn("st", F.element_at(F.array(*map(F.lit, states.CYCLE)), (scalars.argmax(F.col("p")) + 1).cast("int")))
+
+
+@query(f"WITH {VOTES_SQL} {SMOOTHED_STATES}")
 def majority_vote_scores(spark, d):
     """Votes of five rows; equal ones are told apart by the sum of the state's probability."""
     names = states.CYCLE
-    x = _series_of_probs(spark, d).withColumn("st", F.element_at(F.array(*map(F.lit, names)), (scalars.argmax(F.col("p")) + 1).cast("int")))
-    return states.majority_vote(x, ["s"], ["vec_id"], "st", "p", names).select("vec_id", "s", "smoothed")
+    return states.majority_vote(series_of_states(spark, d), ["s"], ["vec_id"], "st", "p", names).select("vec_id", "s", "smoothed")
 
 
 @query("""WITH RECURSIVE e AS (SELECT vec_id, vec_id // 50 AS s, list_transform(embedding[1:5], lambda v: exp(10 * CAST(v AS DOUBLE))) AS p FROM embeddings),
