@@ -127,7 +127,7 @@ def test_long_series(spark):
     n = 50_000
     rng = np.random.default_rng(0)
     p = rng.dirichlet(np.ones(5), n)
-    x = spark.createDataFrame(pd.DataFrame({"k": "a", "i": np.arange(n), "x": rng.normal(size=n), "p": list(p), "t": np.arange(n, dtype=float)}))
+    x = spark.createDataFrame(pd.DataFrame({"k": "a", "i": np.arange(n), "x": rng.normal(size=n), "p": [q.tolist() for q in p], "t": np.arange(n, dtype=float)}))
     assert spectral.spectrum(x.withColumnRenamed("k", "key"), ["key"], ["i"], "x").count() == n // 2
     r = {a.lag: a.r for a in spectral.autocorrelation(x, ["k"], ["i"], "x").collect()}
     xs = np.array(values(x, "x"))
