@@ -42,6 +42,12 @@ def test_ids_equal_the_library(text):
     assert np.frombuffer(ids.encode(text), "<u4").tolist() == ids.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_white_space_around_a_blank():
+    ids = packing._ids(PATH)
+    for text in ("\u00a0 \u00a0", "a \u3000 \u3000b", "x\n \ny", " \u00a0", "a\u00a0 b", "a \u00a0b"):
+        assert np.frombuffer(ids.encode(text), "<u4").tolist() == ids.whole.encode(text, add_special_tokens=False).ids
+
+
 def verify(df, out, capacity=1024):
     whole = Tokenizer.from_file(PATH)
     texts = defaultdict(list)

@@ -22,7 +22,7 @@ CACHE_WORDS = 200_000
 
 
 class Ids(dict):
-    """Piece of text -> its ids as little-endian bytes; forgets all when it holds CACHE_WORDS pieces."""
+    """Piece of text -> its ids as little-endian bytes, None for one that is not taken alone; forgets all when it holds CACHE_WORDS pieces."""
 
     def __init__(self, path: str):
         import tiktoken
@@ -41,17 +41,19 @@ class Ids(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        self[piece] = out = np.array(self.fast(piece), "<u4").tobytes()
+        odd = piece[:1] == " " and not piece[1:2].strip()  # white space that may belong to a run before it
+        self[piece] = out = None if odd else np.array(self.fast(piece), "<u4").tobytes()
         return out
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text. A token never crosses a single blank between two non-blanks, so pieces split there are independent."""
+        """Ids of a whole text. A token never crosses a single blank before what isn't white space, so pieces split there are independent."""
         if any(x in text for x in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         parts = text.split(" ")
         if "" in parts:
             return np.array(self.fast(text), "<u4").tobytes()
-        return self[parts[0]] + b"".join(map(self.__getitem__, [" " + x for x in parts[1:]]))
+        ids = [self[parts[0]], *map(self.__getitem__, [" " + x for x in parts[1:]])]
+        return np.array(self.fast(text), "<u4").tobytes() if None in ids else b"".join(ids)
 
 
 @lru_cache(2)
@@ -142,7 +144,7 @@ def _pack_group(capacity: int, round_no: int, last: bool):
             room = np.array(free)
             open_bins = room >= max(1, min(capacity // 8, int(np.sort(room)[-min(len(room), 8 * gap)])))
         b = np.array(bins)
-        return pd.DataFrame({"uid": pdf["uid"].to_numpy(), "length": lengths, "sequence_id": (round_no << 56) + (pdf["pid"].to_numpy() << 28) + b, "offset": np.array(offsets, np.int64), "final": ~open_bins[b], "bound": bound, "bins": len(free)})
+        return pd.DataFrame({"uid": pdf["uid"].to_numpy(), "length": lengths, "sequence_id": (round_no << 52) + (pdf["pid"].to_numpy() << 24) + b, "offset": np.array(offsets, np.int64), "final": ~open_bins[b], "bound": bound, "bins": len(free)})
 
     return run
 
@@ -156,8 +158,11 @@ def pack_lengths(items: DataFrame, capacity: int, per_partition: int = 40_000) -
     Items are dealt at random into partitions of about `per_partition` (the memory of a task is bounded by it at any
     size), packed best-fit decreasing, and certified by `lower_bound`. Partitions with a gap give back their emptiest
     bins; those documents are dealt anew among fewer partitions and packed again, until all are certified, one
-    partition is left, or a round gave back over nine tenths of what it was given.
+    partition is left, or a round gave back over nine tenths of what it was given. Ids hold 2**10 rounds, 2**28
+    partitions and 2**24 bins in each.
     """
+    if per_partition > 1 << 23:
+        raise ValueError("per_partition is 2**23 at most")
     left, done, before = items.select("uid", "length"), [], None
     for k in itertools.count():
         n = left.count()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, pii, sharding, toxicity, url_filters
+from . import alignment, collocations, decontamination, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, pii, sharding, simhash, toxicity, url_filters
 from .common import table
 
 #: SQL that several texts share: A-Z lower-cased; the words of a text.
@@ -218,6 +218,40 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+OP11_SQL = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, m, array_to_string(w[s:s + m - 1], ' ') AS phrase FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM w, range(1, 6) x(m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 100),
+cuts AS (SELECT *, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:m], ' ') AS q FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+s AS (
+  SELECT c.lang, c.m, c.phrase, a, k, x.f AS l, y.f AS r, CAST(n AS BIGINT) AS n, CAST(1000::HUGEINT * a * n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = p JOIN f y ON y.lang = c.lang AND y.phrase = q JOIN n ON n.lang = c.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM b WHERE NOT EXISTS (
+    SELECT 1 FROM (SELECT lang, m AS long_m, a AS long_a, array_to_string(w[i:i + j - 1], ' ') AS part FROM (SELECT *, unnest(range(1, m - j + 2)) AS i FROM c, range(2, 5) y(j) WHERE j < m)) x
+    WHERE x.lang = b.lang AND x.part = b.phrase AND 100 * long_a >= 100 * b.a)),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000
+"""
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -229,6 +263,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op11_collocations": op11_collocations,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_simhash": op13_simhash,
 }
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
@@ -237,4 +274,5 @@ ORACLES = {
     "op6_lm_scoring": OP6_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op11_collocations": OP11_SQL,
 }
