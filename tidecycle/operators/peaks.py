@@ -21,48 +21,108 @@ def local_maxima_array(x: np.ndarray) -> np.ndarray:
     return (edge[top] + last[top]) // 2
 
 
+class _Lows:
+    """Least values of a series over blocks of 1, 2, 4, ... samples, for searches that skip whole blocks."""
+
+    def __init__(self, x: np.ndarray):
+        self.n, self.depth = len(x), max(1, (len(x) - 1).bit_length())
+        level = np.concatenate([x, np.full((1 << self.depth) - len(x), np.inf)])
+        self.levels = [level]
+        while len(level) > 1:
+            level = np.minimum(level[::2], level[1::2])
+            self.levels.append(level)
+        self.flat, self.start = np.concatenate(self.levels), np.cumsum([0, *map(len, self.levels[:-1])])
+
+    def next_below(self, first: np.ndarray, limit: np.ndarray, strict: bool) -> np.ndarray:
+        """For each query the least index >= `first` whose sample is below `limit` (or at it, unless `strict`); n if there is none. Steps grow with the logarithm of the series."""
+
+        def low(k, i):
+            v = self.flat[self.start[k] + i]
+            return v < limit_ if strict else v <= limit_
+
+        out = np.full(len(first), self.n)
+        ids = np.flatnonzero(first < self.n)
+        k, i = np.zeros(len(ids), int), first[ids].astype(int)
+        done_k, done_i, done = [], [], []
+        while len(ids):  # up: over blocks that hold nothing
+            limit_ = limit[ids]
+            hit = low(k, i)
+            done_k.append(k[hit]), done_i.append(i[hit]), done.append(ids[hit])
+            k, i, ids = k[~hit], i[~hit] + 1, ids[~hit]
+            climb = (i & 1) == 0
+            k, i = np.where(climb, np.minimum(k + 1, self.depth), k), np.where(climb, i >> 1, i)
+            inside = i < (1 << self.depth) >> k
+            k, i, ids = k[inside], i[inside], ids[inside]
+        if done:
+            k, i, ids = np.concatenate(done_k), np.concatenate(done_i), np.concatenate(done)
+            limit_ = limit[ids]
+            for _ in range(self.depth):  # down: to the first sample of the block that is low
+                deeper = k > 0
+                k2, i2 = np.where(deeper, k - 1, 0), np.where(deeper, i * 2, i)
+                i = np.where(deeper & ~low(k2, i2), i2 + 1, i2)
+                k = k2
+            out[ids] = i
+        return out
+
+    def least(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Least sample of each range, ends included: of two blocks a level at most."""
+        out, a, b = np.full(len(a), np.inf), a.astype(int), b.astype(int) + 1
+        for level in self.levels:
+            odd = (a < b) & (a & 1 == 1)
+            out[odd] = np.minimum(out[odd], level[a[odd]])
+            a = a + odd
+            odd = (a < b) & (b & 1 == 1)
+            b = b - odd
+            out[odd] = np.minimum(out[odd], level[b[odd]])
+            a, b = a >> 1, b >> 1
+        return out
+
+
 def prominences(x: np.ndarray, peaks: np.ndarray) -> np.ndarray:
     """Height over the higher of the two lowest points between the peak and the next strictly higher sample (or the end) on each side."""
-    out = np.empty(len(peaks))
-    for k, p in enumerate(peaks):
-        higher = np.flatnonzero(x[:p] > x[p])
-        left = x[higher[-1] + 1 if len(higher) else 0 : p + 1].min()
-        higher = np.flatnonzero(x[p + 1 :] > x[p])
-        right = x[p : p + 1 + (higher[0] if len(higher) else len(x))].min()
-        out[k] = x[p] - max(left, right)
-    return out
+    if not len(peaks):
+        return np.zeros(0)
+    bases = []
+    for y, p in ((x, peaks), (x[::-1], len(x) - 1 - peaks)):
+        end = _Lows(-y).next_below(p, -y[p], strict=True) - 1
+        bases.append(_Lows(y).least(p, end))
+    return x[peaks] - np.maximum(*bases)
 
 
 def widths(x: np.ndarray, peaks: np.ndarray, prom: np.ndarray) -> np.ndarray:
     """Width at half prominence, crossings interpolated linearly."""
-    out = np.zeros(len(peaks))
-    for k, p in enumerate(peaks):
-        level = x[p] - prom[k] / 2
-        i = p
-        while i > 0 and x[i] > level:
-            i -= 1
-        left = i + (level - x[i]) / (x[i + 1] - x[i]) if x[i] < level else float(i)
-        j = p
-        while j < len(x) - 1 and x[j] > level:
-            j += 1
-        right = j - (level - x[j]) / (x[j - 1] - x[j]) if x[j] < level else float(j)
-        out[k] = right - left
+    if not len(peaks):
+        return np.zeros(0)
+    level, out = x[peaks] - prom / 2, np.zeros(len(peaks))
+    for y, p in ((x, peaks), (x[::-1], len(x) - 1 - peaks)):
+        at = np.minimum(_Lows(y).next_below(p, level, strict=False), len(x) - 1)
+        under = y[at] < level
+        part = np.zeros(len(p))
+        part[under] = (level[under] - y[at[under]]) / (y[at[under] - 1] - y[at[under]])
+        out += at - p - part
     return out
 
 
+def _keep_distance(x: np.ndarray, peaks: np.ndarray, distance: int) -> np.ndarray:
+    """Of the peaks those that stay when each, from the highest down and of equal ones from the last, takes out the others nearer than `distance`."""
+    keep, at = [True] * len(peaks), peaks.tolist()
+    for k in np.argsort(x[peaks], kind="stable")[::-1].tolist():
+        if keep[k]:
+            for step in (-1, 1):  # what is in reach of one that stays is visited twice at most
+                j = k + step
+                while 0 <= j < len(at) and abs(at[j] - at[k]) < distance:
+                    keep[j] = False
+                    j += step
+    return peaks[np.array(keep, bool)]
+
+
 def find_peaks(x: np.ndarray, distance: float = 1, prominence: float | None = None, width: float | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(indices, prominences). Filters in this order: maxima; distance, from the highest peak down, of equal ones the later first; prominence; width."""
+    """(indices, prominences). Filters in this order: maxima; distance, from the highest peak down, of equal ones the later first; prominence; width. Time and memory follow the length of the series, times its logarithm."""
     x = np.asarray(x, float)
     peaks = local_maxima_array(x)
     d = math.ceil(distance)
     if d > 1 and len(peaks):
-        keep = np.ones(len(peaks), bool)
-        for k in np.argsort(x[peaks], kind="stable")[::-1]:
-            if keep[k]:
-                near = np.abs(peaks - peaks[k]) < d
-                near[k] = False
-                keep &= ~near
-        peaks = peaks[keep]
+        peaks = _keep_distance(x, peaks, d)
     prom = prominences(x, peaks)
     if prominence is not None:
         peaks, prom = peaks[prom >= prominence], prom[prom >= prominence]
@@ -72,6 +132,13 @@ def find_peaks(x: np.ndarray, distance: float = 1, prominence: float | None = No
     return peaks, prom
 
 
+def edges(x: np.ndarray, top: int, threshold: float, back: int, ahead: int, upto_top: bool = False) -> tuple[int, int, int]:
+    """(rise, top, fall): the last sample before the peak (or at it, with `upto_top`) that is below the threshold, else `back` before it; the first from it on, else `ahead` after; inside the series."""
+    low = np.flatnonzero(x < threshold)
+    before, after = low[low < top + upto_top], low[low >= top]
+    return int(before[-1]) if len(before) else max(0, top - back), top, int(after[0]) if len(after) else min(len(x) - 1, top + ahead)
+
+
 def find_valleys(x: np.ndarray, distance: int, prominence: float, depth: float) -> np.ndarray:
     """Peaks of -x that lie strictly below the `depth`-th percentile of x."""
     if len(x) < 3:
@@ -122,14 +189,18 @@ def local_valleys(df: DataFrame, keys: list[str], order: list[str], value: str,
 
 
 def segments(series: DataFrame, cuts: DataFrame, keys: list[str], order: list[str], value: str, ts: str | None = None) -> DataFrame:
-    """Segments between neighbouring cuts (keys, i), ends included on both sides: start_i, end_i, peak_i (first maximum), peak, mean, low, auc (trapezoids), n."""
+    """Segments between neighbouring cuts (keys, i), ends included on both sides: start_i, end_i, peak_i (first maximum), peak, mean, low, auc (trapezoids), n.
+
+    A row's segment is the number of cuts up to it; a row that is a cut ends the segment before, too. So each row is in
+    one segment or two, whatever their number.
+    """
     w = Window.partitionBy(*keys).orderBy("i")
-    spans = cuts.select(*keys, F.col("i").alias("start_i"), F.lead("i").over(w).alias("end_i")).where("end_i IS NOT NULL")
-    spans = spans.withColumn("segment", F.row_number().over(Window.partitionBy(*keys).orderBy("start_i")))
+    spans = cuts.select(*keys, F.col("i").alias("start_i"), F.lead("i").over(w).alias("end_i"), F.row_number().over(w).alias("segment")).where("end_i IS NOT NULL")
     rows = series.withColumn("i", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
-    rows = rows.withColumn("__next", F.lead(value).over(Window.partitionBy(*keys).orderBy("i")))
-    inside = rows.join(spans, keys).where("i BETWEEN start_i AND end_i")
-    out = inside.groupBy(*keys, "segment", "start_i", "end_i").agg(
+    rows = rows.withColumn("__next", F.lead(value).over(w)).join(cuts.select(*keys, "i", F.lit(1).alias("__cut")), [*keys, "i"], "left")
+    number = F.sum(F.coalesce("__cut", F.lit(0))).over(w).cast("int")
+    inside = rows.withColumn("__number", number).withColumn("segment", F.explode(F.when(F.col("__cut") == 1, F.array(F.col("__number"), F.col("__number") - 1)).otherwise(F.array("__number"))))
+    out = inside.join(spans, [*keys, "segment"]).groupBy(*keys, "segment", "start_i", "end_i").agg(
         F.max_by("i", F.struct(F.col(value), -F.col("i"))).alias("peak_i"),
         F.max(value).alias("peak"),
         F.avg(value).alias("mean"),
@@ -142,11 +213,19 @@ def segments(series: DataFrame, cuts: DataFrame, keys: list[str], order: list[st
 
 
 def strongest_peaks(spans: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
-    """For each span (keys, start_i, end_i) the most prominent of the peaks (keys, i, prominence) in it, ends included; without one its middle and 0."""
-    p = found.select(*keys, F.col("i").alias("__i"), "prominence")
-    near = spans.join(p, keys, "left").withColumn("__in", F.col("__i").between(F.col("start_i"), F.col("end_i")))
-    best = near.groupBy(*spans.columns).agg(F.max(F.when(F.col("__in"), F.struct("prominence", (-F.col("__i")).alias("m")))).alias("b"))
-    return best.select(*spans.columns, F.coalesce(-F.col("b.m"), F.floor((F.col("start_i") + F.col("end_i")) / 2)).cast("int").alias("peak_i"), F.coalesce("b.prominence", F.lit(0.0)).alias("peak_prom"))
+    """For each span (keys, start_i, end_i) the most prominent of the peaks (keys, i, prominence) in it, ends included; without one its middle and 0.
+
+    Spans of a series may meet at their ends but not overlap, so a peak is in the last span that begins before it or at
+    it, and where one begins at it, in the one that ends there, too.
+    """
+    marks = spans.select(*keys, F.col("start_i").alias("i"), F.struct("start_i", "end_i").alias("__s"), F.lit(None).cast("double").alias("prominence"))
+    both = marks.unionByName(found.select(*keys, F.col("i").cast(spans.schema["start_i"].dataType).alias("i"), F.lit(None).cast(marks.schema["__s"].dataType).alias("__s"), "prominence"))
+    w = Window.partitionBy(*keys).orderBy("i", F.col("__s").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    own = both.withColumn("__s", F.last("__s", True).over(w)).where(F.col("prominence").isNotNull()).select(*keys, "i", "prominence", "__s.start_i", "__s.end_i").where(F.col("i") <= F.col("end_i"))
+    ends = spans.select(*keys, "start_i", "end_i", F.col("end_i").alias("i")).join(found.select(*keys, "i", "prominence"), [*keys, "i"]).where("start_i < i")
+    best = own.unionByName(ends.select(*own.columns)).groupBy(*keys, "start_i", "end_i").agg(F.max(F.struct("prominence", (-F.col("i")).alias("m"))).alias("b"))
+    out = spans.join(best, [*keys, "start_i", "end_i"], "left")
+    return out.select(*spans.columns, F.coalesce(-F.col("b.m"), F.floor((F.col("start_i") + F.col("end_i")) / 2)).cast("int").alias("peak_i"), F.coalesce("b.prominence", F.lit(0.0)).alias("peak_prom"))
 
 
 def rise_and_fall(df: DataFrame, keys: list[str], i: str, value: str, peak_i: str, low: float, share: float, back: int = 15, ahead: int = 25) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import selection
+
 
 def average_rois(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Means over the regions of an instant; null keys are a group of their own."""
@@ -36,8 +38,8 @@ def stats_table(df: DataFrame, columns: list[str], measures: tuple[str, ...] = (
 
 
 def quantile_refs(df: DataFrame, columns: list[str], shares: tuple[float, ...] = (0.5, 0.9), keys: tuple[str, ...] = ()) -> DataFrame:
-    """Exact quantiles with linear interpolation, as <column>_p<percent>."""
-    return df.groupBy(*keys).agg(*[F.percentile(c, F.lit(q)).alias(f"{c}_p{round(100 * q)}") for c in columns for q in shares])
+    """Exact quantiles with linear interpolation, as <column>_p<percent>, by distributed selection."""
+    return selection.exact_quantiles(df, columns, shares, keys)
 
 
 def trapezoid(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
@@ -167,13 +169,15 @@ def skip_reasons(df: DataFrame, files: DataFrame, status: str, path: str) -> Dat
 def stratified_split(df: DataFrame, label: str, name: str, share: float = 0.2, seed: str = "", whole: bool = False) -> DataFrame:
     """`df` with split train or val: of each class the round(share * n) rows of least md5(seed, name); `whole` cuts instead of rounding.
 
-    Rows are ranked inside a class on their hash alone. Ties (repeated names) go by name.
+    Ties (repeated names) go by name. No class is gathered (`selection.least_rows`).
     """
-    h = F.md5(F.concat(F.lit(seed), F.col(name).cast("string")))
-    n = F.count("*").over(Window.partitionBy(label))
-    k = F.floor(n * share) if whole else F.bround(n * share)
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(h, name))
-    return df.withColumn("split", F.when(rank <= k, "val").otherwise("train"))
+    n = F.col("__n") * share
+    out = selection.least_rows(df, [label], F.floor(n) if whole else F.bround(n), _digest(seed, name), name, "__val")
+    return out.withColumn("split", F.when(F.col("__val"), "val").otherwise("train")).drop("__val")
+
+
+def _digest(seed: str, name: str) -> Column:
+    return F.md5(F.concat(F.lit(seed), F.coalesce(F.col(name).cast("string"), F.lit(""))))
 
 
 def oversample(df: DataFrame, where: Column, times: int, name: str) -> DataFrame:
@@ -183,8 +187,8 @@ def oversample(df: DataFrame, where: Column, times: int, name: str) -> DataFrame
 
 
 def random_sample(df: DataFrame, name: str, n: int, seed: str) -> DataFrame:
-    """n rows, the same ones whatever the partitioning."""
-    return df.orderBy(F.md5(F.concat(F.lit(seed), F.col(name).cast("string"))), name).limit(n)
+    """n rows, the same ones whatever the partitioning: those of least md5(seed, name)."""
+    return selection.least_rows(df, [], F.lit(n), _digest(seed, name), name, "__in").where("__in").drop("__in")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
