@@ -19,18 +19,13 @@ CUT = re.compile(r"(?<=\S)(?= \S)")
 #: Pieces that a worker remembers, of eight links on average at most; those of over LONG characters go through the library that needs no square time.
 KNOWN, LONG = 300_000, 1000
 
-#: A and B tokens (e, s: end and start on one axis of all pieces; id) and the pieces' ends (p, e): groups, links and the groups' text of each piece.
-ALIGN = """
-WITH over AS (SELECT a.e, a.id, b.id AS bid, b.e = a.e AS cut FROM a ASOF JOIN b ON a.e > b.s),
-ga AS (SELECT *, sum(cut::INT) OVER (ORDER BY e ROWS UNBOUNDED PRECEDING) - cut::INT AS g FROM over),
-cuts AS (SELECT g, e, (id::BIGINT << 32) | bid AS link FROM ga WHERE cut),
-gb AS (SELECT cuts.g, b.e, b.id FROM b ASOF JOIN cuts ON b.e <= cuts.e),
-ta AS (SELECT g, string_agg(id, ',' ORDER BY e) AS t FROM ga GROUP BY g),
-tb AS (SELECT g, string_agg(id, ',' ORDER BY e) AS t FROM gb GROUP BY g),
-held AS (SELECT p.p, cuts.g, link FROM cuts ASOF JOIN p ON cuts.e <= p.e)
-SELECT p, count(*) AS n, list(link ORDER BY g) AS links, string_agg(ta.t || '|' || tb.t, ';' ORDER BY g) AS t
-FROM held JOIN ta USING (g) JOIN tb USING (g) GROUP BY p ORDER BY p
+#: Of tokens A and B (s, e: start and end on one axis that both cover without gaps; id): which token of B covers the last byte of each token of A, whether both end there, and how many such cuts lie before.
+OVER = """
+WITH over AS (SELECT a.e, a.id, b.id AS other, (b.e = a.e)::INT AS cut FROM a ASOF JOIN b ON a.e > b.s)
+SELECT e, (id << 32) | other AS link, cut, (sum(cut) OVER (ORDER BY e ROWS UNBOUNDED PRECEDING) - cut)::BIGINT AS g FROM over ORDER BY e
 """
+#: The group of each token of B: that of the first cut at its end or after.
+WITHIN = "SELECT b.e, cuts.g FROM b ASOF JOIN cuts ON b.e <= cuts.e ORDER BY b.e"
 
 
 def pieces(text: str | None) -> list[str]:
@@ -68,7 +63,10 @@ class Aligner:
         spelt = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
         self.b = [bytes([int(x[3:5], 16)]) if self.sp.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(spelt)]
         self.a_size, self.b_size = (np.array([len(x) for x in v]) for v in (self.a, self.b))
-        self.db = duckdb.connect(config={"threads": 1})
+        #: Each id as text, followed by what may follow it.
+        self.a_comma, self.a_last = (np.array([f"{i}{c}" for i in range(len(self.a))], object) for c in ",|")
+        self.b_comma, self.b_last = (np.array([f"{i}{c}" for i in range(len(self.b))], object) for c in ",;")
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self.forget()
 
     def forget(self) -> None:
@@ -80,33 +78,41 @@ class Aligner:
         a = [self.fast(x) if len(x) <= LONG else self.slow.encode(x, add_special_tokens=False).ids for x in many]
         return a, self.sp.encode([x[1:] for x in many], num_threads=1)
 
+    def _ask(self, sql: str, **tables: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        for name, t in tables.items():
+            self.db.register(name, pa.table(t))
+        out = self.db.sql(sql).fetchnumpy()
+        for name in tables:
+            self.db.unregister(name)
+        return out
+
     def learn(self, many: list[str]) -> None:
-        """Align these pieces, as one table of tokens each way."""
+        """Align these pieces: all their tokens one after the other are one table of intervals each way."""
         a, b = self._tokens(many)
         raw = [x.encode() for x in many]
-        bad = np.array([b"".join([self.a[i] for i in x]) != t or b"".join([self.b[i] for i in y]) != t for x, y, t in zip(a, b, raw)], bool)
-        tables = {"p": pa.table({"p": np.flatnonzero(~bad), "e": np.cumsum(np.array([len(t) for t in raw])[~bad])})}
-        for name, tokens, sizes in (("a", a, self.a_size), ("b", b, self.b_size)):
-            ids = np.array([i for x, no in zip(tokens, bad) if not no for i in x], np.int64)
+        bad = np.array([b"".join(map(self.a.__getitem__, x)) != t or b"".join(map(self.b.__getitem__, y)) != t for x, y, t in zip(a, b, raw)], bool)
+        n = np.array([[len(x), len(y), 0] for x, y in zip(a, b)], np.int64).reshape(-1, 3)
+        n[bad] = 0
+        sides = []
+        for tokens, sizes in ((a, self.a_size), (b, self.b_size)):
+            ids = np.fromiter((i for x, no in zip(tokens, bad.tolist()) if not no for i in x), np.int64)
             e = np.cumsum(sizes[ids])
-            tables[name] = pa.table({"e": e, "s": e - sizes[ids], "id": ids})
-        for name, t in tables.items():
-            self.db.register(name, t)
-        out = self.db.sql(ALIGN).to_arrow_table()
-        for name in tables:
-            self.db.unregister(name)
-        at, n = out["p"].to_numpy(), np.zeros((len(many), 3), np.int64)
-        n[:, 0], n[:, 1] = [0 if no else len(x) for x, no in zip(a, bad)], [0 if no else len(x) for x, no in zip(b, bad)]
-        n[at, 2] = out["n"].to_numpy()
-        texts = [""] * len(many)
-        for i, t in zip(at.tolist(), out["t"].to_pylist()):
-            texts[i] = t
-        links = out["links"].combine_chunks()
+            sides.append({"s": e - sizes[ids], "e": e, "id": ids})
+        over = self._ask(OVER, a=sides[0], b=sides[1])
+        cut = over["cut"] == 1
+        group = over["g"], self._ask(WITHIN, b=sides[1], cuts={"e": over["e"][cut], "g": over["g"][cut]})["g"]
+        n[:, 2] = np.diff(np.concatenate([[0], np.cumsum(cut)])[np.concatenate([[0], np.cumsum(n[:, 0])])])
+        # The groups' text: tokens of A, then of B, group by group.
+        last = [np.append(g[1:] != g[:-1], True) if len(g) else np.zeros(0, bool) for g in group]
+        said = np.concatenate([np.where(last[0], self.a_last[sides[0]["id"]], self.a_comma[sides[0]["id"]]), np.where(last[1], self.b_last[sides[1]["id"]], self.b_comma[sides[1]["id"]])])
+        said = said[np.argsort(np.concatenate([group[0] * 2, group[1] * 2 + 1]), kind="stable")].tolist()
+        ends = np.cumsum(n[:, 0] + n[:, 1]).tolist()
+        texts = ["".join(said[i:j])[:-1] for i, j in zip([0, *ends], ends)]
         first = len(self.known)
         self.known |= {x: first + i for i, x in enumerate(many)}
         self.counts, self.bad, self.odd = np.concatenate([self.counts, n]), np.concatenate([self.bad, bad]), np.concatenate([self.odd, np.array([odd(x) for x in many], bool)])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(n[:, 2])])
-        self.links = np.concatenate([self.links, links.flatten().to_numpy()])
+        self.links = np.concatenate([self.links, over["link"][cut]])
         self.texts += texts
 
     def _rows(self, parts: list[list[str]]) -> list[np.ndarray]:
@@ -145,7 +151,7 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "
     """(id, n_a, n_b, n_groups, groups_sha256, links) of each row; links: A id << 32 | B id of each pair of tokens that end together."""
 
     def run(batches):
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 2 << 20):
             n, said, links = _aligner(byte_path, piece_path).align(batch.column(1).to_pylist())
             sha = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in said]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(n[:, j]) for j in range(3)), pa.array(sha, pa.string()), links], names=["id", "n_a", "n_b", "n_groups", "groups_sha256", "links"])
@@ -186,7 +192,8 @@ def align_tokenizers(docs: DataFrame, byte_path: str, piece_path: str, id_col: s
     how many links of all rows hold the same two ids; it is a best one if no other A id is linked with its B id more often.
 
     1. In each Arrow slice, distinct pieces of texts become two tables of token intervals; DuckDB finds by as-of joins
-       which token of B covers the end of each token of A and in which group each token of B lies, and groups by window sums.
+       which token of B covers the end of each token of A and in which group each token of B lies, and groups by window
+       sums. (Both tables cover one axis without gaps, so an as-of join finds what a range join of the intervals would.)
     2. Each task counts its pairs; Spark adds them up. Their number is bounded by the vocabularies (`most_pairs`), not by
        the corpus, so all tasks get them.
     3. A scan over the written links sums up each row's counts.
