@@ -33,19 +33,38 @@ def test_sql_of_the_queries_agrees(spark):
 
 def test_lines_of_a_host(docs):
     texts = ["menu\nfoo bar", " menu \nbaz", "menu\nqux\nmenu", "other", None, "", "menu"]
-    x = line_dedup.drop_boilerplate(docs(texts), ratio=0.5, min_pages=3)
+    x = line_dedup.drop_boilerplate(docs(texts), ratio=0.5, min_pages=3, certain=4)
     got = {r.doc_id: (r.text, r["__n_lines"], r["__n_dropped"]) for r in x.collect()}
-    assert got == {0: ("foo bar", 2, 1), 1: ("baz", 2, 1), 2: ("qux", 3, 2), 3: ("other", 1, 0), 4: (None, 0, 0), 5: ("", 1, 0), 6: ("", 1, 1)}
+    # The last page is nothing but boilerplate and stays.
+    assert got == {0: ("foo bar", 2, 1), 1: ("baz", 2, 1), 2: ("qux", 3, 2), 3: ("other", 1, 0), 4: (None, 0, 0), 5: ("", 1, 0), 6: ("menu", 1, 0)}
+    few = line_dedup.drop_boilerplate(docs(texts[:4]), ratio=0.5, min_pages=3)
+    assert sorted(r["__n_dropped"] for r in few.collect())[:2] == [0, 0] and "\n".join(r.text for r in few.collect()).count("menu") in (1, 2)  # one page keeps it
     assert x.columns == [*docs(texts).columns, "__n_lines", "__n_dropped"]
     assert line_dedup.drop_boilerplate(docs([])).count() == 0
 
 
 def test_lines_are_relative_to_their_host(docs):
-    a, b = docs(["x y", "x y", "x y"], "a"), docs([(i, "x y" if i < 13 else f"t{i}") for i in range(10, 60)], "b")
-    out = line_dedup.drop_boilerplate(a.union(b).union(docs([(99, "x y")]).withColumn("source", F.lit(None).cast("string"))), ratio=0.5, min_pages=3)
+    a, b = docs([f"x y\n{i}" for i in range(3)], "a"), docs([(i, f"x y\n{i}" if i < 13 else f"t{i}") for i in range(10, 60)], "b")
+    out = line_dedup.drop_boilerplate(a.union(b).union(docs([(99, "x y")]).withColumn("source", F.lit(None).cast("string"))), ratio=0.5, min_pages=3, certain=3)
     assert {r.doc_id: r["__n_dropped"] for r in out.collect() if r.doc_id < 13} == {0: 1, 1: 1, 2: 1, 10: 0, 11: 0, 12: 0}
 
 
+@pytest.mark.parametrize("pages", [1, 2, 5, 19, 20, 60])
+def test_no_text_loses_its_last_copy(docs, pages):
+    """Copies, near copies and pages of boilerplate alone, on hosts of all sizes: every line of every text is still on its host."""
+    menu = [f"menu\nfoot\nown {i}" for i in range(pages)]
+    copies = ["a b c\nd e f"] * pages
+    near = [f"shared one\nshared two\nnumber {i % 2}" for i in range(pages)]
+    for texts in (menu, copies, near, menu + copies + near, [*menu, "menu\nfoot", "menu"], ["T", "T", "U"][:pages]):
+        out = line_dedup.drop_boilerplate(docs(list(enumerate(texts)))).select("doc_id", "text").collect()
+        left = {line for r in out for line in r.text.split("\n")}
+        assert all(r.text.strip() for r in out)
+        own = {line for t in texts for line in t.split("\n")} - {"menu", "foot"}
+        assert own <= left, (pages, own - left)
+        if texts is menu and pages >= 20:
+            assert not left & {"menu", "foot"}
+
+
 def lm_brute(rows, order, backoff=0.4):
     toks = [(i, words((t or "").encode())) for i, t in rows]
     grams = lambda ws, n: Counter(tuple(ws[k : k + n]) for k in range(len(ws) - n + 1))
@@ -193,6 +212,24 @@ def test_base_spans(docs):
         assert set(filter(None, out[i].b.split(","))) <= set(filter(None, out[i].a.split(",")))
 
 
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "1." * 500_000, "1.2.3." * 200_000 + "4", "+" * 300_000 + "1" * 9, "+1 " * 300_000, "4111 " * 200_000, "a@" * 300_000, "+1" + "(" * 300_000, "0-" * 500_000, "9.9.9.999 " * 100_000])
+def test_long_runs_take_linear_time(text):
+    import time
+
+    began = time.process_time()
+    pii.base_spans(text)
+    assert time.process_time() - began < 3
+
+
+def test_addresses_as_the_plain_pattern_finds_them():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choices("0123.. a+-", k=rng.randrange(40)))
+        assert [m.span() for m in pii.IP.finditer(text)] == [m.span() for m in BASE["ip"].finditer(text)]
+
+
 def test_query_of_pii(spark):
     rows = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in queries.op10_pii(spark, SF).collect():
@@ -351,6 +388,27 @@ def test_tree_of_random_urls_against_brute_force(spark):
         assert r.template == template and r.purity == pytest.approx(purity, abs=1e-9)
 
 
+def test_long_paths_cost_their_branches(spark, monkeypatch):
+    """Traps: a path of 5000 segments, one that grows by a segment at a time, and a branch deep down."""
+    rounds = []
+    plain = url_filters._down_chains
+    monkeypatch.setattr(url_filters, "_down_chains", lambda *a: rounds.append(1) or plain(*a))
+    deep = "/" + "/".join(["loop"] * 300)
+    urls = [("t.net", "/" + "/".join(["s"] * 5000))] * 2 + [("g.net", "/x" * k) for k in range(60)] + [("b.net", deep + x) for x in ("/a/end", "/b/other", "/b/other/more")]
+    known = [("g.net", "/x" * k, k % 3 == 0) for k in range(0, 60, 2)] + [("t.net", "/" + "/".join(["s"] * 70), True), ("b.net", deep, True)]
+    df = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p) in enumerate(urls)], "page_id int, url string")
+    labels = spark.createDataFrame([(f"http://{h}{p}", bool(b)) for h, p, b in known], "url string, blocked boolean")
+    got = sorted(url_filters.judge_urls(df, [], labels).collect(), key=lambda r: r.page_id)
+    assert len(rounds) <= 3
+    import sys
+
+    sys.setrecursionlimit(20_000)
+    want, shape = tree_brute(urls, [(h, p, int(b)) for h, p, b in known])
+    for r, (h, p) in zip(got, urls):
+        template, purity = want[h, shape(p)]
+        assert r.template == template and r.purity == pytest.approx(purity, abs=1e-9)
+
+
 def test_labels_reach_siblings_and_children(spark):
     known = [(f"http://h.net/a/b/c/spam/{i}.html", True) for i in range(30)] + [(f"http://h.net/a/b/c/news/{i}", False) for i in range(30)]
     known += [(f"http://h.net/x/p/go/{i}/", True) for i in range(60)]
@@ -372,12 +430,20 @@ def stages_by_hand(rows, model, bench):
     out = []
     rows = [r for r in rows if model.score([r[1]])[0] < 0.5]
     out.append(sorted(rows, key=str))
-    pages, on = Counter(), defaultdict(Counter)
+    pages, on = defaultdict(set), defaultdict(lambda: defaultdict(set))
     for _, t, host in rows:
-        pages[host or ""] += 1
-        on[host or ""].update({x.strip(" ") for x in (t or "").split("\n")} - {""})
-    bad = {h: {x for x, n in c.items() if n >= 2 and n > 0.1 * pages[h]} for h, c in on.items()}
-    rows = [(i, None if t is None else "\n".join(x for x in t.split("\n") if x.strip(" ") not in bad[h or ""]), h) for i, t, h in rows]
+        page = int(hashlib.md5((t or "").encode()).hexdigest()[:15], 16)
+        pages[host or ""].add(page)
+        for x in {x.strip(" ") for x in (t or "").split("\n")} - {""}:
+            on[host or ""][x].add(page)
+    bad = {h: {x: min(s) if len(s) < 20 else None for x, s in c.items() if len(s) >= 2 and len(s) > 0.1 * len(pages[h])} for h, c in on.items()}
+
+    def cut(t, host):
+        page = int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
+        left = [x for x in t.split("\n") if bad.get(host, {}).get(x.strip(" "), page) == page]
+        return "\n".join(left) if any(x.strip(" ") for x in left) else t
+
+    rows = [(i, None if t is None else cut(t, h or ""), h) for i, t, h in rows]
     out.append(sorted(rows, key=str))
     sets = [{tuple(w[k : k + min(5, len(w))]) for k in range(len(w) - min(5, len(w)) + 1)} if (w := words_of(t)) else set() for _, t, _ in rows]
     root = list(range(len(rows)))

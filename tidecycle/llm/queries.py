@@ -167,12 +167,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = """
-WITH d AS (SELECT doc_id, coalesce(source, '') AS host, text, string_split(text, chr(10)) AS ls FROM documents),
-n AS (SELECT host, count(*) AS host_pages FROM d GROUP BY host),
-c AS (SELECT host, line, count(*) AS pages FROM (SELECT DISTINCT doc_id, host, trim(x, ' ') AS line FROM (SELECT doc_id, host, unnest(ls) AS x FROM d)) WHERE line <> '' GROUP BY host, line),
-bad AS (SELECT host, list(line) AS bad FROM c JOIN n USING (host) WHERE pages >= 2 AND pages > 0.1 * host_pages GROUP BY host),
-k AS (SELECT doc_id, text, ls, CASE WHEN bad IS NULL THEN ls ELSE list_filter(ls, lambda x: NOT list_contains(bad, trim(x, ' '))) END AS kept FROM d LEFT JOIN bad USING (host))
-SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(len(ls) - len(kept), 0) AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS text_sha256 FROM k
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, text, ('0x' || md5(coalesce(text, ''))[1:15])::BIGINT AS page, string_split(text, chr(10)) AS ls FROM documents),
+n AS (SELECT host, count(DISTINCT page) AS host_pages FROM d GROUP BY host),
+c AS (SELECT host, line, count(DISTINCT page) AS pages, min(page) AS keeper FROM (SELECT page, host, trim(x, ' ') AS line FROM (SELECT page, host, unnest(ls) AS x FROM d)) WHERE line <> '' GROUP BY host, line),
+b AS (SELECT host, line, CASE WHEN pages < 20 THEN keeper END AS keeper FROM c JOIN n USING (host) WHERE pages >= 2 AND pages > 0.1 * host_pages),
+bad AS (SELECT d.doc_id, d.page, list(line) AS bad FROM (SELECT DISTINCT doc_id, host, page FROM d) d JOIN b ON b.host = d.host AND coalesce(b.keeper <> d.page, true) GROUP BY d.doc_id, d.page),
+k AS (SELECT d.doc_id, text, ls, CASE WHEN bad IS NULL THEN ls ELSE list_filter(ls, lambda x: NOT list_contains(bad, trim(x, ' '))) END AS left_ FROM d LEFT JOIN bad USING (doc_id, page)),
+w AS (SELECT *, CASE WHEN len(list_filter(left_, lambda x: trim(x, ' ') <> '')) > 0 THEN left_ ELSE ls END AS kept FROM k)
+SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(len(ls) - len(kept), 0) AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS text_sha256 FROM w
 """
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

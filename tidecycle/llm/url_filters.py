@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, packed
+from .common import materialize, materialize_with, packed
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,8 @@ def judge_urls(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = N
     Where a rule fits, it decides. The others are judged by the template of their path:
 
     1. Segments that hold a digit become `*` with their extension kept; urls collapse to (host, shape) counts.
-    2. The tree of each host is built from the root down, to the depth of its paths. A node whose children (distinct
+    2. The tree of each host is built from the root down, to the depth of its paths: a step for each level at which any
+       node branches, and one for the chain of single children before it, however long. A node whose children (distinct
        segments under one host and template) are more than `variable_children` is variable and its children become `*`.
     3. Siblings merge when their branches are statistically similar, whatever their labels: no child's share of the
        urls differs by more than the Hoeffding bound for both numbers of urls at level `alpha`; children of a variable
@@ -102,11 +104,18 @@ def _tree(shapes: DataFrame, variable_children: int, smoothing: float, alpha: fl
         transform(acc, (g, i) -> IF(i + 1 = {like}, named_struct('lead', g.lead, 'n', g.n, 'members', concat(g.members, array(x.seg))), g)),
         concat(acc, array(named_struct('lead', x.kids, 'n', -x.first, 'members', array(x.seg))))))"""
     )
-    for level in range(shapes.agg(F.max(F.size("__shape"))).first()[0] or 0):
-        node = node.withColumn("__seg", F.get("__shape", F.lit(level)))
-        wide = node.where("__seg IS NOT NULL").groupBy(*at, "__seg").agg(F.lit(1)).groupBy(*at).agg(F.count("*").alias("__kids")).where(F.col("__kids") > variable_children)
-        node = node.join(wide, at, "left").withColumn("__seg", F.when(F.col("__seg").isNotNull() & F.col("__kids").isNotNull(), "*").otherwise(F.col("__seg"))).drop("__kids")
-        kids = node.where("__seg IS NOT NULL").groupBy(*at, "__seg", F.coalesce(F.get("__shape", F.lit(level + 1)), F.lit("")).alias("kid")).agg(F.sum("n").alias("n"))
+    node, done = node.withColumn("__k", F.lit(0)), []
+    while True:
+        done.append(node.where(F.col("__k") >= F.size("__shape")))
+        node, longest = materialize_with(_down_chains(node.where(F.col("__k") < F.size("__shape")), smoothing), F.max(F.size("__shape") - F.col("__k")))
+        done.append(node.where(F.col("__k") >= F.size("__shape")))
+        if not longest:
+            break
+        # Of the nodes that branch, one level; a node's paths have as many segments behind them, `__k`.
+        node = node.where(F.col("__k") < F.size("__shape")).withColumn("__seg", F.get("__shape", F.col("__k")))
+        wide = node.groupBy(*at, "__seg").agg(F.lit(1)).groupBy(*at).agg(F.count("*").alias("__kids")).where(F.col("__kids") > variable_children)
+        node = node.join(wide, at, "left").withColumn("__seg", F.when(F.col("__kids").isNotNull(), "*").otherwise(F.col("__seg"))).drop("__kids")
+        kids = node.groupBy(*at, "__seg", F.coalesce(F.get("__shape", F.col("__k") + 1), F.lit("")).alias("kid")).agg(F.sum("n").alias("n"))
         sizes = kids.groupBy(*at, "__seg").agg(F.sum("n").alias("all"), F.count(F.nullif("kid", F.lit(""))).alias("many"))
         kid = F.when((F.col("many") > variable_children) & (F.col("kid") != ""), "*").otherwise(F.col("kid"))
         kids = kids.join(sizes, [*at, "__seg"]).groupBy(*at, "__seg", "all", kid.alias("kid")).agg((F.sum("n") / F.col("all")).alias("share"))
@@ -114,9 +123,39 @@ def _tree(shapes: DataFrame, variable_children: int, smoothing: float, alpha: fl
         named = sibs.select(*at, F.explode(F.transform(groups, lambda g: g["members"])).alias("m"))
         name = F.when(F.size("m") > 1, F.concat(F.lit("{"), F.array_join(F.sort_array("m"), "|"), F.lit("}"))).otherwise(F.col("m")[0])
         named = named.select(*at, F.explode("m").alias("__seg"), name.alias("__name"))
-        node = node.join(named, [*at, "__seg"], "left").withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "__name"), F.lit(""))))
-        node = materialize(_with_purity(node, F.col("__name").isNotNull(), smoothing).drop("__seg", "__name"))  # the plan would grow by some of itself a level
-    return node.select("host", "__shape", F.when(F.col("template") == "", "/").otherwise(F.col("template")).alias("template"), "purity")
+        node = node.join(named, [*at, "__seg"]).withColumn("template", F.concat("template", F.lit("/"), "__name")).withColumn("__k", F.col("__k") + 1)
+        node = materialize(_with_purity(node, F.lit(True), smoothing).select(*done[0].columns))  # the plan would grow by some of itself a level
+    found = reduce(DataFrame.unionByName, done)
+    return found.select("host", "__shape", F.when(F.col("template") == "", "/").otherwise(F.col("template")).alias("template"), "purity")
+
+
+def _down_chains(node: DataFrame, smoothing: float) -> DataFrame:
+    """Each path moved down, in one step however long, while the paths of its node have one child at every level or end there.
+
+    Nothing merges on the way and every name is a segment, so the template is a slice of the path, and the purity that
+    of one node after the other: with b of l labelled urls blocked, after m levels b / l + (s / (l + s))**m * (p - b / l);
+    where labelled paths end, b and l change. What is gathered of a node are its longest path and sums by depth, as long
+    as a path at most.
+    """
+    at, rest = ["host", "template"], F.slice("__shape", F.col("__k") + 1, F.size("__shape"))
+    node = node.withColumn("__rest", rest)
+    tops = node.groupBy(*at).agg(F.max_by("__rest", F.struct(F.size("__rest"), "__rest")).alias("__top"))
+    node = node.join(tops, at).withColumn("__size", F.size("__rest"))
+    differs = F.expr("array_position(transform(sequence(1, __size), i -> __rest[i - 1] <> __top[i - 1]), true)").cast("int")
+    node = node.withColumn("__differs", differs)
+    ends = node.groupBy(*at).agg(F.least(F.min(F.when(F.col("__differs") > 0, F.col("__differs") - 1)), F.max("__size")).alias("__m"))
+    by_end = node.join(ends, at).withColumn("__d", F.least("__m", "__size"))
+    sums = by_end.where("__m > 0").groupBy(*at, "__d").agg(F.sum("bad").alias("b"), F.sum("labelled").alias("l"), F.max("purity").alias("p"))
+    sums = sums.groupBy(*at).agg(F.array_sort(F.collect_list(F.struct(F.col("__d").alias("d"), "b", "l"))).alias("__ends"), F.max("p").alias("__p"), F.sum("b").alias("__b"), F.sum("l").alias("__l"))
+    s = repr(float(smoothing))
+    # From one depth at which paths end to the next; `p` of the last step, `b` and `l` of the paths that go on, `out` the purity at each depth.
+    step = f"if(acc.l = 0, acc.p, acc.b / acc.l + power({s} / (acc.l + {s}), x.d - acc.d) * (acc.p - acc.b / acc.l))"
+    fold = f"""aggregate(__ends, named_struct('d', 0, 'p', __p, 'b', __b, 'l', __l, 'out', cast(map() as map<int, double>)),
+        (acc, x) -> named_struct('d', x.d, 'p', {step}, 'b', acc.b - x.b, 'l', acc.l - x.l, 'out', map_concat(acc.out, map(x.d, {step}))), acc -> acc.out)"""
+    sums = sums.select(*at, F.expr(fold).alias("__purities"))
+    out = by_end.join(sums, at, "left").withColumn("purity", F.when(F.col("__m") > 0, F.try_element_at("__purities", F.col("__d"))).otherwise(F.col("purity")))
+    out = out.withColumn("template", F.when(F.col("__d") > 0, F.concat("template", F.lit("/"), F.array_join(F.slice("__rest", F.lit(1), F.col("__d")), "/"))).otherwise(F.col("template")))
+    return out.withColumn("__k", F.col("__k") + F.col("__d")).drop("__rest", "__top", "__size", "__differs", "__m", "__d", "__purities")
 
 
 def _with_purity(node: DataFrame, new: Column, smoothing: float) -> DataFrame:
