@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
+from contextlib import contextmanager
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, slices
-from .packing import _ids
+from .packing import Ids
 
 #: Between two characters that are no white space a single blank begins a piece: no token of either kind crosses it.
 CUT = re.compile(r"(?<=\S)(?= \S)")
-#: Pieces that a worker remembers, of eight links on average at most; those of over LONG characters go through the library that needs no square time.
-KNOWN, LONG = 300_000, 1000
+#: Pieces that a worker remembers, of eight links on average at most, and aligns at a time; those of over LONG characters go through the library that needs no square time.
+KNOWN, LONG, AT_ONCE = 200_000, 1000, 15_000
 
 #: Of tokens A and B (s, e: start and end on one axis that both cover without gaps; id): which token of B covers the last byte of each token of A, whether both end there, and how many such cuts lie before.
 OVER = """
@@ -48,18 +49,10 @@ class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
         import duckdb
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.fast = _ids(byte_path).fast
-        self.slow = Tokenizer.from_file(byte_path)
-        self.slow.encode_special_tokens = True
+        self.byte_path, self.fast = byte_path, Ids(byte_path).fast
         self.sp = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        names = self.slow.get_vocab()
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that the vocabulary file writes as themselves
-        byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
-        self.a = [b""] * (max(names.values()) + 1)
-        for name, i in names.items():
-            self.a[i] = bytes(byte[c] for c in name) if all(c in byte for c in name) else name.encode()
+        self.a = [self.fast.__self__.decode_single_token_bytes(i) for i in range(self.fast.__self__.n_vocab)]
         spelt = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
         self.b = [bytes([int(x[3:5], 16)]) if self.sp.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(spelt)]
         self.a_size, self.b_size = (np.array([len(x) for x in v]) for v in (self.a, self.b))
@@ -74,6 +67,15 @@ class Aligner:
         self.counts, self.bad, self.odd = np.zeros((0, 3), np.int64), np.zeros(0, bool), np.zeros(0, bool)
         self.links, self.ends, self.texts = np.zeros(0, np.int64), np.zeros(1, np.int64), []
 
+    @cached_property
+    def slow(self):
+        """The library that takes long pieces in less than square time."""
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.byte_path)
+        out.encode_special_tokens = True
+        return out
+
     def _tokens(self, many: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         a = [self.fast(x) if len(x) <= LONG else self.slow.encode(x, add_special_tokens=False).ids for x in many]
         return a, self.sp.encode([x[1:] for x in many], num_threads=1)
@@ -117,8 +119,9 @@ class Aligner:
 
     def _rows(self, parts: list[list[str]]) -> list[np.ndarray]:
         """Numbers of the pieces, after learning the unknown ones."""
-        if new := list({x: None for p in parts for x in p if x not in self.known}):
-            self.learn(new)
+        new = list({x: None for p in parts for x in p if x not in self.known})
+        for i in range(0, len(new), AT_ONCE):
+            self.learn(new[i : i + AT_ONCE])
         return [np.fromiter(map(self.known.__getitem__, p), np.int64, len(p)) for p in parts]
 
     def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], pa.Array]:
@@ -151,7 +154,7 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "
     """(id, n_a, n_b, n_groups, groups_sha256, links) of each row; links: A id << 32 | B id of each pair of tokens that end together."""
 
     def run(batches):
-        for batch in slices(batches, 1, 2 << 20):
+        for batch in slices(batches, 1, 1 << 20):
             n, said, links = _aligner(byte_path, piece_path).align(batch.column(1).to_pylist())
             sha = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in said]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(n[:, j]) for j in range(3)), pa.array(sha, pa.string()), links], names=["id", "n_a", "n_b", "n_groups", "groups_sha256", "links"])
@@ -160,6 +163,18 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_a long, n_b long, n_groups long, groups_sha256 string, links array<long>")
 
 
+@contextmanager
+def _arrow_rows(spark, rows: int):
+    """At most so many rows in an Arrow batch of what is run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def pair_counts(aligned: DataFrame) -> DataFrame:
     """(a, b, n): how many links of all rows hold the pair. Each task counts its own first."""
 
@@ -201,7 +216,8 @@ def align_tokenizers(docs: DataFrame, byte_path: str, piece_path: str, id_col: s
     Null and empty texts and those that either tokenizer doesn't give back have zeros and an empty hash. Repeated rows
     count each; other columns are not read; an empty table gives none.
     """
-    aligned = materialize(alignments(docs, byte_path, piece_path, id_col, text_col))
+    with _arrow_rows(docs.sparkSession, 1000):  # of whole texts; an executor holds some batches on either side
+        aligned = materialize(alignments(docs, byte_path, piece_path, id_col, text_col))
     pairs = pair_counts(aligned).toArrow()
     if pairs.num_rows > most_pairs(_aligner(byte_path, piece_path)):
         raise AssertionError("more pairs than the vocabularies allow")
