@@ -58,10 +58,10 @@ def smoothing_weights(window: int, degree: int) -> np.ndarray:
     return a @ np.linalg.pinv(a)
 
 
-def savgol(df: DataFrame, keys: list[str], order: list[str], value: str, window: int, degree: int, out: str = "smooth") -> DataFrame:
-    """Savitzky-Golay smoothing; the polynomial of the first or last whole window gives the edges. Series shorter than the window stay as they are."""
+def savgol(df: DataFrame, keys: list[str], order: list[str], value: str, window: int, degree: int, out: str = "smooth", at: Column | None = None, n: Column | None = None) -> DataFrame:
+    """Savitzky-Golay smoothing; the polynomial of the first or last whole window gives the edges. Series shorter than the window stay as they are. Of a block of a series, `at` and `n` are a row's number and the length in the whole."""
     w = _over(keys, order)
-    x = df.withColumns({"__i": F.row_number().over(w) - 1, "__n": F.count("*").over(Window.partitionBy(*keys)).cast("int")})
+    x = df.withColumns({"__i": F.row_number().over(w) - 1 if at is None else at, "__n": F.count("*").over(Window.partitionBy(*keys)).cast("int") if n is None else n})
     x = x.withColumn("__near", F.collect_list(F.coalesce(F.col(value).cast("double"), F.lit(float("nan")))).over(w.rowsBetween(1 - window, window - 1)))
     begin = F.greatest(F.least(F.col("__i") - window // 2, F.col("__n") - window), F.lit(0))  # first row of the window that is fitted
     first = F.greatest(F.col("__i") - (window - 1), F.lit(0))  # first row that was collected
