@@ -2,6 +2,7 @@ import json
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +196,76 @@ def test_core_window_of_a_cycle(spark):
 def test_review_report(spark):
     core = spark.createDataFrame([(1, "a", "b", 20.0, "HIGH", [])], "cycle_id int, net_on_deck_time string, fish_end_time string, duration_core_window_min double, confidence string, issues array<string>")
     assert "1 cycles" in sinks.review_report(core) and "1 high" in sinks.review_report(core)
+
+
+class Counted:
+    """A file that counts the bytes it gives."""
+
+    def __init__(self, f):
+        self.f, self.bytes = f, 0
+
+    def read(self, n):
+        out = self.f.read(n)
+        self.bytes += len(out)
+        return out
+
+    def seek(self, at):
+        self.f.seek(at)
+
+
+def test_column_files_read_what_is_asked(spark, tmp_path):
+    import io
+
+    n = 10_000
+    data = cbf.encode({c: np.arange(n) for c in cbf.COLUMNS})
+    f = Counted(io.BytesIO(data))
+    rows, found = cbf.read_columns(f, ["entropy", "roi_code"])
+    assert rows == n and set(found) == {"entropy", "roi_code"} and (found["entropy"] == np.arange(n)).all()
+    assert f.bytes < 2 * 4 * n + 100 < len(data) / 5
+    for v in "abc":
+        (tmp_path / f"{v}.cbf").write_bytes(data)
+    (tmp_path / "d.cbf").write_bytes(b"broken")
+    x = cbf.scan(spark, str(tmp_path), ["video_id", "entropy", "roi_name"]).where("video_id IN ('a', 'b')")
+    assert x.groupBy("video_id").count().collect().__len__() == 2 and x.columns == ["video_id", "entropy", "roi_name"]  # the broken file is never opened
+    assert cbf.scan(spark, f"file://{tmp_path}", ["frame_idx", "video_id"]).where("video_id = 'c' AND frame_idx < 7").count() == 7
+    r = cbf.PushingReader({"path": str(tmp_path)})
+    from pyspark.sql.datasource import EqualTo, GreaterThan
+
+    rest = list(r.pushFilters([EqualTo(("video_id",), "a"), GreaterThan(("frame_idx",), 3)]))
+    assert [type(f) for f in rest] == [GreaterThan] and [cbf.recording(f) for f in r.files()] == ["a"]
+
+
+def test_a_task_of_many_recordings_holds_a_bounded_number_of_rows(tmp_path):
+    w = cbf.CbfWriter({"path": str(tmp_path), "part_rows": "1000"}, False)
+    rng = np.random.default_rng(0)
+
+    def batches():
+        for _ in range(60):
+            v = rng.integers(0, 2000, 200)
+            yield pa.RecordBatch.from_pydict({"video_id": [f"v{i}" for i in v], "frame_idx": np.arange(200)})
+
+    import tracemalloc
+
+    tracemalloc.start()
+    done = w.write(batches())
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    w.commit([done])
+    rows = sum(len(cbf.decode(p.read_bytes())["frame_idx"]) for p in tmp_path.glob("*.cbf"))
+    assert rows == 12_000 and most < 60e6
+
+
+def test_files_follow_recordings_not_tasks(spark, tmp_path):
+    df = spark.range(4000, numPartitions=16).select(F.concat(F.lit("v"), F.col("id") % 20).alias("video_id"), F.col("id").cast("int").alias("frame_idx"), F.lit("full").alias("roi_name"), F.lit(1.0).cast("float").alias("timestamp_sec"), F.rand().cast("float").alias("entropy"))
+    sinks.features(df, str(tmp_path / "p"))
+    assert len(list((tmp_path / "p").rglob("*.parquet"))) <= 20 + 4
+    spark.dataSource.register(cbf.CbfSource)
+    cbf.dealt(df).write.format("cbf").option("path", str(tmp_path / "c")).mode("append").save()
+    assert len(list((tmp_path / "c").glob("*.cbf"))) <= 20 + 4
+
+
+def test_csv_with_a_byte_order_mark(spark, tmp_path):
+    df = spark.createDataFrame([(1, "ä"), (2, "b")], "a int, t string").coalesce(1)
+    sinks.csv(df, str(tmp_path / "x"), mark=True)
+    assert next((tmp_path / "x").glob("*.csv")).read_bytes()[:3] == b"\xef\xbb\xbf"
+    assert [tuple(r) for r in readers.csv(spark, str(tmp_path / "x"), "a int, t string").collect()] == [(1, "ä"), (2, "b")]

@@ -7,7 +7,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from . import motion as motions
 
 #: Regions of the frame of a quarter of its size, as shares (x0, y0, x1, y1).
 FULL = {"full": (0.0, 0.0, 1.0, 1.0)}
@@ -84,41 +87,57 @@ def mask_box(mask: np.ndarray) -> tuple[int, int, int, int, int]:
 
 
 FEATURES = "roi_name string, mean_brightness float, brightness_std float, mean_r float, mean_g float, mean_b float, motion_intensity float, edge_density float, laplacian_variance float, entropy float, dark_ratio float, scene_correlation float"
-
-
-def extract(frames: DataFrame, rois: dict[str, tuple[float, float, float, float]] | None = None) -> DataFrame:
-    """One row per frame and region with its features. Recordings are groups; inside one the frames go in order, each needing the one before alone."""
+#: With `stabilize`: shift of the whole frame before, the motion that is left when it is undone, and edges by hysteresis.
+MOTION = "global_motion_x float, global_motion_y float, global_motion_mag float, local_motion_intensity float, canny_density float"
+
+
+def _rows(r, rois: dict, before: dict | None, stabilize: bool) -> tuple[list[tuple], dict]:
+    """Features of a frame's regions; and its grey regions, which the next frame needs (with "" for the whole)."""
+    img, rows, held = frame(r.data, r.h, r.w), [], {}
+    shift, still = (0.0, 0.0), None
+    if stabilize:
+        held[""] = luma(img)
+        if before and before[""].shape == held[""].shape:
+            shift = motions.phase_shift(held[""], before[""])
+            still = motions.stabilized(held[""], shift)
+    for name, roi in rois.items():
+        part = crop(img, roi)
+        held[name] = g = luma(part)
+        last = before and before[name]
+        b, gr, rd = part.reshape(-1, 3).mean(0)
+        row = (r.video_id, r.frame_idx, name, g.mean(), g.std(), rd, gr, b, motion(g, last), sobel_density(g), laplacian_variance(g), entropy(g), dark_ratio(part), 1.0 if last is None else histogram_correlation(g, last))
+        if stabilize:
+            row += (*shift, float(np.hypot(*shift)), 0.0 if still is None else motion(crop(still[..., None], roi)[..., 0], last), motions.hysteresis_density(g))
+        rows.append(row)
+    return rows, held
+
+
+def extract(frames: DataFrame, rois: dict[str, tuple[float, float, float, float]] | None = None, stabilize: bool = False, block: int = 1000) -> DataFrame:
+    """One row per frame and region with its features (FEATURES; with `stabilize` also MOTION).
+
+    A frame needs the one before it alone. So a recording is cut into blocks of `block` frame numbers, tasks of their
+    own, and the last frame of a block also goes to the next one that has frames: a recording of any length is spread
+    over all tasks, and a frame is sent once, or twice at a seam.
+    """
     rois = rois or FULL
-    names = [c.split()[0] for c in FEATURES.split(", ")]
+    columns = f"{FEATURES}, {MOTION}" if stabilize else FEATURES
+    names = [c.split()[0] for c in columns.split(", ")]
 
-    def run(key, batches):
-        before: dict[str, np.ndarray] = {}
+    def run(batches):
+        at, before = None, None
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                img = frame(r.data, r.h, r.w)
-                for name, roi in rois.items():
-                    part = crop(img, roi)
-                    g = luma(part)
-                    b, gr, rd = part.reshape(-1, 3).mean(0)
-                    last = before.get(name)
-                    rows.append((r.video_id, r.frame_idx, name, g.mean(), g.std(), rd, gr, b, motion(g, last), sobel_density(g), laplacian_variance(g), entropy(g), dark_ratio(part), 1.0 if last is None else histogram_correlation(g, last)))
-                    before[name] = g
+                if at != (r.video_id, r.block):
+                    at, before = (r.video_id, r.block), None
+                found, before = _rows(r, rois, before, stabilize)
+                rows += found if r.own else []
             yield pd.DataFrame(rows, columns=["video_id", "frame_idx", *names])
 
-    def ordered(batches):
-        last = None
-        for pdf in batches:
-            for video, part in pdf.groupby("video_id", sort=False):
-                if video != last:
-                    state = run(video, iter([part]))
-                    last, keep = video, part.iloc[[-1]]
-                    yield from state
-                else:  # a recording goes on in the next batch: its last frame comes along
-                    out = next(run(video, iter([pd.concat([keep, part])])))
-                    keep = part.iloc[[-1]]
-                    yield out.iloc[len(rois) :]
-
-    # All frames of a recording meet in one partition, in order, and stream through it.
-    dealt = frames.select("video_id", "frame_idx", "h", "w", "data").repartition("video_id").sortWithinPartitions("video_id", "frame_idx")
-    return dealt.mapInPandas(ordered, f"video_id string, frame_idx int, {FEATURES}")
+    x = frames.select("video_id", "frame_idx", "h", "w", "data").withColumn("block", F.floor(F.col("frame_idx") / block))
+    seams = x.groupBy("video_id", "block").agg(F.max("frame_idx").alias("frame_idx"))
+    seams = seams.withColumn("next", F.lead("block").over(Window.partitionBy("video_id").orderBy("block"))).where("next IS NOT NULL").select("video_id", "frame_idx", "next")
+    places = F.array_compact(F.array(F.struct(F.col("block"), F.lit(True).alias("own")), F.when(F.col("next").isNotNull(), F.struct(F.col("next").alias("block"), F.lit(False).alias("own")))))
+    dealt = x.join(seams, ["video_id", "frame_idx"], "left").withColumn("place", F.explode(places)).select("video_id", "frame_idx", "h", "w", "data", "place.*")
+    dealt = dealt.repartition("video_id", "block").sortWithinPartitions("video_id", "block", "frame_idx")
+    return dealt.mapInPandas(run, f"video_id string, frame_idx int, {columns}")

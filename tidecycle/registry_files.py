@@ -40,7 +40,7 @@ def cbf_round_trip(spark, d):
     path = scratch.new_folder(spark)
     x = _coarse(spark, d).select("video_id", *[F.col(c).cast("long" if c in cbf.UNSIGNED else "float").alias(c) if c in ("frame_idx", "roi_code", "timestamp_sec", "mean_brightness", "entropy") else F.lit(0.5).cast("float").alias(c) for c in cbf.COLUMNS])
     for _ in range(2):
-        x.write.format("cbf").option("path", path).mode("overwrite").save()
+        cbf.dealt(x).write.format("cbf").option("path", path).mode("overwrite").save()
     back = spark.read.format("cbf").option("path", path).load()
     return back.select("video_id", "frame_idx", "roi_code", "roi_name", F.col("mean_brightness").cast("double").alias("mean_brightness"), F.col("entropy").cast("double").alias("entropy"))
 
@@ -50,7 +50,7 @@ def merged_features(spark, d):
     """All rows of the column files of a folder, and those off the boundaries of recordings."""
     spark.dataSource.register(cbf.CbfSource)
     path = scratch.new_folder(spark)
-    _coarse(spark, d).select("video_id", F.col("frame_idx").cast("long").alias("frame_idx")).write.format("cbf").option("path", path).mode("append").save()
+    cbf.dealt(_coarse(spark, d).select("video_id", F.col("frame_idx").cast("long").alias("frame_idx"))).write.format("cbf").option("path", path).mode("append").save()
     raw, clean = readers.merged_features(series.boundary_flag(spark.read.format("cbf").option("path", path).load(), ["video_id"], "frame_idx", 2))
     return raw.groupBy("video_id").agg(F.count("*").alias("raw"), F.count_if(F.col("is_boundary") == 0).alias("clean")).join(clean.select("video_id").distinct(), "video_id", "left")
 

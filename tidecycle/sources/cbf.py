@@ -2,27 +2,33 @@
 
     spark.dataSource.register(CbfSource)
     spark.read.format("cbf").option("path", folder).load()
+    spark.read.format("cbf").schema("video_id string, entropy float").option("path", folder).load()
     df.write.format("cbf").option("path", folder).mode("append").save()
 
 A file: magic `CBF` and a version byte, number of rows and of columns, offsets of the columns and of the end, four
 reserved floats, then each column as little-endian u32 or f32. Version 2 has roi_code, version 1 has not. The folder
-is one that all executors see. One partition per file.
+is a path or URI of a store that all executors see (file, hdfs, s3, gs). One partition per file. A reader with a schema
+reads the bytes of its columns alone; with `scan`, filters on video_id choose files by their names, before any is opened.
 """
 
 from __future__ import annotations
 
-import os
+import io
+import posixpath
 import re
-import shutil
 import struct
 import uuid
+from collections import Counter
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..schema import ROI_CODES
 
@@ -35,16 +41,37 @@ def columns_of(version: int) -> list[str]:
     return [c for c in COLUMNS if version == 2 or c != "roi_code"]
 
 
-def decode(data: bytes) -> dict[str, np.ndarray]:
-    """Columns of one file; longer buffers are cut to the number of rows."""
-    if data[:3] != b"CBF" or data[3:4] not in (b"\x01", b"\x02"):
+def read_columns(f, wanted: list[str]) -> tuple[int, dict[str, np.ndarray]]:
+    """Rows of an open file and those of the columns `wanted` that it has; only the head and their bytes are read. Longer buffers are cut to the number of rows."""
+    head = f.read(12)
+    if head[:3] != b"CBF" or head[3:4] not in (b"\x01", b"\x02"):
         raise ValueError("not a CBF file of version 1 or 2")
-    names = columns_of(data[3])
-    rows, cols = struct.unpack_from("<II", data, 4)
+    names = columns_of(head[3])
+    rows, cols = struct.unpack_from("<II", head, 4)
     if cols != len(names):
         raise ValueError(f"{len(names)} columns expected, {cols} found")
-    at = struct.unpack_from(f"<{cols + 1}I", data, 12)
-    return {n: np.frombuffer(data[a:b], "<u4" if n in UNSIGNED else "<f4")[:rows] for n, a, b in zip(names, at, at[1:])}
+    at = struct.unpack(f"<{cols + 1}I", f.read(4 * (cols + 1)))
+    out = {}
+    for n, a, b in zip(names, at, at[1:]):
+        if n in wanted:
+            f.seek(a)
+            out[n] = np.frombuffer(f.read(min(b - a, 4 * rows)), "<u4" if n in UNSIGNED else "<f4")
+    return rows, out
+
+
+def decode(data: bytes) -> dict[str, np.ndarray]:
+    """All columns of one file."""
+    return read_columns(io.BytesIO(data), COLUMNS)[1]
+
+
+def store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), posixpath.abspath(path))
+
+
+def recording(path: str) -> str:
+    """The recording that a file is of, by its name."""
+    return unquote(re.sub(r"(\.[0-9a-f]{8})?\.cbf$", "", posixpath.basename(path)))
 
 
 def encode(columns: dict[str, np.ndarray], version: int = 2) -> bytes:
@@ -70,7 +97,7 @@ class CbfSource(DataSource):
         return f"video_id string, {kinds}, roi_name string"
 
     def reader(self, schema) -> CbfReader:
-        return CbfReader(self.options)
+        return (PushingReader if self.options.get("pushdown") == "true" else CbfReader)(self.options, schema)
 
     def writer(self, schema, overwrite: bool) -> CbfWriter:
         return CbfWriter(self.options, overwrite)
@@ -79,14 +106,20 @@ class CbfSource(DataSource):
 class CbfReader(DataSourceReader):
     """Options: path (file or folder), roi (codes and names, as 0=left_deck,1=right_deck)."""
 
-    def __init__(self, options):
-        self.path = options["path"]
+    def __init__(self, options, schema=None):
+        self.path, self.schema = options["path"], schema
         self.roi = {int(k): v for k, v in (x.split("=") for x in options["roi"].split(","))} if options.get("roi") else ROI_CODES
+        self.videos: set | None = None
 
     def files(self) -> list[str]:
-        if os.path.isfile(self.path):
-            return [self.path]
-        return [os.path.join(top, f) for top, _, files in sorted(os.walk(self.path)) if "_temporary" not in top[len(self.path) :] for f in sorted(files) if f.endswith(".cbf")]
+        system, path = store(self.path)
+        found = system.get_file_info(path)
+        if found.type == fs.FileType.File:
+            names = [path]
+        else:
+            below = system.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
+            names = sorted(f.path for f in below if f.type == fs.FileType.File and f.path.endswith(".cbf") and "_temporary" not in f.path[len(path) :])
+        return [n for n in names if self.videos is None or recording(n) in self.videos]
 
     def partitions(self):
         return [FilePartition(f) for f in self.files()] or [FilePartition("")]
@@ -94,15 +127,28 @@ class CbfReader(DataSourceReader):
     def read(self, partition):
         if not partition.path:
             return
-        with open(partition.path, "rb") as f:
-            found = decode(f.read())
-        n = len(found["frame_idx"])
-        stem = unquote(re.sub(r"(\.[0-9a-f]{8})?\.cbf$", "", os.path.basename(partition.path)))
-        code = found.get("roi_code")
-        cols = [pa.array([stem] * n, pa.string())]
-        cols += [pa.array(found[c].astype("i8") if c in UNSIGNED else found[c]) if c in found else pa.nulls(n, pa.int64()) for c in COLUMNS]
-        cols.append(pa.array([self.roi.get(int(c)) for c in code] if code is not None else [None] * n, pa.string()))
-        yield pa.RecordBatch.from_arrays(cols, names=["video_id", *COLUMNS, "roi_name"])
+        names = self.schema.names if self.schema else ["video_id", *COLUMNS, "roi_name"]
+        wanted = {"roi_code" if n == "roi_name" else n for n in names}
+        with store(self.path)[0].open_input_file(partition.path) as f:
+            n, found = read_columns(f, wanted)
+        made = {"video_id": lambda: pa.array([recording(partition.path)] * n, pa.string()), "roi_name": lambda: pa.array([self.roi.get(int(c)) for c in found["roi_code"]] if "roi_code" in found else [None] * n, pa.string())}
+        cols = [made[c]() if c in made else pa.array(found[c].astype("i8") if c in UNSIGNED else found[c]) if c in found else pa.nulls(n, pa.int64()) for c in names]
+        if self.schema:
+            cols = [c.cast(to_arrow_type(x.dataType)) for c, x in zip(cols, self.schema)]
+        yield pa.RecordBatch.from_arrays(cols, names=names)
+
+
+class PushingReader(CbfReader):
+    """With option pushdown=true; Spark takes it only where spark.sql.python.filterPushdown.enabled is set (`scan` sets it)."""
+
+    def pushFilters(self, filters):
+        """Filters on the recording are settled here; the others go back to Spark."""
+        for f in filters:
+            if isinstance(f, (EqualTo, In)) and f.attribute == ("video_id",):
+                names = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.videos = names if self.videos is None else self.videos & names
+            else:
+                yield f
 
 
 @dataclass
@@ -111,7 +157,9 @@ class Written(WriterCommitMessage):
 
 
 class CbfWriter(DataSourceArrowWriter):
-    """Writes a file per video and task, as <video>.<8 hex digits>.cbf, in parts of `part_rows` rows at most (an option), so that a task holds no more.
+    """Writes files of a recording each, as <video>.<8 hex digits>.cbf. A task holds `part_rows` rows (an option) of all
+    its recordings together and a batch at most: beyond, the recording with the most rows is written. Input that is dealt
+    by recording (`dealt`) gives a file per recording and `part_rows` rows.
 
     Tasks write below `_temporary`, which readers pass over; the commit moves their files into the folder, and with mode
     overwrite first takes away those that were there. A task that fails or runs twice leaves nothing. Nulls become NaN,
@@ -124,18 +172,23 @@ class CbfWriter(DataSourceArrowWriter):
         self.job = f"_temporary-{uuid.uuid4().hex[:8]}"
 
     def write(self, iterator):
-        os.makedirs(os.path.join(self.path, self.job), exist_ok=True)
+        system, path = store(self.path)
+        system.create_dir(f"{path}/{self.job}")
         held: dict[str, list[pa.Table]] = {}
+        rows: Counter = Counter()
         files: list[str] = []
         for batch in iterator:
             table = pa.Table.from_batches([batch])
             names = table.column("video_id") if "video_id" in table.column_names else pa.chunked_array([pa.nulls(len(table), pa.string())])
             names = pc.fill_null(names, "video")
             for video in pc.unique(names).to_pylist():
-                parts = held.setdefault(video, [])
-                parts.append(table.filter(pc.equal(names, video)))
-                if sum(map(len, parts)) >= self.part_rows:
-                    files.append(self._put(video, held.pop(video)))
+                part = table.filter(pc.equal(names, video))
+                held.setdefault(video, []).append(part)
+                rows[video] += len(part)
+            while rows.total() >= self.part_rows:
+                video, _ = rows.most_common(1)[0]
+                files.append(self._put(video, held.pop(video)))
+                del rows[video]
         return Written(files + [self._put(video, parts) for video, parts in held.items()])
 
     def _put(self, video: str, parts: list[pa.Table]) -> str:
@@ -145,22 +198,40 @@ class CbfWriter(DataSourceArrowWriter):
             x = table.column(c) if c in table.column_names else pa.chunked_array([pa.nulls(len(table), pa.float64())])
             columns[c] = pc.fill_null(x.cast(pa.int64()), 0).to_numpy() if c in UNSIGNED else x.cast(pa.float64()).to_numpy()
         name = f"{quote(video, safe='')}.{uuid.uuid4().hex[:8]}.cbf"
-        with open(os.path.join(self.path, self.job, name), "wb") as f:
+        system, path = store(self.path)
+        with system.open_output_stream(f"{path}/{self.job}/{name}") as f:
             f.write(encode(columns))
         return name
 
     def commit(self, messages):
         new = [f for m in messages if m for f in m.files]
+        system, path = store(self.path)
         if self.overwrite:
             for f in CbfReader({"path": self.path}).files():
-                os.remove(f)
-        os.makedirs(self.path, exist_ok=True)
+                system.delete_file(f)
+        system.create_dir(path)
         for f in new:
-            os.replace(os.path.join(self.path, self.job, f), os.path.join(self.path, f))
+            system.move(f"{path}/{self.job}/{f}", f"{path}/{f}")
         self._clear()
 
     def abort(self, messages):
         self._clear()
 
     def _clear(self):
-        shutil.rmtree(os.path.join(self.path, self.job), ignore_errors=True)
+        system, path = store(self.path)
+        if system.get_file_info(f"{path}/{self.job}").type == fs.FileType.Directory:
+            system.delete_dir(f"{path}/{self.job}")
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows of a recording together, large recordings split and small ones joined by AQE: as many files as recordings and tasks, not their product."""
+    return df.hint("rebalance", "video_id")
+
+
+def scan(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """The column files of a folder, reading `columns` (all, if None) and the recordings that filters on video_id leave."""
+    spark.dataSource.register(CbfSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    kinds = {"video_id": "string", "roi_name": "string"} | {c: "long" if c in UNSIGNED else "float" for c in COLUMNS}
+    reader = spark.read.format("cbf").option("path", path).option("pushdown", "true")
+    return (reader.schema(", ".join(f"{c} {kinds[c]}" for c in columns)) if columns else reader).load()

@@ -11,8 +11,8 @@ from ..schema import COARSE, conform
 
 
 def features(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Coarse features as Parquet, 32-bit, a folder per recording."""
-    conform(df, COARSE).write.mode(mode).partitionBy("video_id").parquet(path)
+    """Coarse features as Parquet, 32-bit, a folder per recording. Rows are dealt by recording first: files number recordings plus tasks at most, and AQE splits a large one."""
+    conform(df, COARSE).hint("rebalance", "video_id").write.mode(mode).partitionBy("video_id").parquet(path)
 
 
 def features_once(df: DataFrame, path: str, done: DataFrame | None) -> None:
@@ -20,9 +20,10 @@ def features_once(df: DataFrame, path: str, done: DataFrame | None) -> None:
     features(stats.missing(df, done, ["video_id"]) if done is not None else df, path)
 
 
-def csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header; key columns are kept."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+def csv(df: DataFrame, path: str, mode: str = "overwrite", mark: bool = False) -> None:
+    """CSV with a header; key columns are kept. With `mark` each file begins with a byte-order mark, as spreadsheets like it."""
+    names = [f"\ufeff{c}" if mark and i == 0 else c for i, c in enumerate(df.columns)]
+    df.toDF(*names).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def flat(df: DataFrame, separator: str = "; ") -> DataFrame:
@@ -42,7 +43,7 @@ def night_summary(df: DataFrame, path: str) -> None:
 
 def by_date(df: DataFrame, path: str, date: str = "date") -> None:
     """Replaces the dates that `df` holds and leaves others."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
+    df.hint("rebalance", date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
 
 
 def feature_csv(df: DataFrame, path: str, floats: list[str]) -> None:
@@ -58,7 +59,7 @@ def log_lines(df: DataFrame, path: str) -> None:
 def label_files(df: DataFrame, path: str) -> None:
     """Label lines (class, centre, size relative to the frame), a folder per picture: columns image, cls, cx, cy, w, h."""
     line = scalars.label_line(*[F.col(c) for c in ("cls", "cx", "cy", "w", "h")])
-    df.select("image", line.alias("value")).write.mode("overwrite").partitionBy("image").text(path)
+    df.select("image", line.alias("value")).hint("rebalance", "image").write.mode("overwrite").partitionBy("image").text(path)
 
 
 def dataset_manifest(df: DataFrame, label: str, name: str, share: float = 0.2, seed: str = "", rare=None, times: int = 1) -> DataFrame:
