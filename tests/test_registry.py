@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from tidecycle import registry, registry_files  # noqa: F401 - adds its queries to the registry
+from tidecycle import registry, registry_files, registry_sources  # noqa: F401 - adds its queries to the registry
 
 ROOT = Path(__file__).resolve().parents[1]
 SF = "/root/testdata/sf0.001"

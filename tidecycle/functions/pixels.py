@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,6 +87,19 @@ def mask_box(mask: np.ndarray) -> tuple[int, int, int, int, int]:
     return (len(xs), int(xs.min()), int(ys.min()), int(np.ptp(xs)) + 1, int(np.ptp(ys)) + 1) if len(xs) else (0, 0, 0, 0, 0)
 
 
+def mask_boxes(masks: DataFrame, key: str) -> DataFrame:
+    """(key, area, x, y, w, h) of bitmaps: columns key, h, w, data (a byte per pixel, set if not 0)."""
+
+    def run(batches):
+        for b in batches:
+            boxes = [mask_box(np.frombuffer(d, np.uint8).reshape(h, w)) for h, w, d in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)))]
+            cols = list(zip(*boxes)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int32()) for c in cols)], names=[key, "area", "x", "y", "w", "h"])
+
+    rows = masks.select(key, "h", "w", "data")
+    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, area int, x int, y int, w int, h int")
+
+
 FEATURES = "roi_name string, mean_brightness float, brightness_std float, mean_r float, mean_g float, mean_b float, motion_intensity float, edge_density float, laplacian_variance float, entropy float, dark_ratio float, scene_correlation float"
 #: With `stabilize`: shift of the whole frame before, the motion that is left when it is undone, and edges by hysteresis.
 MOTION = "global_motion_x float, global_motion_y float, global_motion_mag float, local_motion_intensity float, canny_density float"

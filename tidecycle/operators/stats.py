@@ -143,6 +143,11 @@ def difference_table(df: DataFrame, keys: list[str]) -> DataFrame:
     return out.where("n >= 2")
 
 
+def confidence_counts(core: DataFrame) -> DataFrame:
+    """(confidence, n, minutes): reviewed core windows by confidence, with their mean length."""
+    return core.groupBy("confidence").agg(F.count("*").alias("n"), F.avg("duration_core_window_min").alias("minutes"))
+
+
 def scaling(df: DataFrame, workers: str, seconds: str, media_seconds: str, keys: list[str] | None = None) -> DataFrame:
     """Benchmark rows with real-time factor, speed-up and efficiency against the run of fewest workers, and whether it is the best."""
     w = Window.partitionBy(*(keys or [])).orderBy(workers)

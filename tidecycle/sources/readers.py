@@ -54,6 +54,36 @@ def merged_features(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df, df.where("is_boundary = 0")
 
 
+#: Short names of features in the wide table.
+WIDE = {"motion": "motion_intensity", "entropy": "entropy"}
+
+
+def wide_merge(df: DataFrame, features: dict[str, str] = WIDE, edge: int = 25) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Column files of recordings side by side: (raw, clean, summary).
+
+    raw has a row per recording and frame that the left (roi_code 0) or right (1) side holds: wall_time, is_boundary (the
+    first and last `edge` frames), and of each feature left_deck_, right_deck_, roi_mean_ and roi_diff_, the last two null
+    where a side is missing. clean leaves boundaries out. summary has a row per recording: fps by its last time stamp,
+    frame_count, kept_frames, and start and end by its name. Times and numbers of a recording come from all its rows.
+    """
+    whole = df.groupBy("video_id").agg((F.max("frame_idx") + 1).cast("long").alias("frame_count"), F.max("timestamp_sec").alias("__last"))
+    sides = {"left_deck": 0, "right_deck": 1}
+    aggs = [F.max(F.when(F.col("roi_code") == code, F.col(c).cast("double"))).alias(f"{side}_{name}") for name, c in features.items() for side, code in sides.items()]
+    at = F.coalesce(F.max(F.when(F.col("roi_code") == 0, F.col("timestamp_sec"))), F.max("timestamp_sec")).alias("timestamp_sec")
+    wide = df.where(F.col("roi_code").isin(0, 1)).groupBy("video_id", "frame_idx").agg(at, *aggs).join(whole, "video_id")
+    for name in features:
+        left, right = (F.col(f"{side}_{name}") for side in sides)
+        wide = wide.withColumns({f"roi_mean_{name}": (left + right) / 2, f"roi_diff_{name}": left - right})
+    n = F.col("frame_count")
+    wide = wide.withColumns({"wall_time": temporal.plus_seconds(temporal.start_of_name(F.col("video_id")), F.col("timestamp_sec")), "is_boundary": ((F.col("frame_idx") < edge) | (F.col("frame_idx") >= F.greatest(n - edge, F.lit(0)))).cast("int")})
+    start, end = temporal.span_of_name(F.col("video_id"))
+    fps = F.when(n > 1, F.bround((n - 1) / F.greatest("__last", F.lit(1e-6)), 6)).otherwise(0.0)
+    kept = wide.groupBy("video_id").agg(F.count("*").alias("kept_frames"))
+    summary = whole.join(kept, "video_id", "left").select("video_id", fps.alias("fps"), "frame_count", F.coalesce("kept_frames", F.lit(0)).alias("kept_frames"), start.alias("start_time"), end.alias("end_time"))
+    raw = wide.drop("frame_count", "__last", "timestamp_sec")
+    return raw, raw.where("is_boundary = 0"), summary
+
+
 def csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """CSV with a header, whether or not it begins with a byte-order mark. Without a schema all columns are strings."""
     r = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..operators import stats
 from ..schema import COARSE, conform
+from .cbf import store
 
 
 def features(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -68,10 +74,85 @@ def dataset_manifest(df: DataFrame, label: str, name: str, share: float = 0.2, s
     return stats.oversample(x, (rare if rare is not None else F.lit(False)) & (F.col("split") == "train"), times, name).withColumn("target", F.concat_ws("/", "split", label, name))
 
 
+def review_lines(core: DataFrame) -> DataFrame:
+    """Markdown report of reviewed core windows as rows (part, cycle_id, line): a head of six lines, then one per cycle."""
+    classes = ("HIGH", "MEDIUM", "LOW")
+    n = core.agg(F.count("*").alias("n"), F.coalesce(F.avg("duration_core_window_min"), F.lit(0.0)).alias("m"), *[F.count_if(F.col("confidence") == c).alias(c) for c in classes])
+    counts = F.format_string(f"%d cycles, core window %.1f min on average; {', '.join(f'%d {c.lower()}' for c in classes)}", "n", F.col("m").cast("double"), *classes)
+    head = [F.lit("# Core windows for review"), F.lit(""), counts, F.lit(""), F.lit("| cycle | from | to | minutes | confidence | issues |"), F.lit("|-|-|-|-|-|-|")]
+    first = n.select(F.posexplode(F.array(*head)).alias("part", "line"))
+    clock = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    row = F.format_string("| %s | %s | %s | %.1f | %s | %s |", F.col("cycle_id").cast("string"), clock("net_on_deck_time"), clock("fish_end_time"), F.col("duration_core_window_min").cast("double"), "confidence", F.array_join("issues", "; "))
+    rows = core.select(F.lit(len(head)).alias("part"), "cycle_id", row.alias("line"))
+    return rows.unionByName(first, allowMissingColumns=True)
+
+
 def review_report(core: DataFrame) -> str:
-    """Markdown report of reviewed core windows (a night's worth: a few rows per night)."""
-    n = core.agg(F.count("*").alias("n"), F.avg("duration_core_window_min").alias("m"), *[F.count_if(F.col("confidence") == c).alias(c) for c in ("HIGH", "MEDIUM", "LOW")]).first()
-    lines = ["# Core windows for review", "", f"{n['n']} cycles, core window {n['m'] or 0:.1f} min on average; " + ", ".join(f"{n[c]} {c.lower()}" for c in ("HIGH", "MEDIUM", "LOW")), "", "| cycle | from | to | minutes | confidence | issues |", "|-|-|-|-|-|-|"]
-    for r in core.orderBy("cycle_id").toLocalIterator():
-        lines.append(f"| {r['cycle_id']} | {r['net_on_deck_time']} | {r['fish_end_time']} | {r['duration_core_window_min']} | {r['confidence']} | {'; '.join(r['issues'])} |")
-    return "\n".join(lines) + "\n"
+    """The report of a night's worth of cycles as one text."""
+    return "\n".join(r["line"] for r in review_lines(core).orderBy("part", "cycle_id").toLocalIterator()) + "\n"
+
+
+def write_review(core: DataFrame, path: str) -> None:
+    """`review_lines` in order as text files, whose names follow the order."""
+    review_lines(core).orderBy("part", "cycle_id").select(F.col("line").alias("value")).write.mode("overwrite").text(path)
+
+
+def recording_files(df: DataFrame, path: str, order: str = "frame_idx") -> int:
+    """A Parquet file per recording, named <video_id>.<8 hex digits>.parquet, rows by `order`; AQE may deal a large recording over several. Returns their number.
+
+    Tasks stream their sorted rows into files below `_temporary`, one open at a time; the driver moves those of tasks
+    that succeeded into the folder, so that a task that ran twice leaves nothing.
+    """
+    job = f"_temporary-{uuid.uuid4().hex[:8]}"
+
+    def run(batches):
+        system, folder = store(path)
+        name = out = None
+        for batch in batches:
+            video = batch.column("video_id")
+            cuts = [0, *(i for i in range(1, batch.num_rows) if video[i] != video[i - 1]), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if out is None or video[a].as_py() != name:
+                    if out:
+                        out.close()
+                    name = video[a].as_py()
+                    file = f"{quote(name or 'video', safe='')}.{uuid.uuid4().hex[:8]}.parquet"
+                    system.create_dir(f"{folder}/{job}")
+                    out = pq.ParquetWriter(f"{folder}/{job}/{file}", batch.schema, filesystem=system)
+                    yield pa.RecordBatch.from_pydict({"file": [file]})
+                out.write_batch(batch.slice(a, b - a))
+        if out:
+            out.close()
+
+    files = [r["file"] for r in df.hint("rebalance", "video_id").sortWithinPartitions("video_id", order).mapInArrow(run, "file string").collect()]
+    system, folder = store(path)
+    for f in files:
+        system.move(f"{folder}/{job}/{f}", f"{folder}/{f}")
+    if files:
+        system.delete_dir(f"{folder}/{job}")
+    return len(files)
+
+
+def blobs(df: DataFrame, path: str) -> int:
+    """A file for each row (name, data), written by tasks and moved into the folder when all are there. Returns their number."""
+    job = f"_temporary-{uuid.uuid4().hex[:8]}"
+
+    def run(batches):
+        system, folder = store(path)
+        for batch in batches:
+            made = []
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                at = f"{job}/{uuid.uuid4().hex}"
+                system.create_dir(f"{folder}/{at}")
+                with system.open_output_stream(f"{folder}/{at}/{name}") as f:
+                    f.write(data)
+                made.append((at, name))
+            yield pa.RecordBatch.from_pydict({"at": pa.array([a for a, _ in made], pa.string()), "name": pa.array([n for _, n in made], pa.string())})
+
+    files = df.select("name", "data").mapInArrow(run, "at string, name string").collect()
+    system, folder = store(path)
+    for f in files:
+        system.move(f"{folder}/{f['at']}/{f['name']}", f"{folder}/{f['name']}")
+    if files:
+        system.delete_dir(f"{folder}/{job}")
+    return len(files)
