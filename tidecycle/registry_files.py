@@ -144,7 +144,7 @@ def _bytes(v: Column) -> Column:
     return F.lpad(F.hex(v), 2, "0")
 
 
-@query("""WITH e AS (SELECT vec_id, unnest(range(len(embedding))) AS i, CAST(floor((CAST(unnest(embedding) AS DOUBLE) + 1) * 127) AS BIGINT) AS v FROM embeddings),
+FRAME_SQL = """WITH e AS (SELECT vec_id, unnest(range(len(embedding))) AS i, CAST(floor((CAST(unnest(embedding) AS DOUBLE) + 1) * 127) AS BIGINT) AS v FROM embeddings),
 p AS (SELECT 's' || vec_id // 50 AS video_id, vec_id % 50 AS frame_idx, i, i // 8 AS y, i % 8 AS x, v AS b, (v * 3 + 7) % 256 AS g, 255 - v AS r FROM e),
 l AS (SELECT *, (77 * r + 150 * g + 29 * b) >> 8 AS m FROM p),
 w AS (SELECT *, lag(m, 9) OVER w AS nw, lag(m, 8) OVER w AS n, lag(m, 7) OVER w AS ne, lag(m, 1) OVER w AS ww, lead(m, 1) OVER w AS ea, lead(m, 7) OVER w AS sw, lead(m, 8) OVER w AS s, lead(m, 9) OVER w AS se FROM l WINDOW w AS (PARTITION BY video_id, frame_idx ORDER BY i)),
@@ -154,17 +154,27 @@ d AS (SELECT a.video_id, a.frame_idx, avg(abs(a.m - b.m)) AS motion FROM l a JOI
 SELECT l.video_id, CAST(l.frame_idx AS INTEGER) AS frame_idx, round(CAST(CAST(avg(m) AS FLOAT) AS DOUBLE), 3) AS mean_brightness, round(CAST(CAST(stddev_pop(m) AS FLOAT) AS DOUBLE), 3) AS brightness_std, round(CAST(CAST(avg(r) AS FLOAT) AS DOUBLE), 3) AS mean_r, round(CAST(CAST(avg(b) AS FLOAT) AS DOUBLE), 3) AS mean_b,
        round(CAST(CAST(coalesce(any_value(motion), 0) AS FLOAT) AS DOUBLE), 3) AS motion_intensity, round(CAST(CAST(any_value(edges) AS FLOAT) AS DOUBLE), 3) AS edge_density, round(CAST(CAST(any_value(lap) AS FLOAT) AS DOUBLE), 1) AS laplacian_variance, round(CAST(CAST(any_value(entropy) AS FLOAT) AS DOUBLE), 3) + 0.0 AS entropy,
        round(CAST(CAST(avg(CAST(b < 35 AND g < 35 AND r < 35 AS INTEGER)) AS FLOAT) AS DOUBLE), 3) AS dark_ratio
-FROM l JOIN k USING (video_id, frame_idx) JOIN h USING (video_id, frame_idx) LEFT JOIN d USING (video_id, frame_idx) GROUP BY 1, 2""")
-def frame_features(spark, d):
-    """Features of frames of 8 x 8 pixels that stand for the vectors, 50 to a recording."""
+FROM l JOIN k USING (video_id, frame_idx) JOIN h USING (video_id, frame_idx) LEFT JOIN d USING (video_id, frame_idx) GROUP BY 1, 2"""
+
+
+def vector_frames(spark, d):
+    """Frames of 8 x 8 pixels that stand for the vectors, 50 to a recording."""
     v = F.transform("embedding", lambda x: F.floor((x.cast("double") + 1) * 127))
     data = F.unhex(F.array_join(F.transform(v, lambda b: F.concat(_bytes(b), _bytes((b * 3 + 7) % 256), _bytes(255 - b))), ""))
-    x = read(spark, d, "embeddings").select(F.concat(F.lit("s"), F.floor(F.col("vec_id") / 50)).alias("video_id"), (F.col("vec_id") % 50).cast("int").alias("frame_idx"), F.lit(8).alias("h"), F.lit(8).alias("w"), data.alias("data"))
-    out = pixels.extract(x)
+    return read(spark, d, "embeddings").select(F.concat(F.lit("s"), F.floor(F.col("vec_id") / 50)).alias("video_id"), (F.col("vec_id") % 50).cast("int").alias("frame_idx"), F.lit(8).alias("h"), F.lit(8).alias("w"), data.alias("data"))
+
+
+def frame_columns(out):
     names = {"mean_brightness": 3, "brightness_std": 3, "mean_r": 3, "mean_b": 3, "motion_intensity": 3, "edge_density": 3, "laplacian_variance": 1, "entropy": 3, "dark_ratio": 3}
     return out.select("video_id", "frame_idx", *[F.round(F.col(c).cast("double"), k).alias(c) for c, k in names.items()])
 
 
+@query(FRAME_SQL)
+def frame_features(spark, d):
+    """Features of frames of 8 x 8 pixels that stand for the vectors, 50 to a recording."""
+    return frame_columns(pixels.extract(vector_frames(spark, d)))
+
+
 @query(f"""WITH {SPLIT_SQL}, s AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, CASE WHEN k <= round_even(n * 0.2, 0) THEN 'val' ELSE 'train' END AS split FROM r),
 o AS (SELECT CASE WHEN k > 0 THEN doc_id || '_os' || k ELSE doc_id END AS doc_id, lang, split, CAST(k AS INTEGER) AS replica FROM (SELECT *, unnest(range(CASE WHEN lang = 'de' AND split = 'train' THEN 3 ELSE 1 END)) AS k FROM s))
 SELECT *, split || '/' || lang || '/' || doc_id AS target FROM o""")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .functions import pixels, scalars, temporal
 from .operators import blocks, spectral, stats
 from .registry import ORDER, ROWS_SQL, SPECTRUM_SQL, events, query, r6, read, savgol_sql
-from .sources import cbf, readers, scratch, sinks
+from .registry_files import FRAME_SQL, frame_columns, vector_frames
+from .sources import cbf, readers, scratch, sinks, video
 
 #: A recording a day: its name says when it begins and ends.
 DAYS_SQL = """c AS (
@@ -182,6 +186,36 @@ def global_motion(spark, d):
     return out.select("video_id", "frame_idx", tenth("global_motion_x").alias("x"), tenth("global_motion_y").alias("y"), (F.col("local_motion_intensity") <= F.greatest(F.col("motion_intensity"), F.lit(0.01))).alias("still"))
 
 
+@query(FRAME_SQL)
+def frames_round_trip(spark, d):
+    """The frames of `frame_features` in uncompressed recordings, split at frames as they are read, with the same features."""
+    path = scratch.new_folder(spark)
+    x = vector_frames(spark, d)
+
+    def clip(key, table):
+        t = table.sort_by("frame_idx")
+        return pa.table({"name": [f"{key[0].as_py()}.avi"], "data": pa.array([video.encode_avi(t["data"].to_pylist(), 8, 8, Fraction(25))], pa.binary())})
+
+    sinks.blobs(x.groupBy("video_id").applyInArrow(clip, "name string, data binary"), path)
+    spark.dataSource.register(video.FrameSource)
+    return frame_columns(pixels.extract(spark.read.format("frames").option("path", path).load().drop("timestamp_sec")))
+
+
+@query("""WITH f AS (SELECT vec_id // 50 AS v, vec_id % 50 AS k FROM embeddings), n AS (SELECT v, max(k) + 1 AS n FROM f GROUP BY 1)
+SELECT 's' || v AS name, 'RAW' AS codec, 30000 / 1001 AS fps, n AS frame_count, CAST(8 AS INTEGER) AS width, CAST(8 AS INTEGER) AS height, round(n * 1001 / 30000, 6) AS duration_sec FROM n""")
+def probed_recordings(spark, d):
+    """What the containers of recordings say, without a frame being read."""
+    path = scratch.new_folder(spark)
+
+    def clip(key, table):
+        n = max(table["frame_idx"].to_pylist()) + 1
+        return pa.table({"name": [f"{key[0].as_py()}.avi"], "data": pa.array([video.encode_avi([bytes(192)] * n, 8, 8, Fraction(30000, 1001))], pa.binary())})
+
+    sinks.blobs(vector_frames(spark, d).select("video_id", "frame_idx").groupBy("video_id").applyInArrow(clip, "name string, data binary"), path)
+    out = video.probe(spark, path)
+    return out.select(scalars.stem(F.col("path")).alias("name"), "codec", "fps", "frame_count", "width", "height", F.round("duration_sec", 6).alias("duration_sec"))
+
+
 @query(f"WITH {SPECTRUM_SQL}, p AS (SELECT *, amplitude * amplitude AS power FROM a) SELECT user_id, round(arg_max(period, (power, -k)), 4) AS period, round(max(power), 3) AS peak, round(avg(power), 3) AS mean, round(max(power) / greatest(avg(power), 1e-9), 4) AS snr FROM p WHERE period BETWEEN 3 AND 30 GROUP BY user_id")
 def fft_power(spark, d):
     """The strongest line by power."""
