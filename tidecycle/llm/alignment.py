@@ -18,7 +18,7 @@ from .packing import Ids
 #: Between two characters that are no white space a single blank begins a piece: no token of either kind crosses it.
 CUT = re.compile(r"(?<=\S)(?= \S)")
 #: Pieces that a worker remembers, of eight links on average at most, and aligns at a time; those of over LONG characters go through the library that needs no square time.
-KNOWN, LONG, AT_ONCE = 200_000, 1000, 15_000
+KNOWN, LONG, AT_ONCE = 80_000, 1000, 8_000
 
 #: Of tokens A and B (s, e: start and end on one axis that both cover without gaps; id): which token of B covers the last byte of each token of A, whether both end there, and how many such cuts lie before.
 OVER = """
@@ -217,7 +217,7 @@ def align_tokenizers(docs: DataFrame, byte_path: str, piece_path: str, id_col: s
     count each; other columns are not read; an empty table gives none.
     """
     with _arrow_rows(docs.sparkSession, 1000):  # of whole texts; an executor holds some batches on either side
-        aligned = materialize(alignments(docs, byte_path, piece_path, id_col, text_col))
+        aligned = materialize(alignments(docs, byte_path, piece_path, id_col, text_col), **{"parquet.block.size": 8 << 20})
     pairs = pair_counts(aligned).toArrow()
     if pairs.num_rows > most_pairs(_aligner(byte_path, piece_path)):
         raise AssertionError("more pairs than the vocabularies allow")

@@ -66,10 +66,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return shared or _local_scratch()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write `df` as Parquet to the shared folder and read it again, so that a lost executor loses nothing."""
+def materialize(df: DataFrame, **options) -> DataFrame:
+    """Cut the lineage: write `df` as Parquet to the shared folder (with these options of the writer) and read it again, so that a lost executor loses nothing."""
     path = f"{scratch_dir(df.sparkSession)}/tidecycle/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
