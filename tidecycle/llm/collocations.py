@@ -212,7 +212,7 @@ def _merged(least: int, longest: int):
     return run
 
 
-def phrase_counts(docs: DataFrame, least: int = 100, longest: int = 5, lang_col: str = "lang", text_col: str = "text", block_words: int = 2_000_000, bits: int = 26) -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int = 100, longest: int = 5, lang_col: str = "lang", text_col: str = "text", block_words: int = 1_000_000, bits: int = 26) -> DataFrame:
     """(lang, phrase, m, f, lefts): all phrases of 1 to `longest` words that occur `least` times or more in a language, and for each language the root (phrase '', m 0, f all its words). lefts: counts of the first 2 to m - 1 words.
 
     1. A scan counts the nodes of depth 1 and 2 of each shard's trie by hash (a shard is a block of about `block_words`
