@@ -269,3 +269,43 @@ def test_csv_with_a_byte_order_mark(spark, tmp_path):
     sinks.csv(df, str(tmp_path / "x"), mark=True)
     assert next((tmp_path / "x").glob("*.csv")).read_bytes()[:3] == b"\xef\xbb\xbf"
     assert [tuple(r) for r in readers.csv(spark, str(tmp_path / "x"), "a int, t string").collect()] == [(1, "ä"), (2, "b")]
+
+
+def png(w=3, h=2):
+    import struct
+    import zlib
+
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(bytes(h * (3 * w + 1)))) + chunk(b"IEND", b"")
+
+
+def jpeg(w=40, h=30):
+    part = lambda kind, body: bytes([0xFF, kind]) + (len(body) + 2).to_bytes(2, "big") + body
+    frame = part(0xC0, b"\x08" + h.to_bytes(2, "big") + w.to_bytes(2, "big") + b"\x03" + bytes(9))
+    scan = part(0xDA, bytes(10)) + b"\x12\xff\x00\x34\xff\xd0" * 20
+    return b"\xff\xd8" + part(0xE0, b"JFIF\0" + b"\xff\xc0\x00\x09" + bytes(5)) + part(0xC4, bytes(20)) + frame + scan + b"\xff" + part(0xC4, bytes(8)) + scan + b"\xff\xd9"
+
+
+def bmp(w=2, h=2):
+    import struct
+
+    body = bytes(8 * h)
+    return b"BM" + struct.pack("<IHHI", 54 + len(body), 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, w, h, 1, 24, 0, len(body), 0, 0, 0, 0) + body
+
+
+@pytest.mark.parametrize("make,size", [(png, (3, 2)), (jpeg, (40, 30)), (bmp, (2, 2))])
+def test_pictures_are_followed_to_their_end(make, size):
+    data = make()
+    assert readers.image_size(data) == size and readers.image_whole(data) and readers.image_whole(data + b"more")
+    assert not any(readers.image_whole(data[:n]) for n in range(len(data)))
+    if make is png:
+        for i in range(8, len(data) - 12):
+            assert not readers.image_whole(data[:i] + bytes([data[i] ^ 1]) + data[i + 1 :])
+
+
+def test_broken_pictures_of_a_folder(spark, tmp_path):
+    (tmp_path / "net").mkdir()
+    for name, data in {"a.png": png(), "b.png": png()[:-20], "c.jpg": jpeg(), "d.jpeg": jpeg()[:-2], "e.bmp": bmp(), "f.bmp": bmp()[:-1]}.items():
+        (tmp_path / "net" / name).write_bytes(data)
+    got = {r.path.rsplit("/", 1)[1]: r.is_corrupt for r in readers.image_folder(spark, str(tmp_path)).collect()}
+    assert got == {"a.png": False, "b.png": True, "c.jpg": False, "d.jpeg": True, "e.bmp": False, "f.bmp": True}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,18 +136,20 @@ def interval_index(videos: DataFrame) -> DataFrame:
 
 
 def image_folder(spark: SparkSession, root: str) -> DataFrame:
-    """Pictures below a folder: path, class (the folder's name), bytes, width, height and whether the head of the file is broken. JPEG, PNG and BMP."""
+    """Pictures below a folder: path, class (the folder's name), bytes, width, height and whether the file is broken anywhere: cut, or with a part that fails its checksum. JPEG, PNG and BMP."""
     x = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).where(F.lower("path").rlike(r"\.(jpg|jpeg|png|bmp)$"))
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            sizes = [image_size(c) for c in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s[0] if s else None for s in sizes], pa.int32()), pa.array([s[1] if s else None for s in sizes], pa.int32())], names=["path", "bytes", "width", "height"])
+            data = b.column(2).to_pylist()
+            sizes = [image_size(c) for c in data]
+            broken = [s is None or not image_whole(c) for s, c in zip(sizes, data)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s[0] if s else None for s in sizes], pa.int32()), pa.array([s[1] if s else None for s in sizes], pa.int32()), pa.array(broken)], names=["path", "bytes", "width", "height", "is_corrupt"])
 
-    y = x.select("path", F.col("length").alias("bytes"), "content").mapInArrow(run, "path string, bytes long, width int, height int")
-    return y.withColumn("class", F.element_at(F.split("path", "/"), -2)).withColumn("is_corrupt", F.col("width").isNull())
+    y = x.select("path", F.col("length").alias("bytes"), "content").mapInArrow(run, "path string, bytes long, width int, height int, is_corrupt boolean")
+    return y.withColumn("class", F.element_at(F.split("path", "/"), -2))
 
 
 def image_size(data: bytes) -> tuple[int, int] | None:
@@ -154,15 +159,59 @@ def image_size(data: bytes) -> tuple[int, int] | None:
     if data[:2] == b"BM" and len(data) >= 26:
         return int.from_bytes(data[18:22], "little"), abs(int.from_bytes(data[22:26], "little", signed=True))
     if data[:2] == b"\xff\xd8":
-        i = 2
-        while i + 9 < len(data) and data[i] == 0xFF:
-            kind, size = data[i + 1], int.from_bytes(data[i + 2 : i + 4], "big")
-            if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
-                return int.from_bytes(data[i + 7 : i + 9], "big"), int.from_bytes(data[i + 5 : i + 7], "big")
-            i += 2 + size
+        for kind, a, b in _jpeg_parts(data):
+            if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC) and b - a >= 5:
+                return int.from_bytes(data[a + 3 : a + 5], "big"), int.from_bytes(data[a + 1 : a + 3], "big")
     return None
 
 
+def image_whole(data: bytes) -> bool:
+    """Whether a picture goes on to its end: a PNG's chunks by length and CRC to IEND, a JPEG's segments and scans to the end marker, a BMP's size."""
+    if data[:8] == b"\x89PNG\r\n\x1a\n":
+        at = 8
+        while at + 12 <= len(data):
+            n = int.from_bytes(data[at : at + 4], "big")
+            if at + 12 + n > len(data) or zlib.crc32(data[at + 4 : at + 8 + n]) != int.from_bytes(data[at + 8 + n : at + 12 + n], "big"):
+                return False
+            if data[at + 4 : at + 8] == b"IEND":
+                return True
+            at += 12 + n
+        return False
+    if data[:2] == b"BM":
+        return int.from_bytes(data[2:6], "little") <= len(data)
+    kinds = [k for k, _, _ in _jpeg_parts(data)] if data[:2] == b"\xff\xd8" else []
+    return bool(kinds) and kinds[-1] == 0xD9 and 0xDA in kinds
+
+
+#: End of a scan's coded bytes: a marker that is neither a stuffed zero, nor a fill byte, nor a restart.
+SCAN_END = re.compile(rb"\xff[^\x00\xff\xd0-\xd7]")
+
+
+def _jpeg_parts(data: bytes):
+    """(marker, first byte, end) of the segments of a JPEG, scans passed over, as far as they are whole; the end marker last."""
+    at = 2
+    while at + 2 <= len(data) and data[at] == 0xFF:
+        kind = data[at + 1]
+        if kind == 0xFF:  # fill
+            at += 1
+        elif kind == 0xD9:
+            yield kind, at + 2, at + 2
+            return
+        elif kind == 0x01 or 0xD0 <= kind <= 0xD7:
+            at += 2
+        else:
+            n = int.from_bytes(data[at + 2 : at + 4], "big")
+            if n < 2 or at + 2 + n > len(data):
+                return
+            yield kind, at + 4, at + 2 + n
+            at += 2 + n
+            if kind == 0xDA:
+                found = SCAN_END.search(data, at)
+                if not found:
+                    return
+                at = found.start()
+
+
 def config(path: str) -> dict:
     with open(path, encoding="utf-8") as f:
         return yaml.safe_load(f) or {}
