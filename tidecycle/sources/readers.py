@@ -178,7 +178,7 @@ def image_whole(data: bytes) -> bool:
             at += 12 + n
         return False
     if data[:2] == b"BM":
-        return int.from_bytes(data[2:6], "little") <= len(data)
+        return 26 <= len(data) >= int.from_bytes(data[2:6], "little")
     kinds = [k for k, _, _ in _jpeg_parts(data)] if data[:2] == b"\xff\xd8" else []
     return bool(kinds) and kinds[-1] == 0xD9 and 0xDA in kinds
 
