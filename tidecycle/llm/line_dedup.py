@@ -25,8 +25,16 @@ def boilerplate_lines(docs: DataFrame, host_col: str = "source", text_col: str =
     the host) / max(min_pages, ratio * pages) rows can come out per host.
     """
     rows = docs.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(text_col).alias("text"), _print(F.coalesce(text_col, F.lit(""))).alias("page"))
-    totals = rows.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
-    lines = rows.select("host", "page", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.trim(x)))).alias("line")).where("line <> ''").distinct()
+    trimmed = F.filter(F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.trim(x))), lambda x: x != "")
+    totals = materialize(rows.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("host_pages")))
+    # Counted by hashes first, in a few bytes a line; lines that may be boilerplate are then counted by themselves.
+    hashed = rows.select(F.xxhash64("host").alias("h"), "page", F.explode(F.transform(trimmed, lambda x: F.xxhash64(x))).alias("l")).distinct()
+    least = totals.groupBy(F.xxhash64("host").alias("h")).agg(F.min("host_pages").alias("n"))
+    often = hashed.groupBy("h", "l").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages).join(least, "h").where(F.col("pages") > ratio * F.col("n"))
+    often = materialize(often.select("h", "l"))
+    known = F.broadcast(often) if often.count() * 16 <= BROADCAST_BYTES else often
+    lines = rows.select("host", "page", F.explode(trimmed).alias("line")).withColumns({"h": F.xxhash64("host"), "l": F.xxhash64("line")})
+    lines = lines.join(known, ["h", "l"], "left_semi").select("host", "page", "line").distinct()
     pages = lines.groupBy("host", "line").agg(F.count("*").alias("pages"), F.min("page").alias("keeper")).where(F.col("pages") >= min_pages)
     out = pages.join(totals, "host").where(F.col("pages") > ratio * F.col("host_pages"))
     return out.select("host", "line", "pages", "host_pages", F.when(F.col("pages") < certain, F.col("keeper")).alias("keeper"))
