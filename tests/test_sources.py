@@ -225,9 +225,13 @@ def test_column_files_read_what_is_asked(spark, tmp_path):
     for v in "abc":
         (tmp_path / f"{v}.cbf").write_bytes(data)
     (tmp_path / "d.cbf").write_bytes(b"broken")
+    x = cbf.scan(spark, str(tmp_path), ["video_id", "entropy", "roi_name"], ["a", "b"])
+    assert x.groupBy("video_id").count().collect().__len__() == 2
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     x = cbf.scan(spark, str(tmp_path), ["video_id", "entropy", "roi_name"]).where("video_id IN ('a', 'b')")
     assert x.groupBy("video_id").count().collect().__len__() == 2 and x.columns == ["video_id", "entropy", "roi_name"]  # the broken file is never opened
     assert cbf.scan(spark, f"file://{tmp_path}", ["frame_idx", "video_id"]).where("video_id = 'c' AND frame_idx < 7").count() == 7
+    spark.conf.unset("spark.sql.python.filterPushdown.enabled")
     r = cbf.PushingReader({"path": str(tmp_path)})
     from pyspark.sql.datasource import EqualTo, GreaterThan
 

@@ -8,12 +8,13 @@
 A file: magic `CBF` and a version byte, number of rows and of columns, offsets of the columns and of the end, four
 reserved floats, then each column as little-endian u32 or f32. Version 2 has roi_code, version 1 has not. The folder
 is a path or URI of a store that all executors see (file, hdfs, s3, gs). One partition per file. A reader with a schema
-reads the bytes of its columns alone; with `scan`, filters on video_id choose files by their names, before any is opened.
+reads the bytes of its columns alone; with `scan`, a list of recordings or filters on video_id choose files by their names, before any is opened.
 """
 
 from __future__ import annotations
 
 import io
+import json
 import posixpath
 import re
 import struct
@@ -109,7 +110,7 @@ class CbfReader(DataSourceReader):
     def __init__(self, options, schema=None):
         self.path, self.schema = options["path"], schema
         self.roi = {int(k): v for k, v in (x.split("=") for x in options["roi"].split(","))} if options.get("roi") else ROI_CODES
-        self.videos: set | None = None
+        self.videos: set | None = set(json.loads(options["videos"])) if options.get("videos") else None
 
     def files(self) -> list[str]:
         system, path = store(self.path)
@@ -139,7 +140,7 @@ class CbfReader(DataSourceReader):
 
 
 class PushingReader(CbfReader):
-    """With option pushdown=true; Spark takes it only where spark.sql.python.filterPushdown.enabled is set (`scan` sets it)."""
+    """With option pushdown=true; Spark takes it only where spark.sql.python.filterPushdown.enabled is set."""
 
     def pushFilters(self, filters):
         """Filters on the recording are settled here; the others go back to Spark."""
@@ -228,10 +229,12 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "video_id")
 
 
-def scan(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """The column files of a folder, reading `columns` (all, if None) and the recordings that filters on video_id leave."""
+def scan(spark: SparkSession, path: str, columns: list[str] | None = None, videos: list[str] | None = None) -> DataFrame:
+    """The column files of a folder, reading `columns` (all, if None) of `videos` (all, if None). In a session with spark.sql.python.filterPushdown.enabled filters on video_id choose files, too."""
     spark.dataSource.register(CbfSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     kinds = {"video_id": "string", "roi_name": "string"} | {c: "long" if c in UNSIGNED else "float" for c in COLUMNS}
-    reader = spark.read.format("cbf").option("path", path).option("pushdown", "true")
+    pushes = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    reader = spark.read.format("cbf").option("path", path).option("pushdown", pushes)
+    if videos is not None:
+        reader = reader.option("videos", json.dumps(videos))
     return (reader.schema(", ".join(f"{c} {kinds[c]}" for c in columns)) if columns else reader).load()
