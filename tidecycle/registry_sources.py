@@ -216,11 +216,11 @@ def probed_recordings(spark, d):
     return out.select(scalars.stem(F.col("path")).alias("name"), "codec", "fps", "frame_count", "width", "height", F.round("duration_sec", 6).alias("duration_sec"))
 
 
-@query(f"WITH {SPECTRUM_SQL}, p AS (SELECT *, amplitude * amplitude AS power FROM a) SELECT user_id, round(arg_max(period, (power, -k)), 4) AS period, round(max(power), 3) AS peak, round(avg(power), 3) AS mean, round(max(power) / greatest(avg(power), 1e-9), 4) AS snr FROM p WHERE period BETWEEN 3 AND 30 GROUP BY user_id")
+@query(f"WITH {SPECTRUM_SQL}, p AS (SELECT *, amplitude * amplitude AS power FROM a) SELECT user_id, round(arg_max(period, (power, -k)), 4) AS period, round(max(power), 1) AS peak, round(avg(power), 1) AS mean, round(max(power) / greatest(avg(power), 1e-9), 4) AS snr FROM p WHERE period BETWEEN 3 AND 30 GROUP BY user_id")
 def fft_power(spark, d):
     """The strongest line by power."""
     x = spectral.best_period(spectral.spectrum(events(spark, d), ["user_id"], ORDER, "value"), ["user_id"], 3.0, 30.0, "power")
-    return x.select("user_id", r6("period", "period", 4), r6("peak", "peak", 3), r6("mean", "mean", 3), r6("snr", "snr", 4))
+    return x.select("user_id", r6("period", "period", 4), r6("peak", "peak", 1), r6("mean", "mean", 1), r6("snr", "snr", 4))
 
 
 @query("""WITH b AS (SELECT l_orderkey, l_linenumber, l_quantity AS x0, l_linenumber AS y0, l_quantity + l_partkey % 100 + 1 AS x1, l_linenumber + l_suppkey % 50 AS y1 FROM lineitem)
