@@ -7,7 +7,8 @@
 
 A file: magic `CBF` and a version byte, number of rows and of columns, offsets of the columns and of the end, four
 reserved floats, then each column as little-endian u32 or f32. Version 2 has roi_code, version 1 has not. The folder
-is a path or URI of a store that all executors see (file, hdfs, s3, gs). One partition per file. A reader with a schema
+is a path or URI of a store that all executors see (file, hdfs, s3, gs). A partition holds files of `PART_BYTES`
+together, small ones counted as `OPEN_BYTES`, so tasks follow the size of the folder and not its recordings. A reader with a schema
 reads the bytes of its columns alone; with `scan`, a list of recordings or filters on video_id choose files by their names, before any is opened.
 """
 
@@ -20,6 +21,7 @@ import re
 import struct
 import uuid
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
@@ -36,6 +38,10 @@ from ..schema import ROI_CODES
 #: Column names in the order of the file.
 COLUMNS = ["frame_idx", "roi_code", "timestamp_sec", "mean_brightness", "brightness_std", "mean_b", "mean_g", "mean_r", "motion_intensity", "edge_density", "laplacian_variance", "entropy"]
 UNSIGNED = {"frame_idx", "roi_code"}
+#: Files of a task of the reader: so many bytes together, each file counted as `OPEN_BYTES` at least; rows of small files go on in batches of `BATCH`.
+PART_BYTES, OPEN_BYTES, BATCH = 64 << 20, 256 << 10, 1 << 16
+#: Files that the commit moves or deletes at a time.
+THREADS = 16
 
 
 def columns_of(version: int) -> list[str]:
@@ -83,9 +89,16 @@ def encode(columns: dict[str, np.ndarray], version: int = 2) -> bytes:
     return b"CBF" + bytes([version]) + struct.pack(f"<II{len(at)}I4f", len(columns["frame_idx"]), len(names), *at.tolist(), 0, 0, 0, 0) + b"".join(bodies)
 
 
+def each(apply, items: list) -> None:
+    """`apply` to all items, many at a time: a store answers each call after a while."""
+    with ThreadPoolExecutor(THREADS) as pool:
+        for _ in pool.map(apply, items):
+            pass
+
+
 @dataclass
 class FilePartition(InputPartition):
-    path: str
+    paths: list
 
 
 class CbfSource(DataSource):
@@ -112,31 +125,63 @@ class CbfReader(DataSourceReader):
         self.roi = {int(k): v for k, v in (x.split("=") for x in options["roi"].split(","))} if options.get("roi") else ROI_CODES
         self.videos: set | None = set(json.loads(options["videos"])) if options.get("videos") else None
 
-    def files(self) -> list[str]:
+    def infos(self) -> list[fs.FileInfo]:
         system, path = store(self.path)
         found = system.get_file_info(path)
         if found.type == fs.FileType.File:
-            names = [path]
+            infos = [found]
         else:
             below = system.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
-            names = sorted(f.path for f in below if f.type == fs.FileType.File and f.path.endswith(".cbf") and "_temporary" not in f.path[len(path) :])
-        return [n for n in names if self.videos is None or recording(n) in self.videos]
+            infos = sorted((f for f in below if f.type == fs.FileType.File and f.path.endswith(".cbf") and "_temporary" not in f.path[len(path) :]), key=lambda f: f.path)
+        return [f for f in infos if self.videos is None or recording(f.path) in self.videos]
+
+    def files(self) -> list[str]:
+        return [f.path for f in self.infos()]
 
     def partitions(self):
-        return [FilePartition(f) for f in self.files()] or [FilePartition("")]
+        parts, left = [FilePartition([])], PART_BYTES
+        for f in self.infos():
+            size = max(f.size or 0, OPEN_BYTES)
+            if size > left and parts[-1].paths:
+                parts.append(FilePartition([]))
+                left = PART_BYTES
+            parts[-1].paths.append(f.path)
+            left -= size
+        return parts
 
     def read(self, partition):
-        if not partition.path:
-            return
         names = self.schema.names if self.schema else ["video_id", *COLUMNS, "roi_name"]
         wanted = {"roi_code" if n == "roi_name" else n for n in names}
-        with store(self.path)[0].open_input_file(partition.path) as f:
-            n, found = read_columns(f, wanted)
-        made = {"video_id": lambda: pa.array([recording(partition.path)] * n, pa.string()), "roi_name": lambda: pa.array([self.roi.get(int(c)) for c in found["roi_code"]] if "roi_code" in found else [None] * n, pa.string())}
-        cols = [made[c]() if c in made else pa.array(found[c].astype("i8") if c in UNSIGNED else found[c]) if c in found else pa.nulls(n, pa.int64()) for c in names]
+        system = store(self.path)[0]
+        held, rows = [], 0
+        for path in partition.paths:
+            with system.open_input_file(path) as f:
+                n, found = read_columns(f, wanted)
+            if held and rows + n > BATCH:
+                yield self._batch(names, held)
+                held, rows = [], 0
+            held.append((path, n, found))
+            rows += n
+        if held:
+            yield self._batch(names, held)
+
+    def _batch(self, names: list[str], files: list[tuple[str, int, dict]]) -> pa.RecordBatch:
+        """The rows of some files; columns that a file lacks are null."""
+
+        def column(c: str) -> pa.Array:
+            if c == "video_id":
+                return pa.array([recording(p) for p, _, _ in files], pa.string()).take(pa.array(np.repeat(np.arange(len(files)), [n for _, n, _ in files])))
+            if c == "roi_name":
+                codes, at = np.unique(np.concatenate([f.get("roi_code", np.zeros(n)).astype("i8") for _, n, f in files]), return_inverse=True)
+                known = np.concatenate([np.full(n, "roi_code" in f) for _, n, f in files])
+                return pa.array([self.roi.get(int(v)) for v in codes], pa.string()).take(pa.array(at, mask=~known))
+            kind = pa.int64() if c in UNSIGNED else pa.float32()
+            return pa.concat_arrays([pa.array(f[c].astype("i8") if c in UNSIGNED else f[c]) if c in f else pa.nulls(n, kind) for _, n, f in files])
+
+        cols = [column(c) if c in ("video_id", "roi_name", *COLUMNS) else pa.nulls(sum(n for _, n, _ in files), pa.int64()) for c in names]
         if self.schema:
             cols = [c.cast(to_arrow_type(x.dataType)) for c, x in zip(cols, self.schema)]
-        yield pa.RecordBatch.from_arrays(cols, names=names)
+        return pa.RecordBatch.from_arrays(cols, names=names)
 
 
 class PushingReader(CbfReader):
@@ -159,7 +204,7 @@ class Written(WriterCommitMessage):
 
 class CbfWriter(DataSourceArrowWriter):
     """Writes files of a recording each, as <video>.<8 hex digits>.cbf. A task holds `part_rows` rows (an option) of all
-    its recordings together and a batch at most: beyond, the recording with the most rows is written. Input that is dealt
+    its recordings together and a batch at most: beyond, recordings with the most rows are written until half is left. Input that is dealt
     by recording (`dealt`) gives a file per recording and `part_rows` rows.
 
     Tasks write below `_temporary`, which readers pass over; the commit moves their files into the folder, and with mode
@@ -177,42 +222,55 @@ class CbfWriter(DataSourceArrowWriter):
         system.create_dir(f"{path}/{self.job}")
         held: dict[str, list[pa.Table]] = {}
         rows: Counter = Counter()
-        files: list[str] = []
+        total, files = 0, []
         for batch in iterator:
             table = pa.Table.from_batches([batch])
             names = table.column("video_id") if "video_id" in table.column_names else pa.chunked_array([pa.nulls(len(table), pa.string())])
-            names = pc.fill_null(names, "video")
-            for video in pc.unique(names).to_pylist():
-                part = table.filter(pc.equal(names, video))
-                held.setdefault(video, []).append(part)
-                rows[video] += len(part)
-            while rows.total() >= self.part_rows:
-                video, _ = rows.most_common(1)[0]
-                files.append(self._put(video, held.pop(video)))
-                del rows[video]
-        return Written(files + [self._put(video, parts) for video, parts in held.items()])
-
-    def _put(self, video: str, parts: list[pa.Table]) -> str:
-        table = pa.concat_tables(parts)
+            codes = pc.fill_null(names, "video").combine_chunks().dictionary_encode()
+            at = codes.indices.to_numpy()
+            order = np.argsort(at, kind="stable")
+            table, ends = table.take(pa.array(order)), np.cumsum(np.bincount(at, minlength=len(codes.dictionary))).tolist()
+            for video, a, b in zip(codes.dictionary.to_pylist(), [0, *ends], ends):
+                held.setdefault(video, []).append(table.slice(a, b - a))
+                rows[video] += b - a
+            total += len(table)
+            if total >= self.part_rows:  # down to half, so that the recordings are ranked once for many of them
+                out = {}
+                for video, n in rows.most_common():
+                    if total < self.part_rows / 2:
+                        break
+                    out[video] = held.pop(video)
+                    del rows[video]
+                    total -= n
+                files += self._put(out)
+        return Written(files + self._put(held))
+
+    def _put(self, held: dict[str, list[pa.Table]]) -> list[str]:
+        """A file for each of these recordings; their names."""
+        if not held:
+            return []
+        table = pa.concat_tables([p for parts in held.values() for p in parts])
         columns = {}
         for c in COLUMNS:
             x = table.column(c) if c in table.column_names else pa.chunked_array([pa.nulls(len(table), pa.float64())])
-            columns[c] = pc.fill_null(x.cast(pa.int64()), 0).to_numpy() if c in UNSIGNED else x.cast(pa.float64()).to_numpy()
-        name = f"{quote(video, safe='')}.{uuid.uuid4().hex[:8]}.cbf"
+            columns[c] = pc.fill_null(x.cast(pa.int64()), 0).to_numpy().astype("<u4") if c in UNSIGNED else x.cast(pa.float64()).to_numpy().astype("<f4")
         system, path = store(self.path)
-        with system.open_output_stream(f"{path}/{self.job}/{name}") as f:
-            f.write(encode(columns))
-        return name
+        files, at = [], 0
+        for video, parts in held.items():
+            n = sum(map(len, parts))
+            files.append(f"{quote(video, safe='')}.{uuid.uuid4().hex[:8]}.cbf")
+            with system.open_output_stream(f"{path}/{self.job}/{files[-1]}") as f:
+                f.write(encode({c: x[at : at + n] for c, x in columns.items()}))
+            at += n
+        return files
 
     def commit(self, messages):
         new = [f for m in messages if m for f in m.files]
         system, path = store(self.path)
         if self.overwrite:
-            for f in CbfReader({"path": self.path}).files():
-                system.delete_file(f)
+            each(system.delete_file, CbfReader({"path": self.path}).files())
         system.create_dir(path)
-        for f in new:
-            system.move(f"{path}/{self.job}/{f}", f"{path}/{f}")
+        each(lambda f: system.move(f"{path}/{self.job}/{f}", f"{path}/{f}"), new)
         self._clear()
 
     def abort(self, messages):
@@ -225,8 +283,8 @@ class CbfWriter(DataSourceArrowWriter):
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """Rows of a recording together, large recordings split and small ones joined by AQE: as many files as recordings and tasks, not their product."""
-    return df.hint("rebalance", "video_id")
+    """Rows of a recording together, large recordings split and small ones joined by AQE: as many files as recordings and tasks, not their product. A task gets its recordings one after the other."""
+    return df.hint("rebalance", "video_id").sortWithinPartitions("video_id")
 
 
 def scan(spark: SparkSession, path: str, columns: list[str] | None = None, videos: list[str] | None = None) -> DataFrame:
