@@ -51,7 +51,7 @@ def merged_features(spark, d):
     spark.dataSource.register(cbf.CbfSource)
     path = scratch.new_folder(spark)
     cbf.dealt(_coarse(spark, d).select("video_id", F.col("frame_idx").cast("long").alias("frame_idx"))).write.format("cbf").option("path", path).mode("append").save()
-    raw, clean = readers.merged_features(series.boundary_flag(spark.read.format("cbf").option("path", path).load(), ["video_id"], "frame_idx", 2))
+    raw, clean = readers.merged_features(series.boundary_flag(cbf.scan(spark, path, ["video_id", "frame_idx"]), ["video_id"], "frame_idx", 2))
     return raw.groupBy("video_id").agg(F.count("*").alias("raw"), F.count_if(F.col("is_boundary") == 0).alias("clean")).join(clean.select("video_id").distinct(), "video_id", "left")
 
 
