@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidecycle.sources import cbf
+from tidecycle.sources import cbf, readers, sinks
 
 
 def test_column_files_share_the_tasks_of_a_reader(spark, tmp_path):
@@ -32,3 +32,12 @@ def test_a_writer_of_tiny_recordings_ranks_them_seldom(tmp_path, monkeypatch):
     done = w.write(iter([pa.RecordBatch.from_pydict({"video_id": [f"v{k}-{i}" for i in range(100)], "frame_idx": list(range(100))}) for k in range(40)]))
     w.commit([done])
     assert len(list(tmp_path.glob("*.cbf"))) == 4000 and len(ranked) < 20
+
+
+def test_feature_files_follow_rows_not_recordings(spark, tmp_path):
+    df = spark.range(1000, numPartitions=4).select(F.concat(F.lit("v"), F.col("id") % 200).alias("video_id"), F.col("id").cast("int").alias("frame_idx"), F.lit("full").alias("roi_name"), F.lit(1.0).alias("timestamp_sec"))
+    path = str(tmp_path / "f")
+    sinks.features(df.where("id % 200 < 150"), path)
+    sinks.features_once(df, path, spark.read.parquet(path))
+    assert len(list((tmp_path / "f").rglob("*.parquet"))) <= 8
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("video_id", "frame_idx").collect()) == sorted((f"v{i % 200}", i) for i in range(1000))

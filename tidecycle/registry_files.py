@@ -24,7 +24,7 @@ COARSE_SQL = "c AS (SELECT 'u' || user_id AS video_id, row_number() OVER (PARTIT
 
 @query(f"WITH {COARSE_SQL} SELECT video_id, CAST(frame_idx AS INTEGER) AS frame_idx, frame_idx * 4.0 AS timestamp_sec, roi_name, mean_brightness, CAST(entropy AS DOUBLE) AS entropy FROM c")
 def features_round_trip(spark, d):
-    """Written as the frozen 32-bit schema, a folder per recording; recordings that are there already are not written twice."""
+    """Written as the frozen 32-bit schema, recordings together; recordings that are there already are not written twice."""
     path = scratch.new_folder(spark)
     x = _coarse(spark, d)
     sinks.features(x.where("roi_code < 9 AND video_id < 'u3'"), path)

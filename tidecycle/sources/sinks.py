@@ -17,8 +17,8 @@ from .cbf import store
 
 
 def features(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Coarse features as Parquet, 32-bit, a folder per recording. Rows are dealt by recording first: files number recordings plus tasks at most, and AQE splits a large one."""
-    conform(df, COARSE).hint("rebalance", "video_id").write.mode(mode).partitionBy("video_id").parquet(path)
+    """Coarse features as Parquet, 32-bit. Rows are dealt by recording and sorted by recording and frame: files number tasks, however many recordings there are, AQE splits a large one, and a reader of one recording skips row groups by their least and greatest video_id."""
+    conform(df, COARSE).hint("rebalance", "video_id").sortWithinPartitions("video_id", "frame_idx").write.mode(mode).parquet(path)
 
 
 def features_once(df: DataFrame, path: str, done: DataFrame | None) -> None:
