@@ -41,3 +41,12 @@ def test_feature_files_follow_rows_not_recordings(spark, tmp_path):
     sinks.features_once(df, path, spark.read.parquet(path))
     assert len(list((tmp_path / "f").rglob("*.parquet"))) <= 8
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("video_id", "frame_idx").collect()) == sorted((f"v{i % 200}", i) for i in range(1000))
+
+
+def test_annotation_files_are_bounded(spark, tmp_path):
+    box = F.struct(*[F.lit(k).alias(n) for k, n in enumerate(("xmin", "ymin", "xmax", "ymax"))])
+    size = F.struct(F.lit(8).alias("width"), F.lit(9).alias("height"), F.lit(3).alias("depth"))
+    df = spark.range(100, numPartitions=1).select(F.concat(F.lit("o"), "id").alias("filename"), size.alias("size"), F.array(F.struct(F.lit("net").alias("name"), box.alias("bndbox"))).alias("object"))
+    sinks.annotations(df, str(tmp_path / "a"), per_file=30)
+    assert len(list((tmp_path / "a").glob("part-*.xml"))) == 4
+    assert readers.annotations(spark, str(tmp_path / "a")).select("filename", "xmax").distinct().count() == 100

@@ -87,7 +87,7 @@ def annotation_files(spark, d):
     box = F.struct(q.alias("xmin"), n.alias("ymin"), (q + 10).alias("xmax"), (n + 5).alias("ymax"))
     x = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_returnflag").alias("name"), box.alias("bndbox"))).alias("object"))
     size = F.struct((F.col("l_orderkey") % 640).cast("int").alias("width"), F.lit(480).alias("height"), F.lit(3).alias("depth"))
-    x.select(F.concat(F.lit("o"), "l_orderkey").alias("filename"), size.alias("size"), "object").write.format("xml").option("rootTag", "annotations").option("rowTag", "annotation").save(path)
+    sinks.annotations(x.select(F.concat(F.lit("o"), "l_orderkey").alias("filename"), size.alias("size"), "object"), path)
     return readers.annotations(spark, path)
 
 

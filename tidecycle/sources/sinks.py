@@ -26,6 +26,15 @@ def features_once(df: DataFrame, path: str, done: DataFrame | None) -> None:
     features(stats.missing(df, done, ["video_id"]) if done is not None else df, path)
 
 
+#: Annotations of a file at most. The reader takes a file as a whole, so this bounds what a task reads: about 60 MB with four boxes each.
+ANNOTATIONS = 50_000
+
+
+def annotations(df: DataFrame, path: str, per_file: int = ANNOTATIONS) -> None:
+    """Annotations (filename, size, object: an array of boxes) as XML, `per_file` at most to a file."""
+    df.write.format("xml").option("rootTag", "annotations").option("rowTag", "annotation").option("maxRecordsPerFile", per_file).save(path)
+
+
 def csv(df: DataFrame, path: str, mode: str = "overwrite", mark: bool = False) -> None:
     """CSV with a header; key columns are kept. With `mark` each file begins with a byte-order mark, as spreadsheets like it."""
     names = [f"\ufeff{c}" if mark and i == 0 else c for i, c in enumerate(df.columns)]
