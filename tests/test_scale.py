@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tidecycle.operators import groups, peaks
 from tidecycle.sources import cbf, readers, sinks
 
 
@@ -50,3 +51,29 @@ def test_annotation_files_are_bounded(spark, tmp_path):
     sinks.annotations(df, str(tmp_path / "a"), per_file=30)
     assert len(list((tmp_path / "a").glob("part-*.xml"))) == 4
     assert readers.annotations(spark, str(tmp_path / "a")).select("filename", "xmax").distinct().count() == 100
+
+
+def test_peaks_of_many_series_are_those_of_each():
+    rng = np.random.default_rng(7)
+    series = [np.round(rng.normal(0, 3, n) + rng.integers(0, 3)) for n in rng.integers(1, 60, 400)]
+    series[5][0] = series[9][-1] = np.nan
+    series[11][:2] = np.inf
+    x, starts = np.concatenate(series), np.concatenate([[0], np.cumsum([len(s) for s in series])[:-1]])
+    for options in ({}, {"distance": 4}, {"distance": 2.5, "prominence": 2.0}, {"width": 2.5}, {"distance": 3, "prominence": 1.0, "width": 1.5}):
+        want = [peaks.find_peaks(s, **options) for s in series]
+        at, prom = peaks.find_peaks_of(x, starts, **options)
+        assert at.tolist() == [int(i + a) for a, (w, _) in zip(starts, want) for i in w]
+        np.testing.assert_array_equal(prom, np.concatenate([w for _, w in want]))
+    want = [int(i + a) for a, s in zip(starts, series) for i in peaks.find_valleys(s, 3, 1.0, 40.0)]
+    assert peaks.find_valleys_of(x, starts, 3, 1.0, 40.0).tolist() == want
+    assert peaks.find_peaks_of(np.zeros(0), np.zeros(0, int))[0].tolist() == []
+
+
+def test_series_share_calls_and_are_whole(spark):
+    def run(table, first):
+        return pa.table({"calls": [1], "series": [len(first)], "rows": [len(table)], "long": [int(np.diff(np.append(first, len(table))).max())]})
+
+    df = spark.range(30_000).select(F.when(F.col("id") < 20_000, F.lit(None)).otherwise(F.col("id") % 2000).alias("k"), "id")
+    got = groups.by_series(df, ["k"], ["id"], run, "calls long, series long, rows long, long long", rows=3000).toPandas()
+    assert got["series"].sum() == 2001 and got["rows"].sum() == 30_000 and got["long"].max() == 20_000 and len(got) < 40
+    assert spark.range(0).select(F.lit(1).alias("k"), "id").transform(lambda x: groups.by_series(x, ["k"], ["id"], run, "calls long, series long, rows long, long long")).count() == 0

@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import groups
+
 
 def local_maxima_array(x: np.ndarray) -> np.ndarray:
     """Strict maxima; a flat top counts once, at its middle (rounded down); ends never count."""
@@ -105,8 +107,13 @@ def widths(x: np.ndarray, peaks: np.ndarray, prom: np.ndarray) -> np.ndarray:
 
 def _keep_distance(x: np.ndarray, peaks: np.ndarray, distance: int) -> np.ndarray:
     """Of the peaks those that stay when each, from the highest down and of equal ones from the last, takes out the others nearer than `distance`."""
+    return _keep_distance_at(x[peaks], peaks, distance)
+
+
+def _keep_distance_at(height: np.ndarray, peaks: np.ndarray, distance: int) -> np.ndarray:
+    """`_keep_distance` of peaks of these heights."""
     keep, at = [True] * len(peaks), peaks.tolist()
-    for k in np.argsort(x[peaks], kind="stable")[::-1].tolist():
+    for k in np.argsort(height, kind="stable")[::-1].tolist():
         if keep[k]:
             for step in (-1, 1):  # what is in reach of one that stays is visited twice at most
                 j = k + step
@@ -147,25 +154,85 @@ def find_valleys(x: np.ndarray, distance: int, prominence: float, depth: float)
     return v[x[v] < np.percentile(x, depth)]
 
 
-def _grouped(df: DataFrame, keys: list[str], order: str, value: str, row, columns: str) -> DataFrame:
-    names = [c.split()[0] for c in columns.split(", ")]
+def find_peaks_of(x: np.ndarray, starts: np.ndarray, distance: float = 1, prominence: float | None = None, width: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """`find_peaks` of many series that follow each other in `x`, series k from starts[k] on: (indices in x, prominences), in order.
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        return pd.DataFrame([(*key, *r) for r in row(pdf[order].to_numpy(), pdf[value].to_numpy(float))], columns=[*keys, *names])
-
-    kinds = "".join(f"{k} {df.schema[k].dataType.simpleString()}, " for k in keys)
-    return df.select(*keys, order, value).groupBy(*keys).applyInPandas(run, kinds + columns)
+    An infinite sample between neighbours ends every search as the end of a series does, so all series are one array;
+    those that hold a sample that is not finite are done by themselves.
+    """
+    ends = np.append(starts[1:], len(x))
+    whole = np.logical_and.reduceat(np.isfinite(x), starts) if len(starts) else np.zeros(0, bool)
+    found, proms = [], []
+    for k in np.flatnonzero(~whole).tolist():
+        at, prom = find_peaks(x[starts[k] : ends[k]], distance, prominence, width)
+        found.append(at + starts[k])
+        proms.append(prom)
+    series = np.repeat(np.arange(len(starts)), ends - starts)
+    rows = np.flatnonzero(whole[series]) if len(x) else np.zeros(0, int)
+    if len(rows):
+        number = np.cumsum(whole)[series[rows]]  # from 1, of the series that are done together
+        place = np.arange(len(rows)) + number
+        y = np.full(len(rows) + number[-1] + 1, np.inf)
+        y[place] = x[rows]
+        row = np.zeros(len(y), int)
+        row[place] = rows
+        at = local_maxima_array(y)
+        at = at[np.isfinite(y[at])]
+        d = math.ceil(distance)
+        if d > 1 and len(at):
+            apart = np.zeros(len(y), int)
+            apart[place] = number * d
+            far = at + apart[at]  # peaks of two series are never within reach
+            stay = np.isin(far, _keep_distance_at(y[at], far, d))
+            at = at[stay]
+        prom = prominences(y, at)
+        if prominence is not None:
+            at, prom = at[prom >= prominence], prom[prom >= prominence]
+        if width is not None:
+            ok = widths(y, at, prom) >= width
+            at, prom = at[ok], prom[ok]
+        found.append(row[at])
+        proms.append(prom)
+    if not found:
+        return np.zeros(0, int), np.zeros(0)
+    at, prom = np.concatenate(found).astype(int), np.concatenate(proms)
+    order = np.argsort(at, kind="stable")
+    return at[order], prom[order]
+
+
+def find_valleys_of(x: np.ndarray, starts: np.ndarray, distance: int, prominence: float, depth: float) -> np.ndarray:
+    """`find_valleys` of many series that follow each other in `x`."""
+    v, _ = find_peaks_of(-x, starts, distance, prominence)
+    ends = np.append(starts[1:], len(x))
+    of = np.searchsorted(starts, v, side="right") - 1
+    limits = np.full(len(starts), -np.inf)
+    for k in np.unique(of).tolist():
+        limits[k] = np.percentile(x[starts[k] : ends[k]], depth)
+    return v[x[v] < limits[of]]
+
+
+def _found(df: DataFrame, keys: list[str], order: str, value: str, search, columns: dict[str, str]) -> DataFrame:
+    """Rows (keys, i, x, ...) of what `search(values, starts)` finds: indices and further arrays."""
+
+    def run(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        x = table.column("__x").to_numpy().astype(float)
+        at, *more = search(x, starts)
+        i = at - starts[np.searchsorted(starts, at, side="right") - 1]
+        return pa.table([*(table.column(k).take(pa.array(at)) for k in keys), pa.array(i.astype(np.int32)), *(pa.array(v, from_pandas=True) for v in (x[at], *more))], names=[*keys, "i", "x", *columns])
+
+    rows = df.select(*dict.fromkeys([*keys, order]), F.col(value).cast("double").alias("__x"))
+    kinds = [f"{k} {df.schema[k].dataType.simpleString()}" for k in keys] + ["i int", "x double"] + [f"{c} {kind}" for c, kind in columns.items()]
+    return groups.by_series(rows, keys, [order], run, ", ".join(kinds))
 
 
 def peaks(df: DataFrame, keys: list[str], order: str, value: str, distance: float = 1, prominence: float | None = None, width: float | None = None) -> DataFrame:
-    """(keys, i, x, prominence) of the peaks of each series; one task per series."""
-    return _grouped(df, keys, order, value, lambda _, x: [(int(i), float(x[i]), float(p)) for i, p in zip(*find_peaks(x, distance, prominence, width))], "i int, x double, prominence double")
+    """(keys, i, x, prominence) of the peaks of each series; a series is in one task, with many others."""
+    return _found(df, keys, order, value, lambda x, starts: find_peaks_of(x, starts, distance, prominence, width), {"prominence": "double"})
 
 
 def valleys(df: DataFrame, keys: list[str], order: str, value: str, distance: int = 30, prominence: float = 1.5, depth: float = 40.0) -> DataFrame:
     """(keys, i, x) of the valleys of each series."""
-    return _grouped(df, keys, order, value, lambda _, x: [(int(i), float(x[i])) for i in find_valleys(x, distance, prominence, depth)], "i int, x double")
+    return _found(df, keys, order, value, lambda x, starts: (find_valleys_of(x, starts, distance, prominence, depth),), {})
 
 
 def local_maxima(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
