@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidecycle.operators import groups, peaks
+from tidecycle.operators import blocks, groups, peaks, spectral
 from tidecycle.sources import cbf, readers, sinks
 
 
@@ -77,3 +77,12 @@ def test_series_share_calls_and_are_whole(spark):
     got = groups.by_series(df, ["k"], ["id"], run, "calls long, series long, rows long, long long", rows=3000).toPandas()
     assert got["series"].sum() == 2001 and got["rows"].sum() == 30_000 and got["long"].max() == 20_000 and len(got) < 40
     assert spark.range(0).select(F.lit(1).alias("k"), "id").transform(lambda x: groups.by_series(x, ["k"], ["id"], run, "calls long, series long, rows long, long long")).count() == 0
+
+
+def test_spectra_in_blocks_make_no_group_per_column(spark):
+    x = spark.range(900).select((F.col("id") % 7).alias("s"), "id", F.sin("id").alias("v"))
+    got = blocks.spectrum(x, ["s"], ["id"], F.floor(F.col("id") / 100), "v", 8)
+    assert "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString()
+    want = spectral.spectrum(x, ["s"], ["id"], "v")
+    both = got.join(want.select("s", "k", F.col("amplitude").alias("a")), ["s", "k"])
+    assert both.count() == want.count() and both.where("abs(amplitude - a) > 1e-9").count() == 0

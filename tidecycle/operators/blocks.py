@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import series
+from . import groups, series
 
 BLOCK, OWN, AT = "__block", "__own", "__at"
 
@@ -106,31 +106,32 @@ def spectrum(df: DataFrame, keys: list[str], order: list[str], bucket: Column, v
     whole = whole.mapInArrow(divisor, f"{kinds}__mean double, __n long, __p long")
     rows = x.join(whole, keys).select(*keys, "__n", "__p", (F.col(AT) % F.col("__p")).alias("__c"), F.floor(F.col(AT) / F.col("__p")).alias("__r"), F.coalesce(F.col("__x") - F.col("__mean"), F.lit(0.0)).alias("__x"), F.col("__mean").isNull().alias("__none"))
 
-    def step(by: str, turn: bool):
-        def run(table):
-            t = table.sort_by(by)
-            n, p, none = t["__n"][0].as_py(), t["__p"][0].as_py(), t["__none"][0].as_py()
-            if turn:
-                c = t["__c"][0].as_py()
-                z = np.fft.fft(t["__x"].to_numpy()) * np.exp(-2j * np.pi * c * np.arange(len(t)) / n)
-                line = np.arange(len(t))
-            else:
-                q = t["__q"][0].as_py()
-                z = np.fft.fft(t["re"].to_numpy() + 1j * t["im"].to_numpy())
-                line = q + (n // p) * np.arange(len(t))
-                keep = (line >= 1) & (line <= n // 2)
-                z, line = z[keep], line[keep]
-            first = pa.array(np.zeros(len(z), np.int64))
-            held = [t[k].take(first) for k in keys]
-            if turn:
-                return pa.table([*held, *(t[k].take(first) for k in ("__n", "__p", "__c", "__none")), pa.array(line), pa.array(z.real), pa.array(z.imag)], names=[*keys, "__n", "__p", "__c", "__none", "__q", "re", "im"])
-            power = np.where(none, np.nan, z.real**2 + z.imag**2)
-            return pa.table([*held, pa.array(line.astype(np.int32)), pa.array(n / line), pa.array(np.sqrt(power), from_pandas=True), pa.array(power, from_pandas=True)], names=[*keys, "k", "period", "amplitude", "power"])
-
-        return run
-
-    turned = rows.groupBy(*keys, "__c").applyInArrow(step("__r", True), f"{kinds}__n long, __p long, __c long, __none boolean, __q long, re double, im double")
-    return turned.groupBy(*keys, "__q").applyInArrow(step("__c", False), f"{kinds}k int, period double, amplitude double, power double")
+    def lines(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Transforms of groups that follow each other, those of a length at once; and each value's place in its group."""
+        size = np.diff(np.append(starts, len(values)))
+        out = np.empty(len(values), complex)
+        for m in np.unique(size).tolist():
+            at = starts[size == m][:, None] + np.arange(m)
+            out[at] = np.fft.fft(values[at], axis=1)
+        return out, np.arange(len(values)) - np.repeat(starts, size)
+
+    def columns_step(t, starts):
+        z, q = lines(t["__x"].to_numpy(), starts)
+        z = z * np.exp(-2j * np.pi * t["__c"].to_numpy() * q / t["__n"].to_numpy())
+        return pa.table([*(t[k] for k in (*keys, "__n", "__p", "__c", "__none")), pa.array(q), pa.array(z.real), pa.array(z.imag)], names=[*keys, "__n", "__p", "__c", "__none", "__q", "re", "im"])
+
+    def rows_step(t, starts):
+        z, place = lines(t["re"].to_numpy() + 1j * t["im"].to_numpy(), starts)
+        n, p = t["__n"].to_numpy(), t["__p"].to_numpy()
+        line = t["__q"].to_numpy() + (n // p) * place
+        keep = np.flatnonzero((line >= 1) & (line <= n // 2))
+        z, line, n, none = z[keep], line[keep], n[keep], t["__none"].to_numpy()[keep]
+        power = np.where(none, np.nan, z.real**2 + z.imag**2)
+        held = [t[k].take(pa.array(keep)) for k in keys]
+        return pa.table([*held, pa.array(line.astype(np.int32)), pa.array(n / line), pa.array(np.sqrt(power), from_pandas=True), pa.array(power, from_pandas=True)], names=[*keys, "k", "period", "amplitude", "power"])
+
+    turned = groups.by_series(rows, [*keys, "__c"], ["__r"], columns_step, f"{kinds}__n long, __p long, __c long, __none boolean, __q long, re double, im double")
+    return groups.by_series(turned, [*keys, "__q"], ["__c"], rows_step, f"{kinds}k int, period double, amplitude double, power double")
 
 
 def _width(n: int, columns: int) -> int:
