@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tidecycle.functions import temporal
 from tidecycle.operators import blocks, groups, peaks, spectral
 from tidecycle.sources import cbf, readers, sinks
 
@@ -86,3 +87,11 @@ def test_spectra_in_blocks_make_no_group_per_column(spark):
     want = spectral.spectrum(x, ["s"], ["id"], "v")
     both = got.join(want.select("s", "k", F.col("amplitude").alias("a")), ["s", "k"])
     assert both.count() == want.count() and both.where("abs(amplitude - a) > 1e-9").count() == 0
+
+
+def test_chunks_of_long_recordings_are_spread(spark):
+    df = spark.createDataFrame([(i, n) for i, n in enumerate([0, 1, 299, 300, 301, 900, -5, None] * 20)], "id long, n long").coalesce(1)
+    got = temporal.exploded_chunks(df, "n")
+    assert "Exchange" in got._jdf.queryExecution().executedPlan().toString()
+    want = df.select("id", F.explode(temporal.chunks(F.col("n"))).alias("c")).select("id", "c.first", "c.count")
+    assert sorted(map(tuple, got.select("id", "first", "count").collect())) == sorted(map(tuple, want.collect())) and want.count() == 160
