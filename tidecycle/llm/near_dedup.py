@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BASE, materialize, materialize_with, mix, packed, slices, utf8, word_hashes, words
@@ -248,6 +248,20 @@ def _unite(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
         root[hi] = lo[first]  # from greater to less: no cycle
 
 
+#: Bits of a sieve: a table of 2**18 words of 64 bits at most, which is sent to every task.
+SIEVE_BITS = 24
+
+
+def _sieved(rows: DataFrame, row_id: Column, row_th: Column, keys: DataFrame, key_id: str, key_th: str) -> DataFrame:
+    """`rows` with a boolean `__in`: false only for rows that are none of `keys`, by a map of one bit per hash of (id, th). It tells before a join which rows need not be shuffled; its size is bounded, and false positives only are shuffled in vain."""
+    place = lambda a, b: F.xxhash64(a, b).bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+    found = keys.select(place(F.col(key_id), F.col(key_th)).alias("__place"))
+    words = found.groupBy(F.shiftright("__place", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__place & 63 AS int))")).alias("__bits"))
+    at = rows.withColumn("__place", place(row_id, row_th)).withColumn("__word", F.shiftright("__place", 6))
+    hit = F.coalesce(F.expr("shiftrightunsigned(__bits, cast(__place & 63 AS int)) & 1 = 1"), F.lit(False))
+    return at.join(F.broadcast(words), "__word", "left").withColumn("__in", hit).drop("__word", "__bits", "__place")
+
+
 def similarity_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, hashes: int = 128, id_col: str = "doc_id", text_col: str = "text", chunk_grams: int = 1 << 18, sketch_bits: int = 22) -> DataFrame:
     """One row per input row: id, th (hash of the text), set_id, n_grams, class_id, copies, links.
 
@@ -276,8 +290,10 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, reca
     members = materialize(members)
     comps = _components(_stars(members.select("set", F.explode("bands").alias("band")), "set", "band"))
     sized = comps.join(members.select(F.col("set").alias("node"), "size", "n", "row.id", "row.th"), "node")
-    picked = sized.join(_grams(sized), "root")
-    texts = rows.join(picked, (rows["id"].eqNullSafe(picked["id"])) & (rows["th"] == picked["th"])).select("node", "root", "grams", "size", "n", "text")
+    picked = materialize(sized.join(_grams(sized), "root"))
+    # Only the texts of candidates are shuffled.
+    near = _sieved(rows, F.col("id"), F.col("th"), picked, "id", "th").where("__in").select("id", "th", "text")
+    texts = near.join(picked, (near["id"].eqNullSafe(picked["id"])) & (near["th"] == picked["th"])).select("node", "root", "grams", "size", "n", "text")
     texts, most = materialize_with(texts, F.max("grams"))
     if (most or 0) > chunk_grams:
         large = texts.where(F.col("grams") > chunk_grams)
@@ -314,7 +330,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     rows, back = packed(docs, id_col, text_col)
     rows = rows.withColumn("__row_id", F.col(id_col)).withColumn("__row_th", F.xxhash64(text_col))
-    out = rows.join(marks.where("NOT __keep"), key(rows), "left_anti")
+    # Only rows that may go are shuffled.
+    sieved = _sieved(rows, F.col("__row_id"), F.col("__row_th"), marks.where("NOT __keep"), "__id", "__th")
+    unsure = sieved.where("__in").drop("__in")
+    out = sieved.where("NOT __in").drop("__in").unionByName(unsure.join(marks.where("NOT __keep"), key(unsure), "left_anti"))
     repeated = marks.where("__keep AND __times > 1")
     if repeated.limit(1).count():
         several = out.join(repeated, key(out), "left_semi").dropDuplicates(["__row_id", "__row_th"])
