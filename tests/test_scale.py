@@ -95,3 +95,10 @@ def test_chunks_of_long_recordings_are_spread(spark):
     assert "Exchange" in got._jdf.queryExecution().executedPlan().toString()
     want = df.select("id", F.explode(temporal.chunks(F.col("n"))).alias("c")).select("id", "c.first", "c.count")
     assert sorted(map(tuple, got.select("id", "first", "count").collect())) == sorted(map(tuple, want.collect())) and want.count() == 160
+
+
+def test_pictures_of_vectors_are_made_in_many_tasks(spark):
+    from tidecycle import registry_sources
+
+    plan = registry_sources.global_motion(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan

@@ -175,7 +175,9 @@ def global_motion(spark, d):
     k, n = F.col("vec_id") % 20, 24
     dx, dy = (k * 7) % 9 - 4, (k * 5) % 7 - 3
     first = read(spark, d, "embeddings").where(k == 0).select(F.floor(F.col("vec_id") / 20).alias("v"), F.col("embedding").alias("base"))
-    x = read(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 20).alias("v"), k.cast("int").alias("frame_idx"), dx.cast("int").alias("dx"), dy.cast("int").alias("dy")).join(first, "v")
+    x = read(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 20).alias("v"), k.cast("int").alias("frame_idx"), dx.cast("int").alias("dx"), dy.cast("int").alias("dy"))
+    # Dealt over all cores first: a small file is one task, and a picture costs far more than its vector.
+    x = x.repartition(2 * spark.sparkContext.defaultParallelism, "v").join(first, "v")
     # Pixel (y, x) of the picture that lies dx, dy off: a hash of the place and of the vector's values.
     place = F.expr(f"transform(sequence(0, {n * n - 1}), i -> pmod(i div {n} - dy, {n}) * {n} + pmod(i % {n} - dx, {n}))")
     level = F.transform(place, lambda p: F.pmod(F.xxhash64(p, F.element_at("base", (F.pmod(p, F.lit(64)) + 1).cast("int"))), F.lit(256)))
