@@ -97,6 +97,33 @@ def test_chunks_of_long_recordings_are_spread(spark):
     assert sorted(map(tuple, got.select("id", "first", "count").collect())) == sorted(map(tuple, want.collect())) and want.count() == 160
 
 
+def test_chunks_of_long_recordings_pack_well(spark, tmp_path):
+    n = F.lit(300_000) + F.col("id") * 7
+    got = temporal.exploded_chunks(spark.range(400, numPartitions=1).withColumn("n", n), "n")
+    got.select("id", "first", "count").write.parquet(str(tmp_path / "c"))
+    assert spark.read.parquet(str(tmp_path / "c")).count() == sum(-(-(300_000 + 7 * i) // 300) for i in range(400))
+    assert sum(p.stat().st_size for p in (tmp_path / "c").glob("*.parquet")) < 0.4 * 400_000
+
+
+def test_chunks_in_tiles_are_whole(spark):
+    span = temporal.TILE * 300
+    ns = [span - 1, span, span + 1, 2 * span, 2 * span + 301, 5 * span - 300, 1]
+    df = spark.createDataFrame(list(enumerate(ns)), "id long, n long")
+    got = sorted(map(tuple, temporal.exploded_chunks(df, "n").select("id", "first", "count").collect()))
+    assert got == [(i, f, min(300, n - f)) for i, n in enumerate(ns) for f in range(0, n, 300)]
+    assert temporal.exploded_chunks(df.where("n > 2147483647"), "n").count() == 0
+    most = spark.range(1).select("id", F.lit(2**31 - 1).alias("n"))
+    assert tuple(temporal.exploded_chunks(most, "n").agg(F.count("*"), F.max("first"), F.sum("count")).first()) == (-(-(2**31 - 1) // 300), (2**31 - 2) // 300 * 300, 2**31 - 1)
+
+
+def test_tasks_of_chunks_are_bounded(spark, monkeypatch):
+    df = spark.range(1000, numPartitions=1).withColumn("n", F.lit(900))
+    monkeypatch.setattr(temporal, "TASK_ROWS", 100)
+    assert temporal.exploded_chunks(df, "n").rdd.getNumPartitions() == 10
+    monkeypatch.setattr(temporal, "TASK_CHUNKS", 150)
+    assert temporal.exploded_chunks(df, "n").rdd.getNumPartitions() == 20
+
+
 def test_pictures_of_vectors_are_made_in_many_tasks(spark):
     from tidecycle import registry_sources
 
